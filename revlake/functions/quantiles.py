@@ -38,29 +38,61 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     return joined.drop(*[f"_r_{k}" for k in keys]) if how in ("inner", "left") else joined
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys of the groups with more than ``hot_rows`` rows, ready to broadcast.
+
+    There are at most (rows / hot_rows) of them, which bounds what is broadcast.
+    """
+    return F.broadcast(
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).drop("_n")
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str | Column,
     probs: Sequence[float],
     keys: Sequence[str] = (),
     hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """One row per group: the keys and ``q``, an array of quantiles in the order of ``probs``.
 
-    Nulls and NaN are ignored; a group without values yields no row.
+    Nulls and NaN are ignored; a group without values yields no row. ``hot`` may name the large groups
+    when they are known already, for example from the rows ``df`` was aggregated from.
     """
     keys = list(keys)
     data = df.select(*keys, col(value).cast("double").alias("_v")).where("_v is not null and not isnan(_v)")
     if not keys:
         return _split_quantiles(data, probs, keys)
-    # At most (rows / hot_rows) keys can be hot, which bounds what is broadcast.
-    hot = F.broadcast(data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).drop("_n"))
+    hot = hot_keys(data, keys, hot_rows) if hot is None else hot
     small = null_safe(data, hot, keys, "left_anti")
     large = null_safe(data, hot, keys, "left_semi")
     built_in = small.groupBy(*keys).agg(F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
     return built_in.unionByName(_split_quantiles(large, probs, keys))
 
 
+def exact_quantiles_of(
+    df: DataFrame, values: Sequence[str], probs: Sequence[float], keys: Sequence[str], hot: DataFrame
+) -> DataFrame:
+    """Quantiles of several columns at once: the keys and one array per column, named after it.
+
+    The columns must not contain nulls. One pass serves all columns of the groups that are not hot.
+    """
+    keys = list(keys)
+    marks = F.array(*[F.lit(float(p)) for p in probs])
+    small = null_safe(df, hot, keys, "left_anti").groupBy(*keys).agg(
+        *[F.percentile(F.col(v).cast("double"), marks).alias(v) for v in values]
+    )
+    rows = null_safe(df, hot, keys, "left_semi")
+    large = None
+    for v in values:
+        data = rows.select(*keys, F.col(v).cast("double").alias("_v"))
+        one = _split_quantiles(data, probs, keys).withColumnRenamed("q", v)
+        large = one if large is None else null_safe(large, one, keys, "inner")
+    return small.unionByName(large)
+
+
 def _split_quantiles(data: DataFrame, probs: Sequence[float], keys: list[str]) -> DataFrame:
     """Quantiles of all groups with each group spread over value buckets.
 

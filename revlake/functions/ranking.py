@@ -8,25 +8,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from revlake.functions.quantiles import HOT_ROWS, null_safe, value_bucket
+from revlake.functions.quantiles import HOT_ROWS, hot_keys, null_safe, value_bucket
 from revlake.session import pinned
 
 
 def dense_ranks(
-    df: DataFrame, value: str, name: str, keys: Sequence[str] = (), hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    names: dict[str, str],
+    keys: Sequence[str] = (),
+    hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``name``: dense rank of ``value``, largest first, within ``keys``.
+    """Add dense ranks, largest first, within ``keys``: ``names`` maps a column to its rank's name.
 
     A plain window serves groups of up to ``hot_rows`` rows. Larger groups, and a ranking without
-    keys, are ranked on their distinct values, bucket by bucket.
+    keys, are ranked on their distinct values, bucket by bucket. ``hot`` may name the large groups
+    when they are known already.
     """
     keys = list(keys)
+
+    def split(part: DataFrame) -> DataFrame:
+        for value, name in names.items():
+            part = _split_dense(part, value, name, keys)
+        return part
+
     if not keys:
-        return _split_dense(df, value, name, keys)
-    hot = F.broadcast(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).drop("_n"))
-    order = W.partitionBy(*keys).orderBy(F.col(value).desc())
-    small = null_safe(df, hot, keys, "left_anti").withColumn(name, F.dense_rank().over(order))
-    return small.unionByName(_split_dense(null_safe(df, hot, keys, "left_semi"), value, name, keys))
+        return split(df)
+    hot = hot_keys(df, keys, hot_rows) if hot is None else hot
+    ranks = {n: F.dense_rank().over(W.partitionBy(*keys).orderBy(F.col(v).desc())) for v, n in names.items()}
+    small = null_safe(df, hot, keys, "left_anti").withColumns(ranks)
+    return small.unionByName(split(null_safe(df, hot, keys, "left_semi")))
 
 
 def _split_dense(df: DataFrame, value: str, name: str, keys: list[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlake.functions.columns import finite, percent, round_even
+from revlake.functions.columns import finite, percent, round_total
 
 # Seed, restarts, smallest input, largest numbers of clusters.
 SEED, RESTARTS, MIN_ROWS = 42, 10, 10
@@ -22,8 +22,8 @@ def _features(df: DataFrame, key: str, names: list[str]) -> DataFrame:
         df.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(
-            round_even(F.sum("price")).alias(names[0]),
-            round_even(F.avg("price")).alias(names[1]),
+            round_total(F.sum("price")).alias(names[0]),
+            round_total(F.avg("price")).alias(names[1]),
             F.count("price").cast("double").alias(names[2]),
             F.sum("times_viewed").cast("double").alias(names[3]),
         )

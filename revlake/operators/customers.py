@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from revlake.functions.columns import percent, round_even, safe_ratio
+from revlake.functions.columns import percent, round_even, round_total, safe_ratio
 from revlake.functions.quantiles import exact_quantiles, quantile_row
 from revlake.functions.ranking import dense_ranks, top_share
 
@@ -29,7 +29,7 @@ def customer_value(df: DataFrame) -> DataFrame:
 
 def rounded_value(customers: DataFrame) -> DataFrame:
     """Spend and mean price to two decimals, as the segment reports use them."""
-    return customers.withColumns({c: round_even(c) for c in ("total_spent", "avg_price")})
+    return customers.withColumns({c: round_total(c) for c in ("total_spent", "avg_price")})
 
 
 def frequency_stats(customers: DataFrame) -> DataFrame:
@@ -71,21 +71,21 @@ def segment_rollup(segmented: DataFrame) -> DataFrame:
     per_segment = segmented.where("segment is not null").groupBy("segment").agg(
         F.count(F.lit(1)).alias("customers"),
         F.sum("total_spent").alias("_revenue"),
-        round_even(F.avg("total_spent")).alias("avg_customer_value"),
-        round_even(F.avg("transactions")).alias("avg_frequency"),
-        round_even(F.avg("avg_price")).alias("avg_order_value"),
-        round_even(F.avg("total_views")).alias("avg_views"),
+        round_total(F.avg("total_spent")).alias("avg_customer_value"),
+        round_total(F.avg("transactions")).alias("avg_frequency"),
+        round_total(F.avg("avg_price")).alias("avg_order_value"),
+        round_total(F.avg("total_views")).alias("avg_views"),
     )
     total = segmented.agg(F.sum("total_spent").alias("_total"))
     return per_segment.crossJoin(F.broadcast(total)).select(  # one row
         "segment",
         "customers",
-        round_even("_revenue").alias("total_revenue"),
+        round_total("_revenue").alias("total_revenue"),
         "avg_customer_value",
         "avg_frequency",
         "avg_order_value",
         "avg_views",
-        round_even(percent(round_even("_revenue"), "_total"), 1).alias("revenue_share"),
+        round_even(percent(round_total("_revenue"), "_total"), 1).alias("revenue_share"),
     )
 
 
@@ -117,8 +117,7 @@ def customer_lifecycle(customers: DataFrame) -> DataFrame:
 
 def customer_ranks(customers: DataFrame) -> DataFrame:
     """Dense ranks of all customers by spend and by number of transactions."""
-    ranked = dense_ranks(customers, "total_spent", "revenue_rank")
-    return dense_ranks(ranked, "transactions", "frequency_rank")
+    return dense_ranks(customers, {"total_spent": "revenue_rank", "transactions": "frequency_rank"})
 
 
 def top_bottom_share(frame: DataFrame, value: str, fraction: float = 0.2) -> DataFrame:

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from revlake.functions.columns import percent, round_even
+from revlake.functions.columns import percent, round_even, round_total
 
-# One row per country after the first aggregation, so a window over all of them stays small.
-ALL = W.partitionBy(F.lit(0))
+
+def _all():
+    """Window over all countries: one row per country after the first aggregation, so it stays small."""
+    return W.partitionBy(F.lit(0))
 
 
 def country_revenue(df: DataFrame) -> DataFrame:
@@ -18,23 +20,23 @@ def country_revenue(df: DataFrame) -> DataFrame:
         df.where("country is not null")
         .groupBy("country")
         .agg(
-            round_even(F.sum("price")).alias("total_revenue"),
+            round_total(F.sum("price")).alias("total_revenue"),
             F.count("price").alias("transactions"),
-            round_even(F.avg("price")).alias("avg_price"),
+            round_total(F.avg("price")).alias("avg_price"),
             F.count_distinct("customer_id").alias("unique_customers"),
             F.sum("times_viewed").alias("total_views"),
         )
     )
     return base.select(
         "*",
-        round_even(percent("total_revenue", F.sum("total_revenue").over(ALL))).alias("market_share"),
+        round_even(percent("total_revenue", F.sum("total_revenue").over(_all()))).alias("market_share"),
         round_even(F.try_divide("total_revenue", "unique_customers")).alias("revenue_per_customer"),
         round_even(F.try_divide("total_revenue", "transactions")).alias("revenue_per_transaction"),
     ).orderBy(F.col("total_revenue").desc(), "country")
 
 
 def _positions(markets: DataFrame) -> DataFrame:
-    order = ALL.orderBy(F.col("total_revenue").desc(), "country")
+    order = _all().orderBy(F.col("total_revenue").desc(), "country")
     return markets.withColumn("position", F.row_number().over(order))
 
 

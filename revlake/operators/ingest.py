@@ -173,13 +173,15 @@ def union_files(frames: list[DataFrame]) -> DataFrame:
 
 
 def supported_countries(spark) -> DataFrame:
-    """The fixed list of accepted countries as a frame."""
-    return spark.createDataFrame([(c,) for c in SUPPORTED_COUNTRIES], "country string")
+    """The fixed list of accepted countries as a frame of known size."""
+    rows = ", ".join(f"('{c}')" for c in SUPPORTED_COUNTRIES)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(country)")
 
 
 def select_countries(df: DataFrame, supported: DataFrame | None = None) -> DataFrame:
-    """Rows whose country is supported."""
-    supported = supported_countries(df.sparkSession) if supported is None else supported
+    """Rows whose country is supported; the fixed list becomes a scan filter."""
+    if supported is None:
+        return df.where(F.col("country").isin(SUPPORTED_COUNTRIES))
     return df.join(supported.select("country").distinct(), "country", "left_semi")
 
 

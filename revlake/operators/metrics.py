@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlake.functions.columns import calendar_parts, round_even, safe_ratio
-from revlake.functions.quantiles import exact_quantiles, null_safe
+from revlake.functions.columns import calendar_parts, round_total, safe_ratio
+from revlake.functions.quantiles import exact_quantiles, exact_quantiles_of, hot_keys, null_safe
 from revlake.functions.ranking import dense_ranks
 from revlake.operators.cleaning import FENCE
 from revlake.session import pinned
@@ -71,17 +71,18 @@ def daily_metrics(clean: DataFrame) -> DataFrame:
 
 def customer_segments(clean: DataFrame) -> DataFrame:
     """Champions and loyal customers per day and country, by the cell's upper spend and frequency quartile."""
+    rows = _keyed(clean, [*CELL, "customer_id"])
     customers = (
-        _keyed(clean, [*CELL, "customer_id"])
-        .groupBy(*CELL, "customer_id")
-        .agg(round_even(F.sum("price")).alias("spend"), F.count(F.lit(1)).alias("frequency"))
+        rows.groupBy(*CELL, "customer_id")
+        .agg(round_total(F.sum("price")).alias("spend"), F.count(F.lit(1)).alias("frequency"))
     )
-    spend = exact_quantiles(customers, "spend", [0.75], CELL).withColumnRenamed("q", "_sq")
-    often = exact_quantiles(customers, "frequency", [0.75], CELL).withColumnRenamed("q", "_fq")
-    rich = F.col("spend") >= F.col("_sq")[0]
-    loyal = F.col("frequency") >= F.col("_fq")[0]
+    # A cell has at most as many customers as rows.
+    cuts = exact_quantiles_of(customers, ["spend", "frequency"], [0.75], CELL, hot_keys(rows, CELL))
+    cuts = cuts.select(*CELL, F.col("spend")[0].alias("_spend_cut"), F.col("frequency")[0].alias("_often_cut"))
+    rich = F.col("spend") >= F.col("_spend_cut")
+    loyal = F.col("frequency") >= F.col("_often_cut")
     return (
-        customers.join(spend.join(often, CELL), CELL)
+        customers.join(cuts, CELL)
         .groupBy(*CELL)
         .agg(
             F.avg("frequency").alias("avg_frequency"),
@@ -96,9 +97,9 @@ def customer_segments(clean: DataFrame) -> DataFrame:
 
 def product_performance(clean: DataFrame) -> DataFrame:
     """Sales and views per day, country and product, with dense ranks inside the cell."""
+    rows = _keyed(clean, [*CELL, "stream_id"])
     products = (
-        _keyed(clean, [*CELL, "stream_id"])
-        .groupBy(*CELL, "stream_id")
+        rows.groupBy(*CELL, "stream_id")
         .agg(
             F.sum("price").alias("revenue"),
             F.count(F.lit(1)).alias("transactions"),
@@ -108,13 +109,13 @@ def product_performance(clean: DataFrame) -> DataFrame:
         )
         .withColumn("conversion_rate", safe_ratio("transactions", "total_views"))
     )
-    return product_ranks(products)
+    # A cell has at most as many products as rows.
+    return product_ranks(products, hot_keys(rows, CELL))
 
 
-def product_ranks(products: DataFrame) -> DataFrame:
+def product_ranks(products: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Dense ranks by revenue and by transactions within day and country, largest first."""
-    ranked = dense_ranks(products, "revenue", "revenue_rank", CELL)
-    return dense_ranks(ranked, "transactions", "popularity_rank", CELL)
+    return dense_ranks(products, {"revenue": "revenue_rank", "transactions": "popularity_rank"}, CELL, hot=hot)
 
 
 def customer_penetration(clean: DataFrame) -> DataFrame:
@@ -131,15 +132,26 @@ def customer_penetration(clean: DataFrame) -> DataFrame:
     )
 
 
-def _daily_anomalies(clean: DataFrame) -> DataFrame:
-    """Per country and for all (null): revenue and volume days beyond two deviations."""
-    days = (
-        clean.groupBy("country", "date")
-        .agg(F.sum("price").alias("revenue"), F.count(F.lit(1)).alias("rows"))
-        .withColumn("scope", F.lit(0))
+def _day_counts(rows: DataFrame) -> DataFrame:
+    """Counts and revenue per country and day: all the quality report needs but the price quartiles.
+
+    Stored, since several small plans read it and column pruning would give each its own scan.
+    """
+    days = rows.groupBy("country", "date").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("price").alias("revenue"),
+        F.count_if(F.col("customer_id").isNull()).alias("missing_customer_ids"),
+        F.count_if("is_price_outlier").alias("price_outliers"),
+        F.count_if("is_view_outlier").alias("view_count_outliers"),
     )
+    return pinned(days, "days")
+
+
+def _daily_anomalies(days: DataFrame) -> DataFrame:
+    """Per country and for all (null): revenue and volume days beyond two deviations."""
+    days = days.where("date is not null").select(F.lit(0).alias("scope"), "country", "date", "revenue", "rows")
     whole = days.groupBy("date").agg(F.sum("revenue").alias("revenue"), F.sum("rows").alias("rows"))
-    both = days.unionByName(whole.select(F.lit(None).cast("string").alias("country"), "*", F.lit(1).alias("scope")))
+    both = days.unionByName(whole.select(F.lit(1).alias("scope"), F.lit(None).cast("string").alias("country"), "*"))
     stats = both.groupBy("scope", "country").agg(
         *[fn(c).alias(f"_{tag}_{c}") for c in ("revenue", "rows") for tag, fn in (("m", F.avg), ("s", F.stddev_samp))]
     )
@@ -157,7 +169,7 @@ def _daily_anomalies(clean: DataFrame) -> DataFrame:
 
 def volume_anomalies(clean: DataFrame) -> DataFrame:
     """Days with an unusual number of transactions, per country and overall (country null)."""
-    return _daily_anomalies(_keyed(clean, CELL)).select("country", "volume_anomalies")
+    return _daily_anomalies(_day_counts(_keyed(clean, CELL))).select("country", "volume_anomalies")
 
 
 def _iqr_counts(clean: DataFrame) -> DataFrame:
@@ -188,20 +200,18 @@ def quality_report(clean: DataFrame, metrics: DataFrame) -> DataFrame:
     ``metrics`` is the one-row frame of ``cleaning_metrics``. An empty input gives one zero row.
     """
     rows = _keyed(clean, ["country"])
-    per_country = rows.groupBy("country").agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(F.col("customer_id").isNull()).alias("missing_customer_ids"),
-        F.count_if("is_price_outlier").alias("price_outliers"),
-        F.count_if("is_view_outlier").alias("view_count_outliers"),
-    )
+    days = _day_counts(rows)
     counts = ["total_records", "missing_customer_ids", "price_outliers", "view_count_outliers"]
+    per_country = days.withColumnRenamed("rows", "total_records").groupBy("country").agg(
+        *[F.sum(c).alias(c) for c in counts]
+    )
     # A global aggregate yields a row for empty input too.
     overall = per_country.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts])
     scopes = per_country.select(F.lit(0).alias("scope"), "country", *counts).unionByName(
         overall.select(F.lit(1).alias("scope"), F.lit(None).cast("string").alias("country"), *counts)
     )
     keys = ["scope", "country"]
-    joined = null_safe(null_safe(scopes, _daily_anomalies(_keyed(rows, ["date"])), keys, "left"), _iqr_counts(rows), keys, "left")
+    joined = null_safe(null_safe(scopes, _daily_anomalies(days), keys, "left"), _iqr_counts(rows), keys, "left")
     run = metrics.select(F.col("total_records").alias("_all"), F.col("invalid_prices"))
     some = F.col("total_records") > 0
     completeness = F.when(some, 1 - F.col("missing_customer_ids") / F.col("total_records")).otherwise(0.0)

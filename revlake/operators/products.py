@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlake.functions.columns import percent, round_even, stream_category
+from revlake.functions.columns import percent, round_even, round_total, stream_category
 from revlake.functions.quantiles import quantile_row
 from revlake.functions.ranking import running_totals, top_share
 
@@ -16,12 +16,12 @@ def stream_performance(df: DataFrame) -> DataFrame:
         df.where("stream_id is not null")
         .groupBy("stream_id")
         .agg(
-            round_even(F.sum("price")).alias("total_revenue"),
-            round_even(F.avg("price")).alias("avg_price"),
+            round_total(F.sum("price")).alias("total_revenue"),
+            round_total(F.avg("price")).alias("avg_price"),
             F.count("price").alias("transactions"),
-            round_even(F.stddev_samp("price")).alias("price_std"),
+            round_total(F.stddev_samp("price")).alias("price_std"),
             F.sum("times_viewed").alias("total_views"),
-            round_even(F.avg("times_viewed")).alias("avg_views"),
+            round_total(F.avg("times_viewed")).alias("avg_views"),
             F.count_distinct("customer_id").alias("unique_customers"),
         )
     )
@@ -36,8 +36,8 @@ def stream_category_performance(df: DataFrame) -> DataFrame:
     return (
         df.groupBy(stream_category("stream_id").alias("stream_category"))
         .agg(
-            round_even(F.sum("price")).alias("total_revenue"),
-            round_even(F.avg("price")).alias("avg_price"),
+            round_total(F.sum("price")).alias("total_revenue"),
+            round_total(F.avg("price")).alias("avg_price"),
             F.count("price").alias("transactions"),
             F.sum("times_viewed").alias("total_views"),
         )

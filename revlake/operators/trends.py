@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from revlake.functions.columns import day_name, month_name, percent, round_even
+from revlake.functions.columns import day_name, month_name, percent, round_total
 
 
 def daily_trend(df: DataFrame) -> DataFrame:
@@ -14,8 +14,8 @@ def daily_trend(df: DataFrame) -> DataFrame:
         df.where("date is not null")
         .groupBy("date")
         .agg(
-            round_even(F.sum("price")).alias("total_revenue"),
-            round_even(F.avg("price")).alias("avg_price"),
+            round_total(F.sum("price")).alias("total_revenue"),
+            round_total(F.avg("price")).alias("avg_price"),
             F.count("price").alias("transactions"),
             F.sum("times_viewed").alias("total_views"),
         )
@@ -38,10 +38,10 @@ def _period(df: DataFrame, number, name, label: str) -> DataFrame:
         df.where("date is not null")
         .groupBy(number.alias(label), name.alias(f"{label}_name"))
         .agg(
-            round_even(F.sum("price")).alias("total_revenue"),
-            round_even(F.avg("price")).alias("avg_price"),
+            round_total(F.sum("price")).alias("total_revenue"),
+            round_total(F.avg("price")).alias("avg_price"),
             F.count("price").alias("transactions"),
-            round_even(F.avg("times_viewed")).alias("avg_views"),
+            round_total(F.avg("times_viewed")).alias("avg_views"),
         )
     )
 
