@@ -151,3 +151,11 @@ def quantile_row(df: DataFrame, value: str | Column, probs: Sequence[float], nam
     """Global quantiles as exactly one row (null when there are no values), for joining to rows."""
     found = exact_quantiles(df, value, probs)
     return found.agg(F.max("q").alias(name))
+
+
+def quantile_rows(df: DataFrame, values: dict[str, str | Column], probs: Sequence[float]) -> DataFrame:
+    """Global quantiles of several columns as exactly one row with one array per name, from one pass."""
+    pairs = [F.struct(F.lit(n).alias("_c"), col(v).cast("double").alias("_v")) for n, v in values.items()]
+    long = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+    found = exact_quantiles(long, "_v", probs, ["_c"])
+    return found.agg(*[F.max(F.when(F.col("_c") == n, F.col("q"))).alias(n) for n in values])

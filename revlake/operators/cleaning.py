@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlake.functions.columns import col, finite, safe_ratio
-from revlake.functions.quantiles import exact_quantiles, null_safe, quantile_row
+from revlake.functions.quantiles import exact_quantiles, null_safe, quantile_rows
 from revlake.session import pinned
 
 # Accepted price range, z-score limit, IQR fence factor.
@@ -116,10 +116,9 @@ def overall_quality_score(metrics: DataFrame) -> DataFrame:
 
 def high_engagement(df: DataFrame) -> DataFrame:
     """Counts and prices of heavily viewed rows, and of dear but little viewed ones."""
-    views = quantile_row(df, "times_viewed", [0.8], "_vq")
-    prices = quantile_row(df, "price", [0.8], "_pq")
+    cuts = quantile_rows(df, {"_vq": "times_viewed", "_pq": "price"}, [0.8])
     mean = df.agg(F.avg("times_viewed").alias("_vm"))
-    one_row = views.crossJoin(F.broadcast(prices)).crossJoin(F.broadcast(mean))
+    one_row = cuts.crossJoin(F.broadcast(mean))
     marked = df.crossJoin(F.broadcast(one_row))  # one row
     top = F.col("times_viewed") > F.col("_vq")[0]
     dear = (F.col("price") > F.col("_pq")[0]) & (F.col("times_viewed") <= 2)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
@@ -12,6 +15,7 @@ from revlake.functions.columns import finite, percent, round_total
 # Seed, restarts, smallest input, largest numbers of clusters.
 SEED, RESTARTS, MIN_ROWS = 42, 10, 10
 ELBOW_MOST, CUSTOMER_CLUSTERS, PRODUCT_CLUSTERS = 10, 4, 5
+PARALLEL = 4
 CUSTOMER_FEATURES = ["total_revenue", "avg_order_value", "frequency", "total_views"]
 PRODUCT_FEATURES = ["total_revenue", "avg_price", "transactions", "total_views"]
 
@@ -50,7 +54,12 @@ def standardised(features: DataFrame, names: list[str]) -> DataFrame:
 
 def _best_fit(scaled: DataFrame, k: int, seed: int, restarts: int):
     """The cheapest of several k-means runs; k-means|| starts are spread already."""
-    fits = [KMeans(k=k, seed=seed + i, featuresCol="scaled", predictionCol="cluster").fit(scaled) for i in range(restarts)]
+    def fit(i: int):
+        return KMeans(k=k, seed=seed + i, featuresCol="scaled", predictionCol="cluster").fit(scaled)
+
+    # Independent Spark jobs; a few at a time keep the executors busy between short iterations.
+    with ThreadPool(PARALLEL) as pool:
+        fits = pool.map(inheritable_thread_target(scaled.sparkSession)(fit), range(restarts))
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from revlake.functions.columns import percent, round_even, round_total, safe_ratio
-from revlake.functions.quantiles import exact_quantiles, quantile_row
+from revlake.functions.quantiles import exact_quantiles, quantile_row, quantile_rows
 from revlake.functions.ranking import dense_ranks, top_share
 
 
@@ -56,14 +56,12 @@ def value_quartile_segment(customers: DataFrame) -> DataFrame:
 
 def value_frequency_segment(customers: DataFrame) -> DataFrame:
     """Add ``segment`` by the upper fifth of spend and of frequency."""
-    spend_cut = quantile_row(customers, "total_spent", [0.8], "_s")
-    often_cut = quantile_row(customers, "transactions", [0.8], "_f")
+    cuts = quantile_rows(customers, {"_s": "total_spent", "_f": "transactions"}, [0.8])
     rich, often = F.col("total_spent") >= F.col("_s")[0], F.col("transactions") >= F.col("_f")[0]
     segment = (
         F.when(rich & often, "VIP").when(rich, "High Value").when(often, "Loyal").otherwise("Standard")
     )
-    one_row = spend_cut.crossJoin(F.broadcast(often_cut))
-    return customers.crossJoin(F.broadcast(one_row)).withColumn("segment", segment).drop("_s", "_f")
+    return customers.crossJoin(F.broadcast(cuts)).withColumn("segment", segment).drop("_s", "_f")  # one row
 
 
 def segment_rollup(segmented: DataFrame) -> DataFrame:
@@ -188,12 +186,8 @@ def rfm_segments(customers: DataFrame) -> DataFrame:
         .withColumn("recency_days", F.datediff("_now", "last_purchase"))
         .drop("_now")
     )
-    probs = [0.2, 0.4, 0.6, 0.8]
-    cuts = (
-        quantile_row(dated, "recency_days", probs, "_r")
-        .crossJoin(F.broadcast(quantile_row(dated, "transactions", probs, "_f")))
-        .crossJoin(F.broadcast(quantile_row(dated, "total_spent", probs, "_m")))
-    )
+    measures = {"_r": "recency_days", "_f": "transactions", "_m": "total_spent"}
+    cuts = quantile_rows(dated, measures, [0.2, 0.4, 0.6, 0.8])
 
     def above(value, name):
         return sum(((F.col(value) > F.col(name)[i]).cast("int") for i in range(4)), F.lit(0))

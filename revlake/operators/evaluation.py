@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revlake.functions.columns import finite
 from revlake.operators.series import difference
@@ -125,7 +126,7 @@ def chi_square_tail(q: float, k: int) -> float:
     return min(tail, 1.0)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def ljung_box_p(q: pd.Series, k: pd.Series) -> pd.Series:
     return pd.Series([None if pd.isna(a) else chi_square_tail(float(a), int(b)) for a, b in zip(q, k, strict=True)])
 

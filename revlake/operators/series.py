@@ -135,9 +135,10 @@ def filter_training_series(df: DataFrame, keys: Sequence[str] = KEY, min_days: i
 
 def backfill(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEY, order: str = "ds") -> DataFrame:
     """NaN and infinity to null, then the next known value in date order, then 0."""
-    ahead = _by(keys, order).rowsBetween(0, W.unboundedFollowing)
+    # Read backwards: a frame that grows from its start is one pass, one open to the end is quadratic.
+    ahead = W.partitionBy(*keys).orderBy(F.col(order).desc()).rowsBetween(W.unboundedPreceding, 0)
     return df.withColumns(
-        {c: F.coalesce(F.first(finite(c), ignorenulls=True).over(ahead), F.lit(0.0)) for c in columns}
+        {c: F.coalesce(F.last(finite(c), ignorenulls=True).over(ahead), F.lit(0.0)) for c in columns}
     )
 
 
@@ -153,7 +154,8 @@ def interpolate_linear(df: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
     at = df.withColumn("_i", F.row_number().over(order))
     known = F.when(finite("y").isNotNull(), F.struct(F.col("_i"), finite("y").alias("y")))
     before = F.last(known, ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0))
-    after = F.first(known, ignorenulls=True).over(order.rowsBetween(0, W.unboundedFollowing))
+    backwards = W.partitionBy(*keys).orderBy(F.col("ds").desc()).rowsBetween(W.unboundedPreceding, 0)
+    after = F.last(known, ignorenulls=True).over(backwards)
     marked = at.withColumns({"_p": before, "_q": after})
     slope = F.try_divide(F.col("_q.y") - F.col("_p.y"), F.col("_q._i") - F.col("_p._i"))
     line = F.col("_p.y") + F.coalesce(slope, F.lit(0.0)) * (F.col("_i") - F.col("_p._i"))
