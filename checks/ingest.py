@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from checks.inputs import api_logs, clean, cte, final, invoices, lines, raw_records, requests, table, tidy
 from revlake.functions import columns as C
 from revlake.operators import cleaning, ingest, logs
-from revlake.schemas import REQUIRED
 from revlake.sources import invoices as sources
 
 QUERIES, ORACLES = {}, {}
@@ -342,10 +341,28 @@ check(
 )
 check(
     "model_operation_logs",
-    lambda s, sf: tidy(logs.model_operation_logs(api_logs(s, sf).select(
-        "timestamp", F.lit("train").alias("operation"), "country", "model_type", F.lit(1.5).alias("duration_seconds"),
-        (F.col("level") != "ERROR").alias("success"), "details")).groupBy("level", "message", "category").agg(F.count(F.lit(1)).alias("n"))),
+    lambda s, sf: logs.model_operation_logs(api_logs(s, sf).select(
+        "timestamp", F.when(F.col("category") == "click", "training").otherwise(F.col("category")).alias("operation"), "country", "model_type",
+        F.lit(1.5).alias("duration_seconds"), (F.col("level") != "ERROR").alias("success"), "details"))
+    .groupBy("level", "message", "category").agg(F.count(F.lit(1)).alias("n")),
     cte("logs", """SELECT CASE WHEN level = 'ERROR' THEN 'ERROR' ELSE 'INFO' END AS level,
-        'train ' || model_type || ' for ' || country AS message, 'model_operation' AS category, count(*) AS n FROM logs GROUP BY ALL"""),
+        'Model ' || CASE category WHEN 'click' THEN 'training' ELSE category END || CASE WHEN level = 'ERROR' THEN ' failed for ' ELSE ' completed for ' END
+        || model_type || ' model in ' || country AS message, CASE category WHEN 'click' THEN 'model_training' ELSE 'system_event' END AS category, count(*) AS n FROM logs GROUP BY ALL"""),
+)
+check(
+    "error_logs",
+    lambda s, sf: logs.error_logs(api_logs(s, sf).where("level = 'ERROR'").select("timestamp", "message", "details", "country"))
+    .groupBy("level", "category", "message", "country").agg(F.count(F.lit(1)).alias("n")),
+    cte("logs", "SELECT 'ERROR' AS level, 'error_event' AS category, message, country, count(*) AS n FROM logs WHERE level = 'ERROR' GROUP BY ALL"),
+)
+check(
+    "data_access_logs",
+    lambda s, sf: logs.data_access_logs(api_logs(s, sf).groupBy("category").agg(
+        F.max("timestamp").alias("timestamp"), F.count(F.lit(1)).alias("records_affected"), F.count_if(F.col("level") == "ERROR").alias("bad"))
+        .select("timestamp", F.lit("SELECT").alias("operation"), F.col("category").alias("database"), F.lit("read").alias("query_type"),
+                "records_affected", (F.col("bad") == 0).alias("success"), F.lit(0.5).alias("duration_seconds")))
+    .select("level", "category", "message", "details"),
+    cte("logs", """SELECT CASE WHEN b > 0 THEN 'ERROR' ELSE 'INFO' END AS level, 'data_access' AS category, 'Data access: SELECT on ' || c || ' (' || n || ' records)' AS message,
+        '{"operation":"SELECT","database":"' || c || '","query_type":"read","records_affected":' || n || ',"success":' || CASE WHEN b > 0 THEN 'false' ELSE 'true' END || '}' AS details
+        FROM (SELECT category AS c, count(*) AS n, count(*) FILTER (level = 'ERROR') AS b FROM logs GROUP BY category)"""),
 )
-assert REQUIRED

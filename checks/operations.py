@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.inputs import api_logs, cte, final, history, invoices, requests, series, sparse_series, table, tidy
+from checks.inputs import api_logs, cte, final, history, invoices, requests, series, table, tidy
 from revlake.functions.columns import parse_details
 from revlake.operators import clustering, logs, monitoring
 from revlake.session import fresh_path
@@ -197,4 +197,3 @@ ORACLES["request_rate_alerts"] = final("""SELECT epoch_us(w) AS window_start, re
     (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS w, count(*) AS requests, avg(CASE WHEN event_type IN ('error', 'signup') THEN 100.0::DOUBLE ELSE 0 END) AS error_rate, avg(value) AS avg_response_ms FROM events GROUP BY 1)
     WHERE (error_rate > 5 OR avg_response_ms > 5000) AND w + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
     "window_start requests error_alert response_alert", "error_rate avg_response_ms")
-assert sparse_series

@@ -148,14 +148,12 @@ def new_vs_returning(df: DataFrame) -> DataFrame:
     A customer is new on the day of the first purchase anywhere. Recency is the number of days since
     the customer's previous purchase day.
     """
+    # Distinct first: a customer has at most one row per calendar day and country, however many purchases.
     visits = df.where("customer_id is not null and date is not null").select("customer_id", "date", "country").distinct()
-    # One row per customer and day: at most one per calendar day for any customer.
-    days = visits.select("customer_id", "date").distinct()
-    mine = W.partitionBy("customer_id").orderBy("date")
-    history = days.withColumn("_previous", F.lag("date").over(mine))
+    earlier = W.partitionBy("customer_id").orderBy(F.unix_date("date")).rangeBetween(W.unboundedPreceding, -1)
     new = F.col("_previous").isNull()
     return (
-        visits.join(history, ["customer_id", "date"])
+        visits.withColumn("_previous", F.max("date").over(earlier))
         .groupBy("date", "country")
         .agg(
             F.count(F.lit(1)).alias("customers"),

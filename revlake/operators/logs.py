@@ -16,6 +16,12 @@ REDACTED = "***REDACTED***"
 LONGEST_LIST = 100
 DEPTH = 3
 RETENTION_DAYS = 90
+# Log category per model operation.
+OPERATION_CATEGORIES = {
+    "training": "model_training",
+    "prediction": "model_prediction",
+    "validation": "model_validation",
+}
 
 
 def level_of(status) -> Column:
@@ -66,12 +72,7 @@ def request_logs(requests: DataFrame) -> DataFrame:
     Expects timestamp, endpoint, method, status_code, response_time_ms, and optionally request_data,
     user_id, request_id, error.
     """
-    have = set(requests.columns)
-
-    def optional(name):
-        return F.col(name) if name in have else F.lit(None).cast("string")
-
-    body = optional("request_data")
+    body = _text(requests, "request_data")
     details = F.to_json(
         F.struct(
             "endpoint",
@@ -79,7 +80,7 @@ def request_logs(requests: DataFrame) -> DataFrame:
             "status_code",
             "response_time_ms",
             redact_json(body).alias("request_data"),
-            optional("error").alias("error"),
+            _text(requests, "error").alias("error"),
         )
     )
     return requests.select(
@@ -90,31 +91,76 @@ def request_logs(requests: DataFrame) -> DataFrame:
         details.alias("details"),
         F.get_json_object(body, "$.country").alias("country"),
         F.get_json_object(body, "$.model_type").alias("model_type"),
-        optional("user_id").alias("user_id"),
-        optional("request_id").alias("request_id"),
+        _text(requests, "user_id").alias("user_id"),
+        _text(requests, "request_id").alias("request_id"),
         (F.col("response_time_ms") / 1000).alias("duration_seconds"),
     )
 
 
+def _text(df: DataFrame, name: str) -> Column:
+    """The column where the frame has it, null text otherwise."""
+    return F.col(name) if name in df.columns else F.lit(None).cast("string")
+
+
 def model_operation_logs(operations: DataFrame) -> DataFrame:
-    """Log rows for model operations: timestamp, operation, country, model_type, duration_seconds, success, details."""
+    """Log rows for model operations.
+
+    Expects timestamp, operation, country, model_type, success, duration_seconds, details, and
+    optionally user_id, request_id.
+    """
+    categories = F.create_map(*[F.lit(x) for pair in OPERATION_CATEGORIES.items() for x in pair])
+    outcome = F.when(F.col("success"), "completed").otherwise("failed")
     return operations.select(
         "timestamp",
         F.when(F.col("success"), "INFO").otherwise("ERROR").alias("level"),
-        F.lit("model_operation").alias("category"),
-        F.format_string("%s %s for %s", "operation", "model_type", "country").alias("message"),
-        redact_json("details").alias("details"),
+        F.coalesce(F.try_element_at(categories, F.col("operation")), F.lit("system_event")).alias("category"),
+        F.format_string("Model %s %s for %s model in %s", "operation", outcome, "model_type", "country").alias("message"),
+        "details",
         "country",
         "model_type",
-        F.lit(None).cast("string").alias("user_id"),
-        F.lit(None).cast("string").alias("request_id"),
+        _text(operations, "user_id").alias("user_id"),
+        _text(operations, "request_id").alias("request_id"),
+        "duration_seconds",
+    )
+
+
+def error_logs(errors: DataFrame) -> DataFrame:
+    """Log rows for errors: timestamp, message, details, and optionally level, category and the ids."""
+    return errors.select(
+        "timestamp",
+        F.coalesce(_text(errors, "level"), F.lit("ERROR")).alias("level"),
+        F.coalesce(_text(errors, "category"), F.lit("error_event")).alias("category"),
+        "message",
+        "details",
+        *[_text(errors, c).alias(c) for c in ("country", "model_type", "user_id", "request_id")],
+        F.lit(None).cast("double").alias("duration_seconds"),
+    )
+
+
+def data_access_logs(accesses: DataFrame) -> DataFrame:
+    """Log rows for reads and writes.
+
+    Expects timestamp, operation, database, query_type, records_affected, success, duration_seconds,
+    and optionally error, country.
+    """
+    fields = [F.col(c) for c in ("operation", "database", "query_type", "records_affected", "success")]
+    details = F.to_json(F.struct(*fields, _text(accesses, "error").alias("error")))
+    text = "Data access: %s on %s (%s records)"
+    return accesses.select(
+        "timestamp",
+        F.when(F.col("success"), "INFO").otherwise("ERROR").alias("level"),
+        F.lit("data_access").alias("category"),
+        F.format_string(text, "operation", "database", F.col("records_affected").cast("string")).alias("message"),
+        details.alias("details"),
+        _text(accesses, "country").alias("country"),
+        *[F.lit(None).cast("string").alias(c) for c in ("model_type", "user_id", "request_id")],
         "duration_seconds",
     )
 
 
 def request_metrics(requests: DataFrame) -> DataFrame:
     """Rows of the performance table for raw requests."""
-    body = F.col("request_data") if "request_data" in requests.columns else F.lit(None).cast("string")
+    body = _text(requests, "request_data")
     return requests.select(
         "timestamp",
         "endpoint",

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from revlake.functions.columns import finite
 from revlake.functions.quantiles import exact_quantiles, null_safe
 from revlake.operators.cleaning import FENCE
+from revlake.session import pinned
 
 
 def _numeric(df: DataFrame) -> list[str]:
@@ -159,7 +160,8 @@ def unique_values(df: DataFrame, columns: list[str], most: int = 20) -> DataFram
 def boxplot_stats(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
     """Quartiles and whiskers (furthest values inside the fences) per group."""
     data = df.select(*keys, F.col(value).cast("double").alias("v")).where("v is not null")
-    quartiles = exact_quantiles(data, "v", [0.25, 0.5, 0.75], keys)
+    # Stored first, so the planner knows its true size: broadcast when small, shuffled join beyond.
+    quartiles = pinned(exact_quantiles(data, "v", [0.25, 0.5, 0.75], keys), "quartiles")
     q1, q3 = F.col("q")[0], F.col("q")[2]
     low, high = q1 - FENCE * (q3 - q1), q3 + FENCE * (q3 - q1)
     # Equal values are merged before the join so a large group moves as its distinct values.
