@@ -18,7 +18,12 @@ def pytest_addoption(parser):
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[8]", spark__sql__shuffle__partitions=8, spark__ui__enabled="false", spark__driver__memory="8g"
+        "tests",
+        "local[8]",
+        spark__sql__shuffle__partitions=8,
+        spark__sql__maxMetadataStringLength=2000,
+        spark__ui__enabled="false",
+        spark__driver__memory="8g",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
