@@ -26,21 +26,31 @@ def price_filter(df: DataFrame) -> DataFrame:
     return df.where(~price_out_of_range())
 
 
-def flag_zscore_outliers(df: DataFrame, columns: str | list[str], limit: float = Z_LIMIT) -> DataFrame:
+def outlier_stats(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Mean and sample deviation of each column as one row, from one pass."""
+    return df.agg(
+        *[F.avg(finite(c)).alias(f"_m_{c}") for c in columns],
+        *[F.stddev_samp(finite(c)).alias(f"_s_{c}") for c in columns],
+    )
+
+
+def _zscore_outlier(c: str, limit: float = Z_LIMIT) -> Column:
+    """The flag of one column on rows joined with ``outlier_stats``."""
+    z = F.abs(F.try_divide(finite(c) - F.col(f"_m_{c}"), F.col(f"_s_{c}")))
+    return F.coalesce(z > limit, F.lit(False))
+
+
+def flag_zscore_outliers(
+    df: DataFrame, columns: str | list[str], limit: float = Z_LIMIT, stats: DataFrame | None = None
+) -> DataFrame:
     """Add ``<column>_outlier`` for values more than ``limit`` sample deviations from the mean.
 
-    All columns share one pass for their statistics.
+    ``stats`` may hold the result of ``outlier_stats`` when several plans share it.
     """
     columns = [columns] if isinstance(columns, str) else columns
-    stats = df.agg(
-        *[F.avg(finite(c)).alias(f"_m_{c}") for c in columns],
-        *[F.stddev_samp(finite(c)).alias(f"_s_{c}") for c in columns],
-    )
+    stats = outlier_stats(df, columns) if stats is None else stats
     out = df.crossJoin(F.broadcast(stats))  # one row
-    for c in columns:
-        z = F.abs(F.try_divide(finite(c) - F.col(f"_m_{c}"), F.col(f"_s_{c}")))
-        out = out.withColumn(f"{c}_outlier", F.coalesce(z > limit, F.lit(False)))
-    return out.drop(*[f"_{k}_{c}" for k in "ms" for c in columns])
+    return out.withColumns({f"{c}_outlier": _zscore_outlier(c, limit) for c in columns}).drop(*stats.columns)
 
 
 def flag_iqr_outliers(df: DataFrame, column: str, keys: list[str] | None = None) -> DataFrame:
@@ -70,39 +80,35 @@ def cast_clean_types(df: DataFrame) -> DataFrame:
     )
 
 
-def clean_invoices(df: DataFrame) -> DataFrame:
+FLAGGED = ["price", "times_viewed"]
+
+
+def cleaning_stats(df: DataFrame) -> DataFrame:
+    """The statistics behind the outlier flags of ``clean_invoices``, one row."""
+    return outlier_stats(price_filter(cast_clean_types(df)), FLAGGED)
+
+
+def clean_invoices(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Flag missing customers, drop prices out of range, flag price and view outliers, fix types."""
     kept = cast_clean_types(price_filter(flag_missing_customer(df)))
-    return flag_zscore_outliers(kept, ["price", "times_viewed"]).withColumnsRenamed(
+    return flag_zscore_outliers(kept, FLAGGED, stats=stats).withColumnsRenamed(
         {"price_outlier": "is_price_outlier", "times_viewed_outlier": "is_view_outlier"}
     )
 
 
-def cleaning_metrics(df: DataFrame) -> DataFrame:
+def cleaning_metrics(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Counts of a cleaning run as one row. Missing ids count before the price filter.
 
     Takes the raw frame: one pass for the statistics, one for the counts.
     """
-    prepared = cast_clean_types(df).withColumn("_bad", price_out_of_range())
-    good = ~F.col("_bad")
-    stats = prepared.agg(
-        *[
-            fn(F.when(good, finite(c))).alias(f"_{tag}_{c}")
-            for c in ("price", "times_viewed")
-            for tag, fn in (("m", F.avg), ("s", F.stddev_samp))
-        ]
-    )
-
-    def outlier(c):
-        z = F.abs(F.try_divide(finite(c) - F.col(f"_m_{c}"), F.col(f"_s_{c}")))
-        return good & F.coalesce(z > Z_LIMIT, F.lit(False))
-
-    return prepared.crossJoin(F.broadcast(stats)).agg(  # one row
+    stats = cleaning_stats(df) if stats is None else stats
+    good = ~price_out_of_range()
+    return cast_clean_types(df).crossJoin(F.broadcast(stats)).agg(  # one row
         F.count(F.lit(1)).alias("total_records"),
         F.count_if(F.col("customer_id").isNull()).alias("missing_customer_ids"),
-        F.count_if(F.col("_bad")).alias("invalid_prices"),
-        F.count_if(outlier("price")).alias("price_outliers"),
-        F.count_if(outlier("times_viewed")).alias("view_outliers"),
+        F.count_if(~good).alias("invalid_prices"),
+        F.count_if(good & _zscore_outlier("price")).alias("price_outliers"),
+        F.count_if(good & _zscore_outlier("times_viewed")).alias("view_outliers"),
         F.count_if(good).alias("valid_records"),
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -29,7 +29,7 @@ def validate_required(df: DataFrame) -> DataFrame:
     return df.withColumn("missing", F.array_compact(F.array(*checks)))
 
 
-def whole_number(c) -> F.Column:
+def whole_number(c) -> Column:
     """Text such as 7, 07 or 7.0 as a whole number, null otherwise."""
     return col(c).try_cast("double").try_cast("int")
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlake.functions.columns import calendar_parts, round_total, safe_ratio
-from revlake.functions.quantiles import exact_quantiles, exact_quantiles_of, hot_keys, null_safe
+from revlake.functions.quantiles import HOT_ROWS, exact_quantiles, exact_quantiles_of, hot_keys, null_safe, quantile_row
 from revlake.functions.ranking import dense_ranks
 from revlake.operators.cleaning import FENCE
 from revlake.session import pinned
@@ -172,26 +172,31 @@ def volume_anomalies(clean: DataFrame) -> DataFrame:
     return _daily_anomalies(_day_counts(_keyed(clean, CELL))).select("country", "volume_anomalies")
 
 
-def _iqr_counts(clean: DataFrame) -> DataFrame:
-    """Price outliers by the fences of each country, and by those of all rows (country null)."""
-    low, high = F.col("q")[0], F.col("q")[1]
-    outside = (F.col("price") < low - FENCE * (high - low)) | (F.col("price") > high + FENCE * (high - low))
+def _iqr_counts(clean: DataFrame, days: DataFrame) -> DataFrame:
+    """Price outliers by the fences of each country, and by those of all rows (country null).
+
+    One pass finds the countries' quartiles, one the overall ones, one counts against both.
+    """
     prices = clean.select("country", "price")
-    # Stored first, so the planner knows its true size: broadcast when small, shuffled join beyond.
-    by_country = pinned(exact_quantiles(prices, "price", [0.25, 0.75], ["country"]), "fences")
-    per_country = (
-        prices.join(by_country, "country")
-        .groupBy("country")
-        .agg(F.count_if(outside).alias("price_iqr_outliers"))
-        .select(F.lit(0).alias("scope"), "country", "price_iqr_outliers")
+    # Row counts are known from the day counts: no scan to find the large countries.
+    sizes = days.groupBy("country").agg(F.sum("rows").alias("_n"))
+    hot = F.broadcast(sizes.where(F.col("_n") > HOT_ROWS).drop("_n"))
+    own = exact_quantiles(prices, "price", [0.25, 0.75], ["country"], hot=hot)
+    everyone = quantile_row(prices, "price", [0.25, 0.75], "_all")
+    # Stored, so the planner knows the true size: broadcast when small, shuffled join beyond.
+    fences = pinned(own.crossJoin(F.broadcast(everyone)), "fences")
+
+    def outside(q: str) -> Column:
+        low, high = F.col(q)[0], F.col(q)[1]
+        return (F.col("price") < low - FENCE * (high - low)) | (F.col("price") > high + FENCE * (high - low))
+
+    counts = prices.join(fences, "country").groupBy("country").agg(
+        F.count_if(outside("q")).alias("price_iqr_outliers"), F.count_if(outside("_all")).alias("_overall")
     )
-    fences = exact_quantiles(prices, "price", [0.25, 0.75]).agg(F.max("q").alias("q"))
-    overall = (
-        prices.crossJoin(F.broadcast(fences))  # one row
-        .agg(F.count_if(outside).alias("price_iqr_outliers"))
-        .select(F.lit(1).alias("scope"), F.lit(None).cast("string").alias("country"), "price_iqr_outliers")
+    overall = counts.agg(F.sum("_overall").alias("price_iqr_outliers"))
+    return counts.select(F.lit(0).alias("scope"), "country", "price_iqr_outliers").unionByName(
+        overall.select(F.lit(1).alias("scope"), F.lit(None).cast("string").alias("country"), "price_iqr_outliers")
     )
-    return per_country.unionByName(overall)
 
 
 def quality_report(clean: DataFrame, metrics: DataFrame) -> DataFrame:
@@ -211,7 +216,7 @@ def quality_report(clean: DataFrame, metrics: DataFrame) -> DataFrame:
         overall.select(F.lit(1).alias("scope"), F.lit(None).cast("string").alias("country"), *counts)
     )
     keys = ["scope", "country"]
-    joined = null_safe(null_safe(scopes, _daily_anomalies(days), keys, "left"), _iqr_counts(rows), keys, "left")
+    joined = null_safe(null_safe(scopes, _daily_anomalies(days), keys, "left"), _iqr_counts(rows, days), keys, "left")
     run = metrics.select(F.col("total_records").alias("_all"), F.col("invalid_prices"))
     some = F.col("total_records") > 0
     completeness = F.when(some, 1 - F.col("missing_customer_ids") / F.col("total_records")).otherwise(0.0)

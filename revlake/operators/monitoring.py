@@ -9,12 +9,12 @@ from __future__ import annotations
 import math
 from functools import lru_cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from revlake.functions.columns import priority_order
-from revlake.functions.quantiles import quantile_row
+from revlake.functions.quantiles import quantile_rows
 from revlake.operators.logs import last_n_per_key
 
 KEY = ["country", "model_type"]
@@ -190,24 +190,33 @@ def performance_stability(history: DataFrame) -> DataFrame:
 
 def data_drift(baseline: DataFrame, recent: DataFrame, columns: list[str], bins: int = 10) -> DataFrame:
     """Population stability index of each column between two samples, on the baseline's deciles."""
-    out = None
-    for c in columns:
-        cuts = quantile_row(baseline, c, [i / bins for i in range(1, bins)], "_cuts")
-        value = F.col(c).cast("double")
-        place = sum(((value > F.col("_cuts")[i]).cast("int") for i in range(bins - 1)), F.lit(0))
-
-        def shares(df, name, cuts=cuts, value=value, place=place):
-            binned = df.where(value.isNotNull()).crossJoin(F.broadcast(cuts)).select(place.alias("bin"))  # one row
-            counts = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
-            total = F.sum("n").over(W.partitionBy(F.lit(0)))  # one row per bin
-            return counts.select("bin", (F.col("n") / total).alias(name))
-
-        both = shares(baseline, "p").join(shares(recent, "q"), "bin", "full")
-        # An empty bin counts as a ten-thousandth.
-        p, q = (F.greatest(F.coalesce(x, F.lit(0.0)), F.lit(1e-4)) for x in ("p", "q"))
-        one = both.agg(F.sum((q - p) * F.ln(q / p)).alias("psi")).select(F.lit(c).alias("feature"), "psi")
-        out = one if out is None else out.unionByName(one)
-    return out.withColumn("has_drift", F.col("psi") > 0.2)
+    marks = {f"_q_{c}": c for c in columns}
+    cuts = quantile_rows(baseline, marks, [i / bins for i in range(1, bins)])
+
+    def place(c: str) -> Column:
+        return sum(((F.col(c).cast("double") > F.col(f"_q_{c}")[i]).cast("int") for i in range(bins - 1)), F.lit(0))
+
+    tags = baseline.select(*columns, F.lit(True).alias("_old")).unionByName(recent.select(*columns, F.lit(False).alias("_old")))
+    # One row; every value of every column counts once, merged before the shuffle.
+    pairs = [F.struct(F.lit(c).alias("feature"), F.when(F.col(c).isNotNull(), place(c)).alias("bin")) for c in columns]
+    counts = (
+        tags.crossJoin(F.broadcast(cuts))
+        .select("_old", F.explode(F.array(*pairs)).alias("p"))
+        .select("_old", "p.*")
+        .where("bin is not null")
+        .groupBy("feature", "bin")
+        .agg(F.count_if("_old").alias("a"), F.count_if(~F.col("_old")).alias("b"))
+    )
+    grid = F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
+    features = cuts.select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("feature")).select("feature", grid)
+    whole = W.partitionBy("feature")  # one row per bin
+    filled = features.join(counts, ["feature", "bin"], "left").na.fill(0, ["a", "b"])
+    # An empty bin counts as a ten-thousandth.
+    p, q = (F.greatest(F.try_divide(F.col(x), F.sum(x).over(whole)), F.lit(1e-4)) for x in ("a", "b"))
+    shares = filled.select("feature", p.alias("p"), q.alias("q"))
+    # Bins empty on both sides say nothing: their two shares are equal.
+    psi = F.sum((F.col("q") - F.col("p")) * F.ln(F.col("q") / F.col("p")))
+    return shares.groupBy("feature").agg(psi.alias("psi")).withColumn("has_drift", F.col("psi") > 0.2)
 
 
 def data_drift_score(drift: DataFrame) -> DataFrame:

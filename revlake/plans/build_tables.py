@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlake.operators.cleaning import clean_invoices, cleaning_metrics, overall_quality_score
+from revlake.operators.cleaning import clean_invoices, cleaning_metrics, cleaning_stats, overall_quality_score
 from revlake.operators.metrics import customer_segments, daily_metrics, product_performance, quality_report
+from revlake.session import pinned
 from revlake.sources.invoices import scan_date_range, write_l3
 
 
 def result_tables(invoices: DataFrame, start=None, end=None) -> dict[str, DataFrame]:
-    """Lazy frames of the four tables, and of the run's quality score."""
+    """Frames of the four tables, and of the run's quality score.
+
+    The mean and deviation behind the outlier flags are computed once and stored (one row); all
+    plans read them. The invoices themselves are not cached: each plan's scan reads only its own
+    columns, which costs no more than reading a cached copy.
+    """
     rows = scan_date_range(invoices, start, end)
-    clean = clean_invoices(rows)
-    metrics = cleaning_metrics(rows)
+    stats = pinned(cleaning_stats(rows), "stats")
+    clean = clean_invoices(rows, stats)
+    metrics = cleaning_metrics(rows, stats)
     return {
         "daily_aggregated_metrics": daily_metrics(clean),
         "customer_segment_metrics": customer_segments(clean),
@@ -28,20 +34,10 @@ def result_tables(invoices: DataFrame, start=None, end=None) -> dict[str, DataFr
 def build_tables(
     spark: SparkSession, invoices: DataFrame, base: str, start=None, end=None, replace_dates: bool = False
 ) -> DataFrame:
-    """Write the four tables below ``base``; returns the run's quality score.
-
-    The narrowed input is kept on executor disks for the four plans that read it; a lost block is
-    recomputed from the invoice table.
-    """
-    columns = ["invoice", "country", "customer_id", "stream_id", "price", "times_viewed", "date"]
-    rows = scan_date_range(invoices, start, end).select(*columns).persist(StorageLevel.DISK_ONLY)
-    try:
-        tables = result_tables(rows)
-        for name in ("daily_aggregated_metrics", "customer_segment_metrics", "product_performance_metrics"):
-            write_l3(tables[name], f"{base}/{name}", updated=name.startswith("daily"), replace_dates=replace_dates)
-        report = tables["data_quality_reports"].withColumn("report_date", F.current_date())
-        write_l3(report, f"{base}/data_quality_reports")
-        quality = tables["run_quality"].collect()  # one row
-    finally:
-        rows.unpersist()
-    return spark.createDataFrame(quality, tables["run_quality"].schema)
+    """Write the four tables below ``base``; returns the run's quality score as one row."""
+    tables = result_tables(invoices, start, end)
+    for name in ("daily_aggregated_metrics", "customer_segment_metrics", "product_performance_metrics"):
+        write_l3(tables[name], f"{base}/{name}", updated=name.startswith("daily"), replace_dates=replace_dates)
+    report = tables["data_quality_reports"].withColumn("report_date", F.current_date())
+    write_l3(report, f"{base}/data_quality_reports")
+    return tables["run_quality"]
