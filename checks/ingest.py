@@ -235,16 +235,17 @@ check(
     """SELECT event_id, '{"user":' || user_id || ',"API_TOKEN":"***REDACTED***","note":"a \\"b\\"","inner":{"password":"***REDACTED***","k":'
        || event_id || '},"list":[1,2]}' AS details FROM events""",
 )
+def nested_line(views):
+    return F.struct(F.col("l_partkey").cast("string").alias("stream_id"), views.cast("int").alias("times_viewed"), F.col("l_extendedprice").alias("price"))
+
+
 check(
     "explode_streams",
-    lambda s, sf: tidy(ingest.explode_streams(
-        lines(s, sf).groupBy(F.col("o_orderkey").alias("invoice")).agg(F.to_json(F.collect_list(F.struct(
-            F.col("l_partkey").cast("string").alias("stream_id"), F.col("l_quantity").cast("int").alias("times_viewed"),
-            F.col("l_extendedprice").alias("price")))).alias("streams"))
-    )),
-    final(cte("lines", """SELECT o_orderkey AS invoice, CAST(l_partkey AS VARCHAR) AS stream_id,
-        CAST(l_quantity AS INTEGER) AS times_viewed, l_extendedprice AS price FROM lines"""),
-        "invoice stream_id times_viewed", "price"),
+    lambda s, sf: tidy(ingest.explode_streams(lines(s, sf).select(
+        F.col("o_orderkey").alias("invoice"),
+        F.to_json(F.array(nested_line(F.col("l_quantity")), nested_line(F.col("l_quantity") + 1))).alias("streams")))),
+    final(cte("lines", """SELECT o_orderkey AS invoice, CAST(l_partkey AS VARCHAR) AS stream_id, CAST(l_quantity AS INTEGER) + k AS times_viewed,
+        l_extendedprice AS price FROM lines, (SELECT unnest([0, 1]) AS k)"""), "invoice stream_id times_viewed", "price"),
 )
 check(
     "check_columns",

@@ -38,11 +38,12 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     return joined.drop(*[f"_r_{k}" for k in keys]) if how in ("inner", "left") else joined
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys of the groups with more than ``hot_rows`` rows, ready to broadcast.
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
+    """Keys of the groups with more than ``hot_rows`` (default ``HOT_ROWS``) rows, ready to broadcast.
 
     There are at most (rows / hot_rows) of them, which bounds what is broadcast.
     """
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     return F.broadcast(
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).drop("_n")
     )
@@ -53,7 +54,7 @@ def exact_quantiles(
     value: str | Column,
     probs: Sequence[float],
     keys: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """One row per group: the keys and ``q``, an array of quantiles in the order of ``probs``.

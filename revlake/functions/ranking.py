@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from revlake.functions.quantiles import HOT_ROWS, hot_keys, null_safe, value_bucket
+from revlake.functions.quantiles import hot_keys, null_safe, value_bucket
 from revlake.session import pinned
 
 
@@ -16,7 +16,7 @@ def dense_ranks(
     df: DataFrame,
     names: dict[str, str],
     keys: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add dense ranks, largest first, within ``keys``: ``names`` maps a column to its rank's name.

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revlake.functions import quantiles
 from revlake.functions.columns import calendar_parts, round_total, safe_ratio
-from revlake.functions.quantiles import HOT_ROWS, exact_quantiles, exact_quantiles_of, hot_keys, null_safe, quantile_row
+from revlake.functions.quantiles import exact_quantiles, exact_quantiles_of, hot_keys, null_safe, quantile_row
 from revlake.functions.ranking import dense_ranks
 from revlake.operators.cleaning import FENCE
 from revlake.session import pinned
@@ -180,7 +181,7 @@ def _iqr_counts(clean: DataFrame, days: DataFrame) -> DataFrame:
     prices = clean.select("country", "price")
     # Row counts are known from the day counts: no scan to find the large countries.
     sizes = days.groupBy("country").agg(F.sum("rows").alias("_n"))
-    hot = F.broadcast(sizes.where(F.col("_n") > HOT_ROWS).drop("_n"))
+    hot = F.broadcast(sizes.where(F.col("_n") > quantiles.HOT_ROWS).drop("_n"))
     own = exact_quantiles(prices, "price", [0.25, 0.75], ["country"], hot=hot)
     everyone = quantile_row(prices, "price", [0.25, 0.75], "_all")
     # Stored, so the planner knows the true size: broadcast when small, shuffled join beyond.

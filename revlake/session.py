@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,10 +30,16 @@ def build_session(app: str = "revlake", master: str | None = None, **conf) -> Sp
     return builder.getOrCreate()
 
 
+@lru_cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"revlake-{application}-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor sees, taken from ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only in local mode, where driver and tasks share one machine.
+    Where that is unset, a machine-local folder serves local mode, in which driver and tasks share
+    one machine; on a cluster it is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -40,14 +47,22 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = context.getCheckpointDir() or tempfile.mkdtemp(prefix="revlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(context.applicationId)
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/revlake/{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path inside the shared folder that no other run uses."""
-    return f"{shared_dir(spark).rstrip('/')}/revlake/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Delete the tables this application stored; call it when their readers are done."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def pinned(df: DataFrame, label: str = "table") -> DataFrame:

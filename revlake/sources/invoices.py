@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from revlake.schemas import CORRUPT, INVOICES, LEDGER, RAW
+from revlake.session import pinned
 
 
 def list_files(spark: SparkSession, directory: str, pattern: str = "*.json") -> DataFrame:
@@ -41,8 +42,7 @@ def read_invoices(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         .json(paths)
         .select(*[f.name for f in RAW.fields], "_metadata.file_path", F.col("_metadata.file_name").alias("source_file"))
     )
-    not_array = first_characters(spark, paths).where("first_char <> '['")
-    # One row per non-array file on the right.
+    not_array = non_array_files(spark, paths)
     return (
         records.join(not_array, "file_path", "left")
         .withColumn(
@@ -71,6 +71,14 @@ def first_characters(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
+def non_array_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Files whose text starts with something other than an array.
+
+    Stored first: a short list of known size, which the records can be joined to without moving.
+    """
+    return pinned(first_characters(spark, paths).where("first_char <> '['"), "non-array")
+
+
 def write_invoices(df: DataFrame, path: str) -> None:
     """Append to the invoice table by month; rebalancing merges small months and splits large ones."""
     columns = [f.name for f in INVOICES.fields]

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from revlake.operators.ingest import accepted, dedupe_invoices, parse_records, rejected, same_months
 from revlake.schemas import CORRUPT, RAW
 from revlake.session import fresh_path
-from revlake.sources.invoices import first_characters, read_invoice_table, table_exists, write_invoices
+from revlake.sources.invoices import non_array_files, read_invoice_table, table_exists, write_invoices
 
 
 def invoice_stream(spark: SparkSession, directory: str, files_per_batch: int | None = None) -> DataFrame:
@@ -45,8 +45,7 @@ def ingest_stream(
         paths = [r[0] for r in staged.select("file_path").distinct().collect()]  # files of this batch
         if not paths:
             return
-        objects = first_characters(session, paths).where("first_char <> '['")
-        marked = staged.join(objects, "file_path", "left").withColumn(
+        marked = staged.join(non_array_files(session, paths), "file_path", "left").withColumn(
             "file_error",
             F.coalesce("file_error", F.when(F.col("first_char").isNotNull(), F.lit("top level is not an array"))),
         )

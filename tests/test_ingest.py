@@ -1,4 +1,5 @@
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from revlake.operators import ingest
 from revlake.plans.load_invoices import ingest_batch, ledger_table
 from revlake.schemas import ALIASES
+from revlake.session import drop_intermediates, pinned, shared_dir
 from revlake.sources import invoices as src
 from revlake.streaming.invoices import bounded_dedupe, ingest_stream
 
@@ -141,3 +143,28 @@ def test_unknown_country_is_marked(spark):
     df = spark.createDataFrame([("uk",), (" holland ",), ("Atlantis",)], "country string")
     assert [tuple(r) for r in ingest.normalize_country(df).orderBy("country").collect()] == [("Atlantis", False), ("Netherlands", True), ("United Kingdom", True)]
     assert ingest.select_countries(ingest.normalize_country(df)).count() == 2
+
+
+def test_intermediates_can_be_dropped(spark):
+    kept = pinned(spark.range(3), "probe")
+    path = kept.inputFiles()[0]
+    assert src.table_exists(spark, path)
+    drop_intermediates(spark)
+    assert not src.table_exists(spark, path)
+
+
+class Unset:
+    """A session without the setting."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = SimpleNamespace(master=master, applicationId="app-1")
+
+
+def test_shared_folder(spark):
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        assert shared_dir(spark) == configured
+    assert shared_dir(Unset("local[2]")) == shared_dir(Unset("local[2]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Unset("yarn"))

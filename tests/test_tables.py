@@ -6,7 +6,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from revlake.operators import cleaning, customers, geography, metrics, products, profile, trends
+from checks.inputs import invoices, requests, tidy
+from revlake.functions import quantiles
+from revlake.operators import cleaning, customers, geography, logs, metrics, products, profile, trends
 from revlake.plans.build_tables import build_tables, result_tables
 
 SCHEMA = "invoice string, country string, customer_id long, stream_id string, price double, times_viewed int, date date"
@@ -177,3 +179,22 @@ def test_iqr_flags_per_group(spark):
     found = cleaning.flag_iqr_outliers(df, "v", ["g"]).where("v_iqr_outlier").collect()
     assert [(r["g"], r["v"]) for r in found] == [("a", 100.0)]
     assert cleaning.flag_iqr_outliers(df, "v").where(F.col("v_iqr_outlier")).count() == 0
+
+
+def test_large_groups_take_the_split_plans_and_give_the_same(spark, sf, monkeypatch):
+    """With a limit of three rows almost every day, country and endpoint counts as large."""
+    def tables():
+        raw = invoices(spark, sf)
+        rows = cleaning.clean_invoices(raw)
+        return [
+            tidy(metrics.daily_metrics(rows)), tidy(metrics.customer_segments(rows)), tidy(metrics.product_performance(rows)),
+            tidy(metrics.quality_report(rows, cleaning.cleaning_metrics(raw))), tidy(profile.boxplot_stats(raw, "price", ["month"])),
+            tidy(logs.endpoint_metrics(requests(spark, sf))),
+        ]
+
+    def collected(frames):
+        return [sorted(map(repr, f.collect())) for f in frames]
+
+    usual = collected(tables())
+    monkeypatch.setattr(quantiles, "HOT_ROWS", 3)
+    assert collected(tables()) == usual
