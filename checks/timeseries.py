@@ -256,6 +256,37 @@ on("ljung_box", series, lambda d: evaluation.ljung_box(RESIDUALS(d)), "series",
    "series lag", "q", "", 4, fit=f"SELECT * FROM {fitted_sql('series', 'series')}", ce="SELECT series, ds, residual - avg(residual) OVER (PARTITION BY series) AS c FROM fit")
 on("residual_diagnostics", series, lambda d: evaluation.residual_diagnostics(RESIDUALS(d)), "", None)
 
+on("residual_shape", series, lambda d: evaluation.residual_diagnostics(RESIDUALS(d)).drop("min_p", "autocorrelated"), "series",
+   """SELECT series, avg(residual) AS mean, stddev_pop(residual) AS std, skewness(residual) * (count(*) - 2) / sqrt(count(*)::DOUBLE * (count(*) - 1)) AS skewness,
+   (kurtosis(residual) * (count(*) - 2) * (count(*) - 3) / (count(*) - 1) - 6) / (count(*) + 1) AS kurtosis FROM fit GROUP BY series""",
+   "series", "mean std skewness kurtosis", fit=f"SELECT * FROM {fitted_sql('series', 'series')}")
+
+# Orders small enough for closed forms: a random walk with drift and a first-order autoregression.
+SCALED = {
+    "z": f"""SELECT series, ds, CASE WHEN logged THEN ln(1 + y) ELSE y END AS z, logged, row_number() {W}) AS i FROM
+    (SELECT *, min(y) OVER (PARTITION BY series) > 0 AS logged FROM series)""",
+    "zl": f"SELECT *, lag(z) {W}) AS lz FROM z",
+    "ends": "SELECT series, max(ds) AS last_ds, arg_max(z, ds) AS last_z, any_value(logged) AS logged FROM z GROUP BY series",
+}
+UNSCALED = "SELECT series, ds, " + ", ".join(f"CASE WHEN logged THEN exp({c}) - 1 ELSE {c} END AS {c}" for c in ("yhat", "lower", "upper")) + """ FROM
+   (SELECT series, logged, last_ds + CAST(h AS INTEGER) AS ds, m AS yhat, m - spread AS lower, m + spread AS upper FROM steps)"""
+on("forecast_random_walk", series, lambda d: autoregressive.forecast_ar(d, order=(0, 1, False)), "series", UNSCALED, "series", "yhat lower upper", "ds", **SCALED,
+   steps=f"""SELECT ends.*, h, last_z + h * drift AS m, {Z95!r} * sigma * sqrt(h) AS spread FROM ends JOIN
+   (SELECT series, avg(z - lz) AS drift, stddev_samp(z - lz) AS sigma FROM zl WHERE lz IS NOT NULL GROUP BY series) q ON ends.series = q.series, (SELECT unnest(range(1, 31)) AS h)""")
+on("forecast_ar1", series, lambda d: autoregressive.forecast_ar(d, order=(1, 0, False)), "series", UNSCALED, "series", "yhat lower upper", "ds", **SCALED,
+   steps=f"""SELECT ends.*, h, c * (1 - b ** h) / (1 - b) + b ** h * last_z AS m, {Z95!r} * sigma * sqrt((1 - b ** (2 * h)) / (1 - b ** 2)) AS spread FROM ends JOIN
+   (SELECT series, regr_slope(z, lz) AS b, regr_intercept(z, lz) AS c, sqrt((regr_syy(z, lz) - regr_slope(z, lz) * regr_sxy(z, lz)) / (regr_count(z, lz) - 2)) AS sigma FROM zl WHERE lz IS NOT NULL GROUP BY series) q
+   ON ends.series = q.series, (SELECT unnest(range(1, 31)) AS h)""")
+SIMPLE = [(0, 0, False), (0, 1, False), (1, 0, False)]
+SIMPLE_SQL = {
+    **SCALED,
+    "sse": """SELECT series, count(*)::DOUBLE AS n, var_pop(z) AS e00, var_pop(z - lz) AS e01, (regr_syy(z, lz) - regr_sxy(z, lz) ** 2 / regr_sxx(z, lz)) / count(*) AS e10 FROM zl WHERE i >= 10 GROUP BY series""",
+    "scores": " UNION ALL ".join(f"SELECT series, {p} AS p, {d} AS d, false AS seasonal, n * ln(e{p}{d}) + 2 * {p + 2} AS aic, n * ln(e{p}{d}) + {p + 2} * ln(n) AS bic, n * ln(e{p}{d}) + 2 * {p + 2} * ln(ln(n)) AS hqic FROM sse" for p, d, _ in SIMPLE),
+}
+on("score_simple_orders", series, lambda d: autoregressive.score_orders(d, SIMPLE), "series", "SELECT * FROM scores", "series p d seasonal", "aic bic hqic", **SIMPLE_SQL)
+on("search_simple_orders", series, lambda d: autoregressive.grid_search_order(d, SIMPLE, "bic"), "series",
+   "SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY series ORDER BY bic) = 1", "series p d seasonal", "bic", **SIMPLE_SQL)
+
 # Iterative fits have no SQL twin.
 on("forecast_ar", series, autoregressive.forecast_ar, "", None)
 on("score_orders", series, autoregressive.score_orders, "", None)
