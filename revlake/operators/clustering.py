@@ -68,7 +68,12 @@ def elbow(features: DataFrame, names: list[str], seed: int = SEED) -> DataFrame:
     scaled = standardised(features, names).persist()
     try:
         most = min(ELBOW_MOST, scaled.count() // 5)
-        costs = [(k, float(_best_fit(scaled, k, seed, 1).summary.trainingCost)) for k in range(2, most + 1)]
+
+        def cost(k: int) -> tuple[int, float]:
+            return k, float(_best_fit(scaled, k, seed, 1).summary.trainingCost)
+
+        with ThreadPool(PARALLEL) as pool:
+            costs = pool.map(inheritable_thread_target(scaled.sparkSession)(cost), range(2, most + 1))
     finally:
         scaled.unpersist()
     return features.sparkSession.createDataFrame(costs, "k int, cost double")
