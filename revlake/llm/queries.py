@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revlake.llm import dedup, mixing
+from revlake.llm import dedup, mixing, token_output
 
 QUERIES, ORACLES = {}, {}
 
@@ -73,3 +73,17 @@ WITH plain AS (
 )
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(plain) AS text_sha256 FROM ranked
 """
+
+
+def tokenizer_definition(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+        return f.read()
+
+
+def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    return token_output.encode_and_read(table(spark, sf, "documents"), tokenizer_definition())
+
+
+QUERIES["op7_token_files"] = op7_token_files
