@@ -54,25 +54,27 @@ def _block_names(texts: DataFrame) -> DataFrame:
     )
     # Copies merge in the map tasks: the hottest block arrives once from each of them.
     prints = contents.groupBy("print").agg(F.min("content").alias("lo"), F.max("content").alias("hi"))
-    names = numbered(prints.select("print", (F.col("lo") != F.col("hi")).alias("shared")), F.xxhash64("print"), "print")
+    # Stored, so that contents move once whatever reads the names.
+    names = stored(
+        numbered(prints.select("print", (F.col("lo") != F.col("hi")).alias("shared")), F.xxhash64("print"), "print"), "dedup-prints"
+    )
     rows = texts.select("row", "blocks", F.posexplode("prints").alias("pos", "print")).join(
-        names.select(F.col("print").alias("_print"), "shared", "name"), F.col("print") == F.col("_print")
+        names.withColumnRenamed("print", "_print"), F.col("print") == F.col("_print")
     )
-    clear = rows.where(~F.col("shared")).select("row", "pos", "blocks", "name")
-    # Fingerprints that stand for several contents; as a rule there are none.
-    open_rows = (
-        rows.where("shared")
-        .select("row", "pos", "blocks", "print")
-        .join(texts.select(F.col("row").alias("_row"), "contents"), F.col("row") == F.col("_row"))
-        .withColumn("content", F.element_at("contents", F.col("pos") + 1))
-        .drop("contents", "_row")
+    if names.where("shared").isEmpty():
+        return rows.select("row", "pos", "blocks", "name")
+    # Some fingerprints stand for several contents: their rows are named by the content.
+    shared = names.where("shared").select(F.col("print").alias("_print"))
+    each = texts.select("row", "blocks", F.posexplode(F.arrays_zip("prints", "contents")).alias("pos", "b")).select(
+        "row", "pos", "blocks", F.col("b.prints").alias("print"), F.col("b.contents").alias("content")
     )
+    open_rows = each.join(shared, F.col("print") == F.col("_print"), "left_semi").drop("print")
     # Below zero, which keeps these names apart from the others.
-    own = numbered(open_rows.select("content").distinct(), F.xxhash64("content"), "content")
-    resolved = open_rows.join(own.withColumnRenamed("content", "_content"), F.col("content") == F.col("_content"))
-    return clear.unionByName(
-        resolved.select("row", "pos", "blocks", (-F.col("name") - 1).alias("name"))
+    own = numbered(open_rows.select("content").distinct(), F.xxhash64("content"), "content").select(
+        F.col("content").alias("_content"), (-F.col("name") - 1).alias("name")
     )
+    resolved = open_rows.join(own, F.col("content") == F.col("_content")).select("row", "pos", "blocks", "name")
+    return rows.where(~F.col("shared")).select("row", "pos", "blocks", "name").unionByName(resolved)
 
 
 def _pair_names(level: DataFrame) -> DataFrame:
