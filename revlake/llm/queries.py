@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlake.llm import chat, dedup, mixing, token_output
+from revlake.llm import chat, dedup, mixing, token_output, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -116,3 +116,32 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(length(segment)) AS BIGINT) AS formatted_chars
 FROM escaped GROUP BY conv_id
 """
+
+
+def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.write_and_read(table(spark, sf, "pages"))
+
+
+QUERIES["op10_warc"] = op10_warc
+# SQL has no base32: five bits of the digest at a time, from its hexadecimal digits.
+ORACLES["op10_warc"] = r"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages
+), bits AS (
+  SELECT html, string_agg(substr('0000000100100011010001010110011110001001101010111100110111101111',
+                                 4 * (strpos('0123456789abcdef', substr(sha1(html), CAST(i AS INTEGER), 1)) - 1) + 1, 4), '' ORDER BY i) AS b
+  FROM (SELECT DISTINCT html FROM payloads), range(1, 41) AS r(i) GROUP BY html
+), base32 AS (
+  SELECT html, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+           16 * CAST(substr(b, CAST(5 * i + 1 AS INTEGER), 1) AS INTEGER) + 8 * CAST(substr(b, CAST(5 * i + 2 AS INTEGER), 1) AS INTEGER)
+           + 4 * CAST(substr(b, CAST(5 * i + 3 AS INTEGER), 1) AS INTEGER) + 2 * CAST(substr(b, CAST(5 * i + 4 AS INTEGER), 1) AS INTEGER)
+           + CAST(substr(b, CAST(5 * i + 5 AS INTEGER), 1) AS INTEGER) AS INTEGER), 1), '' ORDER BY i) AS payload_digest
+  FROM bits, range(0, 32) AS r(i) GROUP BY html
+), firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY html) AS first_id FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_id IS NULL OR page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first_id IS NULL OR page_id IS NOT DISTINCT FROM first_id THEN NULL ELSE first_id END AS refers_to
+FROM firsts JOIN base32 USING (html)
+"""
