@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlake.llm import chat, dedup, mixing, token_output, warc
+from revlake.llm import chat, dedup, licenses, mixing, token_output, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -145,3 +145,11 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN first_id IS NULL OR page_id IS NOT DISTINCT FROM first_id THEN NULL ELSE first_id END AS refers_to
 FROM firsts JOIN base32 USING (html)
 """
+
+
+def op3_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(table(spark, sf, "documents"))
+
+
+QUERIES["op3_license_scan"] = op3_license_scan
+ORACLES["op3_license_scan"] = licenses.scan_sql()
