@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlake.llm import chat, dedup, licenses, mixing, token_output, warc
+from revlake.llm import chat, dedup, licenses, mixing, quality, token_output, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -153,3 +153,20 @@ def op3_license_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES["op3_license_scan"] = op3_license_scan
 ORACLES["op3_license_scan"] = licenses.scan_sql()
+
+
+def held_out() -> Column:
+    """Rows whose labels no model may learn from."""
+    return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+
+
+def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = quality.train(docs, table(spark, sf, "labels").where(~held_out()), "quality")
+    scored = quality.score(docs, model)
+    return scored.select(
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
+QUERIES["op6_quality"] = op6_quality
