@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlake.llm import chat, dedup, licenses, mixing, quality, token_output, warc
+from revlake.llm import chat, dedup, licenses, mixing, quality, token_output, toxicity, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -170,3 +170,15 @@ def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["op6_quality"] = op6_quality
+
+
+def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = toxicity.train(docs, table(spark, sf, "labels").where(~held_out()), "toxic")
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+QUERIES["op5_toxicity"] = op5_toxicity
