@@ -33,8 +33,8 @@ END_ID = 2
 LIMIT = 16
 BLOCK = 256
 SEGMENT = 1 << 18
-TEXT_BYTES = 4_000_000
-CACHED = 300_000
+TEXT_BYTES = 6_000_000
+CACHED = 800_000
 
 #: The tokenizer's own splitting pattern.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -50,8 +50,9 @@ class WordEncoder:
     """Token ids of texts, word by word.
 
     The tokenizer splits at white space and its pieces do not depend on what stands beside them, so
-    each distinct word is encoded once for a batch and its pieces once for a worker. Words with
-    characters outside plain Latin, and the tokenizer's control strings, go to it as they are.
+    each distinct word is looked up once for a batch and its pieces are encoded once for a worker, as
+    long as they fit the worker's table. Words with characters outside plain Latin, and the
+    tokenizer's control strings, go to it as they are. Ids are kept as bytes of little-endian uint32.
     """
 
     def __init__(self, definition: str):
@@ -63,37 +64,31 @@ class WordEncoder:
         hidden = (b for b in range(256) if b not in set(visible))
         names = {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
         self.byte_name = [names[b] for b in range(256)]
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.pieces: dict[str, bytes] = {}
 
-    def piece(self, text: str) -> tuple[int, ...]:
+    def piece(self, text: str) -> bytes:
         ids = self.pieces.get(text)
         if ids is None:
             if len(self.pieces) >= CACHED:
                 self.pieces.clear()
-            ids = tuple(t.id for t in self.model.tokenize("".join(map(self.byte_name.__getitem__, text.encode()))))
+            named = "".join(map(self.byte_name.__getitem__, text.encode()))
+            ids = np.fromiter((t.id for t in self.model.tokenize(named)), "<u4").tobytes()
             self.pieces[text] = ids
         return ids
 
-    def word(self, text: str) -> tuple[int, ...]:
-        ids = self.words.get(text)
-        if ids is None:
-            if len(self.words) >= CACHED:
-                self.words.clear()
-            if PLAIN.fullmatch(text) and "<|" not in text:
-                ids = tuple(i for p in PIECES.findall(text.lower()) for i in self.piece(p))
-            else:
-                ids = tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
-            self.words[text] = ids
-        return ids
+    def word(self, text: str) -> bytes:
+        if PLAIN.fullmatch(text) and "<|" not in text:
+            low = text.lower()
+            return self.piece(low) if low.isalpha() else b"".join(map(self.piece, PIECES.findall(low)))
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` in a row, and how many belong to each text."""
         words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = words.flatten().dictionary_encode()
         known = [self.word(w) for w in coded.dictionary.to_pylist()]
-        sizes = np.fromiter(map(len, known), np.int64, len(known))
-        flat = np.fromiter((i for k in known for i in k), np.uint32, int(sizes.sum()))
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        flat = np.frombuffer(b"".join(known), "<u4")
         starts = np.concatenate([[0], np.cumsum(sizes)])
         index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         each = sizes[index]
@@ -120,22 +115,24 @@ def _pieces_of(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
 
 
 def tokenise(docs: DataFrame, definition: str, end_id: int = END_ID) -> DataFrame:
-    """``doc_id, n_tokens, ids``: the ids of each whole text and ``end_id``, as little-endian uint32.
+    """``doc_id, n_tokens, ids``: the ids of each whole text and ``end_id``, little-endian.
 
+    An id takes two bytes where the vocabulary fits, else four.
     ``definition`` is the tokenizer's JSON. Null counts as empty: such documents have the end id only.
     """
     shared = docs.sparkSession.sparkContext.broadcast(definition)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
+        width = 2 if max(encoder.tokenizer.get_vocab_size() - 1, end_id) < 1 << 16 else 4
         for whole in batches:
             for part in _pieces_of(whole, "text"):
                 ids, counts = encoder.encode(part.column("text"))
                 ends = np.cumsum(counts)
-                ids = np.insert(ids, ends, end_id).astype("<u4")
+                ids = np.insert(ids, ends, end_id).astype(f"<u{width}")
                 offsets = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
                 blob = pa.Array.from_buffers(
-                    pa.large_binary(), len(ends), [None, pa.py_buffer((offsets * 4).astype("<i8")), pa.py_buffer(ids)]
+                    pa.large_binary(), len(ends), [None, pa.py_buffer((offsets * width).astype("<i8")), pa.py_buffer(ids)]
                 )
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(np.diff(offsets), pa.int32()), blob.cast(pa.binary())],
@@ -145,21 +142,26 @@ def tokenise(docs: DataFrame, definition: str, end_id: int = END_ID) -> DataFram
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, TOKENS_SCHEMA)
 
 
+def ids_of(blob: pa.BinaryScalar, n: int) -> np.ndarray:
+    data = blob.as_buffer()
+    return np.frombuffer(data, "<u2" if data.size == 2 * n else "<u4")
+
+
 def global_counts(tokens: DataFrame) -> np.ndarray:
     """Occurrences of each id. Tasks count their rows; the driver gets one row per id of the vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for blob in batch.column(0):
-                part = np.bincount(np.frombuffer(blob.as_buffer(), "<u4"))
+            for blob, n in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                part = np.bincount(ids_of(blob, n))
                 if len(part) > len(total):
                     total = np.concatenate([total, np.zeros(len(part) - len(total), np.int64)])
                 total[: len(part)] += part
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"])
 
-    rows = tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = tokens.select("ids", "n_tokens").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r["id"] for r in rows), default=-1) + 1, np.int64)
     for r in rows:
         counts[r["id"]] = r["n"]
@@ -264,7 +266,7 @@ def write_tokens(tokens: DataFrame, path: str) -> None:
         doc_ids, lens, blobs, held, first, segment = [], [], [], 0, 0, 0
 
         def flush() -> pa.RecordBatch:
-            ids = np.concatenate([np.frombuffer(b, "<u4") for b in blobs])
+            ids = np.concatenate(blobs)
             stream, marks = pack(ids, codes, sizes)
             row = [[part], [segment], [first], [len(ids)], [doc_ids], [lens], [stream], [marks.tobytes()]]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
@@ -275,7 +277,7 @@ def write_tokens(tokens: DataFrame, path: str) -> None:
             for doc, n, blob in zip(batch.column("doc_id").to_pylist(), batch.column("n_tokens").to_pylist(), batch.column("ids"), strict=True):
                 doc_ids.append(doc)
                 lens.append(n)
-                blobs.append(blob.as_buffer())
+                blobs.append(ids_of(blob, n))
                 held += n
                 if held >= SEGMENT:
                     yield flush()
