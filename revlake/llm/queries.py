@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlake.llm import chat, dedup, licenses, mixing, quality, token_output, toxicity, warc
+from revlake.llm import chat, dedup, jaccard_join, licenses, mixing, quality, token_output, toxicity, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -182,3 +182,10 @@ def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["op5_toxicity"] = op5_toxicity
+
+
+def op9_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.link_components(table(spark, sf, "documents")).drop("mark")
+
+
+QUERIES["op9_jaccard_join"] = op9_jaccard_join
