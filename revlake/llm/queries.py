@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlake.llm import chat, dedup, jaccard_join, licenses, mixing, quality, token_output, toxicity, warc
+from revlake.llm import chat, decontaminate, dedup, jaccard_join, licenses, mixing, quality, token_output, toxicity, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -189,3 +189,10 @@ def op9_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["op9_jaccard_join"] = op9_jaccard_join
+
+
+def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+QUERIES["op4_decontaminate"] = op4_decontaminate
