@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -234,60 +235,81 @@ def plain_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return _PLAIN[data[keep]], total[bounds]
 
 
-def matches(docs: DataFrame, items: DataFrame, edits: float = EDITS, *carry: str) -> DataFrame:
+def item_blocks(items: DataFrame) -> list[Broadcast]:
+    """The items (``item_id, text``) for each pass, none without text. They are a query set that does
+    not grow with the documents; each ``ITEM_BYTES`` of them take one pass."""
+    known = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.length(F.trim("text")) > 0)
+    total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    passes, out = max(1, -(-total // ITEM_BYTES)), []
+    for number in range(passes):
+        rows = known.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == number).collect()
+        block = sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[1], r[0] is None, r[0] or 0))
+        out.append(items.sparkSession.sparkContext.broadcast(block))
+    return out
+
+
+def best_matches(column: pa.Array, looked: Items) -> Iterator[tuple]:
+    """Rows (text, item_id, distance, similarity, start, stop) for texts of a batch, in order of text and distance."""
+    at = 0
+    for texts in slices(column, SLICE_BYTES):
+        data, bounds = plain_bytes(texts)
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        tried: set[tuple[int, int, int]] = set()
+        for doc, item, begin in looked.candidates(data, bounds).tolist():
+            begin = int(begin - bounds[doc])
+            spot = (doc, item, begin // 16)
+            if spot in tried or best.get((doc, item), (1,))[0] == 0:
+                continue
+            tried.add(spot)
+            found = looked.verify(item, data[bounds[doc] : bounds[doc + 1]].tobytes(), begin)
+            if found and found < best.get((doc, item), (1 << 30,)):
+                best[doc, item] = found
+        rows = [
+            (at + doc, looked.rows[item][0], distance, 1 - distance / len(looked.rows[item][1]), start, stop)
+            for (doc, item), (distance, start, stop) in best.items()
+        ]
+        yield from sorted(rows, key=lambda r: (r[0], r[2], r[1] or 0))
+        at += len(texts)
+
+
+def matches(docs: DataFrame, items: DataFrame, edits: float = EDITS) -> DataFrame:
     """``doc_id, item_id, distance, similarity, start, stop``, the best match of each item in each row.
 
     A row matches where some part of its text is at most ``edits`` times the item's length (code
     points) away from the whole item. ``start`` and ``stop`` are byte offsets in the normalised text.
-    Candidates reach a recall of about 0.9 at a tenth of the letters changed; exact occurrences
-    are always found. Items without text match nothing; null texts have no match. Repeated rows match
-    each by itself. ``carry`` names columns of ``docs`` to keep; others are not read.
-
-    The items are a query set that does not grow with the documents; each ``ITEM_BYTES`` of them take
-    one pass.
+    Candidates reach a recall of about 0.9 at a tenth of the letters changed; exact occurrences are
+    found. Items without text match nothing; null texts have no match. Repeated rows match each by
+    itself. ``docs`` needs ``doc_id, text``; more is not read.
     """
-    spark = docs.sparkSession
-    known = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.length(F.trim("text")) > 0)
-    total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    passes = max(1, -(-total // ITEM_BYTES))
-    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, "text")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.schema.fields[:-1])
-    schema = fields + ", item_id long, distance int, similarity double, start int, stop int"
-    out = None
-    for number in range(passes):
-        block = known.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == number).collect()
-        shared = spark.sparkContext.broadcast(sorted(((r[0], r[1]) for r in block), key=lambda r: (r[1], r[0] is None, r[0] or 0)))
+    names = ["doc_id", "item_id", "distance", "similarity", "start", "stop"]
+    kinds = [pa.int64(), pa.int32(), pa.float64(), pa.int32(), pa.int32()]
+    wanted, out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), None
+    for block in item_blocks(items):
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            looked = Items(shared.value, edits)
+        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            looked = Items(block.value, edits)
             for batch in batches:
-                at, rows = 0, []
-                for texts in slices(batch.column("text"), SLICE_BYTES):
-                    data, bounds = plain_bytes(texts)
-                    best: dict[tuple[int, int], tuple[int, int, int]] = {}
-                    tried: set[tuple[int, int, int]] = set()
-                    for doc, item, begin in looked.candidates(data, bounds).tolist():
-                        if (best.get((doc, item)) or (1,))[0] == 0:
-                            continue
-                        begin = int(begin - bounds[doc])
-                        spot = (doc, item, begin // 16)
-                        if spot in tried:
-                            continue
-                        tried.add(spot)
-                        found = looked.verify(item, data[bounds[doc] : bounds[doc + 1]].tobytes(), begin)
-                        if found and found < best.get((doc, item), (1 << 30,)):
-                            best[doc, item] = found
-                    for (doc, item), (distance, start, stop) in best.items():
-                        item_id, text = looked.rows[item]
-                        rows.append((at + doc, item_id, distance, 1 - distance / len(text), start, stop))
-                    at += len(texts)
+                rows = list(best_matches(batch.column("text"), looked))
                 if rows:
-                    index, *columns = zip(*sorted(rows, key=lambda r: (r[0], r[2], r[1] or 0)), strict=True)
-                    kinds = [pa.int64(), pa.int32(), pa.float64(), pa.int32(), pa.int32()]
-                    kept = [batch.column(i).take(pa.array(index)) for i in range(batch.num_columns - 1)]
-                    names = [*batch.schema.names[:-1], "item_id", "distance", "similarity", "start", "stop"]
-                    yield pa.RecordBatch.from_arrays([*kept, *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names)
+                    index, *columns = zip(*rows, strict=True)
+                    found = [batch.column("doc_id").take(pa.array(index)), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))]
+                    yield pa.RecordBatch.from_arrays(found, names)
 
-        found = wanted.mapInArrow(run, schema)
+        found = wanted.mapInArrow(run, "doc_id long, item_id long, distance int, similarity double, start int, stop int")
         out = found if out is None else out.unionByName(found)
     return out
+
+
+def clean(docs: DataFrame, items: DataFrame, edits: float = EDITS) -> DataFrame:
+    """The rows of ``docs``, all columns, that match no item."""
+    for block in item_blocks(items):
+
+        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            looked = Items(block.value, edits)
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                keep[[row[0] for row in best_matches(batch.column("text"), looked)]] = False
+                yield batch.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -193,7 +193,7 @@ def remaining_pairs(lists: DataFrame, prefixes: DataFrame, percent: int, long: i
     return joined.where(F.arrays_overlap("s_a", "s_b") & F.arrays_overlap("t_a", "t_b")).select("a", "b")
 
 
-def link_components(docs: DataFrame, percent: int = 90, width: int = 3, long: int = LONG, carry: tuple[str, ...] = ()) -> DataFrame:
+def link_components(docs: DataFrame, percent: int = 90, width: int = 3, long: int = LONG) -> DataFrame:
     """``doc_id, n_shingles, component_id``, one row per row of ``docs`` (``doc_id, text``; more is not read).
 
     Words are runs of other characters than blank and tab to carriage return, A-Z in lower case. Two
@@ -201,18 +201,22 @@ def link_components(docs: DataFrame, percent: int = 90, width: int = 3, long: in
     text with fewer words has its whole sequence as one; one without words, or null, links with
     nothing. ``component_id`` is the smallest ``doc_id`` that links reach (null only where all are).
     Repeated rows have equal sets and share a component; repeated ids of different texts do not join
-    their components. An added ``mark`` (64-bit hash of the text) tells such rows apart.
+    their components. An added ``mark`` (64-bit hash of the text) tells such rows apart, and ``stays``
+    is true for one row of each component, with its smallest ``doc_id``, and for rows without words.
     """
     rows = stored(profiles(docs, percent, width).withColumn("row", F.monotonically_increasing_id()), "jaccard-profiles")
-    classes = rows.where("n > 0").groupBy("digest").agg(F.min("row").alias("cid"), F.min("doc_id").alias("least"))
+    classes = rows.where("n > 0").groupBy("digest").agg(
+        F.min("row").alias("cid"), F.min("doc_id").alias("least"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"),
+    )
     # Joined over another key than they are grouped by, so that large classes can be dealt out.
     members = stored(
         rows.select("row", "doc_id", "mark", "n", F.when(F.col("n") > 0, F.struct("digest", F.lit(0))).alias("key"))
-        .join(classes.select(F.struct("digest", F.lit(0)).alias("_key"), "cid", "least"), F.col("key") == F.col("_key"), "left")
-        .select("row", "doc_id", "mark", "n", "cid", "least"),
+        .join(classes.select(F.struct("digest", F.lit(0)).alias("_key"), "cid", "least", "first"), F.col("key") == F.col("_key"), "left")
+        .select("row", "doc_id", "mark", "n", "cid", "least", "first"),
         "jaccard-members",
     )
-    keys = members.where("row = cid").select("cid", "doc_id", "mark", "n", "least")
+    keys = members.where("row = cid").select("cid", "doc_id", "mark", "n", "least", "first")
     prefixes = rows.join(keys.select("cid"), F.col("row") == F.col("cid")).select("cid", "n", "first", "second", "third")
     postings = prefixes.select("cid", "n", F.explode("first").alias("token"))
     shared = postings.groupBy(F.col("token").alias("_token")).agg(F.count(F.lit(1)).alias("m"), F.min("cid").alias("hub")).where("m > 1")
@@ -228,9 +232,24 @@ def link_components(docs: DataFrame, percent: int = 90, width: int = 3, long: in
     late = _with_component(late, near, "b").select(F.col("ca").alias("a"), F.col("comp").alias("b"))
     joined = components(late)
     final = _with_component(keys, near).withColumnRenamed("comp", "one")
-    final = stored(_with_component(final, joined, "one").select("cid", "least", "comp"), "jaccard-classes")
-    least = final.groupBy(F.col("comp").alias("_comp")).agg(F.min("least").alias("component_id"))
-    named = final.join(least, F.col("comp") == F.col("_comp")).select(F.struct("cid", F.lit(0)).alias("_cid"), "component_id")
+    final = stored(_with_component(final, joined, "one").select("cid", "least", "first", "comp"), "jaccard-classes")
+    least = final.groupBy(F.col("comp").alias("_comp")).agg(
+        F.min("least").alias("component_id"), F.min("first").alias("best")
+    )
+    named = final.join(least, F.col("comp") == F.col("_comp")).select(F.struct("cid", F.lit(0)).alias("_cid"), "component_id", "best")
     out = members.withColumn("_key", F.when(F.col("cid").isNotNull(), F.struct("cid", F.lit(0)))).join(named, F.col("_key") == F.col("_cid"), "left")
     component = F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "mark")
+    stays = F.col("cid").isNull() | (F.col("row") == F.col("best.row"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "mark", stays.alias("stays"))
+
+
+def one_of_each(docs: DataFrame, percent: int = 90, width: int = 3) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay when one document of each component does.
+
+    The one with the smallest ``doc_id`` stays. Rows without words stay. Repeated rows of one
+    ``doc_id`` and text are one document.
+    """
+    key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"))
+    kept = link_components(docs, percent, width).where("stays").select(F.struct("doc_id", "mark").alias("_key"))
+    whole = docs.select(key.alias("_key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+    return whole.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*")

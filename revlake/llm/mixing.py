@@ -133,3 +133,18 @@ def mix(
             *carry,
         )
     )
+
+
+def mixed_documents(docs: DataFrame, seed: int = 0, weights: Sequence[int] = (5, 2, 1), cap: int = 3) -> DataFrame:
+    """The rows of ``docs``, all columns, each as often as the mix takes the whole document.
+
+    Rows of one ``doc_id``, source and text that repeat share their decision.
+    """
+    mark = F.xxhash64("text")
+    shares = mix(docs, seed, weights, cap, carry={"mark": mark}).where("copies > 0")
+    copies = shares.groupBy(F.struct("doc_id", "source", "mark").alias("_key")).agg(F.max("copies").cast("int").alias("_copies"))
+    whole = docs.select(
+        F.struct("doc_id", "source", mark.alias("mark")).alias("_key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
+    )
+    taken = whole.join(copies, "_key").withColumn("_epoch", F.explode(F.sequence(F.lit(1), "_copies")))
+    return taken.select("_row.*")

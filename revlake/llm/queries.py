@@ -185,7 +185,7 @@ QUERIES["op5_toxicity"] = op5_toxicity
 
 
 def op9_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
-    return jaccard_join.link_components(table(spark, sf, "documents")).drop("mark")
+    return jaccard_join.link_components(table(spark, sf, "documents")).drop("mark", "stays")
 
 
 QUERIES["op9_jaccard_join"] = op9_jaccard_join

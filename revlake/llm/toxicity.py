@@ -333,31 +333,45 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_docs: in
     return fit([r["text"] or "" for r in rows], y)
 
 
-def score(docs: DataFrame, model: ToxicityModel | None, *carry: str) -> DataFrame:
-    """``doc_id, score`` of every row of ``docs`` (``doc_id, text``), whole texts; ``carry`` adds columns.
+def scores_of(column: pa.Array, model: ToxicityModel | None, marks: Landmarks | None) -> np.ndarray:
+    """Scores of texts; without a model 0."""
+    texts = pc.fill_null(column, "")
+    out = np.zeros(len(texts))
+    if model:
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(texts):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES, "right")))
+            margin, _, owner = model.margins(texts.slice(at, to - at).to_pylist(), marks)
+            top = np.full(to - at, model.bias)
+            np.maximum.at(top, owner, margin)
+            out[at:to] = model.probability(top)
+            at = to
+    return out
+
+
+def score(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
+    """``doc_id, score`` of every row of ``docs`` (``doc_id, text``; more is not read), whole texts.
 
     Texts without words, null ones too, score as a sentence without any match. Without a model every
     score is 0. Only the text enters the score.
     """
-    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, F.coalesce("text", F.lit("")).alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.schema.fields[:-1]) + ", score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = Landmarks(model.landmarks) if model else None
         for batch in batches:
-            column = batch.column("_text")
-            out = np.zeros(batch.num_rows)
-            if model:
-                ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
-                at = 0
-                while at < batch.num_rows:
-                    to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES, "right")))
-                    margin, _, owner = model.margins(column.slice(at, to - at).to_pylist(), marks)
-                    top = np.full(to - at, model.bias)
-                    np.maximum.at(top, owner, margin)
-                    out[at:to] = model.probability(top)
-                    at = to
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(out)], [*batch.schema.names[:-1], "score"])
-
-    return wanted.mapInArrow(run, schema)
+            found = scores_of(batch.column("text"), model, marks)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], ["doc_id", "score"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
+
+
+def reject(docs: DataFrame, model: ToxicityModel | None, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, all columns, whose texts score below ``threshold``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = Landmarks(model.landmarks) if model else None
+        for batch in batches:
+            yield batch.filter(pa.array(scores_of(batch.column("text"), model, marks) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
