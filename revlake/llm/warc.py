@@ -61,7 +61,8 @@ def directory(source: Ranges) -> list[Member]:
     """The members that the central directory lists; ZIP64 fields replace those that are all ones."""
     tail = min(source.size, 22 + 65535)
     end = source.read(source.size - tail, tail)
-    at = end.rfind(b"PK\x05\x06")
+    at = end.rfind(b"PK\x05\x06", 0, tail - 18)
+    # A comment may hold the signature: the true one is followed by a comment up to the end.
     while at >= 0 and at + 22 + struct.unpack_from("<H", end, at + 20)[0] != len(end):
         at = end.rfind(b"PK\x05\x06", 0, at)
     if at < 0:
@@ -116,8 +117,8 @@ def index_entries(source: Ranges) -> Iterator[tuple[int, int]]:
     for m in members.values():
         if not re.fullmatch(r"indexes/.*\.cdxj?", m.name):
             continue
-        for line in source.read(data_offset(source, m), m.size).decode().splitlines():
-            entry = json.loads(line[line.index("{") :])
+        for line in source.read(data_offset(source, m), m.size).decode().split("\n"):
+            entry = json.loads(line.split(" ", 2)[2])
             name = f"archive/{entry['filename']}"
             if name not in bases:
                 bases[name] = data_offset(source, members[name])
@@ -142,6 +143,10 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def one_line(url: str) -> str:
+    return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)
+
+
 def make_record(page_id: int | None, url: str | None, payload: bytes, original: int | None, revisit: bool) -> bytes:
     """A response, or a revisit of page ``original``, as a gzip member."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
@@ -150,7 +155,7 @@ def make_record(page_id: int | None, url: str | None, payload: bytes, original:
     if page_id is not None:
         lines.append(f"X-Page-Id: {page_id}")
     if url is not None:
-        lines.append("WARC-Target-URI: " + re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url))
+        lines.append(f"WARC-Target-URI: {one_line(url)}")
     if revisit:
         lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <urn:page:{original}>"]
     lines += [
@@ -165,7 +170,7 @@ def make_package(records: list[tuple[str, bytes]]) -> bytes:
     at, lines = 0, []
     for url, record in records:
         entry = {"url": url, "filename": ARCHIVE.partition("/")[2], "offset": str(at), "length": str(len(record))}
-        lines.append(f"{url or '-'} 19700101000000 {json.dumps(entry)}".replace("\n", " "))
+        lines.append(f"{one_line(url or '-')} 19700101000000 {json.dumps(entry)}")
         at += len(record)
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
