@@ -1,6 +1,7 @@
 """Similarity join on word shingles with several global token orders.
 
 The hashes of shingles lie on a circle; an order begins at one of three points of it and goes round.
+In all of them the shingles that very many texts share come last.
 Two sets with Jaccard similarity t or more share a token among the first ``n - ceil(t n) + 1`` of each
 of them under any order. Candidates come from the first order, must meet in the other two as well,
 and only then are compared whole.
@@ -34,30 +35,68 @@ from revlake.llm.shingles import shingle_sets, slices
 LONG = 64
 #: Members compared with one copy of their hub.
 PER_HUB = 256
+#: A shingle counts as common when more than one in so many texts has it.
+COMMON = 500
+COUNT_BYTES = 12_000_000
 PROFILE = "doc_id long, mark long, n long, digest binary, first array<long>, second array<int>, third array<int>"
 
 
+def common_tokens(docs: DataFrame, width: int) -> np.ndarray:
+    """Shingles that come last in every order, sorted.
+
+    Any choice gives the same links; a good one keeps lists short. Tasks count over slices of texts
+    and report what at least three texts of a slice share. The driver gets the shingles of more than
+    one in ``COMMON`` texts: fewer than ``COMMON`` times a text's average number of shingles.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in slices(batch.column("text"), COUNT_BYTES):
+                tokens, counts = np.unique(shingle_sets(texts, width)[0], return_counts=True)
+                shared = counts >= 3
+                columns = [pa.array(tokens[shared].view(np.int64)), pa.array(counts[shared], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["token", "n"])
+
+    counted = docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    rows = counted.where(F.col("n") * COMMON > docs.count()).collect()
+    return np.sort(np.array([r["token"] for r in rows], np.int64).view(np.uint64))
+
+
+def rotated(tokens: np.ndarray, start: np.uint64, size: int) -> np.ndarray:
+    """The first ``size`` of sorted ``tokens`` from ``start`` on, round the circle."""
+    begin = int(np.searchsorted(tokens, start))
+    part = tokens[begin : begin + size]
+    return part if len(part) == size else np.concatenate([part, tokens[: min(begin, size - len(part))]])
+
+
 def profiles(docs: DataFrame, percent: int, width: int) -> DataFrame:
     """For every row: set size, digest of the set, and its prefix under three orders.
 
     The second and third prefix keep half of each hash, which can only add candidates.
     """
     starts = [np.uint64(i * (2**64 // 3)) for i in range(3)]
+    shared = docs.sparkSession.sparkContext.broadcast(common_tokens(docs, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = shared.value
+        maybe = np.zeros(1 << 20, bool)
+        maybe[common >> np.uint64(44)] = True
         for batch in batches:
             at = 0
             for texts in slices(batch.column("text")):
                 tokens, bounds = shingle_sets(texts, width)
+                late = maybe[tokens >> np.uint64(44)]
+                late[late] = np.isin(tokens[late], common)
                 digests, prefixes, sizes = [], ([], [], []), np.diff(bounds)
                 lengths = np.where(sizes > 0, sizes - -(-percent * sizes // 100) + 1, 0)
                 for i, (n, p) in enumerate(zip(sizes.tolist(), lengths.tolist(), strict=True)):
                     own = tokens[bounds[i] : bounds[i + 1]]
                     digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
+                    last = late[bounds[i] : bounds[i + 1]]
+                    rare = own[~last]
                     for start, out in zip(starts, prefixes, strict=True):
-                        begin = int(np.searchsorted(own, start))
-                        part = own[begin : begin + p]
-                        out.append(part if len(part) == p else np.concatenate([part, own[: p - len(part)]]))
+                        part = rotated(rare, start, p)
+                        out.append(part if len(part) == p else np.concatenate([part, rotated(own[last], start, p - len(part))]))
                 offsets = pa.array(np.append(0, np.cumsum(lengths)), pa.int32())
                 whole = [np.concatenate(p) if p else np.zeros(0, np.uint64) for p in prefixes]
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(whole[0].view(np.int64)))]
