@@ -30,7 +30,7 @@ LANDMARKS = 48
 TRAIN_DOCS = 1500
 #: Words with more letters are read as overlapping windows of this length.
 WINDOW = 64
-SLICE_BYTES = 3_000_000
+SLICE_BYTES, SLICE_CHARS = 3_000_000, 500_000
 
 #: 0 pads; a to z, digits, any other letter, the beginning of a word, Latin letters with accents.
 _OTHER, _BEGIN, _ACCENTS, _SYMBOLS = 37, 38, 39, 71
@@ -179,8 +179,8 @@ class Landmarks:
         lengths = words.lengths[index]
         for low, high in ((3, 6), (7, 8), (9, 10), (11, 13), (14, 18), (19, 32), (33, WINDOW)):
             rows = np.flatnonzero((lengths >= low) & (lengths <= high))
-            for i in range(0, len(rows), 20_000):
-                part = rows[i : i + 20_000]
+            for i in range(0, len(rows), 8_000):
+                part = rows[i : i + 8_000]
                 place = np.arange(high)
                 at = np.minimum(words.starts[index[part]][:, None] + place, len(words.letters) - 1)
                 codes, kinds = triple_codes(np.where(place < lengths[part][:, None], words.letters[at], 0))
@@ -232,15 +232,33 @@ def sentence_features(texts: list[str], marks: Landmarks) -> tuple[np.ndarray, n
     return pooled, words.sentence[first], words.text[first]
 
 
+def features_in_slices(texts: list[str], marks: Landmarks) -> tuple[np.ndarray, np.ndarray]:
+    """Features and texts of all sentences, a slice of texts at a time to bound memory."""
+    bounds, size = [0], 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= SLICE_CHARS:
+            bounds.append(i + 1)
+            size = 0
+    parts = [(lo, *sentence_features(texts[lo:hi], marks)) for lo, hi in zip(bounds, [*bounds[1:], len(texts)], strict=True) if hi > lo]
+    return np.concatenate([p[1] for p in parts]), np.concatenate([p[3] + p[0] for p in parts])
+
+
 def choose_landmarks(texts: list[str], y: np.ndarray, n: int = LANDMARKS) -> tuple[list[str], np.ndarray]:
     """Words and beginnings of words that most set toxic documents apart, unlike each other; how much each does."""
-    toxic, clean = Counter(), Counter()
-    for text, label in zip(texts, y, strict=True):
+    def parts(text: str) -> set[str]:
         seen = {"".join(c for c in w if c.isalnum()) for w in text.lower().split()}
-        (toxic if label else clean).update({p for w in seen if len(w) > 3 for p in (w[:32], w[:4], w[:5])})
+        return {p for w in seen if len(w) > 3 for p in (w[:32], w[:4], w[:5])}
+
+    toxic, clean = Counter(), Counter()
+    for text in (t for t, label in zip(texts, y, strict=True) if label):
+        toxic.update(parts(text))
+    toxic = Counter({w: n for w, n in toxic.items() if n > 2})
+    for text in (t for t, label in zip(texts, y, strict=True) if not label):
+        clean.update(p for p in parts(text) if p in toxic)
     total = np.array([max(1, (y == 1).sum()), max(1, (y == 0).sum())])
     gain = lambda w: toxic[w] / total[0] - 3 * clean[w] / total[1]
-    ranked = sorted((w for w in toxic if toxic[w] > 2), key=lambda w: (-gain(w), -len(w), w))[: 12 * n]
+    ranked = sorted(toxic, key=lambda w: (-gain(w), -len(w), w))[: 12 * n]
     chosen: list[str] = []
     for word in ranked:
         if len(chosen) == n:
@@ -292,7 +310,7 @@ def fit(texts: list[str], y: np.ndarray, n_landmarks: int = LANDMARKS) -> Toxici
     """
     names, gain = choose_landmarks(texts, y, n_landmarks)
     marks = Landmarks(names)
-    pooled, _, owner = sentence_features(texts, marks)
+    pooled, owner = features_in_slices(texts, marks)
     own = marks.kernel(split_words(marks.names), np.arange(marks.size)).astype(np.float64)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     keep = values > 1e-6 * values.max()
