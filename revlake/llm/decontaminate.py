@@ -30,11 +30,12 @@ from revlake.llm.shingles import slices, text_bytes
 #: Most edits, as a share of the item's length.
 EDITS = 0.2
 WALKS, TABLES, SAMPLES = 3, 6, 6
-#: Least share of equal places of two embeddings.
-ALIKE = 0.58
+#: Least share of equal places of the embeddings of two windows, and of two whole items.
+ALIKE, ALIKE_WHOLE = 0.55, 0.28
 #: Bytes of items that one pass over the documents looks for; more take further passes.
 ITEM_BYTES = 8_000_000
 SLICE_BYTES = 2_000_000
+CHUNK = 16_384
 _BITS = 20
 _SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _PLAIN = np.arange(256, dtype=np.uint8)
@@ -64,12 +65,12 @@ class Scale:
 
     @property
     def steps(self) -> int:
-        return 2 * self.window
+        return self.window + self.window // 2
 
     def tables(self, walk: int) -> tuple[np.ndarray, list[np.ndarray]]:
         """The walk's bits by step and byte, and the steps that each of its tables samples."""
         rng = np.random.default_rng([self.least, walk])
-        moves = rng.integers(0, 2, (self.steps, 256), dtype=np.int32)
+        moves = rng.integers(0, 2, (self.steps, 256), dtype=np.int64)
         return moves, [np.sort(rng.choice(self.steps, min(SAMPLES, self.steps), replace=False)) for _ in range(TABLES)]
 
 
@@ -77,17 +78,22 @@ def embed_keys(data: np.ndarray, starts: np.ndarray, scale: Scale, walk: int) ->
     """For each table of a walk, the key of the window at every start. ``data`` is padded behind."""
     moves, samples = scale.tables(walk)
     keys = [np.full(len(starts), 1 + walk * TABLES + t, np.uint64) for t in range(TABLES)]
-    at = starts.astype(np.int64)
     wanted = defaultdict(list)
     for t, steps in enumerate(samples):
         for step in steps:
             wanted[int(step)].append(t)
-    for step in range(max(wanted) + 1):
-        byte = np.take(data, at, mode="clip")
-        for t in wanted.get(step, ()):
-            keys[t] = (keys[t] ^ byte) * np.uint64(0x9E3779B97F4A7C15)
-            keys[t] ^= keys[t] >> np.uint64(29)
-        at += np.take(moves[step], byte)
+    # Small blocks stay in the processor's cache from step to step.
+    for low in range(0, len(starts), CHUNK):
+        at = starts[low : low + CHUNK].astype(np.int64)
+        byte, move, own = np.empty(len(at), np.uint8), np.empty_like(at), [k[low : low + CHUNK] for k in keys]
+        for step in range(max(wanted) + 1):
+            np.take(data, at, out=byte, mode="clip")
+            for t in wanted.get(step, ()):
+                np.bitwise_xor(own[t], byte, out=own[t])
+                np.multiply(own[t], np.uint64(0x9E3779B97F4A7C15), out=own[t])
+                np.bitwise_xor(own[t], own[t] >> np.uint64(29), out=own[t])
+            np.take(moves[step], byte, out=move, mode="clip")
+            at += move
     return [k * np.uint64(0xD6E8FEB86659FD93) for k in keys]
 
 
@@ -98,6 +104,8 @@ class Items:
         self.rows = [(i, normalise(t)) for i, t in items]
         self.edits = edits
         raw = [t.encode("utf-8", "surrogatepass") + bytes(2 * len(t) + 16) for _, t in self.rows]
+        self.sizes = np.array([len(t.encode("utf-8", "surrogatepass")) for _, t in self.rows], np.int64)
+        self.moves = np.random.default_rng(1).integers(0, 2, (2 * int(self.sizes.max(initial=0)), 256), dtype=np.int64)
         self.begins = np.append(0, np.cumsum([len(r) for r in raw])).astype(np.int64)
         self.data = np.frombuffer(b"".join(raw), np.uint8)
         found: dict[int, list[list]] = defaultdict(lambda: [[] for _ in range(WALKS * TABLES)])
@@ -155,21 +163,27 @@ class Items:
                     which = np.repeat(low, high - low) + np.arange(len(hits)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)
                     pairs.append(np.column_stack([hits, entries[which]]))
                 pairs = np.unique(np.concatenate(pairs), axis=0)
-                pairs = pairs[self._alike(padded, starts[pairs[:, 0]], pairs[:, 1:], scale, walk) >= ALIKE]
+                pairs = pairs[self._near(padded, starts[pairs[:, 0]], pairs[:, 1:], scale, walk)]
                 out.append(np.column_stack([docs[pairs[:, 0]], pairs[:, 1], starts[pairs[:, 0]] - pairs[:, 2]]))
         return np.unique(np.concatenate(out), axis=0)
 
-    def _alike(self, data: np.ndarray, starts: np.ndarray, windows: np.ndarray, scale: Scale, walk: int) -> np.ndarray:
-        """Share of equal places in the embeddings of windows of documents and of items (item, start)."""
-        moves, _ = scale.tables(walk)
+    def _alike(self, data: np.ndarray, starts: np.ndarray, windows: np.ndarray, moves: np.ndarray, steps: np.ndarray) -> np.ndarray:
+        """Share of equal places in the first ``steps`` of the embeddings of documents' and items' windows (item, start)."""
         here, there = starts.copy(), self.begins[windows[:, 0]] + windows[:, 1]
-        equal = np.zeros(len(starts), np.int32)
-        for step in range(scale.steps):
+        equal = np.zeros(len(starts), np.int64)
+        for step in range(int(steps.max(initial=0))):
             a, b = np.take(data, here, mode="clip"), np.take(self.data, there, mode="clip")
-            equal += a == b
+            equal += (a == b) & (step < steps)
             here += np.take(moves[step], a)
             there += np.take(moves[step], b)
-        return equal / scale.steps
+        return equal / np.maximum(steps, 1)
+
+    def _near(self, data: np.ndarray, starts: np.ndarray, windows: np.ndarray, scale: Scale, walk: int) -> np.ndarray:
+        """Pairs whose embeddings agree in the window, and then to the item's end."""
+        near = np.flatnonzero(self._alike(data, starts, windows, scale.tables(walk)[0], np.full(len(starts), scale.steps)) >= ALIKE)
+        item, begin = windows[near].T
+        steps = self.sizes[item] - begin
+        return near[self._alike(data, starts[near], windows[near], self.moves, steps + steps // 4) >= ALIKE_WHOLE]
 
     def verify(self, number: int, text: bytes, begin: int) -> tuple[int, int, int] | None:
         """Least edit distance of the item to a part of ``text`` near ``begin``: distance, start, stop (bytes)."""
