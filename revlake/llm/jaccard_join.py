@@ -33,8 +33,10 @@ from revlake.llm.shingles import shingle_sets, slices
 
 #: A list with more classes is split by the next order before pairs are made.
 LONG = 64
-#: Members compared with one copy of their hub.
-PER_HUB = 256
+#: From the third order on lists may be this long before they are split.
+LONGER = 4096
+#: Texts that a task holds to compare others with, and others compared with one copy of them.
+PER_TEAM, PER_HUB = 64, 256
 #: A shingle counts as common when more than one in so many texts has it.
 COMMON = 500
 COUNT_BYTES = 12_000_000
@@ -117,46 +119,58 @@ def _close(a: str, b: str, percent: int) -> Column:
 
 
 def verify(pairs: DataFrame, keys: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
-    """The pairs (``a``, ``b``) that link, by comparing whole sets.
+    """The pairs that link, by comparing whole sets. ``pairs``: ``team, a, b``; ``keys``: ``cid, doc_id, mark``.
 
-    Texts move to the task of their hub ``a``; a hub with many partners is copied once for each
-    ``PER_HUB`` of them. ``keys`` has a class's ``cid, doc_id, mark``.
+    Texts of a team's first sides move together, about ``PER_TEAM`` to a task's memory at a time, and
+    those of their partners follow once for all of them. Large teams are split on both sides.
     """
-    many = pairs.groupBy(F.col("a").alias("_a")).agg(F.count(F.lit(1)).alias("m"))
-    salted = pairs.join(many, F.col("a") == F.col("_a")).withColumn("salt", F.pmod(F.xxhash64("b"), F.ceil(F.col("m") / PER_HUB)))
+    sizes = pairs.groupBy(F.col("team").alias("_team")).agg(F.approx_count_distinct("a").alias("na"), F.approx_count_distinct("b").alias("nb"))
+    part = lambda side, n, most: F.pmod(F.xxhash64(side), F.ceil(F.col(n) / most)).cast("int")
+    split = pairs.join(sizes, F.col("team") == F.col("_team")).select(
+        "team", part("a", "na", PER_TEAM).alias("pa"), part("b", "nb", PER_HUB).alias("pb"), "a", "b"
+    )
+    team = ["team", "pa", "pb"]
+    none = F.lit(None).cast("array<long>")
     need = (
-        salted.select(F.col("b").alias("cid"), F.col("a").alias("hub"), "salt", F.lit(1).alias("member"))
-        .unionByName(salted.select(F.col("a").alias("cid"), F.col("a").alias("hub"), "salt", F.lit(0).alias("member")).distinct())
+        split.groupBy(*team, F.col("b").alias("cid")).agg(F.collect_list("a").alias("partners")).withColumn("second", F.lit(1))
+        .unionByName(split.select(*team, F.col("a").alias("cid")).distinct().withColumns({"partners": none, "second": F.lit(0)}))
         .join(keys.select(F.col("cid").alias("_cid"), F.col("doc_id").alias("_doc"), F.col("mark").alias("_mark")), F.col("cid") == F.col("_cid"))
-        .select("cid", "hub", "salt", "member", "_doc", "_mark")
-    )
+        .drop("_cid")
+    )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
-    shipped = texts.join(need, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("mark") == F.col("_mark"))).select("hub", "salt", "member", "cid", "text")
+    shipped = texts.join(need, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("mark") == F.col("_mark")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub, held = None, None
+        now, held = None, {}
         for batch in batches:
             found, at = [], 0
-            rows = list(zip(*(batch.column(c).to_pylist() for c in ("hub", "member", "cid")), strict=True))
-            for part in slices(batch.column("text")):
-                tokens, bounds = shingle_sets(part, width)
-                for i, (own_hub, member, cid) in enumerate(rows[at : at + len(part)]):
+            columns = [*team, "second", "cid", "partners"]
+            rows = list(zip(*(batch.column(c).to_pylist() for c in columns), strict=True))
+            for texts in slices(batch.column("text")):
+                tokens, bounds = shingle_sets(texts, width)
+                for i, (*own_team, second, cid, partners) in enumerate(rows[at : at + len(texts)]):
                     own = tokens[bounds[i] : bounds[i + 1]]
-                    if not member:
-                        hub, held = own_hub, own
-                    elif own_hub == hub and len(held) and len(own):
-                        place = np.minimum(np.searchsorted(held, own), len(held) - 1)
-                        both = int((held[place] == own).sum())
-                        if 100 * both >= percent * (len(held) + len(own) - both):
-                            found.append((own_hub, cid))
-                at += len(part)
+                    if own_team != now:
+                        now, held = own_team, {}
+                    if not second:
+                        held[cid] = own.copy()
+                        continue
+                    for a in partners:
+                        other = held.get(a)
+                        if other is None or not len(other) or not len(own):
+                            continue
+                        place = np.minimum(np.searchsorted(other, own), len(other) - 1)
+                        both = int((other[place] == own).sum())
+                        if 100 * both >= percent * (len(other) + len(own) - both):
+                            found.append((a, cid))
+                at += len(texts)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
 
     return (
-        shipped.repartition("hub", "salt")
-        .sortWithinPartitions("hub", "salt", "member")
-        .select("hub", "member", "cid", "text")
+        shipped.select(*team, "second", "cid", "partners", "text")
+        .repartition(*team)
+        .sortWithinPartitions(*team, "second")
         .mapInArrow(run, "a long, b long")
         .distinct()
     )
@@ -212,7 +226,7 @@ def _pairs(lists: DataFrame, keys: list[str], percent: int) -> DataFrame:
     return joined.select(F.col("cid").alias("a"), "b")
 
 
-def remaining_pairs(lists: DataFrame, prefixes: DataFrame, percent: int, long: int = LONG) -> DataFrame:
+def remaining_pairs(lists: DataFrame, prefixes: DataFrame, percent: int, long: int = LONG, longer: int = LONGER) -> DataFrame:
     """Pairs of classes in different components that meet under all three orders. ``lists``: token, cid, n, comp."""
     band = F.floor(F.log("n") / -float(np.log(percent / 100))).cast("int")
     banded = lists.withColumn("band", F.explode(F.array(band, band + 1)))
@@ -225,6 +239,7 @@ def remaining_pairs(lists: DataFrame, prefixes: DataFrame, percent: int, long: i
         more = rest.join(other.select("_cid", column), F.col("cid") == F.col("_cid")).withColumn(key, F.explode(column)).drop("_cid", column)
         keys = [*keys, key]
         mixed = stored(_mixed(more.distinct(), keys), "jaccard-lists")
+        long = longer
         found = found.unionByName(_pairs(mixed.where(F.col("m") <= long) if key == "y" else mixed, keys, percent))
     pairs = stored(found.distinct(), "jaccard-pairs")
     side = lambda name: prefixes.select(F.col("cid").alias(f"_{name}"), F.col("second").alias(f"s_{name}"), F.col("third").alias(f"t_{name}"))
@@ -232,7 +247,22 @@ def remaining_pairs(lists: DataFrame, prefixes: DataFrame, percent: int, long: i
     return joined.where(F.arrays_overlap("s_a", "s_b") & F.arrays_overlap("t_a", "t_b")).select("a", "b")
 
 
-def link_components(docs: DataFrame, percent: int = 90, width: int = 3, long: int = LONG) -> DataFrame:
+def teamed(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs turned so that ``a`` is in the larger component so far, which is their team."""
+    sizes = labels.groupBy(F.col("component").alias("_c")).agg(F.count(F.lit(1)).alias("size"))
+    sized = lambda df, key, c, n: (
+        _with_component(df, labels, key).withColumnRenamed("comp", c).join(sizes, F.col(c) == F.col("_c"), "left")
+        .withColumn(n, F.coalesce("size", F.lit(1))).drop("size", "_c")
+    )
+    both = sized(sized(pairs, "a", "ca", "na"), "b", "cb", "nb")
+    turn = (F.col("nb") > F.col("na")) | ((F.col("nb") == F.col("na")) & (F.col("cb") < F.col("ca")))
+    either = lambda x, y: F.when(turn, F.col(y)).otherwise(F.col(x))
+    return both.select(either("ca", "cb").alias("team"), either("a", "b").alias("a"), either("b", "a").alias("b"))
+
+
+def link_components(
+    docs: DataFrame, percent: int = 90, width: int = 3, long: int = LONG, longer: int = LONGER
+) -> DataFrame:
     """``doc_id, n_shingles, component_id``, one row per row of ``docs`` (``doc_id, text``; more is not read).
 
     Words are runs of other characters than blank and tab to carriage return, A-Z in lower case. Two
@@ -262,10 +292,11 @@ def link_components(docs: DataFrame, percent: int = 90, width: int = 3, long: in
     lists = stored(postings.join(shared, F.col("token") == F.col("_token")).select("token", "cid", "n", "hub"), "jaccard-postings")
     hubs = keys.select(F.col("cid").alias("_hub"), F.col("n").alias("hub_n"))
     stars = lists.where("cid <> hub").select("cid", "n", "hub").distinct().join(hubs, F.col("hub") == F.col("_hub"))
-    stars = stored(stars.where(_close("n", "hub_n", percent)).select(F.col("hub").alias("a"), F.col("cid").alias("b")), "jaccard-stars")
+    stars = stored(stars.where(_close("n", "hub_n", percent)).select(F.col("hub").alias("team"), F.col("hub").alias("a"), F.col("cid").alias("b")), "jaccard-stars")
     near = components(verify(stars, keys, docs, percent, width))
     open_lists = _with_component(lists.select("token", "cid", "n"), near)
-    pairs = stored(remaining_pairs(open_lists, prefixes.drop("first", "n"), percent, long), "jaccard-pairs")
+    pairs = teamed(remaining_pairs(open_lists, prefixes.drop("first", "n"), percent, long, longer), near)
+    pairs = stored(pairs, "jaccard-teams")
     late = verify(pairs, keys, docs, percent, width)
     late = _with_component(late, near, "a").withColumnRenamed("comp", "ca")
     late = _with_component(late, near, "b").select(F.col("ca").alias("a"), F.col("comp").alias("b"))

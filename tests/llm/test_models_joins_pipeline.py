@@ -41,12 +41,12 @@ def near_copies(n=60, seed=3):
     return [*rows, (None, rows[0][1]), (None, None), (2000, None), (2001, " \t"), (2002, "One  TWO"), (2003, "one two"), (5, "same"), (5, "same")]
 
 
-@pytest.mark.parametrize(("percent", "width", "long"), [(90, 3, 2), (80, 5, 64), (60, 1, 1)])
-def test_links_equal_all_pairs(spark, percent, width, long):
+@pytest.mark.parametrize(("percent", "width", "long", "longer"), [(90, 3, 2, 2), (80, 5, 64, 4096), (60, 1, 1, 1), (60, 1, 1, 9)])
+def test_links_equal_all_pairs(spark, percent, width, long, longer):
     rows = near_copies()
     seen = set()
     rows = [r for r in rows if r[0] is None or r == (5, "same") or not (r[0] in seen or seen.add(r[0]))]
-    out = jaccard_join.link_components(frame(spark, rows), percent, width, long)
+    out = jaccard_join.link_components(frame(spark, rows), percent, width, long, longer)
     got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out.collect()), key=repr)
     assert got == brute_components(rows, percent, width)
 
