@@ -305,5 +305,5 @@ def cte(names: str, body: str, **extra: str) -> str:
     for name in names.split():
         need(name)
     parts = [f"{n} AS MATERIALIZED ({CTES[n]})" for n in CTES if n in wanted]
-    parts += [f"{n} AS ({q})" for n, q in extra.items()]
+    parts += [f"{n} AS MATERIALIZED ({q})" for n, q in extra.items()]
     return f"WITH {', '.join(parts)} {body}"

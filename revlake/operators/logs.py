@@ -32,8 +32,9 @@ def level_of(status) -> Column:
 def redact_json(c, depth: int = DEPTH) -> Column:
     """Mask the values of secret-looking keys and shorten long lists in a JSON object text.
 
-    Objects inside objects are followed ``depth`` levels down; what lies deeper is replaced as a
-    whole, so that no secret can pass.
+    Objects inside objects are taken apart ``depth`` levels down. What lies deeper stays as text in
+    which the values of secret-looking keys are masked; it is replaced as a whole only where such a
+    key holds an object or a list.
     """
     fields = F.from_json(col(c), "map<string,string>")
     secret = "(?i)" + "|".join(SECRET_WORDS)
@@ -41,7 +42,7 @@ def redact_json(c, depth: int = DEPTH) -> Column:
     def clean(key: Column, value: Column) -> Column:
         text = F.ltrim(value)
         length = F.when(text.startswith("["), F.json_array_length(text))
-        inner = redact_json(value, depth - 1) if depth > 0 else F.lit(REDACTED)
+        inner = redact_json(value, depth - 1) if depth > 0 else _mask_text(value)
         return (
             F.when(key.rlike(secret), F.lit(REDACTED))
             .when(text.startswith("{"), F.coalesce(inner, value))
@@ -53,6 +54,13 @@ def redact_json(c, depth: int = DEPTH) -> Column:
     return F.when(fields.isNull(), col(c)).otherwise(_to_object(F.transform_values(fields, clean)))
 
 
+def _mask_text(value: Column) -> Column:
+    """JSON text with the plain values of secret-looking keys masked, whatever their depth."""
+    key = r'"((?:[^"\\]|\\.)*(?i:' + "|".join(SECRET_WORDS) + r')(?:[^"\\]|\\.)*)"\s*:\s*'
+    plain = key + r'("(?:[^"\\]|\\.)*"|[^\s",\[\]{}]+)'
+    return F.when(value.rlike(key + r"[\[{]"), F.lit(REDACTED)).otherwise(F.regexp_replace(value, plain, f'"$1":"{REDACTED}"'))
+
+
 def _to_object(fields: Column) -> Column:
     """JSON object from a map of texts; numbers, booleans, null, lists and objects stay unquoted."""
     def member(entry: Column) -> Column:
@@ -181,7 +189,15 @@ def append_log(rows: DataFrame, path: str) -> None:
 
 
 def filter_logs(logs: DataFrame, start=None, end=None, level=None, category=None, country=None, model_type=None) -> DataFrame:
-    """Rows matching every given condition; ``end`` is a day and is included as a whole."""
+    """Rows matching every given condition; ``end`` is a day and is included as a whole.
+
+    Stored logs are partitioned by ``day``: the bounds are given for it as well.
+    """
+    if "day" in logs.columns:
+        if start is not None:
+            logs = logs.where(F.col("day").cast("date") >= F.lit(start).cast("date"))
+        if end is not None:
+            logs = logs.where(F.col("day").cast("date") <= F.lit(end).cast("date"))
     if start is not None:
         logs = logs.where(F.col("timestamp") >= F.lit(start).cast("date").cast("timestamp"))
     if end is not None:

@@ -33,13 +33,18 @@ STABLE = "Model performance is stable. Continue monitoring."
 
 @lru_cache
 def t_critical(df: int, alpha: float = 0.05) -> float:
-    """Two-sided critical value of Student's t, by bisection on a Simpson integral of its density."""
-    c = math.exp(math.lgamma((df + 1) / 2) - math.lgamma(df / 2)) / math.sqrt(df * math.pi)
-
-    def middle(t: float, steps: int = 2000) -> float:
-        h = t / steps
-        f = [c * (1 + (i * h) ** 2 / df) ** (-(df + 1) / 2) for i in range(steps + 1)]
-        return 2 * h / 3 * (f[0] + f[-1] + 4 * sum(f[1:-1:2]) + 2 * sum(f[2:-1:2]))
+    """Two-sided critical value of Student's t, by bisection on the finite series of its distribution."""
+
+    def middle(t: float) -> float:
+        angle = math.atan(t / math.sqrt(df))
+        square, odd = math.cos(angle) ** 2, df % 2
+        term, total = (math.cos(angle), math.cos(angle)) if odd else (1.0, 1.0)
+        for k in range(2 + odd, df - 1, 2):
+            term *= square * (k - 1) / k
+            total += term
+        if odd:
+            return 2 / math.pi * (angle + math.sin(angle) * total * (df > 1))
+        return math.sin(angle) * total
 
     low, high = 1.0, 700.0 if df == 1 else 20.0
     for _ in range(60):

@@ -106,11 +106,19 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def scan_date_range(df: DataFrame, start=None, end=None, column: str = "date") -> DataFrame:
-    """Rows with start <= date <= end; either bound may be missing. Reaches the scan as a filter."""
-    if start is not None:
-        df = df.where(F.col(column) >= F.lit(start).cast("date"))
-    if end is not None:
-        df = df.where(F.col(column) <= F.lit(end).cast("date"))
+    """Rows with start <= date <= end; either bound may be missing. Reaches the scan as a filter.
+
+    A table with ``year`` and ``month`` beside ``date`` is partitioned by them: the bounds are given
+    for these as well, so that other months are not opened.
+    """
+    months = F.col("year") * 12 + F.col("month")
+    by_month = column == "date" and {"year", "month"} <= set(df.columns)
+    for bound, keep in ((start, lambda a, b: a >= b), (end, lambda a, b: a <= b)):
+        if bound is not None:
+            day = F.lit(bound).cast("date")
+            df = df.where(keep(F.col(column), day))
+            if by_month:
+                df = df.where(keep(months, F.year(day) * 12 + F.month(day)))
     return df
 
 

@@ -15,6 +15,18 @@ def log_frame(spark):
     return spark.createDataFrame(rows, "timestamp timestamp, level string, country string, message string").withColumn("category", F.lit("x")).withColumn("model_type", F.lit("arima"))
 
 
+def nested(depth, inner):
+    return nested(depth - 1, {"n" + str(depth): inner}) if depth else inner
+
+
+def test_redaction_at_any_depth(spark):
+    out = json.loads(redacted(spark, json.dumps(nested(7, {"k": 1, "my_token": "hidden", "more": {"password": 5, "x": [1, "a"]}}))))
+    for k in range(1, 8):
+        out = out[f"n{k}"]
+    assert out == {"k": 1, "my_token": logs.REDACTED, "more": {"password": logs.REDACTED, "x": [1, "a"]}}
+    assert "hidden" not in redacted(spark, json.dumps(nested(7, {"auth": {"a": "hidden"}, "b": 1})))
+
+
 def redacted(spark, value):
     df = spark.createDataFrame([(json.dumps(value) if not isinstance(value, str) else value,)], "c string")
     return df.select(logs.redact_json("c")).first()[0]

@@ -10,6 +10,7 @@ from checks.inputs import invoices, requests, tidy
 from revlake.functions import quantiles
 from revlake.operators import cleaning, customers, geography, logs, metrics, products, profile, trends
 from revlake.plans.build_tables import build_tables, result_tables
+from revlake.sources.invoices import scan_date_range
 
 SCHEMA = "invoice string, country string, customer_id long, stream_id string, price double, times_viewed int, date date"
 D1, D2 = dt.date(2019, 1, 7), dt.date(2019, 1, 8)
@@ -198,3 +199,16 @@ def test_large_groups_take_the_split_plans_and_give_the_same(spark, sf, monkeypa
     usual = collected(tables())
     monkeypatch.setattr(quantiles, "HOT_ROWS", 3)
     assert collected(tables()) == usual
+
+
+def test_date_ranges_prune_months(spark, tmp_path):
+    path = str(tmp_path / "invoices")
+    rows = [(2020 + i // 12, 1 + i % 12, i) for i in range(30)]
+    df = spark.createDataFrame(rows, "year int, month int, v int").withColumn("date", F.make_date("year", "month", F.lit(15)))
+    df.write.partitionBy("year", "month").parquet(path)
+    out = scan_date_range(spark.read.parquet(path), "2020-05-01", "2020-06-15")
+    assert sorted(r["v"] for r in out.collect()) == [4, 5]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters: [") :].split("],")[0]
+    assert "year" in filters
+    assert "month" in filters
