@@ -39,5 +39,5 @@ def build_tables(
     for name in ("daily_aggregated_metrics", "customer_segment_metrics", "product_performance_metrics"):
         write_l3(tables[name], f"{base}/{name}", updated=name.startswith("daily"), replace_dates=replace_dates)
     report = tables["data_quality_reports"].withColumn("report_date", F.current_date())
-    write_l3(report, f"{base}/data_quality_reports")
+    write_l3(report, f"{base}/data_quality_reports", replace_dates=replace_dates, by="report_date")
     return tables["run_quality"]

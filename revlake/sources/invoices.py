@@ -168,18 +168,17 @@ def pending_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
     return files.join(done, "file_path", "left_anti")
 
 
-def write_l3(df: DataFrame, path: str, updated: bool = False, replace_dates: bool = False) -> None:
+def write_l3(df: DataFrame, path: str, updated: bool = False, replace_dates: bool = False, by: str = "date") -> None:
     """Append a result table with its creation time.
 
-    ``replace_dates`` overwrites the dates contained in ``df`` instead, so a re-run adds no copies.
+    ``replace_dates`` overwrites the dates (column ``by``) contained in ``df`` instead, so a re-run
+    adds no copies.
     """
     out = df.withColumn("created_at", F.current_timestamp())
     if updated:
         out = out.withColumn("updated_at", F.current_timestamp())
     if replace_dates:
-        out.hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "date"
-        ).parquet(path)
+        out.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
     else:
         out.write.mode("append").parquet(path)
 
