@@ -23,6 +23,8 @@ def stored(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     path = fresh_path(spark, label)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    # Shuffle files of finished jobs go when the driver collects its garbage, which it may not do for long.
+    spark._jvm.System.gc()
     _STORED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 

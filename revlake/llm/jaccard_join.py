@@ -40,7 +40,7 @@ PER_TEAM, PER_HUB = 64, 256
 #: A shingle counts as common when more than one in so many texts has it.
 COMMON = 500
 COUNT_BYTES = 12_000_000
-PROFILE = "doc_id long, mark long, n long, digest binary, first array<long>, second array<int>, third array<int>"
+PROFILE = "doc_id long, mark long, n long, digest binary, first array<long>, second array<smallint>, third array<smallint>"
 
 
 def common_tokens(docs: DataFrame, width: int) -> np.ndarray:
@@ -74,7 +74,7 @@ def rotated(tokens: np.ndarray, start: np.uint64, size: int) -> np.ndarray:
 def profiles(docs: DataFrame, percent: int, width: int) -> DataFrame:
     """For every row: set size, digest of the set, and its prefix under three orders.
 
-    The second and third prefix keep half of each hash, which can only add candidates.
+    The second and third prefix keep 16 bits of each hash, which can only add candidates.
     """
     starts = [np.uint64(i * (2**64 // 3)) for i in range(3)]
     shared = docs.sparkSession.sparkContext.broadcast(common_tokens(docs, width))
@@ -102,7 +102,7 @@ def profiles(docs: DataFrame, percent: int, width: int) -> DataFrame:
                 offsets = pa.array(np.append(0, np.cumsum(lengths)), pa.int32())
                 whole = [np.concatenate(p) if p else np.zeros(0, np.uint64) for p in prefixes]
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(whole[0].view(np.int64)))]
-                lists += [pa.ListArray.from_arrays(offsets, pa.array((w >> np.uint64(20)).astype(np.uint32).view(np.int32))) for w in whole[1:]]
+                lists += [pa.ListArray.from_arrays(offsets, pa.array((w >> np.uint64(20)).astype(np.uint16).view(np.int16))) for w in whole[1:]]
                 ids = [batch.column(c).slice(at, len(texts)) for c in ("doc_id", "mark")]
                 at += len(texts)
                 yield pa.RecordBatch.from_arrays(
@@ -242,9 +242,11 @@ def remaining_pairs(lists: DataFrame, prefixes: DataFrame, percent: int, long: i
         long = longer
         found = found.unionByName(_pairs(mixed.where(F.col("m") <= long) if key == "y" else mixed, keys, percent))
     pairs = stored(found.distinct(), "jaccard-pairs")
-    side = lambda name: prefixes.select(F.col("cid").alias(f"_{name}"), F.col("second").alias(f"s_{name}"), F.col("third").alias(f"t_{name}"))
-    joined = pairs.join(side("a"), F.col("a") == F.col("_a")).join(side("b"), F.col("b") == F.col("_b"))
-    return joined.where(F.arrays_overlap("s_a", "s_b") & F.arrays_overlap("t_a", "t_b")).select("a", "b")
+    for column in ("second", "third"):
+        side = lambda name, column=column: prefixes.select(F.col("cid").alias(f"_{name}"), F.col(column).alias(f"of_{name}"))
+        joined = pairs.join(side("a"), F.col("a") == F.col("_a")).join(side("b"), F.col("b") == F.col("_b"))
+        pairs = stored(joined.where(F.arrays_overlap("of_a", "of_b")).select("a", "b"), "jaccard-pairs")
+    return pairs
 
 
 def teamed(pairs: DataFrame, labels: DataFrame) -> DataFrame:
