@@ -1,8 +1,9 @@
 """Licence scans by sentences and ordered rules.
 
-A text is cut into sentences and each is normalised. A sentence that holds a known licence sentence
-gets its identifier; other sentences that speak of a licence get ``unknown``. The document's sequence
-of identifiers is then matched against rules in order: a rule consumes the identifiers it matches,
+A text is cut into sentences and each is normalised. A sentence gives the identifiers of all known
+licence sentences it holds, in order of position, since a colon, a list mark or an empty line does not
+end it; other sentences that speak of a licence give ``unknown``. The document's sequence of
+identifiers is then matched against rules in order: a rule consumes the identifiers it matches,
 so that what a full licence text explains is not counted again by the rule for a mere reference.
 """
 
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Sentences of public licences, normalised (lower case, only letters, digits and full
-# stops within numbers). The first that a sentence holds gives its identifier.
+# stops within numbers). Of those that begin at one place, the first gives its identifier.
 SENTENCES = [
     ("mit.grant", "permission is hereby granted free of charge to any person obtaining a copy"),
     ("mit.notice", "the above copyright notice and this permission notice shall be included in all copies"),
@@ -70,6 +71,19 @@ RULES = [
     ("CC0-1.0", ["cc0.ref"]),
     ("Proprietary", ["reserved"]),
 ]
+#: Sentences and rules that the SQL twin does not have: it names one identifier per sentence.
+MORE_SENTENCES = [
+    ("isc.grant", "permission to use copy modify and distribute this software for any purpose"),
+    ("as.is", "is provided as is and the author disclaims all warranties"),
+]
+MORE_RULES = [
+    ("BSD-3-Clause", ["reserved", "bsd.grant", "bsd.source", "bsd.binary", "bsd.name", "as.is"]),
+    ("BSD-2-Clause", ["reserved", "bsd.grant", "bsd.source", "bsd.binary", "as.is"]),
+    ("GPL-3.0-or-later", ["gpl.redistribute", "gpl.later", "gpl.ref", "gpl.ref"]),
+    ("GPL-3.0-or-later", ["gpl.redistribute", "gpl.later", "gpl.ref"]),
+    ("GPL-3.0", ["gpl.redistribute", "gpl3.ref"]),
+    ("GPL-2.0", ["gpl.redistribute", "gpl2.ref"]),
+]
 #: Every known sentence and every unknown one worth a report holds one of these.
 TRIGGER = "licen[cs]e|copyright|permission|redistribut|warranty|as is|creative commons|rights reserved"
 UNKNOWN = "licen[cs]e|copyright"
@@ -81,12 +95,16 @@ def sentences(text: Column) -> Column:
     return F.transform(F.split(ended, "\n"), lambda s: F.trim(F.regexp_replace(F.regexp_replace(s, "[^a-z0-9.]+", " "), "[.]$", "")))
 
 
-def sentence_id(sentence: Column) -> Column:
-    """Identifier of a normalised sentence, ``unknown``, or null when it has nothing to do with licences."""
-    out = F
-    for name, phrase in SENTENCES:
-        out = out.when(F.contains(sentence, F.lit(phrase)), name)
-    return out.when(sentence.rlike(UNKNOWN), "unknown")
+def sentence_ids(sentence: Column) -> Column:
+    """Identifiers of a normalised sentence in order of position, ``unknown`` alone, or none when it has nothing to do with licences."""
+    known = SENTENCES + MORE_SENTENCES
+    names = F.create_map(*(F.lit(x) for name, phrase in known for x in (phrase, name)))
+    # The match is empty, so that sentences which overlap are all found.
+    phrases = F.regexp_extract_all(sentence, F.lit("(?=(" + "|".join(p.replace(".", "[.]") for _, p in known) + "))"), F.lit(1))
+    ids = F.transform(phrases, lambda p: F.element_at(names, p))
+    # The GPL's grant ends with the GPL's name.
+    ids = F.filter(ids, lambda i, k: ~((i == "gpl.ref") & (k > 0) & (F.get(ids, k - 1) == "gpl.redistribute")))
+    return F.when(F.size(ids) > 0, ids).when(sentence.rlike(UNKNOWN), F.array(F.lit("unknown"))).otherwise(F.array().cast("array<string>"))
 
 
 def rule_pattern(ids: list[str]) -> str:
@@ -101,9 +119,7 @@ def scan(docs: DataFrame) -> DataFrame:
     ``<id><id>...``. Only ``doc_id`` and ``text`` are read; null and empty texts give no row.
     """
     hit = F.lower("text").rlike("licen[cs]e|copyright|permission|redistribut|warranty|as[^a-z0-9]+is|creative|reserved")
-    ids = F.filter(
-        F.transform(F.filter(sentences(F.col("text")), lambda s: s.rlike(TRIGGER)), sentence_id), lambda i: i.isNotNull()
-    )
+    ids = F.flatten(F.transform(F.filter(sentences(F.col("text")), lambda s: s.rlike(TRIGGER)), sentence_ids))
     found = docs.select("doc_id", "text").where(hit).select("doc_id", ids.alias("ids")).where(F.size("ids") > 0)
     found = found.select(
         "doc_id",
@@ -111,18 +127,18 @@ def scan(docs: DataFrame) -> DataFrame:
         F.size(F.filter("ids", lambda i: i != "unknown")).alias("n_known"),
         F.size(F.filter("ids", lambda i: i == "unknown")).alias("n_unknown"),
     ).withColumn("_left", F.col("sentence_ids"))
-    hits: dict[str, Column] = {}
-    for k, (name, sequence) in enumerate(RULES):
+    hits: dict[str, Column] = {name: F.lit(False) for name, _ in RULES}
+    for k, (name, sequence) in enumerate(MORE_RULES + RULES):
         pattern = rule_pattern(sequence)
         found = found.withColumn(f"_r{k}", F.col("_left").rlike(pattern))
-        hits[name] = hits.get(name, F.lit(False)) | F.col(f"_r{k}")
+        hits[name] = hits[name] | F.col(f"_r{k}")
         found = found.withColumn("_left", F.regexp_replace("_left", pattern, "|"))
     names = F.concat_ws(",", *(F.when(hit, name) for name, hit in hits.items()))
     return found.select("doc_id", names.alias("licenses"), "sentence_ids", "n_known", "n_unknown")
 
 
 def scan_sql(table: str = "documents") -> str:
-    """The same in SQL, built from the same tables of sentences and rules."""
+    """SQL with the first identifier of each sentence alone: the same where no sentence holds two or one of ``MORE_SENTENCES``."""
     case = " ".join(f"WHEN contains(s, '{phrase}') THEN '{name}'" for name, phrase in SENTENCES)
     steps, left, names = [], "sentence_ids", {}
     for k, (name, sequence) in enumerate(RULES):

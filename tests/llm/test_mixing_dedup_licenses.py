@@ -111,6 +111,90 @@ def test_rules_take_precedence_and_consume(spark):
     assert licenses.scan(frame(spark, [])).collect() == []
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY."""
+BSD = """Copyright (c) 2020, A. Person
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+{0} Redistributions of source code must retain the above copyright notice, this
+  list of conditions and the following disclaimer.
+
+{1} Redistributions in binary form must reproduce the above copyright notice,
+  this list of conditions and the following disclaimer in the documentation
+  and/or other materials provided with the distribution.
+{2}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED. IN NO EVENT SHALL THE
+COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT DAMAGES."""
+BSD_NAME = """
+{} Neither the name of the copyright holder nor the names of its
+  contributors may be used to endorse or promote products derived from
+  this software without specific prior written permission.
+"""
+ISC = """Copyright (c) 2020, A. Person
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+
+    You should have received a copy of the GNU General Public License
+    along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+
+
+def test_verbatim_licence_texts(spark):
+    grant = GPL[: GPL.index(" as published")]
+    texts = [
+        ("MIT", MIT), ("BSD-2-Clause", BSD.format("*", "*", "")), ("BSD-2-Clause", BSD.format("1.", "2.", "")),
+        ("BSD-3-Clause", BSD.format("*", "*", BSD_NAME.format("*"))), ("BSD-3-Clause", BSD.format("1.", "2.", BSD_NAME.format("3."))),
+        ("ISC", ISC), ("ISC", ISC.replace("and/or", "and")), ("Apache-2.0", APACHE), ("GPL-3.0-or-later", GPL), ("GPL-3.0-or-later", GPL[: GPL.index("version.") + 8]),
+        ("GPL", grant), ("GPL-3.0", grant + ", version 3"), ("GPL-2.0", grant + " version 2."),
+        ("MIT,CC-BY-4.0", "Released under the MIT license\nText licensed under CC BY 4.0\n"),
+    ]
+    out = {r["doc_id"]: r["licenses"] for r in licenses.scan(frame(spark, [(k, t, "s") for k, (_, t) in enumerate(texts)])).collect()}
+    assert [out[k] for k in range(len(texts))] == [name for name, _ in texts]
+
+
 def test_names_are_unique_and_ordered(spark):
     df = spark.range(1000).select(F.col("id").alias("v"))
     rows = dedup.numbered(df, F.xxhash64("v"), "v").collect()
