@@ -1,23 +1,21 @@
 """Benchmark decontamination by edit distance.
 
-Item-sized windows of documents and items go through CGK random-walk embeddings: at every step the
-walk writes the byte it stands on and moves on or stays, as a random bit for that step and byte says.
-Strings a few edits apart fall into step again, so their embeddings differ in few places. Hash keys
-sample places of the embeddings; windows that share a key with an item, in any of several tables
-from several walks, are candidates. Each is verified by exact edit distance against the whole item.
-
-Windows of a document begin at every ``stride``-th word, those of an item at every word that leaves
-enough text, so any occurrence holds a window that lines up, whatever was changed before it.
+Every place of a document is compared with every place of an item by a seed of letters in a row, whose
+length follows from the share of edits and the item's size: with the most edits allowed, spread at random,
+about ``RUNS`` unchanged runs of an item are at least that long. Each place where a seed puts an item is
+a candidate. The least distances of the item's parts to the text around, one machine word each, add up to
+no more than the item's own, so the bound they give drops no match; the exact edit distance against the
+whole item decides about the rest.
 
 Texts are compared in lower case (A-Z) with runs of white space as one blank.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +27,14 @@ from revlake.llm.shingles import slices, text_bytes
 
 #: Most edits, as a share of the item's length.
 EDITS = 0.2
-WALKS, TABLES, SAMPLES = 3, 6, 6
-#: Least share of equal places of the embeddings of two windows, and of two whole items.
-ALIKE, ALIKE_WHOLE = 0.55, 0.28
+#: Unchanged runs as long as a seed that an item with the most edits has on average; e ** -RUNS of such items have none.
+RUNS = 3.5
+#: Letters of an item's part, and places that count as one candidate.
+WORD, SPOT = 64, 8
 #: Bytes of items that one pass over the documents looks for; more take further passes.
 ITEM_BYTES = 8_000_000
 SLICE_BYTES = 2_000_000
-CHUNK = 16_384
+CHUNK = 8_192
 _BITS = 20
 _SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _PLAIN = np.arange(256, dtype=np.uint8)
@@ -49,154 +48,151 @@ def normalise(text: str) -> str:
     return re.sub(r"[\x20\x09-\x0d]+", " ", low).strip(" ")
 
 
-@dataclass(frozen=True)
-class Scale:
-    """Windows for items of ``least`` to twice as many bytes."""
-
-    least: int
-
-    @property
-    def stride(self) -> int:
-        return max(1, self.least // 20)
-
-    @property
-    def window(self) -> int:
-        return max(4, self.least // 2)
-
-    @property
-    def steps(self) -> int:
-        return self.window + self.window // 2
-
-    def tables(self, walk: int) -> tuple[np.ndarray, list[np.ndarray]]:
-        """The walk's bits by step and byte, and the steps that each of its tables samples."""
-        rng = np.random.default_rng([self.least, walk])
-        moves = rng.integers(0, 2, (self.steps, 256), dtype=np.int64)
-        return moves, [np.sort(rng.choice(self.steps, min(SAMPLES, self.steps), replace=False)) for _ in range(TABLES)]
-
-
-def embed_keys(data: np.ndarray, starts: np.ndarray, scale: Scale, walk: int) -> list[np.ndarray]:
-    """For each table of a walk, the key of the window at every start. ``data`` is padded behind."""
-    moves, samples = scale.tables(walk)
-    keys = [np.full(len(starts), 1 + walk * TABLES + t, np.uint64) for t in range(TABLES)]
-    wanted = defaultdict(list)
-    for t, steps in enumerate(samples):
-        for step in steps:
-            wanted[int(step)].append(t)
-    # Small blocks stay in the processor's cache from step to step.
-    for low in range(0, len(starts), CHUNK):
-        at = starts[low : low + CHUNK].astype(np.int64)
-        byte, move, own = np.empty(len(at), np.uint8), np.empty_like(at), [k[low : low + CHUNK] for k in keys]
-        for step in range(max(wanted) + 1):
-            np.take(data, at, out=byte, mode="clip")
-            for t in wanted.get(step, ()):
-                np.bitwise_xor(own[t], byte, out=own[t])
-                np.multiply(own[t], np.uint64(0x9E3779B97F4A7C15), out=own[t])
-                np.bitwise_xor(own[t], own[t] >> np.uint64(29), out=own[t])
-            np.take(moves[step], byte, out=move, mode="clip")
-            at += move
-    return [k * np.uint64(0xD6E8FEB86659FD93) for k in keys]
+def seed_size(letters: int, edits: float) -> int:
+    """Letters of a seed: a run that any ``edits`` leave, or the longer one that random ones leave ``RUNS`` times."""
+    most = int(edits * letters)
+    if not most:
+        return min(letters, 16)
+    often = math.log(RUNS / most) / math.log(1 - edits) if 0 < edits < 1 else 0
+    return min(16, letters, max(1, letters // (most + 1), int(often)))
+
+
+def symbols(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One byte for each code point of UTF-8, equal for equal ones, and where each begins."""
+    begins = np.flatnonzero((data & 0xC0) != 0x80)
+    out = data[begins].copy()
+    for k in range(1, 4):
+        longer = np.flatnonzero(out >= 0xC0) if k == 1 else longer[lead[longer] >= (0xE0, 0xF0)[k - 2]]
+        if k == 1:
+            lead = out.copy()
+        out[longer] = out[longer] * 31 + data[np.minimum(begins[longer] + k, len(data) - 1)]
+    return out, begins
+
+
+def _extend(keys: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """Keys of seeds one letter longer."""
+    keys = keys[: len(more)]
+    np.multiply(keys, np.uint64(0x9E3779B97F4A7C15), out=keys)
+    np.add(keys, more, out=keys)
+    return keys
 
 
 class Items:
-    """Keys of the windows of all items, and the exact comparison."""
+    """Seeds of all items, and the exact comparison."""
 
     def __init__(self, items: list[tuple[int, str]], edits: float = EDITS):
         self.rows = [(i, normalise(t)) for i, t in items]
         self.edits = edits
-        raw = [t.encode("utf-8", "surrogatepass") + bytes(2 * len(t) + 16) for _, t in self.rows]
-        self.sizes = np.array([len(t.encode("utf-8", "surrogatepass")) for _, t in self.rows], np.int64)
-        self.moves = np.random.default_rng(1).integers(0, 2, (2 * int(self.sizes.max(initial=0)), 256), dtype=np.int64)
-        self.begins = np.append(0, np.cumsum([len(r) for r in raw])).astype(np.int64)
-        self.data = np.frombuffer(b"".join(raw), np.uint8)
-        found: dict[int, list[list]] = defaultdict(lambda: [[] for _ in range(WALKS * TABLES)])
+        self.sizes = np.array([len(t) for _, t in self.rows], np.int64)
+        self.limits = np.array([int(edits * n) for n in self.sizes.tolist()], np.int64)
+        parts: list[tuple[int, int]] = []
+        masks, self.first_part = [], [0]
+        found: dict[int, list[tuple[np.ndarray, ...]]] = defaultdict(list)
         for number, (_, text) in enumerate(self.rows):
-            if text:
-                scale, data, starts = self._windows(text)
-                for walk in range(WALKS):
-                    for t, keys in enumerate(embed_keys(data, starts, scale, walk)):
-                        found[scale.least][walk * TABLES + t] += [(k, number, s) for k, s in zip(keys.tolist(), starts.tolist(), strict=True)]
-        self.tables = {}
-        for least, tables in found.items():
-            ready = []
-            for entries in tables:
-                entries.sort()
-                keys = np.array([e[0] for e in entries], np.uint64)
-                seen = np.zeros(1 << _BITS, bool)
-                seen[keys >> np.uint64(64 - _BITS)] = True
-                ready.append((seen, keys, np.array([e[1:] for e in entries], np.int64).reshape(-1, 2)))
-            self.tables[least] = ready
-
-    def _windows(self, text: str) -> tuple[Scale, np.ndarray, np.ndarray]:
-        data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-        words = np.flatnonzero((data != 32) & np.append(True, data[:-1] == 32))
-        least = 1 << (len(data).bit_length() - 1)
-        while True:
-            scale = Scale(least)
-            room = words[len(data) - words >= scale.window]
-            # Every residue of the stride needs a window of its own; else smaller windows do.
-            if least <= 8 or len(room) >= scale.stride:
-                return scale, np.append(data, np.zeros(scale.steps + 1, np.uint8)), room if len(room) else words[:1]
-            least //= 2
-
-    def candidates(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Rows (document, item, where the item would begin) for windows that share a key and embed alike."""
-        words = np.flatnonzero((data != 32) & np.append(True, data[:-1] == 32))
-        edges = bounds[:-1][np.diff(bounds) > 0]
-        words = np.union1d(words, edges[data[edges] != 32]) if len(edges) else words
-        owner = np.searchsorted(bounds, words, "right") - 1
-        place = np.arange(len(words)) - np.searchsorted(words, bounds[:-1])[owner] if len(words) else words
-        out = [np.zeros((0, 3), np.int64)]
-        for least, tables in self.tables.items():
-            scale = Scale(least)
-            take = place % scale.stride == 0
-            starts, docs = words[take], owner[take]
-            if not len(starts):
-                continue
-            padded = np.append(data, np.zeros(scale.steps + 1, np.uint8))
-            for walk in range(WALKS):
-                pairs = [np.zeros((0, 3), np.int64)]
-                for t, keys in enumerate(embed_keys(padded, starts, scale, walk)):
-                    seen, known, entries = tables[walk * TABLES + t]
-                    maybe = np.flatnonzero(seen[keys >> np.uint64(64 - _BITS)])
-                    low, high = np.searchsorted(known, keys[maybe], "left"), np.searchsorted(known, keys[maybe], "right")
-                    hits = np.repeat(maybe, high - low)
-                    which = np.repeat(low, high - low) + np.arange(len(hits)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)
-                    pairs.append(np.column_stack([hits, entries[which]]))
-                pairs = np.unique(np.concatenate(pairs), axis=0)
-                pairs = pairs[self._near(padded, starts[pairs[:, 0]], pairs[:, 1:], scale, walk)]
-                out.append(np.column_stack([docs[pairs[:, 0]], pairs[:, 1], starts[pairs[:, 0]] - pairs[:, 2]]))
-        return np.unique(np.concatenate(out), axis=0)
-
-    def _alike(self, data: np.ndarray, starts: np.ndarray, windows: np.ndarray, moves: np.ndarray, steps: np.ndarray) -> np.ndarray:
-        """Share of equal places in the first ``steps`` of the embeddings of documents' and items' windows (item, start)."""
-        here, there = starts.copy(), self.begins[windows[:, 0]] + windows[:, 1]
-        equal = np.zeros(len(starts), np.int64)
-        for step in range(int(steps.max(initial=0))):
-            a, b = np.take(data, here, mode="clip"), np.take(self.data, there, mode="clip")
-            equal += (a == b) & (step < steps)
-            here += np.take(moves[step], a)
-            there += np.take(moves[step], b)
-        return equal / np.maximum(steps, 1)
-
-    def _near(self, data: np.ndarray, starts: np.ndarray, windows: np.ndarray, scale: Scale, walk: int) -> np.ndarray:
-        """Pairs whose embeddings agree in the window, and then to the item's end."""
-        near = np.flatnonzero(self._alike(data, starts, windows, scale.tables(walk)[0], np.full(len(starts), scale.steps)) >= ALIKE)
-        item, begin = windows[near].T
-        steps = self.sizes[item] - begin
-        return near[self._alike(data, starts[near], windows[near], self.moves, steps + steps // 4) >= ALIKE_WHOLE]
-
-    def verify(self, number: int, text: bytes, begin: int) -> tuple[int, int, int] | None:
-        """Least edit distance of the item to a part of ``text`` near ``begin``: distance, start, stop (bytes)."""
-        item = self.rows[number][1]
-        size = len(item.encode("utf-8", "surrogatepass"))
-        limit = int(self.edits * len(item))
-        slack = limit + 8
-        low, high = max(0, begin - slack), min(len(text), begin + size + slack)
-        while low and text[low] & 0xC0 == 0x80:
-            low -= 1
-        while high < len(text) and text[high] & 0xC0 == 0x80:
-            high += 1
-        part = text[low:high].decode("utf-8", "surrogatepass")
+            own = symbols(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8))[0]
+            if len(own):
+                size = seed_size(len(own), edits)
+                keys = np.zeros(len(own), np.uint64)
+                for k in range(size):
+                    keys = _extend(keys, own[k:])
+                found[size].append((keys * np.uint64(0xD6E8FEB86659FD93), np.full(len(keys), number), np.arange(len(keys))))
+            count = -(-len(own) // WORD)
+            for i in range(count):
+                low, high = len(own) * i // count, len(own) * (i + 1) // count
+                mask = np.zeros(257, np.uint64)
+                np.bitwise_or.at(mask, own[low:high], np.uint64(1) << np.arange(high - low, dtype=np.uint64))
+                masks.append(mask)
+                parts.append((low, high - low))
+            self.first_part.append(len(parts))
+        self.first_part = np.array(self.first_part, np.int64)
+        self.parts = np.array(parts, np.int64).reshape(-1, 2)
+        self.masks = np.concatenate(masks) if masks else np.zeros(0, np.uint64)
+        self.seeds = {}
+        for size, entries in sorted(found.items()):
+            keys, numbers, places = (np.concatenate(x) for x in zip(*entries, strict=True))
+            order = np.argsort(keys, kind="stable")
+            seen = np.zeros(1 << _BITS, bool)
+            seen[keys >> np.uint64(64 - _BITS)] = True
+            self.seeds[size] = seen, keys[order], numbers[order], places[order]
+
+    def candidates(self, letters: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Rows (document, item, where the item would begin) for places that share a seed and may be near enough."""
+        out, keys, size = [np.zeros((0, 3), np.int64)], np.zeros(len(letters), np.uint64), 0
+        for wanted, (seen, known, numbers, places) in self.seeds.items():
+            while size < wanted and len(keys):
+                keys = _extend(keys, letters[size:])
+                size += 1
+            spread = keys * np.uint64(0xD6E8FEB86659FD93)
+            maybe = np.flatnonzero(seen[spread >> np.uint64(64 - _BITS)])
+            low = np.searchsorted(known, spread[maybe], "left")
+            counts = np.searchsorted(known, spread[maybe], "right") - low
+            # Blocks bound the memory of texts that repeat an item's seeds.
+            ends, at = np.cumsum(counts), 0
+            while at < len(maybe):
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 4_000_000, "right")))
+                n = counts[at:to]
+                which = np.repeat(low[at:to] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                place = np.repeat(maybe[at:to], n)
+                doc = np.searchsorted(bounds, place, "right") - 1
+                inside = place + wanted <= bounds[doc + 1]
+                found = np.column_stack([doc, numbers[which], place - places[which]])[inside]
+                out.append(self._near(letters, bounds, self._spots(found)))
+                at = to
+        return self._spots(np.concatenate(out))
+
+    @staticmethod
+    def _spots(rows: np.ndarray) -> np.ndarray:
+        """One row for each document, item and spot."""
+        spot = rows[:, 2] // SPOT
+        order = np.lexsort((rows[:, 2], spot, rows[:, 1], rows[:, 0]))
+        rows, spot = rows[order], spot[order]
+        new = (rows[1:, :2] != rows[:-1, :2]).any(1) | (spot[1:] != spot[:-1])
+        return rows[np.append(True, new)] if len(rows) else rows
+
+    def _near(self, letters: np.ndarray, bounds: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Rows whose items' parts are together within the limit; never fewer than those whose items are."""
+        # Rows of one length run equally many steps.
+        rows = rows[np.argsort(self.sizes[rows[:, 1]], kind="stable")]
+        kept = [np.zeros((0, 3), np.int64)]
+        for low in range(0, len(rows), CHUNK):
+            some = rows[low : low + CHUNK]
+            total, part = np.zeros(len(some), np.int64), self.first_part[some[:, 1]]
+            done = [np.zeros((0, 3), np.int64)]
+            while len(some):
+                over = part >= self.first_part[some[:, 1] + 1]
+                done.append(some[over])
+                some, total, part = some[~over], total[~over], part[~over]
+                if len(some):
+                    total = total + self._part_distance(letters, bounds, some, part)
+                    near = total <= self.limits[some[:, 1]]
+                    some, total, part = some[near], total[near], part[near] + 1
+            kept += done
+        return np.concatenate(kept)
+
+    def _part_distance(self, letters: np.ndarray, bounds: np.ndarray, rows: np.ndarray, part: np.ndarray) -> np.ndarray:
+        """Least edit distances of one part of each row's item to the text around: bit-parallel columns, a row in each lane."""
+        offset, m = self.parts[part].T
+        slack = self.limits[rows[:, 1]] + SPOT
+        at, top = rows[:, 2] + offset - slack, (m - 1).astype(np.uint64)
+        begin, end = bounds[rows[:, 0]], np.minimum(bounds[rows[:, 0] + 1], rows[:, 2] + offset + m + slack)
+        one, base = np.uint64(1), part * 257
+        rises, falls = np.full(len(rows), ~np.uint64(0)), np.zeros(len(rows), np.uint64)
+        distance, best = m.copy(), m.copy()
+        for _ in range(int((m + 2 * slack).max())):
+            # Outside the text nothing is equal.
+            same = self.masks[base + np.where((at >= begin) & (at < end), np.take(letters, at, mode="clip"), 256)]
+            diagonal = (((same & rises) + rises) ^ rises) | same | falls
+            up, down = falls | ~(diagonal | rises), rises & diagonal
+            distance += ((up >> top) & one).astype(np.int64) - ((down >> top) & one).astype(np.int64)
+            np.minimum(best, distance, out=best)
+            up, down = up << one, down << one
+            rises, falls = down | ~(diagonal | up), up & diagonal
+            at = at + 1
+        return best
+
+    def verify(self, number: int, part: str) -> tuple[int, int, int] | None:
+        """Least edit distance of the item to a piece of ``part``: distance, start, stop (bytes); none beyond the limit."""
+        item, limit = self.rows[number][1], int(self.limits[number])
         at = part.find(item)
         if at >= 0:
             distance, start, stop = 0, at, at + len(item)
@@ -206,7 +202,7 @@ class Items:
                 return None
             start = stop - least_distance(item[::-1], part[:stop][::-1])[1]
         start, stop = (len(part[:x].encode("utf-8", "surrogatepass")) for x in (start, stop))
-        return distance, low + start, low + stop
+        return distance, start, stop
 
 
 def least_distance(pattern: str, text: str) -> tuple[int, int]:
@@ -267,15 +263,18 @@ def best_matches(column: pa.Array, looked: Items) -> Iterator[tuple]:
     at = 0
     for texts in slices(column, SLICE_BYTES):
         data, bounds = plain_bytes(texts)
+        letters, begins = symbols(data)
+        edges, begins = np.searchsorted(begins, bounds), np.append(begins, len(data))
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        tried: set[tuple[int, int, int]] = set()
-        for doc, item, begin in looked.candidates(data, bounds).tolist():
-            begin = int(begin - bounds[doc])
-            spot = (doc, item, begin // 16)
-            if spot in tried or best.get((doc, item), (1,))[0] == 0:
+        for doc, item, begin in looked.candidates(letters, edges).tolist():
+            if best.get((doc, item), (1,))[0] == 0:
                 continue
-            tried.add(spot)
-            found = looked.verify(item, data[bounds[doc] : bounds[doc + 1]].tobytes(), begin)
+            slack = int(looked.limits[item]) + SPOT
+            low = max(int(edges[doc]), begin - slack)
+            high = min(int(edges[doc + 1]), begin + int(looked.sizes[item]) + slack)
+            shift = int(begins[low] - bounds[doc])
+            found = looked.verify(item, data[begins[low] : begins[high]].tobytes().decode("utf-8", "surrogatepass"))
+            found = found and (found[0], shift + found[1], shift + found[2])
             if found and found < best.get((doc, item), (1 << 30,)):
                 best[doc, item] = found
         rows = [
@@ -291,8 +290,8 @@ def matches(docs: DataFrame, items: DataFrame, edits: float = EDITS) -> DataFram
 
     A row matches where some part of its text is at most ``edits`` times the item's length (code
     points) away from the whole item. ``start`` and ``stop`` are byte offsets in the normalised text.
-    Candidates reach a recall of about 0.9 at a tenth of the letters changed; exact occurrences are
-    found. Items without text match nothing; null texts have no match. Repeated rows match each by
+    Exact occurrences are found, and so is any that keeps one of the item's seeds: at a fifth of the letters
+    changed at random about 0.95 do, with fewer changes more. Items without text match nothing; null texts have no match. Repeated rows match each by
     itself. ``docs`` needs ``doc_id, text``; more is not read.
     """
     names = ["doc_id", "item_id", "distance", "similarity", "start", "stop"]

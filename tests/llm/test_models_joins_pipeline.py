@@ -145,6 +145,24 @@ def test_planted_passages_are_found(spark):
     assert decontaminate.matches(docs, benchmark.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("share", [0.1, 0.15, 0.2])
+def test_changed_items_are_found_up_to_the_limit(share):
+    rng = random.Random(8)
+    syllables = ["an", "the", "ing", "er", "tion", "ou", "st", "ha", "ré", "ly", "ed", "nd"]
+    text = lambda n: " ".join("".join(rng.choices(syllables, k=rng.randrange(1, 4))) for _ in range(n // 4))[:n].strip()
+    for size in (100, 250, 500, 1000):
+        items = [(i, text(size)) for i in range(40)]
+        docs = []
+        for _, item in items:
+            letters = list(item)
+            for at in rng.sample(range(len(letters)), int(share * len(letters))):
+                letters[at] = rng.choice(["x", "y", "", letters[at] + "q"])
+            docs.append(f"{text(300)} {''.join(letters)} {text(300)}")
+        near = [decontaminate.least_distance(decontaminate.normalise(i), decontaminate.normalise(d))[0] <= 0.2 * len(i) for (_, i), d in zip(items, docs, strict=True)]
+        got = {row[:2] for row in decontaminate.best_matches(pa.array(docs), decontaminate.Items(items))}
+        assert sum((i, i) in got for i in range(40)) >= 0.9 * sum(near) > 30, (size, share)
+
+
 def test_items_in_blocks_find_the_same(spark, monkeypatch):
     docs, benchmark, _ = passages(spark)
     whole = sorted(map(tuple, decontaminate.matches(docs, benchmark).collect()), key=repr)
