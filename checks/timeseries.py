@@ -296,20 +296,20 @@ on("run_models", series, lambda d: registry.run_models(d, ["seasonal_trend", "au
 
 
 def features(s, sf):
-    return ts.range_features(ts.daily_ts(invoices(s, sf))).where("series = 'all'")
+    return ts.range_features(ts.daily_ts(invoices(s, sf)))
 
 
 def supervised_forecast(s, sf):
     table = pinned(features(s, sf), "features")
-    model, _ = supervised.train_supervised(ts.trim_training(table))
-    return tidy(supervised.forecast_supervised(model, table), 2)
+    models = supervised.train_each(ts.trim_training(table))
+    return tidy(supervised.forecast_each(models, table), 2)
 
 
 def dated_prediction(s, sf):
     table = pinned(features(s, sf), "features")
-    model, _ = supervised.train_supervised(ts.trim_training(table), trees=[20], folds=2)
+    models = supervised.train_each(ts.trim_training(table))
     wanted = table.select("series", F.date_add("date", 1).alias("date"))
-    found, missing = supervised.predict_on_date(model, table, wanted)
+    found, missing = supervised.predict_each_on_date(models, table, wanted)
     return tidy(found.unionByName(missing.withColumn("prediction", F.lit(None).cast("double"))), 2)
 
 

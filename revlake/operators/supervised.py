@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -19,6 +21,9 @@ TREES = (10, 15, 20, 25)
 FOLDS = 5
 HOLD_OUT = 0.25
 SEED = 42
+# Fewest training rows of a series with a model of its own; series fitted at a time.
+LEAST_ROWS = 50
+PARALLEL = 4
 
 
 def train_supervised(
@@ -62,3 +67,41 @@ def predict_on_date(model: PipelineModel, features: DataFrame, wanted: DataFrame
     found = wanted.join(features, ["series", "date"])
     missing = wanted.join(features.select("series", "date"), ["series", "date"], "left_anti")
     return forecast_supervised(model, found), missing
+
+
+def train_each(
+    training: DataFrame, trees: Sequence[int] = TREES, folds: int = FOLDS, seed: int = SEED
+) -> dict[str, tuple[PipelineModel, float]]:
+    """``train_supervised`` for every series by itself; series with fewer than ``LEAST_ROWS`` rows have no model.
+
+    The driver gets the names of the series, which are few: all, and the largest countries.
+    """
+    names = sorted(r["series"] for r in training.groupBy("series").count().where(F.col("count") >= LEAST_ROWS).collect())
+
+    def fit(name: str) -> tuple[PipelineModel, float]:
+        # One row per day: a series fits one partition, which its many short jobs read from memory.
+        own = training.where(F.col("series") == name).coalesce(1).persist()
+        try:
+            return train_supervised(own, trees, folds, seed)
+        finally:
+            own.unpersist()
+
+    with ThreadPool(PARALLEL) as pool:
+        return dict(zip(names, pool.map(inheritable_thread_target(training.sparkSession)(fit), names), strict=True))
+
+
+def forecast_each(models: dict[str, tuple[PipelineModel, float]], features: DataFrame) -> DataFrame:
+    """``forecast_supervised`` with each series' own model; null for series without one."""
+    out = features.where(~F.col("series").isin(list(models))).select("series", "date", F.lit(None).cast("double").alias("prediction"))
+    for name, (model, _) in models.items():
+        out = out.unionByName(forecast_supervised(model, features.where(F.col("series") == name)))
+    return out
+
+
+def predict_each_on_date(
+    models: dict[str, tuple[PipelineModel, float]], features: DataFrame, wanted: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """``predict_on_date`` with each series' own model."""
+    found = wanted.join(features, ["series", "date"])
+    missing = wanted.join(features.select("series", "date"), ["series", "date"], "left_anti")
+    return forecast_each(models, found), missing

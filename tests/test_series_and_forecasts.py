@@ -224,3 +224,20 @@ def test_clusters_partition_the_customers(spark):
     assert clustering.kmeans_customers(features.limit(9)).count() == 0
     costs = [r["cost"] for r in clustering.elbow(features, clustering.CUSTOMER_FEATURES).orderBy("k").collect()]
     assert len(costs) == 8 and costs[0] > costs[-1]
+
+
+def test_supervised_models_of_every_series(spark, sf):
+    from checks import timeseries
+    from revlake.session import pinned
+
+    table = pinned(timeseries.features(spark, sf), "features")
+    names = {r["series"] for r in table.select("series").distinct().collect()}
+    assert len(names) == 11
+    models = supervised.train_each(ts.trim_training(table), trees=[3], folds=2)
+    assert "all" in models and len(models) > 1
+    out = supervised.forecast_each(models, table).groupBy("series").agg(F.count("prediction").alias("n"), F.count("*").alias("rows")).collect()
+    assert {r["series"] for r in out} == names
+    assert all(r["n"] == (r["rows"] if r["series"] in models else 0) for r in out)
+    found, missing = supervised.predict_each_on_date(models, table, table.select("series", F.date_add("date", 1).alias("date")))
+    assert {r["series"] for r in found.select("series").distinct().collect()} == names
+    assert missing.count() == len(names)
