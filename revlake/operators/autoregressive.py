@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revlake.functions.columns import finite
 from revlake.operators.forecasting import z_value
 
 # Shortest history, weekly season, default order.
@@ -162,3 +163,19 @@ def grid_search_order(
     scores = score_orders(df, grid, keys)
     best = F.min_by(F.struct("p", "d", "seasonal", criterion), F.struct(criterion, "p", "d", "seasonal"))
     return scores.groupBy(*keys).agg(best.alias("b")).select(*keys, "b.*")
+
+
+def reasons(df: DataFrame, keys: Sequence[str] = ("series",)) -> DataFrame:
+    """Every series and why no autoregression is fitted to it; null where one is."""
+    rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.count(finite("y")).alias("_finite"))
+    short = F.format_string(f"%d days, fewer than {MIN_POINTS}", "_n")
+    bad = F.format_string("%d values missing or not finite", F.col("_n") - F.col("_finite"))
+    return rows.select(*keys, F.when(F.col("_n") < MIN_POINTS, short).when(F.col("_n") > F.col("_finite"), bad).alias("reason"))
+
+
+def with_reasons(out: DataFrame, why: DataFrame, keys: Sequence[str] = ("series",)) -> DataFrame:
+    """``out`` with a column ``reason``, and one row with a reason and no values for every series of ``why`` that has no row."""
+    held = out.select(*keys).distinct()
+    same = [why[k].eqNullSafe(held[k]) for k in keys]
+    lost = why.join(held, same, "left_anti").select(*keys, F.coalesce("reason", F.lit("no row of the model")).alias("reason"))
+    return out.withColumn("reason", F.lit(None).cast("string")).unionByName(lost, allowMissingColumns=True)

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlake.operators.autoregressive import forecast_ar
+from revlake.operators.autoregressive import forecast_ar, reasons, with_reasons
 from revlake.operators.forecasting import forecast_ensemble, forecast_seasonal_trend
 
 FORECAST = "series string, ds date, yhat double, lower double, upper double"
@@ -40,11 +40,15 @@ def register_per_series(name: str, fit_predict: Callable[[pd.DataFrame, int, flo
 
 
 def run_models(df: DataFrame, names: list[str], horizon: int = 30, interval: float = 0.95) -> DataFrame:
-    """Forecasts of several models over all series, one frame."""
-    out = None
+    """Forecasts of several models over all series, one frame.
+
+    A series without a forecast of a model has one row of that model, with a ``reason`` and no values.
+    """
+    out, why = None, reasons(df)
     for name in names:
-        rows = MODELS[name](df, horizon=horizon, interval=interval).select(
-            "series", F.lit(name).alias("model"), "ds", "yhat", "lower", "upper"
-        )
+        rows = MODELS[name](df, horizon=horizon, interval=interval)
+        # Other models have limits of their own.
+        known = why if name in ("autoregressive", "ensemble") else why.withColumn("reason", F.lit(None).cast("string"))
+        rows = with_reasons(rows, known).select("series", F.lit(name).alias("model"), "ds", "yhat", "lower", "upper", "reason")
         out = rows if out is None else out.unionByName(rows)
     return out

@@ -241,3 +241,16 @@ def test_supervised_models_of_every_series(spark, sf):
     found, missing = supervised.predict_each_on_date(models, table, table.select("series", F.date_add("date", 1).alias("date")))
     assert {r["series"] for r in found.select("series").distinct().collect()} == names
     assert missing.count() == len(names)
+
+
+def test_series_without_a_fit_have_a_reason(spark):
+    values = [100.0 + i % 7 + i % 5 for i in range(60)]
+    df = frame(spark, values).unionByName(frame(spark, values[:49], "short")).unionByName(frame(spark, [*values[:-1], float("inf")], "inf"))
+    wanted = {"a": None, "short": "49 days, fewer than 50", "inf": "1 values missing or not finite"}
+    for work in (lambda d: ar.forecast_ar(d, 5), lambda d: ar.score_orders(d, [(1, 0, False)]), lambda d: ar.grid_search_order(d, [(1, 0, False)])):
+        out = ar.with_reasons(work(df), ar.reasons(df)).select("series", "reason").distinct().collect()
+        assert {r["series"]: r["reason"] for r in out} == wanted and len(out) == 3
+    out = registry.run_models(df, ["autoregressive", "ensemble"], horizon=5).collect()
+    for model in ("autoregressive", "ensemble"):
+        assert {r["series"]: r["reason"] for r in out if r["model"] == model} == wanted
+        assert sum(r["yhat"] is None for r in out if r["model"] == model) == 2
