@@ -291,7 +291,7 @@ on("search_simple_orders", series, lambda d: autoregressive.grid_search_order(d,
 on("forecast_ar", series, lambda d: autoregressive.with_reasons(autoregressive.forecast_ar(d), autoregressive.reasons(d)), "", None)
 on("score_orders", series, lambda d: autoregressive.with_reasons(autoregressive.score_orders(d), autoregressive.reasons(d)), "", None)
 on("grid_search_order", series, lambda d: autoregressive.with_reasons(autoregressive.grid_search_order(d), autoregressive.reasons(d)), "", None)
-on("forecast_searched", series, lambda d: autoregressive.forecast_ar(d, orders=autoregressive.grid_search_order(d, [(p, x, True) for p in (1, 2) for x in (0, 1)])), "", None)
+on("forecast_searched", series, lambda d: autoregressive.forecast_ar(d, orders=autoregressive.grid_search_order(d)), "", None)
 on("run_models", series, lambda d: registry.run_models(d, ["seasonal_trend", "autoregressive", "ensemble"]), "", None)
 
 

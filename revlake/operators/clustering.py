@@ -64,13 +64,13 @@ def _best_fit(scaled: DataFrame, k: int, seed: int, restarts: int):
 
 
 def elbow(features: DataFrame, names: list[str], seed: int = SEED) -> DataFrame:
-    """Within-cluster cost for k = 2 .. min(10, n / 5)."""
+    """Within-cluster cost for k = 2 .. min(10, n / 5), the least of ``RESTARTS`` runs each."""
     scaled = standardised(features, names).persist()
     try:
         most = min(ELBOW_MOST, scaled.count() // 5)
 
         def cost(k: int) -> tuple[int, float]:
-            return k, float(_best_fit(scaled, k, seed, 1).summary.trainingCost)
+            return k, float(_best_fit(scaled, k, seed, RESTARTS).summary.trainingCost)
 
         with ThreadPool(PARALLEL) as pool:
             costs = pool.map(inheritable_thread_target(scaled.sparkSession)(cost), range(2, most + 1))

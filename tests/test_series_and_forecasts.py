@@ -254,3 +254,22 @@ def test_series_without_a_fit_have_a_reason(spark):
     for model in ("autoregressive", "ensemble"):
         assert {r["series"]: r["reason"] for r in out if r["model"] == model} == wanted
         assert sum(r["yhat"] is None for r in out if r["model"] == model) == 2
+
+
+def test_elbow_and_searched_orders_do_the_whole_search(spark, monkeypatch):
+    from checks import timeseries
+
+    rows = [(i, float(i % 3 * 100 + i), float(i), float(i % 4), float(i % 5)) for i in range(20)]
+    df = spark.createDataFrame(rows, ["customer_id", *clustering.CUSTOMER_FEATURES])
+    best, restarts = clustering._best_fit, []
+    monkeypatch.setattr(clustering, "_best_fit", lambda scaled, k, seed, n: restarts.append(n) or best(scaled, k, seed, 1))
+    assert [r["k"] for r in clustering.elbow(df, clustering.CUSTOMER_FEATURES).collect()] == [2, 3, 4]
+    assert restarts == [clustering.RESTARTS] * 3
+    grids, search = [], ar.grid_search_order
+    monkeypatch.setattr(ar, "grid_search_order", lambda d, grid=ar.GRID: grids.append(grid) or search(d, [(1, 0, False)]))
+    monkeypatch.setattr(timeseries, "tidy", lambda df, digits: df)
+    history = frame(spark, [100.0 + i % 7 + i % 5 for i in range(60)])
+    query = timeseries.QUERIES["forecast_searched"]
+    cells = dict(zip(query.__code__.co_freevars, query.__closure__, strict=True))
+    assert cells["query"].cell_contents(history).count() == 30
+    assert grids == [ar.GRID]
