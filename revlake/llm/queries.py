@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlake.llm import chat, decontaminate, dedup, jaccard_join, licenses, mixing, quality, token_output, toxicity, warc
+from revlake.llm import (
+    chat,
+    decontaminate,
+    dedup,
+    jaccard_join,
+    licenses,
+    mixing,
+    quality,
+    runs,
+    sentence_pieces,
+    spellings,
+    token_output,
+    toxicity,
+    warc,
+)
+from revlake.llm.common import WORD
 
 QUERIES, ORACLES = {}, {}
 
@@ -196,3 +211,99 @@ def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["op4_decontaminate"] = op4_decontaminate
+
+
+def piece_model(name: str = "piece_bpe_32k.model") -> bytes:
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
+def op11_sentence_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    return sentence_pieces.digests(sentence_pieces.round_trip(table(spark, sf, "documents"), piece_model()))
+
+
+QUERIES["op11_sentence_pieces"] = op11_sentence_pieces
+
+
+def misspelt(run: Column, doc: Column) -> Column:
+    """A run as op12 reads it: about one in 97 loses a letter. A null id counts as empty."""
+    h = F.crc32(F.concat(F.coalesce(doc.cast("string"), F.lit("")), F.lit(":"), run))
+    k = (h % F.length(run)).cast("int")
+    return F.when(h % 97 == 0, F.concat(F.substring(run, F.lit(1), k), F.substring(run, k + 2, F.length(run)))).otherwise(run)
+
+
+def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    found = spellings.letter_runs(table(spark, sf, "documents"))
+    return spellings.variants(spellings.counted_words(found.select(misspelt(F.col("run"), F.col("doc_id")).alias("word"))))
+
+
+QUERIES["op12_spelling_variants"] = op12_spelling_variants
+# SQL has no crc32: a table by its rule, then one step a byte. Words one edit apart share a word with one
+# letter left out at the same place, or one is the other with a letter left out.
+ORACLES["op12_spelling_variants"] = r"""
+WITH RECURSIVE bits AS (
+  SELECT CAST(i AS BIGINT) AS i, CAST(i AS BIGINT) AS c, 0 AS k FROM range(256) AS r(i)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+), steps AS (
+  SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8
+), tokens AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+), per_doc AS (
+  SELECT doc_id, run, count(*) AS n FROM tokens GROUP BY doc_id, run
+), keyed AS (
+  SELECT run, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM per_doc
+), hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(range(0, length(x) // 2),
+             lambda i: CAST(16 * (strpos('123456789ABCDEF', x[2 * i + 1])) + strpos('123456789ABCDEF', x[2 * i + 2]) AS BIGINT))),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+  FROM keyed, steps
+), words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+         CAST(sum(n) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3
+), cuts AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT a.word AS a, b.word AS b, b.n AS bn FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION
+  SELECT c.word, w.word, w.n FROM cuts c JOIN words w ON c.rest = w.word
+  UNION
+  SELECT w.word, c.word, c.n FROM cuts c JOIN words w ON c.rest = w.word
+), ranked AS (
+  SELECT a, b, bn, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY bn DESC, b) AS place FROM near
+), forms AS (
+  SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.bn >= 2 * w.n THEN r.b END AS form, CASE WHEN r.bn >= 2 * w.n THEN r.bn END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.a = w.word AND r.place = 1
+), chains AS (
+  SELECT word, word AS root, 0 AS depth FROM forms
+  UNION ALL
+  SELECT c.word, f.form, depth + 1 FROM chains c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, max_by(c.root, c.depth) AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN chains c ON c.word = f.word GROUP BY ALL
+"""
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """Texts as op13 reads them: every tenth document, by crc32 of its id, repeats some of its words to the end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    words = docs.select("doc_id", "text", F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("w"))
+    marked = words.withColumns({"n": F.size("w"), "g": g}).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    marked = marked.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    again = F.expr("transform(w, (x, i) -> CASE WHEN i < a THEN x ELSE w[CAST(a + (i - a) % p AS INT)] END)")
+    return marked.select("doc_id", F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return runs.digests(runs.find_runs(with_repeats(table(spark, sf, "documents"))))
+
+
+QUERIES["op13_periodic_runs"] = op13_periodic_runs
