@@ -16,7 +16,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain, groupby
+from itertools import chain, groupby, pairwise
 from operator import add
 
 import numpy as np
@@ -30,9 +30,8 @@ from revlake.llm.shingles import slices
 SPACE_SYMBOL = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 BPE = 2
-#: Cuts remembered by a task, and the length up to which they are; only speed depends on them.
-REMEMBERED, REMEMBERED_LENGTH = 150_000, 48
-_CUT = re.compile(f"{SPACE_SYMBOL}*[^{SPACE_SYMBOL}]+|{SPACE_SYMBOL}+")
+#: Cuts remembered by a worker, and the length up to which they are; only speed depends on them.
+REMEMBERED, REMEMBERED_LENGTH = 400_000, 40
 
 
 class Vocabulary:
@@ -62,12 +61,17 @@ class Vocabulary:
         bytes_of = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == BYTE}
         self.byte_ids = [bytes_of[b] for b in range(256)] if proto.trainer_spec.byte_fallback else None
         self.cuts = not any(re.search(f"[^{SPACE_SYMBOL}]{SPACE_SYMBOL}", p) for p in self.ids)
+        # Spaces with what follows them; a character that stands in no longer piece is a cut of its own.
+        joined = re.escape("".join({c for p in self.ids if len(p) > 1 for c in p} - {SPACE_SYMBOL}) or " ")
+        self.cut = re.compile(f"[ {SPACE_SYMBOL}]*[{joined}]+|[ {SPACE_SYMBOL}]+|[^ {SPACE_SYMBOL}]")
         self.side_by_side = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.kinds = [p.type for p in proto.pieces]
         self.control = [i for i, kind in enumerate(self.kinds) if kind == CONTROL]
         surface = proto.trainer_spec.unk_surface.encode()
         self.contents = [self._content(p, surface) for p in proto.pieces]
+        #: Ids of cuts met of late, and of those met before these: full tables age, and a cut met again is young.
         self._known: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
 
     @staticmethod
     def _content(piece, surface: bytes) -> bytes:
@@ -79,17 +83,31 @@ class Vocabulary:
             return bytes([int(piece.piece[3:5], 16)])
         return piece.piece.replace(SPACE_SYMBOL, " ").encode()
 
-    def normalised(self, text: str) -> str:
+    def prepared(self, text: str) -> str:
+        """The text as it is cut, with plain spaces."""
         if self.trimmed:
             text = re.sub(" +", " ", text.strip(" "))
-        text = text.replace(" ", SPACE_SYMBOL)
-        return SPACE_SYMBOL + text if text and self.prefix else text
-
-    def merged(self, symbols: str) -> tuple[int, ...]:
-        """Ids of one cut by the agenda."""
-        parts, rank = list(symbols), self.ranks.get
+        return " " + text if text and self.prefix else text
+
+    def _merge_few(self, parts: list[str]) -> None:
+        """Merge by an agenda in the order of the places; the next pair is its least rank."""
+        rank, none = self.ranks.get, len(self.ranks)
+        agenda = [rank(a + b, none) for a, b in pairwise(parts)]
+        least = min(agenda, default=none)
+        while least < none:
+            i = agenda.index(least)
+            parts[i] = piece = parts[i] + parts.pop(i + 1)
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = rank(piece + parts[i + 1], none)
+            if i:
+                agenda[i - 1] = rank(parts[i - 1] + piece, none)
+            least = min(agenda, default=none)
+
+    def _merge_many(self, parts: list[str]) -> None:
+        """Merge by an agenda that is a heap: a rank with the place of the pair's left symbol below it."""
+        rank = self.ranks.get
         after, before = [*range(1, len(parts)), -1], list(range(-1, len(parts) - 1))
-        # An entry is a rank with the place of the pair's left symbol below it.
         agenda = [r << 32 | i for i, r in enumerate(map(rank, map(add, parts, parts[1:]))) if r is not None]
         heapify(agenda)
         while agenda:
@@ -113,39 +131,38 @@ class Vocabulary:
                 r = rank(parts[leading] + piece)
                 if r is not None:
                     heappush(agenda, r << 32 | leading)
-        ids: list[int] = []
-        for part in filter(None, parts):
-            known = self.ids.get(part)
-            if known is not None:
-                ids.append(known)
-            elif self.byte_ids:
-                ids.extend(self.byte_ids[b] for b in part.encode())
-            else:
-                ids.append(self.unknown)
+        parts[:] = [p for p in parts if p]
+
+    def merged(self, cut: str) -> tuple[int, ...]:
+        """Ids of one cut by the agenda."""
+        parts = list(cut.replace(" ", SPACE_SYMBOL))
+        (self._merge_few if len(parts) <= REMEMBERED_LENGTH else self._merge_many)(parts)
+        ids = list(map(self.ids.get, parts))
+        if None in ids:  # characters without a piece
+            spelt = [(i,) if i is not None else [self.byte_ids[b] for b in p.encode()] if self.byte_ids else (self.unknown,) for i, p in zip(ids, parts, strict=True)]
+            ids = list(chain.from_iterable(spelt))
         return tuple(ids)
 
     def _found(self, cut: str) -> tuple[int, ...]:
-        """Ids of a cut, by finer cuts where no piece joins two neighbours; remembered if short."""
-        found = self._known.get(cut)
-        if found is None:
-            together = self.side_by_side
-            ends = [i for i in range(1, len(cut)) if cut[i - 1 : i + 1] not in together]
-            if ends:
-                found = tuple(chain.from_iterable(self._found(cut[a:b]) for a, b in zip([0, *ends], [*ends, len(cut)], strict=True)))
-            else:
-                found = self.merged(cut)
-            if len(cut) <= REMEMBERED_LENGTH:
-                if len(self._known) >= REMEMBERED:
-                    self._known.clear()
-                self._known[cut] = found
+        """Ids of a cut not met of late. A long one is cut finer, where no piece joins two neighbours."""
+        if len(cut) > REMEMBERED_LENGTH:
+            together, symbols = self.side_by_side, cut.replace(" ", SPACE_SYMBOL)
+            ends = [i for i in range(1, len(cut)) if symbols[i - 1 : i + 1] not in together]
+            parts = [cut[a:b] for a, b in zip([0, *ends], [*ends, len(cut)], strict=True)]
+            return tuple(chain.from_iterable(self.merged(p) if len(p) > REMEMBERED_LENGTH else self._known.get(p) or self._found(p) for p in parts))
+        found = self._older.get(cut) or self.merged(cut)
+        if len(self._known) >= REMEMBERED:
+            self._known, self._older = {}, self._known
+        self._known[cut] = found
         return found
 
     def encode(self, text: str, end: bool = True) -> list[int]:
         """Ids of a text, with the end id; unknown characters in a row are one unknown id."""
-        symbols, known = self.normalised(text), self._known
+        ready = self.prepared(text)
+        cuts = self.cut.findall(ready) if self.cuts else [ready] if ready else []
         ids: list[int] = []
-        for cut in _CUT.findall(symbols) if self.cuts else [symbols]:
-            ids.extend(known.get(cut) or self._found(cut))
+        for cut in cuts:
+            ids.extend(self._known.get(cut) or self._found(cut))
         if not self.byte_ids:
             ids = [x for i, x in enumerate(ids) if x != self.unknown or i == 0 or ids[i - 1] != x]
         return ids + [self.end_id] if end else ids
