@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.inputs import api_logs, clean, cte, final, invoices, lines, raw_records, requests, table, tidy
+from checks.inputs import api_logs, clean, cte, daily, final, history, invoices, lines, raw_records, requests, series, table, tidy
 from revlake.functions import columns as C
 from revlake.operators import cleaning, ingest, logs
+from revlake.plans import build_tables, load_invoices
+from revlake.session import fresh_path
 from revlake.sources import invoices as sources
+from revlake.streaming.invoices import ingest_stream
 
 QUERIES, ORACLES = {}, {}
 
@@ -232,8 +235,22 @@ check(
         logs.redact_json(F.format_string(
             '{"user":%d,"API_TOKEN":"t%d","note":"a \\"b\\"","inner":{"password":"p","k":%d},"list":[1,2]}',
             "user_id", "user_id", "event_id")).alias("details")),
-    """SELECT event_id, '{"user":' || user_id || ',"API_TOKEN":"***REDACTED***","note":"a \\"b\\"","inner":{"password":"***REDACTED***","k":'
-       || event_id || '},"list":[1,2]}' AS details FROM events""",
+    """SELECT event_id, '{"API_TOKEN":"***REDACTED***","inner":{"k":' || event_id || ',"password":"***REDACTED***"},"list":[1,2],"note":"a \\"b\\"","user":'
+       || user_id || '}' AS details FROM events""",
+)
+check(
+    "redact_json_deep",
+    # Six levels down: a secret that holds an object, a long list, and a list of objects that stays.
+    lambda s, sf: table(s, sf, "events").select(
+        "event_id",
+        logs.redact_json(F.concat(
+            F.lit('{"a":{"b":{"c":{"d":{"e":'), F.to_json(F.struct(
+                F.col("user_id").alias("keep"), F.struct(F.col("event_id").alias("x")).alias("authData"),
+                F.sequence(F.lit(1), F.lit(99) + F.col("event_id") % 4).alias("list"), F.array(F.struct(F.lit("t").alias("token"))).alias("short"))),
+            F.lit("}}}}}"))).alias("details")),
+    """SELECT event_id, '{"a":{"b":{"c":{"d":{"e":{"authData":"***REDACTED***","keep":' || user_id || ',"list":'
+       || CASE WHEN event_id % 4 > 1 THEN '"[' || (99 + event_id % 4) || ' items]"' ELSE '[' || array_to_string(range(1, 100 + event_id % 4), ',') || ']' END
+       || ',"short":[{"token":"t"}]}}}}}}' AS details FROM events""",
 )
 def nested_line(views):
     return F.struct(F.col("l_partkey").cast("string").alias("stream_id"), views.cast("int").alias("times_viewed"), F.col("l_extendedprice").alias("price"))
@@ -336,8 +353,8 @@ check(
         'api_request' AS category, 'POST ' || endpoint || ' -> ' || status_code AS message, 'C' || (user_id % 5) AS country,
         CASE WHEN user_id % 2 = 0 THEN 'prophet' ELSE 'arima' END AS model_type, CAST(user_id AS VARCHAR) AS user_id,
         CAST(event_id AS VARCHAR) AS request_id, response_time_ms / 1000 AS duration_seconds,
-        '{"country":"C' || (user_id % 5) || '","model_type":"' || CASE WHEN user_id % 2 = 0 THEN 'prophet' ELSE 'arima' END
-        || '","api_token":"***REDACTED***"}' AS body FROM reqs"""),
+        '{"api_token":"***REDACTED***","country":"C' || (user_id % 5) || '","model_type":"' || CASE WHEN user_id % 2 = 0 THEN 'prophet' ELSE 'arima' END
+        || '"}' AS body FROM reqs"""),
         "timestamp level category message country model_type user_id request_id body", "duration_seconds"),
 )
 check(
@@ -367,3 +384,141 @@ check(
         '{"operation":"SELECT","database":"' || c || '","query_type":"read","records_affected":' || n || ',"success":' || CASE WHEN b > 0 THEN 'false' ELSE 'true' END || '}' AS details
         FROM (SELECT category AS c, count(*) AS n, count(*) FILTER (level = 'ERROR') AS b FROM logs GROUP BY category)"""),
 )
+
+
+# Sources and sinks: files made from the given tables, written and read back.
+RAW_NAMES = "invoice country customer_id stream_id StreamID price total_price times_viewed TimesViewed year month day".split()
+
+
+def invoice_folder(spark, sf, per_file=5000):
+    """The raw records as JSON array files of about ``per_file`` records, and one that is cut off."""
+    rows = raw_records(spark, sf).select(*RAW_NAMES)
+    n = 1 + rows.count() // per_file
+    path = fresh_path(spark, "json-files")
+    texts = rows.groupBy(F.pmod(F.xxhash64("invoice", "stream_id", "StreamID"), F.lit(n)).alias("file")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(*RAW_NAMES))), ","), F.lit("]")).alias("value"))
+    texts = texts.unionByName(spark.range(1).select(F.lit(-1).cast("long").alias("file"), F.lit('[{"invoice": ').alias("value")))
+    texts.repartition(F.col("file")).write.partitionBy("file").text(path)
+    return path
+
+
+def ingested(spark, sf, what):
+    """The tables below a base after a batch, its repetition, a forced run and a stream over the same files."""
+    folder, base = invoice_folder(spark, sf), fresh_path(spark, "base")
+    for force, key in ((False, "first"), (False, "first"), (True, "again"), (False, None)):
+        summary = load_invoices.ingest_batch(spark, folder, base, force, key, "*.txt")
+        if key == "first":
+            first = summary
+    ingest_stream(spark, folder, base, fresh_path(spark, "state"), pattern="*.txt").awaitTermination()
+    if what == "summary":
+        return first
+    if what == "ledger":
+        return sources.latest_ledger(load_invoices.ledger_table(spark, base))
+    return sources.read_invoice_table(spark, f"{base}/invoices") if what == "invoices" else spark.read.parquet(f"{base}/rejects")
+
+
+def streamed_invoices(spark, sf):
+    folder, base = invoice_folder(spark, sf), fresh_path(spark, "base")
+    for state in ("one", "two"):  # a fresh state reads all files again
+        ingest_stream(spark, folder, base, fresh_path(spark, state), files_per_batch=3, pattern="*.txt").awaitTermination()
+    return sources.read_invoice_table(spark, f"{base}/invoices")
+
+
+STORED = "invoice customer_id stream_id price times_viewed date country".split()
+STORED_SQL = final(
+    cte("good", """SELECT invoice, customer_id, stream_id, price, times_viewed, date, min(country) AS country FROM good
+        GROUP BY invoice, customer_id, stream_id, price, times_viewed, date"""),
+    "invoice customer_id stream_id times_viewed country", "price", "date")
+check(
+    "read_invoices",
+    lambda s, sf: sources.read_invoices(s, invoice_folder(s, sf), "*.txt").where("file_error is null").select(*RAW_NAMES),
+    cte("lines", """SELECT CAST(o_orderkey AS VARCHAR) AS invoice,
+        CASE WHEN l_partkey % 97 <> 0 THEN n_name END AS country,
+        CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
+        CASE WHEN l_linenumber % 2 = 0 THEN id END AS stream_id, CASE WHEN l_linenumber % 2 <> 0 THEN id END AS StreamID,
+        CASE WHEN l_linenumber % 3 = 0 THEN CAST(CAST(floor(l_extendedprice) AS BIGINT) AS VARCHAR) END AS price,
+        CASE WHEN l_linenumber % 3 <> 0 THEN CAST(CAST(floor(l_extendedprice) AS BIGINT) AS VARCHAR) END AS total_price,
+        CASE WHEN l_linenumber % 4 = 0 THEN CAST(CAST(trunc(l_quantity) AS INTEGER) AS VARCHAR) END AS times_viewed,
+        CASE WHEN l_linenumber % 4 <> 0 AND l_partkey % 7 <> 0 THEN CAST(CAST(trunc(l_quantity) AS INTEGER) AS VARCHAR) END AS TimesViewed,
+        CAST(year(o_orderdate) AS VARCHAR) AS year, CASE WHEN l_partkey % 89 = 0 THEN '2' ELSE CAST(month(o_orderdate) AS VARCHAR) END AS month,
+        CASE WHEN l_partkey % 89 = 0 THEN '31' ELSE CAST(day(o_orderdate) AS VARCHAR) END AS day FROM
+        (SELECT *, CASE WHEN l_partkey % 50 = 0 THEN 'POST' WHEN l_partkey % 3 = 0 THEN CAST(l_partkey AS VARCHAR) || 'A' ELSE CAST(l_partkey AS VARCHAR) END AS id FROM lines)"""),
+)
+check("ingest_batch", lambda s, sf: tidy(ingested(s, sf, "invoices").select(*STORED)), STORED_SQL)
+check("ingest_stream", lambda s, sf: tidy(streamed_invoices(s, sf).select(*STORED)), STORED_SQL)
+check(
+    "ingest_rejects",
+    lambda s, sf: ingested(s, sf, "rejects").groupBy("reject_reason").agg(F.count(F.lit(1)).alias("records"), F.count_distinct("reject_key").alias("keys")),
+    cte("typed", """SELECT CASE WHEN country IS NULL THEN 'missing: country' ELSE 'not a calendar date' END AS reject_reason, count(*) AS records,
+        count(*) AS keys FROM typed WHERE country IS NULL OR date IS NULL GROUP BY ALL UNION ALL SELECT 'unreadable JSON', 1, 1"""),
+)
+check(
+    "ingest_ledger",
+    lambda s, sf: ingested(s, sf, "ledger").groupBy("processing_status").agg(F.sum("records_processed").alias("records"), F.count("error_message").alias("errors")),
+    cte("typed", """SELECT 'completed' AS processing_status, count(*) FILTER (country IS NOT NULL AND date IS NOT NULL) AS records, 0 AS errors FROM typed
+        UNION ALL SELECT 'failed', 0, 1"""),
+)
+check(
+    "ingest_batch_summary",
+    lambda s, sf: ingested(s, sf, "summary").drop("files_processed"),
+    cte("typed", """SELECT count(*) FILTER (country IS NOT NULL AND date IS NOT NULL) AS records,
+        count(*) FILTER (country IS NULL OR date IS NULL) + 1 AS errors, 'completed' AS status FROM typed"""),
+)
+
+
+def back(spark, label, write, read):
+    path = fresh_path(spark, label)
+    write(path)
+    return read(path)
+
+
+def csv_round_trip(s, sf):
+    rows = invoices(s, sf).select("invoice", "country", "customer_id", "price", "date")
+    return back(s, "csv", lambda p: sources.write_csv(rows, p), lambda p: sources.read_csv(s, p, rows.schema))
+
+
+check("csv_round_trip", lambda s, sf: tidy(csv_round_trip(s, sf)), final(cte("inv", "SELECT * FROM inv"), "invoice country customer_id", "price", "date"))
+
+
+def series_csv_round_trip(s, sf):
+    rows = series(s, sf).select("series", "ds", "y")
+    back_schema = "ds date, y double, series string"
+    return back(s, "series-csv", lambda p: sources.write_series_csv(rows, p), lambda p: sources.read_series_csv(s, p, back_schema))
+
+
+check("series_csv_round_trip", lambda s, sf: tidy(series_csv_round_trip(s, sf)), final(cte("series", "SELECT series, ds, y FROM series"), "series", "y", "ds"))
+
+
+def stored_tables(s, sf, name):
+    """A result table after its dates were written twice."""
+    base = fresh_path(s, "tables")
+    for _ in range(2):
+        build_tables.build_tables(s, invoices(s, sf), base, replace_dates=True)
+    return s.read.parquet(f"{base}/{name}")
+
+
+check(
+    "stored_daily_metrics",
+    lambda s, sf: tidy(stored_tables(s, sf, "daily_aggregated_metrics").select("country", "date", "total_transactions", "total_revenue")),
+    final(cte("daily", "SELECT * FROM daily"), "country total_transactions", "total_revenue", "date"),
+)
+check(
+    "report_round_trip",
+    lambda s, sf: tidy(back(s, "report", lambda p: sources.save_report(daily(s, sf).groupBy("country").agg(F.sum("total_revenue").alias("revenue"), F.count("date").alias("days")), p), s.read.json)),
+    final(cte("daily", "SELECT country, sum(total_revenue) AS revenue, count(*) AS days FROM daily GROUP BY country"), "country days", "revenue"),
+)
+
+
+def history_round_trip(s, sf):
+    """Model history as one JSON object of lists, as it is kept on disk."""
+    fields = "mae mape rmse mase r2 timestamp model_type country".split()
+    per_model = history(s, sf).groupBy(F.concat_ws("_", "country", "model_type").alias("k")).agg(F.collect_list(F.struct(*fields)).alias("v"))
+    text = per_model.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("k", "v")))).alias("value"))
+    return back(s, "history", text.write.text, lambda p: sources.read_metrics_history(s, p))
+
+
+check(
+    "read_metrics_history",
+    lambda s, sf: tidy(history_round_trip(s, sf).select("key", "country", "timestamp", "r2", "mae")),
+    final(cte("history", "SELECT country || '_' || model_type AS key, country, epoch_us(timestamp) AS timestamp, r2, mae FROM history"), "key country timestamp", "r2 mae"),
+)

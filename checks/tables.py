@@ -103,9 +103,12 @@ check(
     "quality_report_empty",
     lambda s, sf: tidy(metrics.quality_report(
         clean(s, sf).where("price < 0"), cleaning.cleaning_metrics(invoices(s, sf)))).na.fill({"country": "(all)"})
-    .select("country", "total_records", "completeness_score", "overall_quality_score", "price_iqr_outliers", "invalid_prices"),
-    cte("inv", """SELECT '(all)' AS country, 0 AS total_records, 0.0::DOUBLE AS completeness_score, 0.0::DOUBLE AS overall_quality_score,
-        0 AS price_iqr_outliers, count(*) FILTER (price < 0.01 OR price > 10000) AS invalid_prices FROM inv"""),
+    .select("country", "total_records", "valid_records", "missing_customer_ids", "price_outliers", "view_count_outliers",
+            "completeness_score", "overall_quality_score", "price_iqr_outliers", "invalid_prices"),
+    cte("clean", """SELECT '(all)' AS country, (SELECT count(*) FROM inv) AS total_records, 0 AS valid_records,
+        (SELECT count(*) FROM inv WHERE customer_id IS NULL) AS missing_customer_ids, count(*) FILTER (is_price_outlier) AS price_outliers,
+        count(*) FILTER (is_view_outlier) AS view_count_outliers, 0.0::DOUBLE AS completeness_score, 0.0::DOUBLE AS overall_quality_score,
+        0 AS price_iqr_outliers, (SELECT count(*) FROM inv WHERE price < 0.01 OR price > 10000) AS invalid_prices FROM clean"""),
 )
 check(
     "volume_anomalies",

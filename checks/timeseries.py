@@ -288,9 +288,9 @@ on("search_simple_orders", series, lambda d: autoregressive.grid_search_order(d,
    "SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY series ORDER BY bic) = 1", "series p d seasonal", "bic", **SIMPLE_SQL)
 
 # Iterative fits have no SQL twin.
-on("forecast_ar", series, lambda d: autoregressive.with_reasons(autoregressive.forecast_ar(d), autoregressive.reasons(d)), "", None)
-on("score_orders", series, lambda d: autoregressive.with_reasons(autoregressive.score_orders(d), autoregressive.reasons(d)), "", None)
-on("grid_search_order", series, lambda d: autoregressive.with_reasons(autoregressive.grid_search_order(d), autoregressive.reasons(d)), "", None)
+on("forecast_ar", series, lambda d: autoregressive.forecast_ar(d, reasons=True), "", None)
+on("score_orders", series, lambda d: autoregressive.score_orders(d, reasons=True), "", None)
+on("grid_search_order", series, lambda d: autoregressive.grid_search_order(d, reasons=True), "", None)
 on("forecast_searched", series, lambda d: autoregressive.forecast_ar(d, orders=autoregressive.grid_search_order(d)), "", None)
 on("run_models", series, lambda d: registry.run_models(d, ["seasonal_trend", "autoregressive", "ensemble"]), "", None)
 

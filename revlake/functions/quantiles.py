@@ -1,9 +1,13 @@
 """Exact quantiles (linear interpolation) whose work splits inside a group.
 
-The built-in ``percentile`` keeps every distinct value of a group in one task. That is right for
-small groups and wrong for a group holding a large part of the data. So groups are counted first
-(one narrow pass, map-side combined): small ones use the built-in, large ones the split plan. With
-no large group the second branch reads an empty broadcast and adaptive execution drops it.
+Rows are first counted by group and value, with copies merged before they move. The counted rows are
+dealt to pieces along cut points that a sample of them gives, so a piece holds about an equal part of the
+distinct rows however close together or far apart the values lie, and a group with a large part of
+the data is spread over all pieces. Counts of the pieces, at most ``PIECES`` rows a group, say which
+of them hold the wanted ranks; only their values are put in order.
+
+The sample is the rows with the smallest hashes. It depends on the rows alone, not on how they are
+distributed, so a task that runs again cuts at the same points.
 """
 
 from __future__ import annotations
@@ -16,18 +20,8 @@ from pyspark.sql import functions as F
 
 from revlake.functions.columns import col
 
-# Rows above which a group no longer fits one task's buffer comfortably.
-HOT_ROWS = 1_000_000
-# Split buckets per power of two. 2,100 powers of two bound the buckets of a group for any doubles.
-BUCKETS_PER_OCTAVE = 256
-
-
-def value_bucket(v: Column) -> Column:
-    """Order-preserving bucket of a double: equal steps on a log scale, mirrored below zero."""
-    shift = 1100 * BUCKETS_PER_OCTAVE
-    size = F.least(F.abs(v), F.lit(1.7e308))
-    step = F.floor(F.log2(size) * BUCKETS_PER_OCTAVE).cast("int") + F.lit(shift)
-    return F.when(v == 0, 0).when(v > 0, step).otherwise(-step)
+#: Pieces that rows are cut into, and sampled rows for each of them.
+PIECES, SAMPLED = 32, 32
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -38,78 +32,50 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     return joined.drop(*[f"_r_{k}" for k in keys]) if how in ("inner", "left") else joined
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
-    """Keys of the groups with more than ``hot_rows`` (default ``HOT_ROWS``) rows, ready to broadcast.
+def counted(df: DataFrame, keys: Sequence[str], value: Column, weight: str | None = None) -> DataFrame:
+    """``_v`` and its number ``_n`` within ``keys``; ``weight`` may hold counts of rows counted before."""
+    n = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    rows = df.select(*keys, value.alias("_v"), *[weight] * (weight is not None))
+    return rows.groupBy(*keys, "_v").agg(n.alias("_n"))
+
+
+def in_pieces(rows: DataFrame, *ordered: str, identity: Sequence[str]) -> DataFrame:
+    """Add ``_b``, which never falls as ``ordered`` rises and has at most ``PIECES`` values.
 
-    There are at most (rows / hot_rows) of them, which bounds what is broadcast.
+    ``identity`` names columns that tell rows apart; their hash picks the sample behind the cut points.
     """
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    return F.broadcast(
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).drop("_n")
+    place = F.struct(*ordered) if len(ordered) > 1 else F.col(ordered[0])
+    rest = [c for c in rows.columns if c not in identity]
+    least = rows.orderBy(F.xxhash64(*identity), *identity, *rest).limit(PIECES * SAMPLED)
+    points = F.sort_array(F.collect_list(F.when(place.isNotNull(), place)))
+    cuts = least.agg(points.alias("_all")).select(
+        *[
+            F.get("_all", F.floor(F.size("_all") * i / PIECES).cast("int")).alias(f"_cut{i}")
+            for i in range(1, PIECES)
+        ]
     )
+    passed = [F.coalesce((place >= F.col(f"_cut{i}")).cast("int"), F.lit(0)) for i in range(1, PIECES)]
+    while len(passed) > 1:  # a shallow sum
+        passed = [sum(passed[i + 1 : i + 4], passed[i]) for i in range(0, len(passed), 4)]
+    return rows.crossJoin(F.broadcast(cuts)).withColumn("_b", passed[0]).drop(*cuts.columns)  # one row
 
 
 def exact_quantiles(
-    df: DataFrame,
-    value: str | Column,
-    probs: Sequence[float],
-    keys: Sequence[str] = (),
-    hot_rows: int | None = None,
-    hot: DataFrame | None = None,
+    df: DataFrame, value: str | Column, probs: Sequence[float], keys: Sequence[str] = (), weight: str | None = None
 ) -> DataFrame:
     """One row per group: the keys and ``q``, an array of quantiles in the order of ``probs``.
 
-    Nulls and NaN are ignored; a group without values yields no row. ``hot`` may name the large groups
-    when they are known already, for example from the rows ``df`` was aggregated from.
+    Nulls and NaN are ignored; a group without values yields no row. ``weight`` may name a column with
+    the number of rows that a row stands for.
     """
     keys = list(keys)
-    data = df.select(*keys, col(value).cast("double").alias("_v")).where("_v is not null and not isnan(_v)")
-    if not keys:
-        return _split_quantiles(data, probs, keys)
-    hot = hot_keys(data, keys, hot_rows) if hot is None else hot
-    small = null_safe(data, hot, keys, "left_anti")
-    large = null_safe(data, hot, keys, "left_semi")
-    built_in = small.groupBy(*keys).agg(F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
-    return built_in.unionByName(_split_quantiles(large, probs, keys))
-
-
-def exact_quantiles_of(
-    df: DataFrame, values: Sequence[str], probs: Sequence[float], keys: Sequence[str], hot: DataFrame
-) -> DataFrame:
-    """Quantiles of several columns at once: the keys and one array per column, named after it.
-
-    The columns must not contain nulls. One pass serves all columns of the groups that are not hot.
-    """
-    keys = list(keys)
-    marks = F.array(*[F.lit(float(p)) for p in probs])
-    small = null_safe(df, hot, keys, "left_anti").groupBy(*keys).agg(
-        *[F.percentile(F.col(v).cast("double"), marks).alias(v) for v in values]
-    )
-    rows = null_safe(df, hot, keys, "left_semi")
-    large = None
-    for v in values:
-        data = rows.select(*keys, F.col(v).cast("double").alias("_v"))
-        one = _split_quantiles(data, probs, keys).withColumnRenamed("q", v)
-        large = one if large is None else null_safe(large, one, keys, "inner")
-    return small.unionByName(large)
-
-
-def _split_quantiles(data: DataFrame, probs: Sequence[float], keys: list[str]) -> DataFrame:
-    """Quantiles of all groups with each group spread over value buckets.
-
-    Copies of a value are merged before any shuffle. Bucket counts locate the buckets that hold the
-    wanted ranks; only the values of those buckets are sorted.
-    """
-    counted = (
-        data.withColumn("_b", value_bucket(F.col("_v")))
-        .groupBy(*keys, "_b", "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
     group = [F.col(k) for k in keys] or [F.lit(0)]
-    # One row per bucket here, so these windows are bounded by the bucket count, not by the data.
+    values = counted(df, keys, col(value).cast("double"), weight).where("_v is not null and not isnan(_v)")
+    placed = in_pieces(values, "_v", identity=[*keys, "_v"])
+    # One row a group and piece here, so these windows are bounded by the number of pieces.
     running = W.partitionBy(*group).orderBy("_b").rowsBetween(W.unboundedPreceding, 0)
-    buckets = (
-        counted.groupBy(*keys, "_b")
+    pieces = (
+        placed.groupBy(*keys, "_b")
         .agg(F.sum("_n").alias("_bn"))
         .select(
             *keys,
@@ -129,9 +95,8 @@ def _split_quantiles(data: DataFrame, probs: Sequence[float], keys: list[str]) -
     wanted = F.lit(False)
     for rank in lows + highs:
         wanted = wanted | holds(rank, F.col("_before"), F.col("_bn"))
-    hits = buckets.where(wanted).drop("_bn")
     inside = W.partitionBy(*group, F.col("_b")).orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
-    ranked = null_safe(counted, hits, [*keys, "_b"], "inner").withColumn(
+    ranked = null_safe(placed, pieces.where(wanted).drop("_bn"), [*keys, "_b"], "inner").withColumn(
         "_start", F.col("_before") + F.sum("_n").over(inside) - F.col("_n")
     )
     picks = []
@@ -139,24 +104,31 @@ def _split_quantiles(data: DataFrame, probs: Sequence[float], keys: list[str]) -
         picks.append(F.max(F.when(holds(low, F.col("_start"), F.col("_n")), F.col("_v"))).alias(f"_low{i}"))
         picks.append(F.max(F.when(holds(high, F.col("_start"), F.col("_n")), F.col("_v"))).alias(f"_high{i}"))
     picked = ranked.groupBy(*keys, "_total").agg(*picks)
-    result = F.array(
-        *[
-            F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * (spots[i] - lows[i])
-            for i in range(len(probs))
-        ]
-    )
-    return picked.select(*keys, result.alias("q"))
+    result = [
+        F.col(f"_low{i}") + F.coalesce((F.col(f"_high{i}") - F.col(f"_low{i}")) * F.nullif(spots[i] - lows[i], F.lit(0.0)), F.lit(0.0))
+        for i in range(len(probs))
+    ]
+    return picked.select(*keys, F.array(*result).alias("q"))
 
 
-def quantile_row(df: DataFrame, value: str | Column, probs: Sequence[float], name: str = "q") -> DataFrame:
+def _long(df: DataFrame, values: dict[str, str | Column], keys: Sequence[str]) -> DataFrame:
+    """Every value of several columns as a row of its own, named in ``_c``."""
+    pairs = [F.struct(F.lit(n).alias("_c"), col(v).cast("double").alias("_v")) for n, v in values.items()]
+    return df.select(*keys, F.explode(F.array(*pairs)).alias("_p")).select(*keys, "_p.*")
+
+
+def exact_quantiles_of(df: DataFrame, values: Sequence[str], probs: Sequence[float], keys: Sequence[str]) -> DataFrame:
+    """Quantiles of several columns at once: the keys and one array per column, named after it."""
+    found = exact_quantiles(_long(df, {v: v for v in values}, keys), "_v", probs, [*keys, "_c"])
+    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("_c") == v, F.col("q"))).alias(v) for v in values])
+
+
+def quantile_row(df: DataFrame, value: str | Column, probs: Sequence[float], name: str = "q", weight: str | None = None) -> DataFrame:
     """Global quantiles as exactly one row (null when there are no values), for joining to rows."""
-    found = exact_quantiles(df, value, probs)
-    return found.agg(F.max("q").alias(name))
+    return exact_quantiles(df, value, probs, weight=weight).agg(F.max("q").alias(name))
 
 
 def quantile_rows(df: DataFrame, values: dict[str, str | Column], probs: Sequence[float]) -> DataFrame:
     """Global quantiles of several columns as exactly one row with one array per name, from one pass."""
-    pairs = [F.struct(F.lit(n).alias("_c"), col(v).cast("double").alias("_v")) for n, v in values.items()]
-    long = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
-    found = exact_quantiles(long, "_v", probs, ["_c"])
+    found = exact_quantiles(_long(df, values, []), "_v", probs, ["_c"])
     return found.agg(*[F.max(F.when(F.col("_c") == n, F.col("q"))).alias(n) for n in values])

@@ -8,93 +8,74 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from revlake.functions.quantiles import hot_keys, null_safe, value_bucket
-from revlake.session import pinned
+from revlake.functions.quantiles import counted, in_pieces, null_safe
 
 
-def dense_ranks(
-    df: DataFrame,
-    names: dict[str, str],
-    keys: Sequence[str] = (),
-    hot_rows: int | None = None,
-    hot: DataFrame | None = None,
-) -> DataFrame:
+def dense_ranks(df: DataFrame, names: dict[str, str], keys: Sequence[str] = ()) -> DataFrame:
     """Add dense ranks, largest first, within ``keys``: ``names`` maps a column to its rank's name.
 
-    A plain window serves groups of up to ``hot_rows`` rows. Larger groups, and a ranking without
-    keys, are ranked on their distinct values, bucket by bucket. ``hot`` may name the large groups
-    when they are known already.
+    Distinct values of all ranked columns are ranked together, in pieces that no group exceeds, and
+    joined to the rows by value. Nulls come last.
     """
     keys = list(keys)
-
-    def split(part: DataFrame) -> DataFrame:
-        for value, name in names.items():
-            part = _split_dense(part, value, name, keys)
-        return part
-
-    if not keys:
-        return split(df)
-    hot = hot_keys(df, keys, hot_rows) if hot is None else hot
-    ranks = {n: F.dense_rank().over(W.partitionBy(*keys).orderBy(F.col(v).desc())) for v, n in names.items()}
-    small = null_safe(df, hot, keys, "left_anti").withColumns(ranks)
-    return small.unionByName(split(null_safe(df, hot, keys, "left_semi")))
-
-
-def _split_dense(df: DataFrame, value: str, name: str, keys: list[str]) -> DataFrame:
-    group = [F.col(k) for k in keys] or [F.lit(0)]
-    distinct = (
-        df.select(*keys, value).distinct().withColumn("_b", value_bucket(F.col(value).cast("double")))
+    group = [F.col(k) for k in [*keys, "_c"]]
+    pairs = [F.struct(F.lit(i).alias("_c"), F.col(v).cast("double").alias("_v")) for i, v in enumerate(names)]
+    values = counted(
+        df.select(*keys, F.explode(F.array(*pairs)).alias("_p")).select(*keys, "_p.*"), [*keys, "_c"], F.col("_v")
     )
+    placed = in_pieces(values, "_v", identity=[*keys, "_c", "_v"])
+    # One row a group and piece.
     later = W.partitionBy(*group).orderBy(F.col("_b").desc()).rowsBetween(W.unboundedPreceding, 0)
-    # One row per bucket: bounded for any doubles.
     offsets = (
-        distinct.groupBy(*keys, "_b")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.sum("_n").over(later) - F.col("_n"))
-        .drop("_n")
+        placed.groupBy(*keys, "_c", "_b")
+        .agg(F.count("_n").alias("_k"))
+        .withColumn("_before", F.sum("_k").over(later) - F.col("_k"))
+        .drop("_k")
     )
-    inside = W.partitionBy(*group, F.col("_b")).orderBy(F.col(value).desc())
-    ranks = (
-        null_safe(distinct, offsets, [*keys, "_b"], "inner")
-        .withColumn(name, (F.col("_before") + F.row_number().over(inside)).cast("int"))
-        .drop("_before", "_b")
+    inside = W.partitionBy(*group, F.col("_b")).orderBy(F.col("_v").desc())
+    ranks = null_safe(placed, offsets, [*keys, "_c", "_b"], "inner").select(
+        *keys, "_c", "_v", (F.col("_before") + F.row_number().over(inside)).cast("int").alias("_rank")
     )
-    # Many rows may share one value; adaptive skew handling splits that side of the join.
-    return null_safe(df, ranks, [*keys, value], "left")
+    # One key for column and value: a filter on the column would give every rank a plan, and a scan, of its own.
+    ranks = ranks.select(*keys, F.struct("_c", "_v").alias("_key"), "_rank")
+    for i, (value, name) in enumerate(names.items()):
+        marked = df.withColumn("_key", F.struct(F.lit(i).alias("_c"), F.col(value).cast("double").alias("_v")))
+        # Many rows may share one value; adaptive skew handling splits that side of the join.
+        df = null_safe(marked, ranks, [*keys, "_key"], "left").withColumnRenamed("_rank", name).drop("_key")
+    return df
 
 
-def running_totals(df: DataFrame, order: Sequence, value: str) -> DataFrame:
-    """Add ``row_number``, ``running`` and ``total`` over the whole frame in ``order``.
+def running_totals(df: DataFrame, value: str, key: str) -> DataFrame:
+    """Add ``row_number``, ``running`` and ``total`` over the whole frame: largest value first (null last), then by key.
 
-    ``order`` must be a total order. The rows are range-partitioned by it, so no task gets more than
-    its range even when many rows tie on the leading column, and stored so that the partition
-    numbers stay what they were when the offsets are computed.
+    The rows move once, to the piece of their place in the order; what stands before a piece is read
+    from at most ``PIECES`` counts. ``key`` tells rows apart.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = pinned(
-        df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id()), "running"
-    )
-    # One row per range partition.
-    by_part = W.partitionBy(F.lit(0)).orderBy("_p").rowsBetween(W.unboundedPreceding, 0)
+    rows = df.withColumns({"_none": F.col(value).isNull(), "_down": -F.col(value)})
+    placed = in_pieces(rows, "_none", "_down", key, identity=[key])
+    # One row a piece.
+    earlier = W.partitionBy(F.lit(0)).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     everything = W.partitionBy(F.lit(0))
     sizes = (
-        ranged.groupBy("_p")
+        placed.groupBy("_b")
         .agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s"))
         .select(
-            "_p",
-            (F.sum("_n").over(by_part) - F.col("_n")).alias("_n0"),
-            (F.sum("_s").over(by_part) - F.col("_s")).alias("_s0"),
+            F.col("_b").alias("_piece"),
+            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n0"),
+            F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_s0"),
             F.sum("_s").over(everything).alias("total"),
             F.sum("_n").over(everything).alias("rows_total"),
         )
     )
-    inside = W.partitionBy("_p").orderBy(*order)
-    upto = inside.rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy("_b").orderBy("_none", "_down", key)
+    ordered = placed.withColumns(
+        {"_at": F.row_number().over(inside), "_upto": F.sum(value).over(inside.rowsBetween(W.unboundedPreceding, 0))}
+    )
     return (
-        ranged.join(F.broadcast(sizes), "_p")
-        .withColumn("row_number", F.col("_n0") + F.row_number().over(inside))
-        .withColumn("running", F.col("_s0") + F.sum(value).over(upto))
-        .drop("_p", "_n0", "_s0")
+        ordered.join(F.broadcast(sizes), F.col("_b") == F.col("_piece"))
+        .withColumn("row_number", F.col("_n0") + F.col("_at"))
+        .withColumn("running", F.col("_s0") + F.coalesce("_upto", F.lit(0)))
+        .drop("_b", "_piece", "_n0", "_s0", "_none", "_down", "_at", "_upto")
     )
 
 
@@ -102,33 +83,28 @@ def top_share(df: DataFrame, value: str, fraction: float) -> DataFrame:
     """One row: sum of the ``int(n * fraction)`` largest values, and the sum of all.
 
     Works on distinct values with their counts, so ties need no order and rows need no sort: whole
-    buckets above the cut are summed, the cut bucket alone is ordered.
+    pieces above the cut are summed, the cut piece alone is ordered.
     """
-    counted = (
-        df.select(F.col(value).cast("double").alias("_v"))
-        .where("_v is not null")
-        .withColumn("_b", value_bucket(F.col("_v")))
-        .groupBy("_b", "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+    values = counted(df, [], F.col(value).cast("double")).where("_v is not null")
+    placed = in_pieces(values, "_v", identity=["_v"])
     upto = W.partitionBy(F.lit(0)).orderBy(F.col("_b").desc()).rowsBetween(W.unboundedPreceding, 0)
-    # One row per bucket: bounded for any doubles.
-    buckets = (
-        counted.groupBy("_b")
+    # One row a piece.
+    pieces = (
+        placed.groupBy("_b")
         .agg(F.sum("_n").alias("_bn"), F.sum(F.col("_n") * F.col("_v")).alias("_bs"))
         .withColumn("_before", F.sum("_bn").over(upto) - F.col("_bn"))
         .withColumn("_k", F.floor(F.sum("_bn").over(W.partitionBy(F.lit(0))) * F.lit(float(fraction))))
     )
-    whole = buckets.agg(
+    whole = pieces.agg(
         F.sum("_bn").alias("n"),
         F.sum("_bs").alias("total"),
         F.max("_k").alias("k"),
         F.sum(F.when(F.col("_before") + F.col("_bn") <= F.col("_k"), F.col("_bs"))).alias("_above"),
     )
-    cut = buckets.where((F.col("_before") < F.col("_k")) & (F.col("_before") + F.col("_bn") > F.col("_k")))
+    cut = pieces.where((F.col("_before") < F.col("_k")) & (F.col("_before") + F.col("_bn") > F.col("_k")))
     inside = W.partitionBy("_b").orderBy(F.col("_v").desc()).rowsBetween(W.unboundedPreceding, 0)
     part = (
-        counted.join(F.broadcast(cut.select("_b", "_before", "_k")), "_b")  # one bucket at most
+        placed.join(F.broadcast(cut.select("_b", "_before", "_k")), "_b")  # one piece at most
         .withColumn("_start", F.col("_before") + F.sum("_n").over(inside) - F.col("_n"))
         .agg(
             F.sum(
@@ -136,7 +112,7 @@ def top_share(df: DataFrame, value: str, fraction: float) -> DataFrame:
             ).alias("_partial")
         )
     )
-    return whole.crossJoin(F.broadcast(part)).select(
+    return whole.crossJoin(F.broadcast(part)).select(  # one row
         "n",
         "k",
         (F.coalesce("_above", F.lit(0.0)) + F.coalesce("_partial", F.lit(0.0))).alias("top"),

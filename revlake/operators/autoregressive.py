@@ -7,10 +7,12 @@ is spread over series and candidate orders.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from math import comb
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from revlake.functions.columns import finite
@@ -42,23 +44,51 @@ def _scaled(y: np.ndarray) -> tuple[np.ndarray, bool]:
     return (np.log1p(y) if logged else y), logged
 
 
-def information_criteria(y: np.ndarray, p: int, d: int, seasonal: bool) -> dict[str, float]:
+def _moments(z: np.ndarray) -> np.ndarray:
+    """Cross-products of a constant and the level 0 .. ``MAX_LAG`` + 2 days back, over the days every order can explain."""
+    reach = MAX_LAG + 2
+    z = z - z.mean()  # the constant takes up the mean; products stay small
+    days = np.arange(reach, len(z))
+    columns = np.column_stack([np.ones(len(days)), *[z[days - k] for k in range(reach + 1)]])
+    return columns.T @ columns
+
+
+def _differences(d: int, lags: list[int]) -> np.ndarray:
+    """Combinations of the columns of ``_moments``: constant, the ``lags`` of the d-times differenced series, its day itself."""
+    out = np.zeros((MAX_LAG + 4, len(lags) + 2))
+    out[0, 0] = 1.0
+    for place, lag in enumerate([*lags, 0], start=1):
+        for j in range(d + 1):
+            out[1 + lag + j, place] = (-1) ** j * comb(d, j)
+    return out
+
+
+def information_criteria(z: np.ndarray, moments: np.ndarray, p: int, d: int, seasonal: bool) -> dict[str, float]:
     """AIC, BIC and HQIC on the same target days for every order: all errors start at one day.
 
     Errors of a differenced model are errors of the level as well, so orders with different d compare.
+    Every order is solved from the one matrix of ``_moments``.
     """
-    z, _ = _scaled(y)
-    w = np.diff(z, n=d) if d else z
     lags = _lags(p, seasonal)
-    # Level day MAX_LAG + 2 is the first day every order in the grid can explain.
-    _, error = _fit(w, lags, MAX_LAG + 2 - d)
-    n, k = len(error), len(lags) + 2
-    base = n * np.log(max(float(error @ error) / n, 1e-300))
+    change = _differences(d, lags)
+    matrix = change.T @ moments @ change
+    inner, toward, whole = matrix[:-1, :-1], matrix[:-1, -1], float(matrix[-1, -1])
+    beta, *_ = np.linalg.lstsq(inner, toward, rcond=None)
+    squares = whole - float(beta @ toward)
+    if squares <= 1e-8 * whole:
+        # Next to nothing is left, and the difference of two sums cannot tell how little.
+        _, error = _fit(np.diff(z, n=d) if d else z, lags, MAX_LAG + 2 - d)
+        squares = float(error @ error)
+    n, k = len(z) - MAX_LAG - 2, len(lags) + 2
+    base = n * np.log(max(squares / n, 1e-300))
     return {"aic": base + 2 * k, "bic": base + k * np.log(n), "hqic": base + 2 * k * np.log(np.log(n))}
 
 
 def recursive_forecast(y: np.ndarray, p: int, d: int, seasonal: bool, horizon: int, interval: float):
-    """Mean and bounds of the next days: each step is fed back, bounds widen with the horizon."""
+    """Mean and bounds of the next days: each step is fed back, bounds widen with the horizon.
+
+    The path of an explosive fit to logarithms may pass the largest number: it is infinite from there on.
+    """
     z, logged = _scaled(y)
     w = np.diff(z, n=d) if d else z
     lags = _lags(p, seasonal)
@@ -78,13 +108,26 @@ def recursive_forecast(y: np.ndarray, p: int, d: int, seasonal: bool, horizon: i
     spread = z_value(interval) * sigma * np.sqrt(np.cumsum(weight**2))
     bounds = mean, mean - spread, mean + spread
     if logged:
-        # Bounded so that a long explosive path stays a finite number.
-        bounds = tuple(np.expm1(np.minimum(b, 700.0)) for b in bounds)
+        with np.errstate(over="ignore"):
+            bounds = tuple(np.expm1(b) for b in bounds)
     return bounds
 
 
-def _ready(pdf: pd.DataFrame) -> np.ndarray:
-    return pdf.sort_values("ds")["y"].to_numpy(dtype=float)
+def _ready(pdf: pd.DataFrame) -> tuple[np.ndarray, str | None]:
+    """The values of a series by day, and why no autoregression is fitted to them."""
+    y = pdf.sort_values("ds")["y"].to_numpy(dtype=float)
+    if len(y) < MIN_POINTS:
+        return y, f"{len(y)} days, fewer than {MIN_POINTS}"
+    bad = int((~np.isfinite(y)).sum())
+    return y, f"{bad} values missing or not finite" if bad else None
+
+
+def _keyed(rows: dict, pdf: pd.DataFrame, keys: Sequence[str], columns: list[str]) -> pd.DataFrame:
+    """Rows of one series with its keys; columns that are not given are null."""
+    out = pd.DataFrame(rows)
+    for k in keys:
+        out[k] = pdf[k].iloc[0]
+    return out.reindex(columns=columns)
 
 
 def _grouped(df: DataFrame, keys: Sequence[str], work: Callable, schema: str) -> DataFrame:
@@ -103,66 +146,74 @@ def forecast_ar(
     order: tuple[int, int, bool] = DEFAULT_ORDER,
     orders: DataFrame | None = None,
     keys: Sequence[str] = ("series",),
+    reasons: bool = False,
 ) -> DataFrame:
-    """Forecast each series with ``order`` = (p, d, weekly lag), or with its own row of ``orders``."""
+    """Forecast each series with ``order`` = (p, d, weekly lag), or with its own row of ``orders``.
+
+    ``reasons`` adds a column that is null for forecasts, and one row without values for every series
+    that is not fitted (or has no row in ``orders``), saying why.
+    """
     keys = list(keys)
     if orders is None:
         p, d, seasonal = order
         tasks = df.withColumns({"p": F.lit(p), "d": F.lit(d), "seasonal": F.lit(seasonal)})
     else:
-        tasks = df.join(orders.select(*keys, "p", "d", "seasonal"), keys)
+        own = orders.select(*[F.col(k).alias(f"_o_{k}") for k in keys], "p", "d", "seasonal")
+        tasks = df.join(own, [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in keys], "left" if reasons else "inner")
+    columns = [*keys, "ds", "yhat", "lower", "upper", *["reason"] * reasons]
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = _ready(pdf)
-        columns = [*keys, "ds", "yhat", "lower", "upper"]
-        if len(y) < MIN_POINTS or not np.isfinite(y).all():
-            return pd.DataFrame(columns=columns)
+        y, why = _ready(pdf)
         p, d, seasonal = (pdf[c].iloc[0] for c in ("p", "d", "seasonal"))
+        if why is None and pd.isna(p):
+            why = "no order"
+        if why is not None:
+            return _keyed({"reason": [why] * reasons}, pdf, keys, columns)
         mean, low, high = recursive_forecast(y, int(p), int(d), bool(seasonal), horizon, interval)
         first = pd.Timestamp(pdf["ds"].max()) + pd.Timedelta(days=1)
-        out = pd.DataFrame({"ds": pd.date_range(first, periods=horizon).date, "yhat": mean, "lower": low, "upper": high})
-        for k in keys:
-            out[k] = pdf[k].iloc[0]
-        return out[columns]
+        rows = {"ds": pd.date_range(first, periods=horizon).date, "yhat": mean, "lower": low, "upper": high}
+        return _keyed(rows, pdf, keys, columns)
 
-    schema = f"{_key_schema(df, keys)}, ds date, yhat double, lower double, upper double"
+    schema = f"{_key_schema(df, keys)}, ds date, yhat double, lower double, upper double" + ", reason string" * reasons
     return _grouped(tasks.select(*keys, "ds", "y", "p", "d", "seasonal"), keys, work, schema)
 
 
-def score_orders(df: DataFrame, grid: Sequence[tuple[int, int, bool]] = GRID, keys: Sequence[str] = ("series",)) -> DataFrame:
-    """Information criteria of every order of the grid for every series; orders that fail are left out."""
+def score_orders(
+    df: DataFrame, grid: Sequence[tuple[int, int, bool]] = GRID, keys: Sequence[str] = ("series",), reasons: bool = False
+) -> DataFrame:
+    """Information criteria of every order of the grid for every series, from one matrix of cross-products.
+
+    ``reasons`` is that of ``forecast_ar``.
+    """
     keys = list(keys)
-    candidates = F.array(
-        *[F.struct(F.lit(p).alias("p"), F.lit(d).alias("d"), F.lit(s).alias("seasonal")) for p, d, s in grid]
-    )
-    # The grid is a constant: each series' days repeat once per candidate and the fits run apart.
-    tasks = df.select(*keys, "ds", "y", F.explode(candidates).alias("o")).select(*keys, "ds", "y", "o.*")
-    params = [*keys, "p", "d", "seasonal"]
+    scores = ["aic", "bic", "hqic"]
+    columns = [*keys, "p", "d", "seasonal", *scores, *["reason"] * reasons]
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        columns = [*params, "aic", "bic", "hqic"]
-        y = _ready(pdf)
-        if len(y) < MIN_POINTS or not np.isfinite(y).all():
-            return pd.DataFrame(columns=columns)
-        p, d, seasonal = int(pdf["p"].iloc[0]), int(pdf["d"].iloc[0]), bool(pdf["seasonal"].iloc[0])
-        try:
-            scores = information_criteria(y, p, d, seasonal)
-        except np.linalg.LinAlgError:
-            return pd.DataFrame(columns=columns)
-        row = {**{k: pdf[k].iloc[0] for k in params}, **scores}
-        return pd.DataFrame([row])[columns]
-
-    schema = f"{_key_schema(df, keys)}, p int, d int, seasonal boolean, aic double, bic double, hqic double"
-    return _grouped(tasks, params, work, schema)
+        y, why = _ready(pdf)
+        if why is not None:
+            return _keyed({"reason": [why] * reasons}, pdf, keys, columns)
+        z, _ = _scaled(y)
+        moments = _moments(z)
+        rows = [{"p": p, "d": d, "seasonal": s, **information_criteria(z, moments, p, d, s)} for p, d, s in grid]
+        return _keyed(rows, pdf, keys, columns)
+
+    schema = f"{_key_schema(df, keys)}, p int, d int, seasonal boolean, aic double, bic double, hqic double" + ", reason string" * reasons
+    return _grouped(df.select(*keys, "ds", "y"), keys, work, schema)
 
 
 def grid_search_order(
-    df: DataFrame, grid: Sequence[tuple[int, int, bool]] = GRID, criterion: str = "aic", keys: Sequence[str] = ("series",)
+    df: DataFrame,
+    grid: Sequence[tuple[int, int, bool]] = GRID,
+    criterion: str = "aic",
+    keys: Sequence[str] = ("series",),
+    reasons: bool = False,
 ) -> DataFrame:
-    """The order with the lowest criterion per series; the simpler one on ties."""
-    scores = score_orders(df, grid, keys)
-    best = F.min_by(F.struct("p", "d", "seasonal", criterion), F.struct(criterion, "p", "d", "seasonal"))
-    return scores.groupBy(*keys).agg(best.alias("b")).select(*keys, "b.*")
+    """The order with the lowest criterion per series; the simpler one on ties. ``reasons`` is that of ``forecast_ar``."""
+    scores = score_orders(df, grid, keys, reasons)
+    best = F.min_by(F.struct("p", "d", "seasonal", criterion), F.when(F.col(criterion).isNotNull(), F.struct(criterion, "p", "d", "seasonal")))
+    found = scores.groupBy(*keys).agg(best.alias("b"), *[F.max("reason").alias("reason")] * reasons)
+    return found.select(*keys, "b.*", *["reason"] * reasons)
 
 
 def reasons(df: DataFrame, keys: Sequence[str] = ("series",)) -> DataFrame:
@@ -174,8 +225,12 @@ def reasons(df: DataFrame, keys: Sequence[str] = ("series",)) -> DataFrame:
 
 
 def with_reasons(out: DataFrame, why: DataFrame, keys: Sequence[str] = ("series",)) -> DataFrame:
-    """``out`` with a column ``reason``, and one row with a reason and no values for every series of ``why`` that has no row."""
-    held = out.select(*keys).distinct()
-    same = [why[k].eqNullSafe(held[k]) for k in keys]
-    lost = why.join(held, same, "left_anti").select(*keys, F.coalesce("reason", F.lit("no row of the model")).alias("reason"))
-    return out.withColumn("reason", F.lit(None).cast("string")).unionByName(lost, allowMissingColumns=True)
+    """``out`` with a column ``reason``, and one row with a reason and no values for every series of ``why`` that has no row.
+
+    ``out`` is used once, so that no fit behind it runs a second time.
+    """
+    lost = why.select(*keys, F.coalesce("reason", F.lit("no row of the model")).alias("reason"), F.lit(False).alias("_made"))
+    made = out.withColumns({"reason": F.lit(None).cast("string"), "_made": F.lit(True)})
+    rows = F.count_if("_made").over(W.partitionBy(*keys))
+    both = made.unionByName(lost, allowMissingColumns=True).withColumn("_rows", rows)
+    return both.where(F.col("_made") | (F.col("_rows") == 0)).drop("_made", "_rows")

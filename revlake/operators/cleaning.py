@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from revlake.functions.columns import col, finite, safe_ratio
 from revlake.functions.quantiles import exact_quantiles, null_safe, quantile_rows
-from revlake.session import pinned
 
 # Accepted price range, z-score limit, IQR fence factor.
 MIN_PRICE = 0.01
@@ -59,8 +58,7 @@ def flag_iqr_outliers(df: DataFrame, column: str, keys: list[str] | None = None)
     low, high = F.col("q")[0], F.col("q")[1]
     flag = (col(column) < low - FENCE * (high - low)) | (col(column) > high + FENCE * (high - low))
     if keys:
-        # Stored first, so the planner knows its true size: broadcast when small, shuffled join beyond.
-        joined = null_safe(df, pinned(fences, "fences"), keys, "left")
+        joined = null_safe(df, fences, keys, "left")
     else:
         joined = df.crossJoin(F.broadcast(fences.agg(F.max("q").alias("q"))))  # one row
     return joined.withColumn(f"{column}_iqr_outlier", F.coalesce(flag, F.lit(False))).drop("q")

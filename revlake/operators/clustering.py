@@ -1,13 +1,16 @@
-"""K-means groups of customers and products with MLlib."""
+"""K-means groups of customers and products that do not depend on the order or place of the rows.
+
+Starts come from the rows with the smallest key hashes. Features have two decimals, so sums of members are
+added as whole numbers and come out the same however rows are distributed; centres follow from them.
+Runs with different starts and numbers of clusters share one pass over the rows in every round.
+"""
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
+from decimal import Decimal
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlake.functions.columns import finite, percent, round_total
@@ -15,7 +18,10 @@ from revlake.functions.columns import finite, percent, round_total
 # Seed, restarts, smallest input, largest numbers of clusters.
 SEED, RESTARTS, MIN_ROWS = 42, 10, 10
 ELBOW_MOST, CUSTOMER_CLUSTERS, PRODUCT_CLUSTERS = 10, 4, 5
-PARALLEL = 4
+#: Rows that starts are picked from, and rounds after which centres are taken as they are.
+START_ROWS, ROUNDS = 1000, 200
+#: Steps that sums of features and of distances are counted in.
+CENT, FINE = 100, 10**6
 CUSTOMER_FEATURES = ["total_revenue", "avg_order_value", "frequency", "total_views"]
 PRODUCT_FEATURES = ["total_revenue", "avg_price", "transactions", "total_views"]
 
@@ -45,50 +51,119 @@ def product_features(df: DataFrame) -> DataFrame:
     return _features(df, "stream_id", PRODUCT_FEATURES)
 
 
-def standardised(features: DataFrame, names: list[str]) -> DataFrame:
-    """Add ``scaled``: the named columns with mean 0 and deviation 1 as one vector."""
-    packed = VectorAssembler(inputCols=names, outputCol="_packed").transform(features)
-    scaler = StandardScaler(inputCol="_packed", outputCol="scaled", withMean=True, withStd=True)
-    return scaler.fit(packed).transform(packed).drop("_packed")
-
-
-def _best_fit(scaled: DataFrame, k: int, seed: int, restarts: int):
-    """The cheapest of several k-means runs; k-means|| starts are spread already."""
-    def fit(i: int):
-        return KMeans(k=k, seed=seed + i, featuresCol="scaled", predictionCol="cluster").fit(scaled)
-
-    # Independent Spark jobs; a few at a time keep the executors busy between short iterations.
-    with ThreadPool(PARALLEL) as pool:
-        fits = pool.map(inheritable_thread_target(scaled.sparkSession)(fit), range(restarts))
-    return min(fits, key=lambda m: m.summary.trainingCost)
+def _whole(c: Column, steps: int) -> Column:
+    """Sum as a whole number of ``1 / steps``: the same in any order."""
+    return F.sum(F.round(c * steps).cast("decimal(38,0)"))
+
+
+def _scale(features: DataFrame, names: list[str]) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of rows, and mean and sample deviation of the named columns, from exact sums."""
+    row = features.agg(
+        F.count(F.lit(1)),
+        *[_whole(F.col(c), CENT) for c in names],
+        *[F.sum(F.round(F.col(c) * CENT).cast("decimal(19,0)") * F.round(F.col(c) * CENT).cast("decimal(19,0)")) for c in names],
+    ).first()
+    n, k = row[0], len(names)
+    if n < 2:
+        return n, np.zeros(k), np.ones(k)
+    mean, spread = [], []
+    for one, two in zip(row[1 : k + 1], row[k + 1 :], strict=True):
+        mean.append(float(Decimal(one) / n / CENT))
+        spread.append(float((Decimal(two) - Decimal(one) ** 2 / n) / (n - 1)) ** 0.5 / CENT)
+    return n, np.array(mean), np.array([d or 1.0 for d in spread])
+
+
+def _starts(rows: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """``k`` rows far from each other: each next one drawn by its squared distance to those picked."""
+    rng = np.random.default_rng(seed)
+    picked = [rows[rng.integers(len(rows))]]
+    while len(picked) < k:
+        far = np.min([((rows - c) ** 2).sum(axis=1) for c in picked], axis=0)
+        total = far.sum()
+        picked.append(rows[rng.choice(len(rows), p=far / total)] if total > 0 else rows[rng.integers(len(rows))])
+    return np.array(picked)
+
+
+def _nearest(scaled: Column, centres: Column) -> Column:
+    """Squared distance and place of the nearest of ``centres``; the first of equally near ones."""
+    def distance(centre: Column) -> Column:
+        steps = F.zip_with(scaled, centre, lambda x, y: (x - y) * (x - y))
+        return F.aggregate(steps, F.lit(0.0), lambda a, x: a + x)
+
+    return F.array_min(F.transform(centres, lambda c, i: F.struct(distance(c).alias("far"), i.alias("place"))))
+
+
+def _literal(centres: np.ndarray) -> Column:
+    return F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
+
+
+def _scaled(names: list[str], mean: np.ndarray, spread: np.ndarray) -> Column:
+    return F.array(*[(F.col(c) - F.lit(float(m))) / F.lit(float(s)) for c, m, s in zip(names, mean, spread, strict=True)])
+
+
+def best_centres(features: DataFrame, names: list[str], wanted: list[int], seed: int = SEED, restarts: int = RESTARTS) -> dict:
+    """``{k: (cost, centres)}``: for every number of clusters the cheapest of several runs, and the scale used.
+
+    The first column of ``features`` is the key. Rounds stop when no centre moves any more. The driver sees
+    the ``START_ROWS`` rows with the smallest key hashes and one row a centre and round.
+    """
+    key = features.columns[0]
+    n, mean, spread = _scale(features, names)
+    least = features.orderBy(F.xxhash64(key), F.col(key)).limit(START_ROWS).select(*[F.col(c).cast("double") for c in names])
+    rows = (np.array([tuple(r) for r in least.collect()]) - mean) / spread
+    runs = {(k, i): _starts(rows, k, seed + i) for k in wanted for i in range(restarts)}
+    costs: dict = {}
+    moving = dict(runs)
+    points = features.select(*names).withColumn("_x", _scaled(names, mean, spread))
+    for _ in range(ROUNDS):
+        order = list(moving)
+        models = F.array(*[F.struct(F.lit(i).alias("run"), _literal(moving[r]).alias("centres")) for i, r in enumerate(order)])
+        sums = (
+            points.select("*", F.explode(models).alias("_m"))
+            .withColumn("_near", _nearest(F.col("_x"), F.col("_m.centres")))
+            .groupBy(F.col("_m.run").alias("run"), F.col("_near.place").alias("place"))
+            .agg(F.count(F.lit(1)).alias("n"), _whole(F.col("_near.far"), FINE).alias("cost"), *[_whole(F.col(c), CENT).alias(f"s{i}") for i, c in enumerate(names)])
+            .collect()
+        )
+        next_centres = {r: c.copy() for r, c in moving.items()}
+        costs |= dict.fromkeys(order, Decimal(0))
+        for r in sums:
+            run = order[r["run"]]
+            costs[run] += r["cost"]
+            means = np.array([float(Decimal(r[f"s{i}"]) / r["n"] / CENT) for i in range(len(names))])
+            next_centres[run][r["place"]] = (means - mean) / spread
+        still = {r for r in order if not np.array_equal(next_centres[r], moving[r])}
+        runs |= next_centres
+        moving = {r: next_centres[r] for r in still}
+        if not moving:
+            break
+    best = {k: min((costs[k, i], i) for i in range(restarts)) for k in wanted}
+    return {"mean": mean, "spread": spread, "rows": n} | {k: (float(cost) / FINE, runs[k, i]) for k, (cost, i) in best.items()}
 
 
 def elbow(features: DataFrame, names: list[str], seed: int = SEED) -> DataFrame:
     """Within-cluster cost for k = 2 .. min(10, n / 5), the least of ``RESTARTS`` runs each."""
-    scaled = standardised(features, names).persist()
+    rows = features.persist()
     try:
-        most = min(ELBOW_MOST, scaled.count() // 5)
-
-        def cost(k: int) -> tuple[int, float]:
-            return k, float(_best_fit(scaled, k, seed, RESTARTS).summary.trainingCost)
-
-        with ThreadPool(PARALLEL) as pool:
-            costs = pool.map(inheritable_thread_target(scaled.sparkSession)(cost), range(2, most + 1))
+        wanted = list(range(2, min(ELBOW_MOST, rows.count() // 5) + 1))
+        found = best_centres(rows, names, wanted, seed) if wanted else {}
     finally:
-        scaled.unpersist()
-    return features.sparkSession.createDataFrame(costs, "k int, cost double")
+        rows.unpersist()
+    return features.sparkSession.createDataFrame([(k, found[k][0]) for k in wanted], "k int, cost double")
 
 
 def _clusters(features: DataFrame, names: list[str], k: int | None, seed: int, restarts: int, choose) -> DataFrame:
-    scaled = standardised(features, names).persist()
+    rows = features.persist()
     try:
-        n = scaled.count()
+        n = rows.count()
         if n < MIN_ROWS:
             return features.withColumn("cluster", F.lit(0)).where("false")
-        model = _best_fit(scaled, k or choose(n), seed, restarts)
+        k = k or choose(n)
+        found = best_centres(rows, names, [k], seed, restarts)
     finally:
-        scaled.unpersist()
-    return model.transform(standardised(features, names)).drop("scaled")
+        rows.unpersist()
+    near = _nearest(_scaled(names, found["mean"], found["spread"]), _literal(found[k][1]))
+    return features.withColumn("cluster", near["place"])
 
 
 def kmeans_customers(features: DataFrame, k: int | None = None, seed: int = SEED, restarts: int = RESTARTS) -> DataFrame:
@@ -102,7 +177,6 @@ def kmeans_customers(features: DataFrame, k: int | None = None, seed: int = SEED
 def kmeans_products(features: DataFrame, k: int | None = None, seed: int = SEED, restarts: int = RESTARTS) -> DataFrame:
     """Add ``cluster`` to product features; empty for fewer than ten products."""
     def choose(n):
-        # One cluster would be every product: MLlib starts at two.
         return max(2, min(PRODUCT_CLUSTERS, n // 10))
 
     return _clusters(features, PRODUCT_FEATURES, k, seed, restarts, choose)

@@ -121,12 +121,16 @@ def same_months(existing: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def file_ledger(parsed: DataFrame, files: DataFrame) -> DataFrame:
-    """One ledger entry per processed file; a file without records or with an error has failed or 0."""
-    per_file = parsed.groupBy("source_file").agg(
+    """One ledger entry per processed file; a file without records or with an error has failed or 0.
+
+    Records are matched by path where they carry one, else by file name.
+    """
+    key = ["file_path", "file_path"] if "file_path" in parsed.columns else ["source_file", "file_name"]
+    per_file = parsed.groupBy(F.col(key[0]).alias("_file")).agg(
         F.count_if(F.col("reject_reason").isNull()).alias("records_processed"),
         F.max("file_error").alias("error_message"),
     )
-    return files.join(per_file, files["file_name"] == per_file["source_file"], "left").select(
+    return files.join(per_file, F.col(key[1]) == F.col("_file"), "left").select(
         "file_path",
         "file_name",
         "file_size",
@@ -138,6 +142,20 @@ def file_ledger(parsed: DataFrame, files: DataFrame) -> DataFrame:
     )
 
 
+def new_rejects(rejects: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """Rejects with ``reject_key``, which names file, record and content; keys already stored are left out."""
+    fields = [c for c in rejects.columns if c not in ("missing", "file_size", "file_modified_time")]
+    out = rejects.drop("missing").withColumn("reject_key", F.md5(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})))
+    return out if existing is None else out.join(existing.select("reject_key"), "reject_key", "left_anti").select(out.columns)
+
+
+def new_entries(entries: DataFrame, existing: DataFrame) -> DataFrame:
+    """Ledger entries that say something new about their file; the time of processing does not count."""
+    same = [c for c in entries.columns if c != "processed_at"]
+    known = existing.select(*[F.col(c).alias(f"_{c}") for c in same])
+    return entries.join(known, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in same], "left_anti")
+
+
 def upsert_ledger(old: DataFrame, new: DataFrame) -> DataFrame:
     """Old entries replaced by new ones for the same file."""
     both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))

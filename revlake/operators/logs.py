@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from revlake.functions.columns import col
 from revlake.functions.quantiles import exact_quantiles
 from revlake.schemas import API_LOGS
+from revlake.session import pinned
 
-# Key words of secrets, their replacement, longest list kept, nesting followed.
+# Key words of secrets, their replacement, longest list kept.
 SECRET_WORDS = ["password", "token", "api_key", "secret", "auth"]
 REDACTED = "***REDACTED***"
 LONGEST_LIST = 100
-DEPTH = 3
+#: Levels of objects inside objects that are followed; what is an object below them goes as a whole.
+DEPTH = 24
 RETENTION_DAYS = 90
 # Log category per model operation.
 OPERATION_CATEGORIES = {
@@ -32,46 +34,38 @@ def level_of(status) -> Column:
 def redact_json(c, depth: int = DEPTH) -> Column:
     """Mask the values of secret-looking keys and shorten long lists in a JSON object text.
 
-    Objects inside objects are taken apart ``depth`` levels down. What lies deeper stays as text in
-    which the values of secret-looking keys are masked; it is replaced as a whole only where such a
-    key holds an object or a list.
+    The text is taken apart as typed values. One rule holds for the object and every object inside it:
+    a secret-looking key's value is masked whatever it is, a list of more than ``LONGEST_LIST`` items becomes
+    its length, all else stays. Keys come out in order of their names. Texts that hold no object stay
+    as they are; unreadable ones that name a secret are masked as a whole.
     """
-    fields = F.from_json(col(c), "map<string,string>")
-    secret = "(?i)" + "|".join(SECRET_WORDS)
+    text = col(c)
+    value = F.try_parse_json(text)
+    unread = F.when(value.isNull() & text.rlike(_SECRET), F.lit(REDACTED)).otherwise(text)
+    return F.coalesce(F.to_json(_without_secrets(value, depth)), unread)
 
-    def clean(key: Column, value: Column) -> Column:
-        text = F.ltrim(value)
-        length = F.when(text.startswith("["), F.json_array_length(text))
-        inner = redact_json(value, depth - 1) if depth > 0 else _mask_text(value)
-        return (
-            F.when(key.rlike(secret), F.lit(REDACTED))
-            .when(text.startswith("{"), F.coalesce(inner, value))
-            .when(length > LONGEST_LIST, F.format_string("[%d items]", length))
-            .otherwise(value)
-        )
-
-    # from_json gives every value as text, so nested objects come out as JSON text again.
-    return F.when(fields.isNull(), col(c)).otherwise(_to_object(F.transform_values(fields, clean)))
 
+_SECRET = "(?i)" + "|".join(SECRET_WORDS)
 
-def _mask_text(value: Column) -> Column:
-    """JSON text with the plain values of secret-looking keys masked, whatever their depth."""
-    key = r'"((?:[^"\\]|\\.)*(?i:' + "|".join(SECRET_WORDS) + r')(?:[^"\\]|\\.)*)"\s*:\s*'
-    plain = key + r'("(?:[^"\\]|\\.)*"|[^\s",\[\]{}]+)'
-    return F.when(value.rlike(key + r"[\[{]"), F.lit(REDACTED)).otherwise(F.regexp_replace(value, plain, f'"$1":"{REDACTED}"'))
 
+def _without_secrets(value: Column, depth: int) -> Column:
+    """The object that ``value`` holds, cleaned; null where it holds none."""
+    masked = F.parse_json(F.lit(f'"{REDACTED}"'))
 
-def _to_object(fields: Column) -> Column:
-    """JSON object from a map of texts; numbers, booleans, null, lists and objects stay unquoted."""
-    def member(entry: Column) -> Column:
-        key, value = entry["key"], entry["value"]
-        bare = value.rlike(r"^(-?\d+(\.\d+)?([eE][-+]?\d+)?|true|false|null)$") | value.rlike(r"(?s)^\s*\{.*\}\s*$")
-        bare = bare | (value.rlike(r"(?s)^\s*\[.*\]\s*$") & F.json_array_length(value).isNotNull())
-        quoted = F.substring(F.to_json(F.array(value)), F.lit(2), F.length(F.to_json(F.array(value))) - 2)
-        name = F.substring(F.to_json(F.array(key)), F.lit(2), F.length(F.to_json(F.array(key))) - 2)
-        return F.concat(name, F.lit(":"), F.when(value.isNull(), "null").when(bare, value).otherwise(quoted))
+    def clean(key: Column, inner: Column) -> Column:
+        items = F.size(F.try_variant_get(inner, "$", "array<variant>"))
+        if depth > 0:
+            whole = F.coalesce(_without_secrets(inner, depth - 1), inner)
+        else:
+            whole = F.when(F.try_variant_get(inner, "$", "map<string,variant>").isNotNull(), masked).otherwise(inner)
+        return (
+            F.when(key.rlike(_SECRET), masked)
+            .when(items > LONGEST_LIST, F.parse_json(F.format_string('"[%d items]"', items)))
+            .otherwise(whole)
+        )
 
-    return F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries(fields), member), ","), F.lit("}"))
+    fields = F.try_variant_get(value, "$", "map<string,variant>")
+    return F.call_function("to_variant_object", F.transform_values(fields, clean))
 
 
 def request_logs(requests: DataFrame) -> DataFrame:
@@ -221,10 +215,39 @@ def retention_delete(logs: DataFrame, now, days: int = RETENTION_DAYS) -> tuple[
     return logs.where(~old), logs.agg(F.count_if(old).alias("deleted"))
 
 
+def delete_old_logs(spark: SparkSession, path: str, now, days: int = RETENTION_DAYS) -> DataFrame:
+    """Delete the rows of a stored log table (one folder a day) older than ``days``; the number deleted as one row.
+
+    Days that end before the limit are dropped as whole folders, counted from their files' footers. The
+    day of the limit is written anew without its old rows, from a stored copy. Both steps can be
+    repeated: a run that broke off loses nothing and is finished by the next.
+    """
+    limit = F.lit(now).cast("timestamp") - F.make_dt_interval(F.lit(days))
+    edge = spark.range(1).select(F.to_date(limit).alias("d")).first()[0]
+    logs = spark.read.parquet(path)
+    before = logs.where(F.col("day").cast("date") < edge)
+    # One entry a day: the folders that go.
+    gone = before.groupBy("day").agg(F.count(F.lit(1)).alias("n")).collect()
+    split = logs.where(F.col("day").cast("date") == edge)
+    old, young = split.agg(F.count_if(F.col("timestamp") < limit), F.count_if(F.col("timestamp") >= limit)).first()
+    if old and young:
+        kept = pinned(split.where(F.col("timestamp") >= limit), "edge-day")
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for day in [r["day"] for r in gone] + [edge] * bool(old and not young):
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(root, f"day={day}"), True)
+    spark.catalog.refreshByPath(path)
+    return spark.range(1).select(F.lit(sum(r["n"] for r in gone) + old).cast("long").alias("deleted"))
+
+
 def _since(logs: DataFrame, days: int) -> DataFrame:
-    """Rows from the day ``days`` before the newest row's day on."""
-    newest = logs.agg(F.date_sub(F.to_date(F.max("timestamp")), days).alias("_since"))
-    return logs.crossJoin(F.broadcast(newest)).where(F.to_date("timestamp") >= F.col("_since")).drop("_since")  # one row
+    """Rows from the day ``days`` before the newest row's day on. Of a stored table, only those days are opened."""
+    if "day" in logs.columns:
+        newest = logs.agg(F.date_sub(F.max(F.col("day").cast("date")), days)).scalar()
+        return logs.where(F.col("day").cast("date") >= newest)
+    newest = logs.agg(F.date_sub(F.to_date(F.max("timestamp")), days)).scalar()
+    return logs.where(F.to_date("timestamp") >= newest)
 
 
 def log_summary(logs: DataFrame, days: int = 7) -> DataFrame:

@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revlake.functions import quantiles
 from revlake.functions.columns import calendar_parts, round_total, safe_ratio
-from revlake.functions.quantiles import exact_quantiles, exact_quantiles_of, hot_keys, null_safe, quantile_row
+from revlake.functions.quantiles import exact_quantiles, exact_quantiles_of, null_safe, quantile_row
 from revlake.functions.ranking import dense_ranks
 from revlake.operators.cleaning import FENCE
-from revlake.session import pinned
 
 CELL = ["date", "country"]
 
@@ -77,8 +75,7 @@ def customer_segments(clean: DataFrame) -> DataFrame:
         rows.groupBy(*CELL, "customer_id")
         .agg(round_total(F.sum("price")).alias("spend"), F.count(F.lit(1)).alias("frequency"))
     )
-    # A cell has at most as many customers as rows.
-    cuts = exact_quantiles_of(customers, ["spend", "frequency"], [0.75], CELL, hot_keys(rows, CELL))
+    cuts = exact_quantiles_of(customers, ["spend", "frequency"], [0.75], CELL)
     cuts = cuts.select(*CELL, F.col("spend")[0].alias("_spend_cut"), F.col("frequency")[0].alias("_often_cut"))
     rich = F.col("spend") >= F.col("_spend_cut")
     loyal = F.col("frequency") >= F.col("_often_cut")
@@ -110,13 +107,12 @@ def product_performance(clean: DataFrame) -> DataFrame:
         )
         .withColumn("conversion_rate", safe_ratio("transactions", "total_views"))
     )
-    # A cell has at most as many products as rows.
-    return product_ranks(products, hot_keys(rows, CELL))
+    return product_ranks(products)
 
 
-def product_ranks(products: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def product_ranks(products: DataFrame) -> DataFrame:
     """Dense ranks by revenue and by transactions within day and country, largest first."""
-    return dense_ranks(products, {"revenue": "revenue_rank", "transactions": "popularity_rank"}, CELL, hot=hot)
+    return dense_ranks(products, {"revenue": "revenue_rank", "transactions": "popularity_rank"}, CELL)
 
 
 def customer_penetration(clean: DataFrame) -> DataFrame:
@@ -133,19 +129,23 @@ def customer_penetration(clean: DataFrame) -> DataFrame:
     )
 
 
-def _day_counts(rows: DataFrame) -> DataFrame:
-    """Counts and revenue per country and day: all the quality report needs but the price quartiles.
-
-    Stored, since several small plans read it and column pruning would give each its own scan.
-    """
-    days = rows.groupBy("country", "date").agg(
+def _price_counts(rows: DataFrame) -> DataFrame:
+    """Rows per country, day and price: all that the quality report needs, its source read once."""
+    return rows.groupBy("country", "date", "price").agg(
         F.count(F.lit(1)).alias("rows"),
-        F.sum("price").alias("revenue"),
         F.count_if(F.col("customer_id").isNull()).alias("missing_customer_ids"),
         F.count_if("is_price_outlier").alias("price_outliers"),
         F.count_if("is_view_outlier").alias("view_count_outliers"),
     )
-    return pinned(days, "days")
+
+
+def _day_counts(prices: DataFrame) -> DataFrame:
+    """Counts and revenue per country and day."""
+    return prices.groupBy("country", "date").agg(
+        F.sum("rows").alias("rows"),
+        F.sum(F.col("price") * F.col("rows")).alias("revenue"),
+        *[F.sum(c).alias(c) for c in ("missing_customer_ids", "price_outliers", "view_count_outliers")],
+    )
 
 
 def _daily_anomalies(days: DataFrame) -> DataFrame:
@@ -170,29 +170,25 @@ def _daily_anomalies(days: DataFrame) -> DataFrame:
 
 def volume_anomalies(clean: DataFrame) -> DataFrame:
     """Days with an unusual number of transactions, per country and overall (country null)."""
-    return _daily_anomalies(_day_counts(_keyed(clean, CELL))).select("country", "volume_anomalies")
+    return _daily_anomalies(_day_counts(_price_counts(_keyed(clean, CELL)))).select("country", "volume_anomalies")
 
 
-def _iqr_counts(clean: DataFrame, days: DataFrame) -> DataFrame:
-    """Price outliers by the fences of each country, and by those of all rows (country null).
-
-    One pass finds the countries' quartiles, one the overall ones, one counts against both.
-    """
-    prices = clean.select("country", "price")
-    # Row counts are known from the day counts: no scan to find the large countries.
-    sizes = days.groupBy("country").agg(F.sum("rows").alias("_n"))
-    hot = F.broadcast(sizes.where(F.col("_n") > quantiles.HOT_ROWS).drop("_n"))
-    own = exact_quantiles(prices, "price", [0.25, 0.75], ["country"], hot=hot)
-    everyone = quantile_row(prices, "price", [0.25, 0.75], "_all")
-    # Stored, so the planner knows the true size: broadcast when small, shuffled join beyond.
-    fences = pinned(own.crossJoin(F.broadcast(everyone)), "fences")
+def _iqr_counts(prices: DataFrame) -> DataFrame:
+    """Price outliers by the fences of each country, and by those of all rows (country null)."""
+    prices = prices.groupBy("country", "price").agg(F.sum("rows").alias("rows"))
+    own = exact_quantiles(prices, "price", [0.25, 0.75], ["country"], weight="rows")
+    everyone = quantile_row(prices, "price", [0.25, 0.75], "_all", weight="rows")
+    fences = own.crossJoin(F.broadcast(everyone)).withColumnRenamed("country", "_country")  # one row
 
     def outside(q: str) -> Column:
         low, high = F.col(q)[0], F.col(q)[1]
         return (F.col("price") < low - FENCE * (high - low)) | (F.col("price") > high + FENCE * (high - low))
 
-    counts = prices.join(fences, "country").groupBy("country").agg(
-        F.count_if(outside("q")).alias("price_iqr_outliers"), F.count_if(outside("_all")).alias("_overall")
+    def within(q: str) -> Column:
+        return F.sum(F.when(outside(q), F.col("rows")).otherwise(0))
+
+    counts = prices.join(fences, F.col("country") == F.col("_country")).groupBy("country").agg(
+        within("q").alias("price_iqr_outliers"), within("_all").alias("_overall")
     )
     overall = counts.agg(F.sum("_overall").alias("price_iqr_outliers"))
     return counts.select(F.lit(0).alias("scope"), "country", "price_iqr_outliers").unionByName(
@@ -203,10 +199,11 @@ def _iqr_counts(clean: DataFrame, days: DataFrame) -> DataFrame:
 def quality_report(clean: DataFrame, metrics: DataFrame) -> DataFrame:
     """Quality scores and anomaly counts per country, and for all rows where country is null.
 
-    ``metrics`` is the one-row frame of ``cleaning_metrics``. An empty input gives one zero row.
+    ``metrics`` is the one-row frame of ``cleaning_metrics``. An empty input gives one row with scores of
+    zero and the counts of the run.
     """
-    rows = _keyed(clean, ["country"])
-    days = _day_counts(rows)
+    prices = _price_counts(_keyed(clean, ["country"]))
+    days = _day_counts(prices)
     counts = ["total_records", "missing_customer_ids", "price_outliers", "view_count_outliers"]
     per_country = days.withColumnRenamed("rows", "total_records").groupBy("country").agg(
         *[F.sum(c).alias(c) for c in counts]
@@ -217,26 +214,32 @@ def quality_report(clean: DataFrame, metrics: DataFrame) -> DataFrame:
         overall.select(F.lit(1).alias("scope"), F.lit(None).cast("string").alias("country"), *counts)
     )
     keys = ["scope", "country"]
-    joined = null_safe(null_safe(scopes, _daily_anomalies(days), keys, "left"), _iqr_counts(rows, days), keys, "left")
-    run = metrics.select(F.col("total_records").alias("_all"), F.col("invalid_prices"))
+    joined = null_safe(null_safe(scopes, _daily_anomalies(days), keys, "left"), _iqr_counts(prices), keys, "left")
+    counted_in_run = ["total_records", "missing_customer_ids", "price_outliers", "view_outliers", "invalid_prices"]
+    # One row whatever ``metrics`` holds.
+    run = metrics.agg(*[F.max(c).alias(f"_run_{c}") for c in counted_in_run])
     some = F.col("total_records") > 0
+
+    def or_run(column: str, in_run: str) -> Column:
+        return F.when(some, F.col(column)).otherwise(F.col(f"_run_{in_run}")).alias(column)
+
     completeness = F.when(some, 1 - F.col("missing_customer_ids") / F.col("total_records")).otherwise(0.0)
     consistency = F.when(some, 1.0).otherwise(0.0)
-    accuracy = F.when(some, 1 - safe_ratio("invalid_prices", "_all")).otherwise(0.0)
+    accuracy = F.when(some, 1 - safe_ratio("_run_invalid_prices", "_run_total_records")).otherwise(0.0)
     scored = joined.crossJoin(F.broadcast(run)).select(  # one row
         "country",
-        "total_records",
+        or_run("total_records", "total_records"),
         F.col("total_records").alias("valid_records"),
-        "missing_customer_ids",
-        "invalid_prices",
+        or_run("missing_customer_ids", "missing_customer_ids"),
+        F.col("_run_invalid_prices").alias("invalid_prices"),
         F.lit(0).alias("invalid_dates"),
         completeness.alias("completeness_score"),
         consistency.alias("consistency_score"),
         accuracy.alias("accuracy_score"),
         F.coalesce("revenue_anomalies", F.lit(0)).alias("revenue_anomalies"),
         F.coalesce("volume_anomalies", F.lit(0)).alias("volume_anomalies"),
-        "price_outliers",
-        "view_count_outliers",
+        or_run("price_outliers", "price_outliers"),
+        or_run("view_count_outliers", "view_outliers"),
         F.coalesce("revenue_z_score_max", F.lit(0.0)).alias("revenue_z_score_max"),
         F.coalesce("price_iqr_outliers", F.lit(0)).alias("price_iqr_outliers"),
     )

@@ -74,8 +74,7 @@ def product_portfolio(products: DataFrame) -> DataFrame:
 
 def pareto(frame: DataFrame, key: str, value: str) -> DataFrame:
     """Cumulative revenue and share, largest first; ties go by key."""
-    order = [F.col(value).desc(), F.col(key).asc()]
-    return running_totals(frame.select(key, value), order, value).select(
+    return running_totals(frame.select(key, value), value, key).select(
         key,
         value,
         F.col("row_number").alias("position"),

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revlake.functions.columns import finite
-from revlake.functions.quantiles import exact_quantiles, null_safe
+from revlake.functions.quantiles import exact_quantiles, null_safe, quantile_rows
 from revlake.operators.cleaning import FENCE
-from revlake.session import pinned
 
 
 def _numeric(df: DataFrame) -> list[str]:
@@ -65,16 +64,11 @@ def range_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def describe_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles per column."""
     columns = columns or _numeric(df)
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column", "v")
-    stats = long.groupBy("column").agg(
-        F.count("v").alias("count"),
-        F.avg("v").alias("mean"),
-        F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-    )
-    quartiles = exact_quantiles(long, "v", [0.25, 0.5, 0.75], ["column"])
-    return stats.join(quartiles, "column", "left").select(
+    measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    wide = df.agg(*[fn(F.col(c).cast("double")).alias(f"{c}::{m}") for c in columns for m, fn in measures.items()])
+    found = quantile_rows(df, {f"{c}::q": c for c in columns}, [0.25, 0.5, 0.75])
+    tall = _tall(wide.crossJoin(F.broadcast(found)), columns, [*measures, "q"])  # one row each
+    return tall.select(
         "column", "count", "mean", "std", "min", *[F.col("q")[i].alias(n) for i, n in enumerate(("q25", "q50", "q75"))], "max"
     )
 
@@ -160,12 +154,11 @@ def unique_values(df: DataFrame, columns: list[str], most: int = 20) -> DataFram
 def boxplot_stats(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
     """Quartiles and whiskers (furthest values inside the fences) per group."""
     data = df.select(*keys, F.col(value).cast("double").alias("v")).where("v is not null")
-    # Stored first, so the planner knows its true size: broadcast when small, shuffled join beyond.
-    quartiles = pinned(exact_quantiles(data, "v", [0.25, 0.5, 0.75], keys), "quartiles")
+    # Equal values are merged first, so a large group moves as its distinct values.
+    merged = data.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n"))
+    quartiles = exact_quantiles(merged, "v", [0.25, 0.5, 0.75], keys, weight="n")
     q1, q3 = F.col("q")[0], F.col("q")[2]
     low, high = q1 - FENCE * (q3 - q1), q3 + FENCE * (q3 - q1)
-    # Equal values are merged before the join so a large group moves as its distinct values.
-    merged = data.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n"))
     joined = null_safe(merged, quartiles, keys, "inner")
     inside = F.col("v").between(low, high)
     return (

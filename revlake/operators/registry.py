@@ -45,10 +45,14 @@ def run_models(df: DataFrame, names: list[str], horizon: int = 30, interval: flo
     A series without a forecast of a model has one row of that model, with a ``reason`` and no values.
     """
     out, why = None, reasons(df)
+    unknown = why.withColumn("reason", F.lit(None).cast("string"))
     for name in names:
-        rows = MODELS[name](df, horizon=horizon, interval=interval)
-        # Other models have limits of their own.
-        known = why if name in ("autoregressive", "ensemble") else why.withColumn("reason", F.lit(None).cast("string"))
-        rows = with_reasons(rows, known).select("series", F.lit(name).alias("model"), "ds", "yhat", "lower", "upper", "reason")
+        model = MODELS[name]
+        if model is forecast_ar:
+            rows = forecast_ar(df, horizon, interval, reasons=True)
+        else:
+            # Other models have limits of their own; the ensemble has those of its members.
+            rows = with_reasons(model(df, horizon=horizon, interval=interval), why if name == "ensemble" else unknown)
+        rows = rows.select("series", F.lit(name).alias("model"), "ds", "yhat", "lower", "upper", "reason")
         out = rows if out is None else out.unionByName(rows)
     return out

@@ -1,19 +1,38 @@
-"""Batch ingest: pending files to the invoice table, reject table and ledger."""
+"""Ingest of invoice files to the invoice table, reject table, ledger and commit log.
+
+A batch has a key. Its tables are written one after the other, each without what it already holds, and
+the commit log last: a batch that broke off can be repeated, and one that is in the log is skipped.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlake.operators.ingest import accepted, dedupe_invoices, file_ledger, ingest_summary, parse_records, rejected, same_months
-from revlake.schemas import LEDGER
+from revlake.operators.ingest import (
+    accepted,
+    dedupe_invoices,
+    file_ledger,
+    ingest_summary,
+    new_entries,
+    new_rejects,
+    parse_records,
+    rejected,
+    same_months,
+)
+from revlake.schemas import COMMITS, LEDGER
 from revlake.session import fresh_path
 from revlake.sources.invoices import (
+    drop_table,
     empty_ledger,
+    invoice_files,
+    invoice_records,
+    latest_ledger,
     list_files,
     pending_files,
     read_invoice_table,
-    read_invoices,
     table_exists,
     write_invoices,
 )
@@ -24,31 +43,68 @@ def ledger_table(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(LEDGER).parquet(path) if table_exists(spark, path) else empty_ledger(spark)
 
 
-def ingest_batch(spark: SparkSession, input_dir: str, base: str, force: bool = False) -> DataFrame:
+def commit_log(spark: SparkSession, base: str) -> DataFrame:
+    """One row per committed batch: its key, counts and time."""
+    path = f"{base}/commits"
+    return spark.read.schema(COMMITS).parquet(path) if table_exists(spark, path) else spark.createDataFrame([], COMMITS)
+
+
+def commit_batch(contents: DataFrame, base: str, key: str) -> None:
+    """Bring the files of ``contents`` (see ``invoice_files``) into the tables below ``base``, once per ``key``."""
+    spark = contents.sparkSession
+    if not commit_log(spark, base).where(F.col("batch") == key).isEmpty():
+        return
+    # Read and parsed once to a stored table: the readers below follow.
+    stage = fresh_path(spark, "parsed")
+    try:
+        parse_records(invoice_records(contents, every_file=True)).write.parquet(stage)
+        _write_tables(spark.read.parquet(stage), base, key)
+    finally:
+        drop_table(spark, stage)
+
+
+def _write_tables(staged: DataFrame, base: str, key: str) -> None:
+    spark = staged.sparkSession
+    if staged.isEmpty():
+        return
+    files = staged.select("file_path", F.col("source_file").alias("file_name"), "file_size", "file_modified_time").distinct()
+    parsed = staged.where("record_no is not null")
+    table, rejects = f"{base}/invoices", f"{base}/rejects"
+    rows = accepted(parsed)
+    existing = same_months(read_invoice_table(spark, table), rows) if table_exists(spark, table) else None
+    write_invoices(dedupe_invoices(rows, existing), table)
+    known = spark.read.parquet(rejects) if table_exists(spark, rejects) else None
+    new_rejects(rejected(parsed), known).write.mode("append").parquet(rejects)
+    new_entries(file_ledger(parsed, files), latest_ledger(ledger_table(spark, base))).write.mode("append").parquet(f"{base}/ledger")
+    counts = files.agg(F.count(F.lit(1)).alias("files_processed"))
+    summary = ingest_summary(parsed).drop("files_processed").crossJoin(counts).withColumns(  # one row each
+        {"status": F.lit("completed"), "batch": F.lit(key), "committed_at": F.current_timestamp()}
+    )
+    summary.select(*COMMITS.fieldNames()).write.mode("append").parquet(f"{base}/commits")
+
+
+def ingest_batch(
+    spark: SparkSession, input_dir: str, base: str, force: bool = False, key: str | None = None, pattern: str = "*.json"
+) -> DataFrame:
     """Process pending (or all) files of ``input_dir`` into tables below ``base``; one summary row.
 
-    Invoices are written before the ledger and stored hashes are skipped, so a run that broke off
-    can be repeated without adding copies.
+    Pending files are found from names and times. Only files as new as the oldest pending one are opened,
+    which takes one time from the cluster, not a list of paths. ``key`` names the batch (default: a
+    new name); repeating a key, or forcing files that are in the tables, changes nothing.
     """
-    files = list_files(spark, input_dir)
-    todo = files if force else pending_files(files, ledger_table(spark, base))
-    # File names only, the same list Spark's own file index keeps on the driver.
-    paths = [r["file_path"] for r in todo.select("file_path").collect()]
-    if not paths:
-        return spark.range(1).select(
-            F.lit(0).cast("long").alias("files_processed"),
-            F.lit(0).cast("long").alias("records"),
-            F.lit(0).cast("long").alias("errors"),
-            F.lit("no_files").alias("status"),
-        )
-    # Parsed once to a stored table: four readers follow, and JSON is the costly source.
-    stage = fresh_path(spark, "parsed")
-    parse_records(read_invoices(spark, paths)).write.parquet(stage)
-    parsed = spark.read.parquet(stage)
-    table = f"{base}/invoices"
-    batch = accepted(parsed)
-    existing = same_months(read_invoice_table(spark, table), batch) if table_exists(spark, table) else None
-    write_invoices(dedupe_invoices(batch, existing), table)
-    rejected(parsed).drop("missing").write.mode("append").parquet(f"{base}/rejects")
-    file_ledger(parsed, todo).write.mode("append").parquet(f"{base}/ledger")
-    return ingest_summary(parsed)
+    key = key or uuid.uuid4().hex
+    pending = oldest = None
+    if not force:
+        pending = pending_files(list_files(spark, input_dir, pattern), ledger_table(spark, base))
+        before = F.min("file_modified_time") - F.expr("INTERVAL 2 SECONDS")
+        oldest = pending.agg(F.date_format(before, "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
+    if force or oldest is not None:
+        contents = invoice_files(spark, input_dir, pattern, oldest)
+        if pending is not None:
+            contents = contents.join(pending.select("file_path"), "file_path", "left_semi")
+        commit_batch(contents, base, key)
+    nothing = spark.range(1).select(
+        *[F.lit(0).cast("long").alias(c) for c in ("files_processed", "records", "errors")], F.lit("no_files").alias("status")
+    )
+    done = commit_log(spark, base).where(F.col("batch") == key).select(nothing.columns)
+    return nothing if done.isEmpty() else done

@@ -56,6 +56,17 @@ LEDGER = T.StructType(
     ]
 )
 
+COMMITS = T.StructType(
+    [
+        T.StructField("batch", T.StringType()),
+        T.StructField("files_processed", T.LongType()),
+        T.StructField("records", T.LongType()),
+        T.StructField("errors", T.LongType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("committed_at", T.TimestampType()),
+    ]
+)
+
 API_LOGS = T.StructType(
     [
         T.StructField("timestamp", T.TimestampType()),

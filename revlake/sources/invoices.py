@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revlake.schemas import CORRUPT, INVOICES, LEDGER, RAW
-from revlake.session import pinned
 
 
 def list_files(spark: SparkSession, directory: str, pattern: str = "*.json") -> DataFrame:
@@ -19,7 +19,7 @@ def list_files(spark: SparkSession, directory: str, pattern: str = "*.json") ->
         .option("pathGlobFilter", pattern)
         .load(directory)
         .select(
-            F.col("path").alias("file_path"),
+            F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.file_name").alias("file_name"),
             F.col("length").alias("file_size"),
             F.col("modificationTime").alias("file_modified_time"),
@@ -27,56 +27,50 @@ def list_files(spark: SparkSession, directory: str, pattern: str = "*.json") ->
     )
 
 
-def read_invoices(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Raw records of JSON files, each of which must hold one array.
+def invoice_files(
+    spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.json", after=None, stream: bool = False, files_per_batch: int | None = None
+) -> DataFrame:
+    """Input files with their text, one row each, as a table or (``stream``) as they arrive.
 
-    ``file_error`` is set on the rows of a file that is unreadable or holds something else.
+    ``after`` is a time as text (``2024-01-31T00:00:00``): files last changed up to then are not opened.
     """
+    reader = (spark.readStream if stream else spark.read).option("wholetext", True).option("pathGlobFilter", pattern)
+    if after is not None:
+        reader = reader.option("modifiedAfter", after)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     paths = [paths] if isinstance(paths, str) else list(paths)
-    records = (
-        spark.read.schema(RAW)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", "*.json")
-        .json(paths)
-        .select(*[f.name for f in RAW.fields], "_metadata.file_path", F.col("_metadata.file_name").alias("source_file"))
-    )
-    not_array = non_array_files(spark, paths)
-    return (
-        records.join(not_array, "file_path", "left")
-        .withColumn(
-            "file_error",
-            F.when(F.col(CORRUPT).isNotNull(), "unreadable JSON").when(
-                F.col("first_char").isNotNull(), "top level is not an array"
-            ),
-        )
-        .drop("first_char", CORRUPT)
+    meta = {"file_path": "file_path", "source_file": "file_name", "file_size": "file_size", "file_modified_time": "file_modification_time"}
+    return reader.text(paths[0] if stream else paths).select(
+        "value", *[F.col(f"_metadata.{field}").alias(name) for name, field in meta.items()]
     )
 
 
-def first_characters(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """First non-blank character of each file, found from the first block's earliest line."""
-    return (
-        spark.read.option("pathGlobFilter", "*.json")
-        .text(list(paths))
-        .select(
-            F.col("_metadata.file_path").alias("file_path"),
-            F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
-            F.substring(F.ltrim("value"), 1, 1).alias("c"),
-        )
-        .where("c <> ''")
-        .groupBy("file_path")
-        .agg(F.min_by("c", "at").alias("first_char"))
+def invoice_records(files: DataFrame, every_file: bool = False) -> DataFrame:
+    """Raw records of files, each of which must hold one JSON array; every task parses the files it reads.
+
+    ``record_no`` counts the records of a file from 0. A file that is unreadable or holds something
+    else gives one row without fields, and ``file_error`` says why.
+    """
+    fields = [f for f in RAW.fields if f.name != CORRUPT]
+    record = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+    first = F.substring(F.regexp_replace(F.substring("value", 1, 1000), r"^[\s\ufeff]+", ""), 1, 1)
+    parsed = F.from_json(F.regexp_replace("value", "^\ufeff", ""), T.ArrayType(record))
+    files = files.withColumn("_records", parsed).withColumn(
+        "file_error",
+        F.when(~first.isin("[", ""), "top level is not an array").when(F.col("_records").isNull() | (first == ""), "unreadable JSON"),
+    )
+    rest = [c for c in files.columns if c not in ("value", "_records")]
+    listed = F.when(F.col("file_error").isNull(), F.col("_records")).otherwise(F.array(F.lit(None).cast(record)))
+    explode = F.posexplode_outer if every_file else F.posexplode
+    return files.select(*rest, explode(listed).alias("record_no", "_record")).select(
+        *[F.col(f"_record.{f.name}").alias(f.name) for f in fields], *rest, "record_no"
     )
 
 
-def non_array_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Files whose text starts with something other than an array.
-
-    Stored first: a short list of known size, which the records can be joined to without moving.
-    """
-    return pinned(first_characters(spark, paths).where("first_char <> '['"), "non-array")
+def read_invoices(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.json") -> DataFrame:
+    """Raw records of JSON files, read once."""
+    return invoice_records(invoice_files(spark, paths, pattern))
 
 
 def write_invoices(df: DataFrame, path: str) -> None:
@@ -99,6 +93,12 @@ def empty_ledger(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LEDGER)
 
 
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a stored table, if there is one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a stored table has been committed at ``path``."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

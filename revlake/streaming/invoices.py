@@ -3,62 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from revlake.operators.ingest import accepted, dedupe_invoices, parse_records, rejected, same_months
-from revlake.schemas import CORRUPT, RAW
-from revlake.session import fresh_path
-from revlake.sources.invoices import non_array_files, read_invoice_table, table_exists, write_invoices
-
-
-def invoice_stream(spark: SparkSession, directory: str, files_per_batch: int | None = None) -> DataFrame:
-    """Raw records of files as they arrive."""
-    reader = (
-        spark.readStream.schema(RAW)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", "*.json")
-    )
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(directory).select(
-        *[f.name for f in RAW.fields], "_metadata.file_path", F.col("_metadata.file_name").alias("source_file")
-    )
+from revlake.plans.load_invoices import commit_batch
+from revlake.sources.invoices import invoice_files
 
 
 def ingest_stream(
-    spark: SparkSession, directory: str, base: str, checkpoint: str, files_per_batch: int | None = None
+    spark: SparkSession, directory: str, base: str, checkpoint: str, files_per_batch: int | None = None, pattern: str = "*.json"
 ) -> StreamingQuery:
     """Process everything new, then stop. A fresh ``checkpoint`` processes all files again.
 
-    Every batch is compared with the stored table, so records repeat neither across batches nor
-    after a batch is retried.
+    Batches are committed under the checkpoint and their number, as ``ingest_batch`` commits its own: to
+    the same tables, ledger included. A batch that is retried or read again adds nothing.
     """
-    def load(raw: DataFrame, batch: int) -> None:
-        session = raw.sparkSession
-        error = F.when(F.col(CORRUPT).isNotNull(), "unreadable JSON")
-        stage = fresh_path(session, f"batch-{batch}")
-        raw.withColumn("file_error", error).drop(CORRUPT).write.parquet(stage)
-        staged = session.read.parquet(stage)
-        paths = [r[0] for r in staged.select("file_path").distinct().collect()]  # files of this batch
-        if not paths:
-            return
-        marked = staged.join(non_array_files(session, paths), "file_path", "left").withColumn(
-            "file_error",
-            F.coalesce("file_error", F.when(F.col("first_char").isNotNull(), F.lit("top level is not an array"))),
-        )
-        parsed = parse_records(marked.drop("first_char"))
-        table = f"{base}/invoices"
-        rows = accepted(parsed)
-        existing = same_months(read_invoice_table(session, table), rows) if table_exists(session, table) else None
-        write_invoices(dedupe_invoices(rows, existing), table)
-        rejected(parsed).drop("missing").write.mode("append").parquet(f"{base}/rejects")
+    def load(contents: DataFrame, batch: int) -> None:
+        commit_batch(contents, base, f"{checkpoint}#{batch}")
 
+    files = invoice_files(spark, directory, pattern, stream=True, files_per_batch=files_per_batch)
     return (
-        invoice_stream(spark, directory, files_per_batch)
-        .writeStream.foreachBatch(load)
+        files.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -1,10 +1,12 @@
 import json
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from revlake.operators import ingest
+from revlake.plans import load_invoices
 from revlake.plans.load_invoices import ingest_batch, ledger_table
 from revlake.schemas import ALIASES
 from revlake.session import drop_intermediates, pinned, shared_dir
@@ -80,6 +82,63 @@ def test_second_run_takes_only_new_files_and_force_adds_no_copies(spark, folders
     assert src.latest_ledger(ledger_table(spark, base)).count() == 2
 
 
+def everything(spark, base):
+    """All rows of the tables that a batch writes, without the commit log."""
+    rejects = spark.read.parquet(f"{base}/rejects")
+    return [sorted(map(repr, t.collect())) for t in (stored(spark, base), rejects, ledger_table(spark, base))]
+
+
+def test_repeated_batches_change_nothing(spark, folders, monkeypatch):
+    source, base, state = folders
+    put(source)
+    (source / "empty.json").write_text(" []")
+    first = ingest_batch(spark, str(source), base, key="one").first()
+    before = everything(spark, base)
+    assert (first["files_processed"], first["errors"]) == (7, 6)
+    assert ingest_batch(spark, str(source), base, force=True, key="one").first() == first  # in the log
+    assert ingest_batch(spark, str(source), base, force=True).first()["records"] == 5
+    ingest_stream(spark, str(source), base, state).awaitTermination()
+    assert everything(spark, base) == before
+    assert {r["file_name"]: r["records_processed"] for r in ledger_table(spark, base).collect()}["empty.json"] == 0
+
+    # A batch that breaks off after its invoices is made whole by its repetition.
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    other = base + "-other"
+    with monkeypatch.context() as m:
+        m.setattr(load_invoices, "new_rejects", broken)
+        with pytest.raises(RuntimeError):
+            ingest_batch(spark, str(source), other, key="two")
+    assert stored(spark, other).count() == 4
+    ingest_batch(spark, str(source), other, key="two")
+    key = ["invoice", "price", "source_file"]
+    assert sorted(map(tuple, stored(spark, other).select(key).collect())) == sorted(map(tuple, stored(spark, base).select(key).collect()))
+    assert spark.read.parquet(f"{other}/rejects").count() == spark.read.parquet(f"{base}/rejects").count()
+
+
+def test_stages_are_removed_and_files_are_read_once(spark, folders):
+    source, base, _ = folders
+    put(source)
+    plan = src.read_invoices(spark, str(source))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ") == 1 and "Exchange" not in plan
+    ingest_batch(spark, str(source), base)
+    folder = Path(shared_dir(spark).removeprefix("file:")) / "revlake" / spark.sparkContext.applicationId
+    assert not list(folder.glob("parsed-*"))
+
+
+def test_odd_files(spark, tmp_path):
+    texts = {"bom.json": "\ufeff" + json.dumps([record(1)]), "blank.json": "", "empty.json": "[ ]", "text.json": "hello", "null.json": "null", "number.json": "[1]"}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    rows = {r["source_file"]: r for r in src.read_invoices(spark, str(tmp_path)).collect()}
+    assert "empty.json" not in rows and rows["bom.json"]["invoice"] == "I1"
+    assert {n: rows[n]["file_error"] for n in rows} == {
+        "bom.json": None, "blank.json": "unreadable JSON", "text.json": "top level is not an array",
+        "null.json": "top level is not an array", "number.json": "unreadable JSON",
+    }
+
+
 def test_stream_equals_batch_and_adds_nothing_twice(spark, folders, tmp_path):
     source, base, state = folders
     put(source)

@@ -219,6 +219,12 @@ def test_clusters_partition_the_customers(spark):
     assert sorted(r["count"] for r in groups) == [15, 15, 15]
     again = clustering.kmeans_customers(features, k=3, restarts=3)
     assert sorted(map(tuple, out.select("customer_id", "cluster").collect())) == sorted(map(tuple, again.select("customer_id", "cluster").collect()))
+    # Neither the order of the rows nor their distribution matters, and groups without overlap are found.
+    rng.shuffle(rows)
+    moved = spark.createDataFrame([(c, p, v, "s") for c, p, v in rows], df.schema)
+    for parts in (1, 7):
+        placed = clustering.kmeans_customers(clustering.customer_features(moved).repartition(parts, "total_revenue"), k=3, restarts=3)
+        assert sorted(map(tuple, placed.select("customer_id", "cluster").collect())) == sorted(map(tuple, out.select("customer_id", "cluster").collect()))
     profile = clustering.cluster_profile(out)
     assert sum(r["members"] for r in profile.collect()) == 45 and "VIP" not in {r["profile"] for r in profile.collect()}
     assert clustering.kmeans_customers(features.limit(9)).count() == 0
@@ -247,9 +253,61 @@ def test_series_without_a_fit_have_a_reason(spark):
     values = [100.0 + i % 7 + i % 5 for i in range(60)]
     df = frame(spark, values).unionByName(frame(spark, values[:49], "short")).unionByName(frame(spark, [*values[:-1], float("inf")], "inf"))
     wanted = {"a": None, "short": "49 days, fewer than 50", "inf": "1 values missing or not finite"}
-    for work in (lambda d: ar.forecast_ar(d, 5), lambda d: ar.score_orders(d, [(1, 0, False)]), lambda d: ar.grid_search_order(d, [(1, 0, False)])):
-        out = ar.with_reasons(work(df), ar.reasons(df)).select("series", "reason").distinct().collect()
-        assert {r["series"]: r["reason"] for r in out} == wanted and len(out) == 3
+    for work in (ar.forecast_ar, ar.score_orders, ar.grid_search_order):
+        out = work(df, reasons=True)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FlatMapGroupsInPandas") == 1 and "Join" not in plan
+        rows = out.select("series", "reason").distinct().collect()
+        assert {r["series"]: r["reason"] for r in rows} == wanted and len(rows) == 3
+        assert {r["series"] for r in work(df).collect()} == {"a"}
+        found = ar.with_reasons(work(df), ar.reasons(df)).select("series", "reason").distinct().collect()
+        assert {r["series"]: r["reason"] for r in found} == wanted
+    held = ar.forecast_ar(df, 5, orders=ar.grid_search_order(df), reasons=True).select("series", "reason").distinct().collect()
+    assert {r["series"]: r["reason"] for r in held} == wanted
+
+
+def direct_criteria(y, p, d, seasonal):
+    """The same criteria from a least-squares fit of each order by itself."""
+    z, _ = ar._scaled(y)
+    lags = ar._lags(p, seasonal)
+    _, error = ar._fit(np.diff(z, n=d) if d else z, lags, ar.MAX_LAG + 2 - d)
+    n, k = len(error), len(lags) + 2
+    base = n * np.log(max(float(error @ error) / n, 1e-300))
+    return [base + 2 * k, base + k * np.log(n), base + 2 * k * np.log(np.log(n))]
+
+
+def test_all_orders_from_one_matrix_equal_fits_of_their_own(spark):
+    rng = np.random.default_rng(8)
+    season = np.tile([5.0, 1.0, 3.0, 2.0, 8.0, 9.0, 4.0], 60)
+    values = {"noisy": 1e4 + 300 * season + rng.normal(0, 200, 420), "walk": np.cumsum(rng.normal(size=300)), "line": np.arange(1.0, 61.0), "flat": np.full(80, 7.0), "short": np.arange(50.0) ** 2}
+    df = None
+    for name, y in values.items():
+        one = frame(spark, y.tolist(), name)
+        df = one if df is None else df.unionByName(one)
+    scores = ar.score_orders(df)
+    assert scores._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    rows = scores.collect()
+    assert len(rows) == len(values) * len(ar.GRID) and len(ar.GRID) == 36
+    for r in rows:
+        wanted = direct_criteria(values[r["series"]], r["p"], r["d"], r["seasonal"])
+        n = len(values[r["series"]])
+        if wanted[0] < -25 * n:  # an exact fit: both are as good as nothing
+            assert r["aic"] < -25 * n
+        else:
+            assert [r["aic"], r["bic"], r["hqic"]] == pytest.approx(wanted, rel=1e-6, abs=1e-4)
+
+
+def test_an_explosive_path_is_infinite(spark):
+    out = ar.forecast_ar(frame(spark, np.exp(np.linspace(0, 600, 60) ** 1.0).tolist()), 200, order=(1, 1, False)).orderBy("ds").collect()
+    assert len(out) == 200 and out[-1]["yhat"] == float("inf")
+
+
+def test_reasons_of_other_models_use_their_rows_once(spark):
+    df = frame(spark, [1.0] * 60).unionByName(frame(spark, [2.0] * 3, "b"))
+    registry.register_per_series("long_only", lambda pdf, horizon, interval: pd.DataFrame({"series": pdf.series[:1], "ds": pdf.ds[-1:].tolist(), "yhat": 1.0, "lower": 0.0, "upper": 2.0}) if len(pdf) > 9 else pd.DataFrame(columns=["series", "ds", "yhat", "lower", "upper"]))
+    out = registry.run_models(df, ["long_only"])
+    assert out._jdf.queryExecution().executedPlan().toString().count("FlatMapGroupsInPandas") == 1
+    assert {r["series"]: r["reason"] for r in out.collect()} == {"a": None, "b": "no row of the model"}
     out = registry.run_models(df, ["autoregressive", "ensemble"], horizon=5).collect()
     for model in ("autoregressive", "ensemble"):
         assert {r["series"]: r["reason"] for r in out if r["model"] == model} == wanted
@@ -261,10 +319,10 @@ def test_elbow_and_searched_orders_do_the_whole_search(spark, monkeypatch):
 
     rows = [(i, float(i % 3 * 100 + i), float(i), float(i % 4), float(i % 5)) for i in range(20)]
     df = spark.createDataFrame(rows, ["customer_id", *clustering.CUSTOMER_FEATURES])
-    best, restarts = clustering._best_fit, []
-    monkeypatch.setattr(clustering, "_best_fit", lambda scaled, k, seed, n: restarts.append(n) or best(scaled, k, seed, 1))
+    starts, started = clustering._starts, []
+    monkeypatch.setattr(clustering, "_starts", lambda rows, k, seed: started.append(k) or starts(rows, k, seed))
     assert [r["k"] for r in clustering.elbow(df, clustering.CUSTOMER_FEATURES).collect()] == [2, 3, 4]
-    assert restarts == [clustering.RESTARTS] * 3
+    assert sorted(started) == sorted([2, 3, 4] * clustering.RESTARTS)
     grids, search = [], ar.grid_search_order
     monkeypatch.setattr(ar, "grid_search_order", lambda d, grid=ar.GRID: grids.append(grid) or search(d, [(1, 0, False)]))
     monkeypatch.setattr(timeseries, "tidy", lambda df, digits: df)

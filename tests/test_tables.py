@@ -197,7 +197,7 @@ def test_large_groups_take_the_split_plans_and_give_the_same(spark, sf, monkeypa
         return [sorted(map(repr, f.collect())) for f in frames]
 
     usual = collected(tables())
-    monkeypatch.setattr(quantiles, "HOT_ROWS", 3)
+    monkeypatch.setattr(quantiles, "PIECES", 3)
     assert collected(tables()) == usual
 
 
