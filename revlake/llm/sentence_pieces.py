@@ -31,7 +31,7 @@ SPACE_SYMBOL = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 BPE = 2
 #: Cuts remembered by a worker, and the length up to which they are; only speed depends on them.
-REMEMBERED, REMEMBERED_LENGTH = 400_000, 40
+REMEMBERED, REMEMBERED_LENGTH = 600_000, 40
 
 
 class Vocabulary:
