@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.inputs import api_logs, clean, cte, daily, final, history, invoices, lines, raw_records, requests, series, table, tidy
 from revlake.functions import columns as C
-from revlake.operators import cleaning, ingest, logs
+from revlake.operators import cleaning, ingest, logs, metrics
 from revlake.plans import build_tables, load_invoices
 from revlake.session import fresh_path
 from revlake.sources import invoices as sources
@@ -228,6 +228,15 @@ check(
         "c_custkey", C.sanitize_text(F.concat(F.lit("  <b>"), "c_name", F.lit("'; \\ "))).alias("name")),
     """SELECT c_custkey, 'b' || c_name || ' ' AS name FROM customer""",
 )
+check(
+    "sanitize_long_text",
+    # The accepted length includes what is taken out: names repeated to about the limit.
+    lambda s, sf: table(s, sf, "customer").select(
+        "c_custkey", F.repeat(F.concat("c_name", F.lit("<>")), (F.lit(10) + F.col("c_custkey") % 10).cast("int")).alias("t"))
+    .select("c_custkey", F.length(C.sanitize_text("t")).alias("n"), C.text_error("t").alias("error")),
+    """SELECT c_custkey, CASE WHEN n <= 255 THEN n END AS n, CASE WHEN n > 255 THEN 'Input too long. Maximum 255 characters allowed' END AS error
+       FROM (SELECT c_custkey, length(c_name) * (10 + c_custkey % 10) AS n FROM customer)""",
+)
 check(
     "redact_json",
     lambda s, sf: table(s, sf, "events").select(
@@ -489,18 +498,58 @@ def series_csv_round_trip(s, sf):
 check("series_csv_round_trip", lambda s, sf: tidy(series_csv_round_trip(s, sf)), final(cte("series", "SELECT series, ds, y FROM series"), "series", "y", "ds"))
 
 
-def stored_tables(s, sf, name):
-    """A result table after its dates were written twice."""
-    base = fresh_path(s, "tables")
-    for _ in range(2):
-        build_tables.build_tables(s, invoices(s, sf), base, replace_dates=True)
-    return s.read.parquet(f"{base}/{name}")
+def stored_daily(s, sf):
+    """The daily table after a run over each of two parts of the dates; the later part."""
+    base, rows = fresh_path(s, "tables"), invoices(s, sf)
+    for start, end in ((None, "1996-12-31"), ("1997-01-01", None)):
+        build_tables.build_tables(s, rows, base, start, end, replace_dates=True)
+    return s.read.parquet(f"{base}/daily_aggregated_metrics").where("date >= '1997-01-01'")
+
+
+def later_tables(s, sf, name):
+    """A result table of the later dates, given the visits before them."""
+    rows = invoices(s, sf)
+    earlier = metrics.customer_visits(cleaning.price_filter(rows).where("date < '1997-01-01'"))
+    return build_tables.result_tables(rows, "1997-01-01", None, earlier)[name]
 
 
+# The second part of the dates by its own statistics; visits before it decide who is new.
+LATER = {
+    "late": "SELECT * FROM kept WHERE date >= '1997-01-01'",
+    "vis": "SELECT DISTINCT customer_id, date, country FROM kept WHERE customer_id IS NOT NULL",
+    "prev": """SELECT * FROM (SELECT *, max(date) OVER (PARTITION BY customer_id ORDER BY date RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING) AS previous
+               FROM vis) WHERE date >= '1997-01-01'""",
+    "cust": """SELECT *, date - previous AS away FROM (SELECT date, country, customer_id, round_even(round(sum(price), 6) * 100, 0) / 100 AS spend, count(*) AS frequency
+               FROM late WHERE customer_id IS NOT NULL GROUP BY ALL) JOIN prev USING (date, country, customer_id)""",
+    "cuts": "SELECT date, country, quantile_cont(spend, 0.75) AS sq, quantile_cont(frequency::DOUBLE, 0.75) AS fq FROM cust GROUP BY date, country",
+}
 check(
     "stored_daily_metrics",
-    lambda s, sf: tidy(stored_tables(s, sf, "daily_aggregated_metrics").select("country", "date", "total_transactions", "total_revenue")),
-    final(cte("daily", "SELECT * FROM daily"), "country total_transactions", "total_revenue", "date"),
+    lambda s, sf: tidy(stored_daily(s, sf).select(
+        "country", "date", "total_transactions", "total_revenue", "new_customers", "returning_customers", "customer_retention_rate")),
+    final(cte("kept", """SELECT date, country, n AS total_transactions, r AS total_revenue, coalesce(new, 0) AS new_customers, coalesce(old, 0) AS returning_customers,
+        coalesce(old::DOUBLE / (new + old), 0) AS customer_retention_rate FROM (SELECT date, country, count(*) AS n, sum(price) AS r FROM late GROUP BY ALL)
+        LEFT JOIN (SELECT date, country, count(*) FILTER (previous IS NULL) AS new, count(*) FILTER (previous IS NOT NULL) AS old FROM prev GROUP BY ALL) USING (date, country)""", **LATER),
+        "country total_transactions new_customers returning_customers", "total_revenue customer_retention_rate", "date"),
+)
+check(
+    "stored_segments",
+    lambda s, sf: tidy(later_tables(s, sf, "customer_segment_metrics").drop("new_customers_count", "avg_customer_lifetime_value", "avg_frequency", "avg_monetary_value")),
+    final(cte("kept", """SELECT date, country, count(*) FILTER (spend >= sq AND frequency >= fq) AS champions_count, count(*) FILTER (spend < sq AND frequency >= fq) AS loyal_customers_count,
+        coalesce(avg(away), 0) AS avg_recency_days, count(*) FILTER (away <= 30 AND spend < sq AND frequency < fq) AS potential_loyalists_count,
+        count(*) FILTER (away > 90 AND frequency >= fq AND spend < sq) AS at_risk_count, count(*) FILTER (away > 90 AND spend >= sq) AS cannot_lose_count,
+        count(*) FILTER (away > 90 AND spend < sq AND frequency < fq) AS hibernating_count, count(*) FILTER (away IS NULL)::DOUBLE / count(*) AS customer_acquisition_rate,
+        avg(coalesce(least(1.0::DOUBLE, away / 90.0::DOUBLE), 0)) AS customer_churn_risk_score FROM cust JOIN cuts USING (date, country) GROUP BY date, country""", **LATER),
+        "country champions_count loyal_customers_count potential_loyalists_count at_risk_count cannot_lose_count hibernating_count",
+        "avg_recency_days customer_acquisition_rate customer_churn_risk_score", "date"),
+)
+check(
+    "stored_products",
+    lambda s, sf: tidy(later_tables(s, sf, "product_performance_metrics").select("country", "date", "stream_id", "transactions", "revenue", "customer_penetration")),
+    final(cte("kept", """SELECT date, country, stream_id, count(*) AS transactions, sum(price) AS revenue,
+        coalesce(count(DISTINCT customer_id)::DOUBLE / nullif(any_value(all_customers), 0), 0) AS customer_penetration FROM late
+        JOIN (SELECT date, country, count(DISTINCT customer_id) AS all_customers FROM late GROUP BY date, country) USING (date, country) GROUP BY date, country, stream_id""", **LATER),
+        "country stream_id transactions", "revenue customer_penetration", "date"),
 )
 check(
     "report_round_trip",

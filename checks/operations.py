@@ -99,6 +99,10 @@ on("performance_stability", history, monitoring.performance_stability, "history"
    f"SELECT st AS stability, CASE WHEN st > 0.8 THEN 'high' WHEN st > 0.6 THEN 'medium' ELSE 'low' END AS level FROM (SELECT avg(CASE WHEN m > 0 THEN 1 - s / m ELSE 0 END) AS st FROM ({PER}) WHERE n > 5)", "level", "stability")
 on("append_performance_records", history, lambda d: monitoring.append_performance_records(d.drop("mase").withColumn("mape", F.when(F.col("mape") < 5, None).otherwise(F.col("mape"))), "2024-02-01"), "history",
    "SELECT country, model_type, mae, CASE WHEN mape < 5 THEN 0 ELSE mape END AS mape, rmse, 0.0::DOUBLE AS mase, r2, epoch_us(TIMESTAMP '2024-02-01') AS timestamp FROM history", H + " timestamp", "mae mape rmse mase r2")
+on("append_prediction_records", history, lambda d: monitoring.append_prediction_records(
+    d.select("country", "model_type", F.when(F.col("mae") > 55, F.col("mae") / 100).alias("prediction_time"), F.col("r2").alias("confidence")), "2024-02-01"), "history",
+   "SELECT country, model_type, CASE WHEN mae > 55 THEN mae / 100 ELSE 0 END AS prediction_time, r2 AS confidence_score, epoch_us(TIMESTAMP '2024-02-01') AS timestamp FROM history",
+   H + " timestamp", "prediction_time confidence_score")
 on("retrain_candidates", SHIFTED, lambda d: monitoring.retrain_candidates(d.select("country", "model_type").distinct(), monitoring.performance_drift_test(d)), "history",
    f"SELECT country, model_type FROM ({shifted(TESTS)}) WHERE has_drift", H, shifted=SHIFT)
 ALERTS = lambda d: d.where("r2 < 0.8").select("country", "model_type", "timestamp", F.col("r2").alias("drift_score"))
@@ -117,12 +121,13 @@ def advice(d):
 
 
 on("recommendations", SHIFTED, advice, "history",
-   """SELECT country, 'model_performance' AS type, 'high' AS priority, model_type AS model, 'High prediction error' AS issue, printf('MAE: %.2f, RMSE: %.2f', mae, rmse) AS details FROM m WHERE mae > 500
-   UNION ALL SELECT country, 'model_performance', 'medium', model_type, 'Low model fit', printf('R2: %.3f', r2) FROM m WHERE r2 < 0.7
-   UNION ALL SELECT country, 'model_drift', 'medium', model_type, 'Performance drift detected', printf('score: %.3f', drift_score) FROM tt WHERE has_drift
-   UNION ALL SELECT country, 'model_selection', 'low', 'all', 'Model selection optimization', printf('%s: %.3f', model_type, mae) FROM m
-   UNION ALL SELECT country, 'business_impact', 'medium', 'all', 'Weak correlation with business metrics', 'weak' FROM m WHERE mae > 500""",
-   "country type priority model issue details", shifted=SHIFT, tt=shifted(TESTS),
+   """SELECT country, 'model_performance' AS type, 'high' AS priority, model_type AS model, 'High prediction error' AS issue, printf('MAE: %.2f, RMSE: %.2f', mae, rmse) AS details,
+     'Consider retraining ' || model_type || ' model for ' || country || ' or adjusting hyperparameters' AS recommendation FROM m WHERE mae > 500
+   UNION ALL SELECT country, 'model_performance', 'medium', model_type, 'Low model fit', printf('R2: %.3f', r2), 'Consider adding more features or using a different model architecture for ' || country FROM m WHERE r2 < 0.7
+   UNION ALL SELECT country, 'model_drift', 'medium', model_type, 'Performance drift detected', printf('score: %.3f', drift_score), 'Retrain ' || model_type || ' model for ' || country || ' with recent data' FROM tt WHERE has_drift
+   UNION ALL SELECT country, 'model_selection', 'low', 'all', 'Model selection optimization', printf('%s: %.3f', model_type, mae), 'Consider using ' || model_type || ' as primary model for ' || country FROM m
+   UNION ALL SELECT country, 'business_impact', 'medium', 'all', 'Weak correlation with business metrics', 'weak', 'Investigate model features and business KPI alignment for ' || country FROM m WHERE mae > 500""",
+   "country type priority model issue details recommendation", shifted=SHIFT, tt=shifted(TESTS),
    m="SELECT country, model_type, mae * 10 AS mae, rmse, r2 - 0.1::DOUBLE AS r2 FROM shifted QUALIFY row_number() OVER (PARTITION BY country, model_type ORDER BY timestamp DESC) = 1")
 on("sort_by_priority", invoices, lambda d: monitoring.sort_by_priority(
     d.groupBy("country").agg(F.count(F.lit(1)).alias("n")).select("country", F.when(F.col("n") % 3 == 0, "high").when(F.col("n") % 3 == 1, "medium").otherwise("low").alias("priority"), F.lit("m").alias("model"), F.lit("i").alias("issue"))), "inv",

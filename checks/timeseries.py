@@ -250,16 +250,23 @@ on("stationary_order", sparse_series, lambda d: evaluation.stationary_order(CUMU
    "SELECT z.series, CASE WHEN z.stationary THEN 0 WHEN o.stationary THEN 1 ELSE 2 END AS d FROM z JOIN o ON z.series = o.series", "series d",
    c0=f"SELECT series, ds, sum(y) {W}) AS y FROM sparse", c1=f"SELECT * FROM (SELECT series, ds, y - lag(y) {W}) AS y FROM c0) WHERE y IS NOT NULL", z=df_sql("c0"), o=df_sql("c1"))
 RESIDUALS = lambda d: forecasting.decompose_components(d).select("series", "ds", "residual")
-on("ljung_box", series, lambda d: evaluation.ljung_box(RESIDUALS(d)), "series",
-   "SELECT series, lag, n * (n + 2) * sum((pk / ss) * (pk / ss) / (n - lag)) OVER (PARTITION BY series ORDER BY lag) AS q FROM ("
-   + " UNION ALL ".join(f"SELECT series, {k} AS lag, count(*)::DOUBLE AS n, sum(c * c) AS ss, sum(c * lk) AS pk FROM (SELECT *, lag(c, {k}) {W}) AS lk FROM ce) GROUP BY series" for k in range(1, 11)) + ")",
-   "series lag", "q", "", 4, fit=f"SELECT * FROM {fitted_sql('series', 'series')}", ce="SELECT series, ds, residual - avg(residual) OVER (PARTITION BY series) AS c FROM fit")
-on("residual_diagnostics", series, lambda d: evaluation.residual_diagnostics(RESIDUALS(d)), "", None)
-
-on("residual_shape", series, lambda d: evaluation.residual_diagnostics(RESIDUALS(d)).drop("min_p", "autocorrelated"), "series",
-   """SELECT series, avg(residual) AS mean, stddev_pop(residual) AS std, skewness(residual) * (count(*) - 2) / sqrt(count(*)::DOUBLE * (count(*) - 1)) AS skewness,
-   (kurtosis(residual) * (count(*) - 2) * (count(*) - 3) / (count(*) - 1) - 6) / (count(*) + 1) AS kurtosis FROM fit GROUP BY series""",
-   "series", "mean std skewness kurtosis", fit=f"SELECT * FROM {fitted_sql('series', 'series')}")
+FIT = {"fit": f"SELECT * FROM {fitted_sql('series', 'series')}"}
+LJUNG = {
+    **FIT, "ce": "SELECT series, ds, residual - avg(residual) OVER (PARTITION BY series) AS c FROM fit",
+    "lb": "SELECT series, lag, n * (n + 2) * sum((pk / ss) * (pk / ss) / (n - lag)) OVER (PARTITION BY series ORDER BY lag) AS q FROM ("
+    + " UNION ALL ".join(f"SELECT series, {k} AS lag, count(*)::DOUBLE AS n, sum(c * c) AS ss, sum(c * lk) AS pk FROM (SELECT *, lag(c, {k}) {W}) AS lk FROM ce) GROUP BY series" for k in range(1, 11)) + ")",
+    # The lower incomplete gamma function as a series of positive terms.
+    "lbp": """SELECT series, lag, q, greatest(0, 1 - list_sum(list_transform(range(0, CAST(3 * h + 200 AS BIGINT)), lambda i: exp((lag / 2.0::DOUBLE + i) * ln(h) - h - lgamma(lag / 2.0::DOUBLE + i + 1))))) AS p
+              FROM (SELECT *, q / 2 AS h FROM lb)""",
+}
+SHAPE_SQL = """SELECT series, avg(residual) AS mean, stddev_pop(residual) AS std, skewness(residual) * (count(*) - 2) / sqrt(count(*)::DOUBLE * (count(*) - 1)) AS skewness,
+   (kurtosis(residual) * (count(*) - 2) * (count(*) - 3) / (count(*) - 1) - 6) / (count(*) + 1) AS kurtosis FROM fit GROUP BY series"""
+on("ljung_box", series, lambda d: evaluation.ljung_box(RESIDUALS(d)), "series", "SELECT * FROM lbp", "series lag", "q p", "", 4, **LJUNG)
+on("residual_diagnostics", series, lambda d: evaluation.residual_diagnostics(RESIDUALS(d)), "series",
+   f"SELECT s.*, min_p, min_p < 0.05 AS autocorrelated FROM ({SHAPE_SQL}) s JOIN (SELECT series, min(p) AS min_p FROM lbp GROUP BY series) p ON s.series = p.series",
+   "series autocorrelated", "mean std skewness kurtosis min_p", "", 4, **LJUNG)
+on("residual_shape", series, lambda d: evaluation.residual_diagnostics(RESIDUALS(d)).drop("min_p", "autocorrelated"), "series", SHAPE_SQL,
+   "series", "mean std skewness kurtosis", **FIT)
 
 # Orders small enough for closed forms: a random walk with drift and a first-order autoregression.
 SCALED = {

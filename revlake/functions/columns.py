@@ -141,8 +141,20 @@ def parse_details(c) -> Column:
     return F.coalesce(parsed, F.from_json(F.lit("{}"), "map<string,string>"))
 
 
-def sanitize_text(c) -> Column:
-    return F.regexp_replace(F.trim(col(c)), "[<>\"';\\\\]", "")
+# Fixed value: longest text accepted after sanitising.
+LONGEST_TEXT = 255
+
+
+def sanitize_text(c, longest: int = LONGEST_TEXT) -> Column:
+    """The trimmed text without characters that have a meaning in markup or SQL; null if longer than ``longest``."""
+    clean = F.regexp_replace(F.trim(col(c)), "[<>\"';\\\\]", "")
+    return F.when(F.length(clean) <= longest, clean)
+
+
+def text_error(c, longest: int = LONGEST_TEXT) -> Column:
+    """Why ``sanitize_text`` accepts no text, null where it does."""
+    too_long = F.format_string(f"Input too long. Maximum {longest} characters allowed")
+    return F.when(col(c).isNull(), "Input must be a string").when(sanitize_text(c, longest).isNull(), too_long)
 
 
 def priority_order(c) -> Column:

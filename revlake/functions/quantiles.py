@@ -48,16 +48,12 @@ def in_pieces(rows: DataFrame, *ordered: str, identity: Sequence[str]) -> DataFr
     rest = [c for c in rows.columns if c not in identity]
     least = rows.orderBy(F.xxhash64(*identity), *identity, *rest).limit(PIECES * SAMPLED)
     points = F.sort_array(F.collect_list(F.when(place.isNotNull(), place)))
+    even = F.sequence(F.lit(1), F.lit(PIECES - 1))
     cuts = least.agg(points.alias("_all")).select(
-        *[
-            F.get("_all", F.floor(F.size("_all") * i / PIECES).cast("int")).alias(f"_cut{i}")
-            for i in range(1, PIECES)
-        ]
+        F.transform(even, lambda i: F.get("_all", F.floor(F.size("_all") * i / PIECES).cast("int"))).alias("_cuts")
     )
-    passed = [F.coalesce((place >= F.col(f"_cut{i}")).cast("int"), F.lit(0)) for i in range(1, PIECES)]
-    while len(passed) > 1:  # a shallow sum
-        passed = [sum(passed[i + 1 : i + 4], passed[i]) for i in range(0, len(passed), 4)]
-    return rows.crossJoin(F.broadcast(cuts)).withColumn("_b", passed[0]).drop(*cuts.columns)  # one row
+    passed = F.size(F.filter("_cuts", lambda c: c <= place))
+    return rows.crossJoin(F.broadcast(cuts)).withColumn("_b", passed).drop("_cuts")  # one row
 
 
 def exact_quantiles(

@@ -75,8 +75,8 @@ def information_criteria(z: np.ndarray, moments: np.ndarray, p: int, d: int, sea
     inner, toward, whole = matrix[:-1, :-1], matrix[:-1, -1], float(matrix[-1, -1])
     beta, *_ = np.linalg.lstsq(inner, toward, rcond=None)
     squares = whole - float(beta @ toward)
-    if squares <= 1e-8 * whole:
-        # Next to nothing is left, and the difference of two sums cannot tell how little.
+    if squares <= 1e-5 * whole:
+        # Little is left, and the difference of two sums cannot tell well how little.
         _, error = _fit(np.diff(z, n=d) if d else z, lags, MAX_LAG + 2 - d)
         squares = float(error @ error)
     n, k = len(z) - MAX_LAG - 2, len(lags) + 2
@@ -127,7 +127,10 @@ def _keyed(rows: dict, pdf: pd.DataFrame, keys: Sequence[str], columns: list[str
     out = pd.DataFrame(rows)
     for k in keys:
         out[k] = pdf[k].iloc[0]
-    return out.reindex(columns=columns)
+    for c in columns:
+        if c not in out:
+            out[c] = pd.Series([None] * len(out), dtype=object)
+    return out[columns]
 
 
 def _grouped(df: DataFrame, keys: Sequence[str], work: Callable, schema: str) -> DataFrame:

@@ -33,6 +33,11 @@ def outlier_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def _one_row(stats: DataFrame) -> DataFrame:
+    """Stored statistics as one row, whatever the frame holds."""
+    return stats.agg(*[F.max(c).alias(c) for c in stats.columns])
+
+
 def _zscore_outlier(c: str, limit: float = Z_LIMIT) -> Column:
     """The flag of one column on rows joined with ``outlier_stats``."""
     z = F.abs(F.try_divide(finite(c) - F.col(f"_m_{c}"), F.col(f"_s_{c}")))
@@ -47,7 +52,7 @@ def flag_zscore_outliers(
     ``stats`` may hold the result of ``outlier_stats`` when several plans share it.
     """
     columns = [columns] if isinstance(columns, str) else columns
-    stats = outlier_stats(df, columns) if stats is None else stats
+    stats = outlier_stats(df, columns) if stats is None else _one_row(stats)
     out = df.crossJoin(F.broadcast(stats))  # one row
     return out.withColumns({f"{c}_outlier": _zscore_outlier(c, limit) for c in columns}).drop(*stats.columns)
 
@@ -99,7 +104,7 @@ def cleaning_metrics(df: DataFrame, stats: DataFrame | None = None) -> DataFrame
 
     Takes the raw frame: one pass for the statistics, one for the counts.
     """
-    stats = cleaning_stats(df) if stats is None else stats
+    stats = cleaning_stats(df) if stats is None else _one_row(stats)
     good = ~price_out_of_range()
     return cast_clean_types(df).crossJoin(F.broadcast(stats)).agg(  # one row
         F.count(F.lit(1)).alias("total_records"),

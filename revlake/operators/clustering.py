@@ -117,11 +117,12 @@ def best_centres(features: DataFrame, names: list[str], wanted: list[int], seed:
     points = features.select(*names).withColumn("_x", _scaled(names, mean, spread))
     for _ in range(ROUNDS):
         order = list(moving)
-        models = F.array(*[F.struct(F.lit(i).alias("run"), _literal(moving[r]).alias("centres")) for i, r in enumerate(order)])
+        # A row a run. As a table and not as constants, so that every round runs the same compiled code.
+        models = features.sparkSession.createDataFrame([(i, moving[r].tolist()) for i, r in enumerate(order)], "run int, centres array<array<double>>")
         sums = (
-            points.select("*", F.explode(models).alias("_m"))
-            .withColumn("_near", _nearest(F.col("_x"), F.col("_m.centres")))
-            .groupBy(F.col("_m.run").alias("run"), F.col("_near.place").alias("place"))
+            points.crossJoin(F.broadcast(models))
+            .withColumn("_near", _nearest(F.col("_x"), F.col("centres")))
+            .groupBy("run", F.col("_near.place").alias("place"))
             .agg(F.count(F.lit(1)).alias("n"), _whole(F.col("_near.far"), FINE).alias("cost"), *[_whole(F.col(c), CENT).alias(f"s{i}") for i, c in enumerate(names)])
             .collect()
         )

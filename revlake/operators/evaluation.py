@@ -5,11 +5,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from revlake.functions.columns import finite
 from revlake.operators.series import difference
@@ -108,31 +106,41 @@ def stationary_order(df: DataFrame, keys: Sequence[str] = KEY, most: int = 2) ->
     return tests.groupBy(*keys).agg(F.coalesce(first, F.lit(most)).alias("d"))
 
 
-def chi_square_tail(q: float, k: int) -> float:
-    """P(X > q) for k degrees of freedom, from the recurrence of the incomplete gamma function."""
-    if q <= 0:
-        return 1.0
-    half = q / 2
-    tail, term = (math.exp(-half), math.exp(-half)) if k % 2 == 0 else (math.erfc(math.sqrt(half)), 0.0)
-    if k % 2 == 0:
-        for i in range(1, k // 2):
-            term *= half / i
-            tail += term
-        return min(tail, 1.0)
-    term = math.exp(-half) * math.sqrt(half) / math.gamma(1.5)
-    for i in range(1, (k + 1) // 2):
-        tail += term
-        term *= half / (i + 0.5)
-    return min(tail, 1.0)
+def erfc(z: Column) -> Column:
+    """Complementary error function of ``z`` >= 0: a series of positive terms below 3, a continued fraction above."""
+    square = z * z
+    grown = F.aggregate(
+        F.sequence(F.lit(1), F.lit(60)),
+        F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum")),
+        lambda a, n: F.struct(
+            (a["term"] * 2 * square / (2 * n + 1)).alias("term"), (a["sum"] + a["term"] * 2 * square / (2 * n + 1)).alias("sum")
+        ),
+        lambda a: a["sum"],
+    )
+    near = 1 - 2 / math.sqrt(math.pi) * z * F.exp(-square) * grown
+    below = F.aggregate(F.sequence(F.lit(60), F.lit(1)), z, lambda f, m: z + m / 2 / f)
+    return F.when(z < 3, near).otherwise(F.exp(-square) / math.sqrt(math.pi) / below)
 
 
-@F.pandas_udf(T.DoubleType())
-def ljung_box_p(q: pd.Series, k: pd.Series) -> pd.Series:
-    return pd.Series([None if pd.isna(a) else chi_square_tail(float(a), int(b)) for a, b in zip(q, k, strict=True)])
+def chi_square_tail(q: Column, k: int) -> Column:
+    """P(X > q) for ``k`` degrees of freedom, from the recurrence of the incomplete gamma function."""
+    half = F.greatest(q, F.lit(0.0)) / 2
+    if k % 2 == 0:
+        tail, power, n = F.exp(-half), F.lit(1.0), 1.0
+        for i in range(1, k // 2):
+            power, n = power * half, n * i
+            tail = tail + F.exp(-half) * power / n
+    else:
+        tail, power = erfc(F.sqrt(half)), F.sqrt(half)
+        for i in range(1, (k + 1) // 2):
+            tail = tail + F.exp(-half) * power / math.gamma(i + 0.5)
+            power = power * half
+    # Far out the powers pass every number, and the tail is nothing.
+    return F.when(q.isNotNull(), F.when(half > 700, 0.0).otherwise(F.least(tail, F.lit(1.0))))
 
 
 def ljung_box(residuals: DataFrame, lags: int = 10, keys: Sequence[str] = KEY) -> DataFrame:
-    """Autocorrelation statistic Q for 1 to ``lags`` lags, in long form."""
+    """Autocorrelation statistic Q for 1 to ``lags`` lags and its p-value, in long form."""
     order, whole = W.partitionBy(*keys).orderBy("ds"), W.partitionBy(*keys)
     centred = residuals.withColumn("_c", F.col("residual") - F.avg("residual").over(whole))
     products = centred.withColumns({f"_p{k}": F.col("_c") * F.lag("_c", k).over(order) for k in range(1, lags + 1)})
@@ -146,7 +154,8 @@ def ljung_box(residuals: DataFrame, lags: int = 10, keys: Sequence[str] = KEY) -
     for k in range(1, lags + 1):
         r = F.try_divide(f"_p{k}", "_ss")
         q = q + F.try_divide(r * r, n - k)
-        rows.append(F.struct(F.lit(k).alias("lag"), (n * (n + 2) * q).alias("q")))
+        statistic = n * (n + 2) * q
+        rows.append(F.struct(F.lit(k).alias("lag"), statistic.alias("q"), chi_square_tail(statistic, k).alias("p")))
     return sums.select(*keys, F.explode(F.array(*rows)).alias("r")).select(*keys, "r.*")
 
 
@@ -158,8 +167,7 @@ def residual_diagnostics(residuals: DataFrame, keys: Sequence[str] = KEY) -> Dat
         F.skewness("residual").alias("skewness"),
         F.kurtosis("residual").alias("kurtosis"),
     )
-    # Ten rows per series reach Python.
-    p = ljung_box(residuals, 10, keys).withColumn("p", ljung_box_p("q", "lag")).groupBy(*keys).agg(F.min("p").alias("min_p"))
+    p = ljung_box(residuals, 10, keys).groupBy(*keys).agg(F.min("p").alias("min_p"))
     return shape.join(p, list(keys)).withColumn("autocorrelated", F.col("min_p") < 0.05)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from revlake.functions.columns import calendar_parts, round_total, safe_ratio
@@ -68,28 +69,82 @@ def daily_metrics(clean: DataFrame) -> DataFrame:
     )
 
 
-def customer_segments(clean: DataFrame) -> DataFrame:
-    """Champions and loyal customers per day and country, by the cell's upper spend and frequency quartile."""
-    rows = _keyed(clean, [*CELL, "customer_id"])
+def _ranked_customers(clean: DataFrame) -> tuple[DataFrame, Column, Column]:
+    """Spend and frequency per day, country and customer; who is in the cell's upper quartile of each."""
     customers = (
-        rows.groupBy(*CELL, "customer_id")
+        _keyed(clean, [*CELL, "customer_id"])
+        .groupBy(*CELL, "customer_id")
         .agg(round_total(F.sum("price")).alias("spend"), F.count(F.lit(1)).alias("frequency"))
     )
     cuts = exact_quantiles_of(customers, ["spend", "frequency"], [0.75], CELL)
     cuts = cuts.select(*CELL, F.col("spend")[0].alias("_spend_cut"), F.col("frequency")[0].alias("_often_cut"))
-    rich = F.col("spend") >= F.col("_spend_cut")
-    loyal = F.col("frequency") >= F.col("_often_cut")
-    return (
-        customers.join(cuts, CELL)
-        .groupBy(*CELL)
-        .agg(
-            F.avg("frequency").alias("avg_frequency"),
-            F.avg("spend").alias("avg_monetary_value"),
-            F.count_if(rich & loyal).alias("champions_count"),
-            F.count_if(loyal & ~rich).alias("loyal_customers_count"),
-            F.count(F.lit(1)).alias("new_customers_count"),
-            F.avg("spend").alias("avg_customer_lifetime_value"),
-        )
+    return customers.join(cuts, CELL), F.col("spend") >= F.col("_spend_cut"), F.col("frequency") >= F.col("_often_cut")
+
+
+def customer_segments(clean: DataFrame) -> DataFrame:
+    """Champions and loyal customers per day and country, by the cell's upper spend and frequency quartile."""
+    customers, rich, loyal = _ranked_customers(clean)
+    return customers.groupBy(*CELL).agg(
+        F.avg("frequency").alias("avg_frequency"),
+        F.avg("spend").alias("avg_monetary_value"),
+        F.count_if(rich & loyal).alias("champions_count"),
+        F.count_if(loyal & ~rich).alias("loyal_customers_count"),
+        F.count(F.lit(1)).alias("new_customers_count"),
+        F.avg("spend").alias("avg_customer_lifetime_value"),
+    )
+
+
+# Fixed values of this library: days since the last purchase that count as recent, and as long ago.
+RECENT_DAYS, LONG_AGO_DAYS = 30, 90
+
+
+def customer_visits(clean: DataFrame) -> DataFrame:
+    """``customer_id, date, country`` once for every day, country and customer with a purchase."""
+    return _keyed(clean, [*CELL, "customer_id"]).select("customer_id", "date", "country").distinct()
+
+
+def with_previous_visit(visits: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """``visits`` with ``previous``: the customer's last day before, anywhere, among ``visits`` and ``earlier``.
+
+    ``earlier`` holds visits of other days; only those of the customers in ``visits`` take part.
+    """
+    rows = visits.withColumn("_own", F.lit(True))
+    if earlier is not None:
+        known = earlier.join(visits.select("customer_id").distinct(), "customer_id", "left_semi")
+        rows = rows.unionByName(known.select("customer_id", "date", "country").withColumn("_own", F.lit(False)))
+    before = W.partitionBy("customer_id").orderBy(F.unix_date("date")).rangeBetween(W.unboundedPreceding, -1)
+    return rows.withColumn("previous", F.max("date").over(before)).where("_own").drop("_own")
+
+
+def visit_metrics(visits: DataFrame) -> DataFrame:
+    """New and returning customers and their share, per day and country, from ``with_previous_visit``."""
+    new = F.col("previous").isNull()
+    counts = visits.groupBy(*CELL).agg(F.count_if(new).alias("new_customers"), F.count_if(~new).alias("returning_customers"))
+    both = F.col("new_customers") + F.col("returning_customers")
+    return counts.withColumn("customer_retention_rate", safe_ratio("returning_customers", both))
+
+
+def recency_segments(clean: DataFrame, visits: DataFrame) -> DataFrame:
+    """Segments that depend on the last purchase before the day, per day and country.
+
+    Potential loyalists came back within ``RECENT_DAYS`` without being among the frequent or the dear.
+    Of those who had been away for over ``LONG_AGO_DAYS``, frequent ones are at risk, dear ones cannot be lost, and
+    the others hibernate. Churn risk is the mean of the days away over ``LONG_AGO_DAYS``, 1 at most; new
+    customers have none.
+    """
+    customers, rich, loyal = _ranked_customers(clean)
+    away = F.datediff("date", "previous")
+    returned = away.isNotNull()
+    recent, long_ago = returned & (away <= RECENT_DAYS), returned & (away > LONG_AGO_DAYS)
+    both = customers.join(visits, [*CELL, "customer_id"])
+    return both.groupBy(*CELL).agg(
+        F.coalesce(F.avg(away), F.lit(0.0)).alias("avg_recency_days"),
+        F.count_if(recent & ~rich & ~loyal).alias("potential_loyalists_count"),
+        F.count_if(long_ago & loyal & ~rich).alias("at_risk_count"),
+        F.count_if(long_ago & rich).alias("cannot_lose_count"),
+        F.count_if(long_ago & ~rich & ~loyal).alias("hibernating_count"),
+        (F.count_if(~returned) / F.count(F.lit(1))).alias("customer_acquisition_rate"),
+        F.avg(F.when(returned, F.least(F.lit(1.0), away / LONG_AGO_DAYS)).otherwise(0.0)).alias("customer_churn_risk_score"),
     )
 
 

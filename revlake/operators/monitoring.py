@@ -53,6 +53,14 @@ def t_critical(df: int, alpha: float = 0.05) -> float:
     return (low + high) / 2
 
 
+def append_prediction_records(predictions: DataFrame, when=None) -> DataFrame:
+    """History rows of predictions: time taken and confidence, 0 where absent."""
+    now = F.current_timestamp() if when is None else F.lit(when).cast("timestamp")
+    values = {"prediction_time": "prediction_time", "confidence": "confidence_score"}
+    kept = [(F.coalesce(F.col(c), F.lit(0.0)) if c in predictions.columns else F.lit(0.0)).alias(n) for c, n in values.items()]
+    return predictions.select(*KEY, *kept, now.alias("timestamp"))
+
+
 def append_performance_records(metrics: DataFrame, when=None) -> DataFrame:
     """History rows from evaluation rows; a missing metric counts as 0."""
     now = F.current_timestamp() if when is None else F.lit(when).cast("timestamp")
@@ -156,8 +164,8 @@ def drift_recommendations(scores: DataFrame) -> DataFrame:
 
 
 def performance_summary(history: DataFrame) -> DataFrame:
-    """Average R2 of all records, best and worst key by mean R2, last record time, as one row."""
-    per_key = history.groupBy(*KEY).agg(F.avg("r2").alias("mean_r2"), F.sum("r2").alias("_s"), F.count("r2").alias("_n"), F.max("timestamp").alias("_t"))
+    """Average R2 of the records kept of each key, best and worst key by mean R2, last record time, as one row."""
+    per_key = capped_history(history).groupBy(*KEY).agg(F.avg("r2").alias("mean_r2"), F.sum("r2").alias("_s"), F.count("r2").alias("_n"), F.max("timestamp").alias("_t"))
     key = F.concat_ws("_", *KEY)
     return per_key.agg(
         F.coalesce(F.try_divide(F.sum("_s"), F.sum("_n")), F.lit(0.0)).alias("average_accuracy"),
@@ -183,7 +191,7 @@ def accuracy_trends(history: DataFrame, n: int = TREND) -> DataFrame:
 def performance_stability(history: DataFrame) -> DataFrame:
     """Mean over keys with more than five records of 1 - deviation / mean, and its class."""
     mean, std = F.avg("r2"), F.stddev_pop("r2")
-    per_key = history.groupBy(*KEY).agg(
+    per_key = capped_history(history).groupBy(*KEY).agg(
         F.count("r2").alias("n"), F.when(mean > 0, 1 - std / mean).otherwise(0.0).alias("stability")
     )
     s = F.col("stability")
@@ -266,17 +274,33 @@ def business_correlation(pairs: DataFrame, keys: tuple[str, ...] = ("series",))
     )
 
 
+# What a recommendation advises, by its issue; {} stand for the model and the country.
+ADVISED = {
+    "High prediction error": "Consider retraining {model} model for {country} or adjusting hyperparameters",
+    "Low model fit": "Consider adding more features or using a different model architecture for {country}",
+    "drift": "Retrain {model} model for {country} with recent data",
+    "Model selection optimization": "Consider using {model} as primary model for {country}",
+    "Weak correlation with business metrics": "Investigate model features and business KPI alignment for {country}",
+}
+
+
+def _advised(text: str, model: Column) -> Column:
+    """One of ``ADVISED`` with its places filled."""
+    return F.replace(F.replace(F.lit(text), F.lit("{model}"), model), F.lit("{country}"), F.col("country"))
+
+
 def recommendations(
     metrics: DataFrame, alerts: DataFrame | None = None, ranked: DataFrame | None = None, correlation: DataFrame | None = None
 ) -> DataFrame:
-    """One row per recommendation, high priority first.
+    """One row per recommendation with its advice, high priority first.
 
     ``metrics`` has country, model_type, mae, rmse, r2; ``alerts`` comes from ``drift_alerts``;
     ``ranked`` has country, model_type, rank and mae; ``correlation`` has country and strength.
     """
     def rows(df, kind, priority, model, issue, details):
-        text = [F.lit(v) if isinstance(v, str) else v for v in (kind, priority, model, issue)]
-        names = ["type", "priority", "model", "issue"]
+        advised = _advised(ADVISED[issue if isinstance(issue, str) else "drift"], F.col("model_type") if "model_type" in df.columns else F.lit(""))
+        text = [F.lit(v) if isinstance(v, str) else v for v in (kind, priority, model, issue, advised)]
+        names = ["type", "priority", "model", "issue", "recommendation"]
         return df.select("country", *[v.alias(n) for v, n in zip(text, names, strict=True)], details.alias("details"))
 
     model = F.col("model_type")

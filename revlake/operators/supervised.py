@@ -92,7 +92,8 @@ def train_each(
 
 def forecast_each(models: dict[str, tuple[PipelineModel, float]], features: DataFrame) -> DataFrame:
     """``forecast_supervised`` with each series' own model; null for series without one."""
-    out = features.where(~F.col("series").isin(list(models))).select("series", "date", F.lit(None).cast("double").alias("prediction"))
+    fitted = F.coalesce(F.col("series").isin(list(models)), F.lit(False))
+    out = features.where(~fitted).select("series", "date", F.lit(None).cast("double").alias("prediction"))
     for name, (model, _) in models.items():
         out = out.unionByName(forecast_supervised(model, features.where(F.col("series") == name)))
     return out

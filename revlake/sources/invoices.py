@@ -69,7 +69,7 @@ def invoice_records(files: DataFrame, every_file: bool = False) -> DataFrame:
 
 
 def read_invoices(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.json") -> DataFrame:
-    """Raw records of JSON files, read once."""
+    """Raw records of JSON files, read once. A file without a byte has no row."""
     return invoice_records(invoice_files(spark, paths, pattern))
 
 

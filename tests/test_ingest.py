@@ -92,14 +92,16 @@ def test_repeated_batches_change_nothing(spark, folders, monkeypatch):
     source, base, state = folders
     put(source)
     (source / "empty.json").write_text(" []")
+    (source / "blank.json").write_text("")
     first = ingest_batch(spark, str(source), base, key="one").first()
     before = everything(spark, base)
-    assert (first["files_processed"], first["errors"]) == (7, 6)
+    assert (first["files_processed"], first["errors"]) == (8, 7)
     assert ingest_batch(spark, str(source), base, force=True, key="one").first() == first  # in the log
     assert ingest_batch(spark, str(source), base, force=True).first()["records"] == 5
     ingest_stream(spark, str(source), base, state).awaitTermination()
     assert everything(spark, base) == before
     assert {r["file_name"]: r["records_processed"] for r in ledger_table(spark, base).collect()}["empty.json"] == 0
+    assert {r["file_name"]: r["error_message"] for r in ledger_table(spark, base).collect()}["blank.json"] == "unreadable JSON"
 
     # A batch that breaks off after its invoices is made whole by its repetition.
     def broken(*_):
@@ -128,7 +130,7 @@ def test_stages_are_removed_and_files_are_read_once(spark, folders):
 
 
 def test_odd_files(spark, tmp_path):
-    texts = {"bom.json": "\ufeff" + json.dumps([record(1)]), "blank.json": "", "empty.json": "[ ]", "text.json": "hello", "null.json": "null", "number.json": "[1]"}
+    texts = {"bom.json": "\ufeff" + json.dumps([record(1)]), "blank.json": " \n", "empty.json": "[ ]", "text.json": "hello", "null.json": "null", "number.json": "[1]"}
     for name, text in texts.items():
         (tmp_path / name).write_text(text, encoding="utf-8")
     rows = {r["source_file"]: r for r in src.read_invoices(spark, str(tmp_path)).collect()}

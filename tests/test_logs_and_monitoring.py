@@ -163,6 +163,16 @@ def test_scores_and_summary(spark):
     assert (s["best_model"], s["worst_model"]) == ("Spain_arima", "France_arima")
     assert monitoring.performance_summary(df.where("false")).first()["best_model"] == "none"
     assert monitoring.performance_stability(df.where("false")).first()["level"] == "unknown"
+    # Records beyond those kept of a key do not count.
+    long = history(spark, [0.1] * 40 + [0.9] * monitoring.HISTORY)
+    assert monitoring.performance_summary(long).first()["average_accuracy"] == pytest.approx(0.9)
+    assert monitoring.performance_stability(long).first()["stability"] == pytest.approx(1.0)
+
+
+def test_prediction_records(spark):
+    df = spark.createDataFrame([("France", "arima", 1.5, None)], "country string, model_type string, prediction_time double, confidence double")
+    row = monitoring.append_prediction_records(df, NOW).first()
+    assert (row["prediction_time"], row["confidence_score"], row["timestamp"]) == (1.5, 0.0, NOW)
     assert monitoring.capped_history(history(spark, [0.5] * 120)).count() == 100
 
 

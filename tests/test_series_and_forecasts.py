@@ -169,12 +169,27 @@ def test_stationarity(spark):
     assert {r["series"]: r["d"] for r in evaluation.stationary_order(df).collect()} == {"noise": 0, "walk": 1}
 
 
-def test_chi_square_tail_known_values():
-    assert evaluation.chi_square_tail(3.841458820694124, 1) == pytest.approx(0.05)
-    assert evaluation.chi_square_tail(5.991464547107979, 2) == pytest.approx(0.05)
-    assert evaluation.chi_square_tail(11.070497693516351, 5) == pytest.approx(0.05)
-    assert evaluation.chi_square_tail(18.307038053275146, 10) == pytest.approx(0.05)
-    assert evaluation.chi_square_tail(0.0, 3) == 1.0
+def exact_tail(q, k):
+    """The same tail from ``math.erfc`` and the recurrence."""
+    half = q / 2
+    if k % 2 == 0:
+        return sum(math.exp(-half) * half**i / math.factorial(i) for i in range(k // 2))
+    return math.erfc(math.sqrt(half)) + sum(math.exp(-half) * half ** (i - 0.5) / math.gamma(i + 0.5) for i in range(1, (k + 1) // 2))
+
+
+def test_chi_square_tail(spark):
+    values = [0.0, 1e-9, 0.3, 1.0, 3.841458820694124, 5.991464547107979, 11.070497693516351, 17.9, 18.1, 18.307038053275146, 60.0, 500.0]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (1e9,)], "q double")
+    out = df.select("q", *[evaluation.chi_square_tail(F.col("q"), k).alias(str(k)) for k in range(1, 11)])
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    for r in out.collect():
+        for k in range(1, 11):
+            if r["q"] is None:
+                assert r[str(k)] is None
+            else:
+                assert r[str(k)] == pytest.approx(exact_tail(r["q"], k) if r["q"] < 1e6 else 0.0, rel=1e-9, abs=1e-300)
+    known = {r["q"]: r for r in out.collect()}
+    assert known[3.841458820694124]["1"] == pytest.approx(0.05) and known[18.307038053275146]["10"] == pytest.approx(0.05)
 
 
 def test_residual_diagnostics_tell_noise_from_a_season(spark):
@@ -264,6 +279,10 @@ def test_series_without_a_fit_have_a_reason(spark):
         assert {r["series"]: r["reason"] for r in found} == wanted
     held = ar.forecast_ar(df, 5, orders=ar.grid_search_order(df), reasons=True).select("series", "reason").distinct().collect()
     assert {r["series"]: r["reason"] for r in held} == wanted
+    out = registry.run_models(df, ["autoregressive", "ensemble"], horizon=5).collect()
+    for model in ("autoregressive", "ensemble"):
+        assert {r["series"]: r["reason"] for r in out if r["model"] == model} == wanted
+        assert sum(r["yhat"] is None for r in out if r["model"] == model) == 2
 
 
 def direct_criteria(y, p, d, seasonal):
@@ -308,10 +327,6 @@ def test_reasons_of_other_models_use_their_rows_once(spark):
     out = registry.run_models(df, ["long_only"])
     assert out._jdf.queryExecution().executedPlan().toString().count("FlatMapGroupsInPandas") == 1
     assert {r["series"]: r["reason"] for r in out.collect()} == {"a": None, "b": "no row of the model"}
-    out = registry.run_models(df, ["autoregressive", "ensemble"], horizon=5).collect()
-    for model in ("autoregressive", "ensemble"):
-        assert {r["series"]: r["reason"] for r in out if r["model"] == model} == wanted
-        assert sum(r["yhat"] is None for r in out if r["model"] == model) == 2
 
 
 def test_elbow_and_searched_orders_do_the_whole_search(spark, monkeypatch):

@@ -175,6 +175,23 @@ def test_build_tables_can_be_repeated(spark, tmp_path):
     assert set(result_tables(inv(spark, rows))) >= {"daily_aggregated_metrics", "data_quality_reports"}
 
 
+def test_days_added_one_by_one_know_earlier_customers(spark, tmp_path):
+    base = str(tmp_path / "tables")
+    days = [("2024-01-01", [1, 2]), ("2024-01-20", [1, 3]), ("2024-06-01", [1, 2, 4])]
+    rows = [(f"i{c}", "A", c, "s", 5.0, 1, 2024, int(d[5:7]), int(d[8:])) for d, known in days for c in known]
+    df = spark.createDataFrame(rows, "invoice string, country string, customer_id long, stream_id string, price double, times_viewed int, year int, month int, day int")
+    df = df.withColumn("date", F.make_date("year", "month", "day"))
+    for day in [d for d, _ in days] + ["2024-06-01", "2024-01-20"]:
+        build_tables(spark, df, base, day, day, replace_dates=True)
+    daily = {str(r["date"]): r for r in spark.read.parquet(f"{base}/daily_aggregated_metrics").collect()}
+    assert {d: (r["new_customers"], r["returning_customers"]) for d, r in daily.items()} == {"2024-01-01": (2, 0), "2024-01-20": (1, 1), "2024-06-01": (1, 2)}
+    cell = {str(r["date"]): r for r in spark.read.parquet(f"{base}/customer_segment_metrics").collect()}["2024-06-01"]
+    assert cell["cannot_lose_count"] == 2 and cell["avg_recency_days"] == pytest.approx((133 + 152) / 2)
+    assert cell["customer_churn_risk_score"] == pytest.approx(2 / 3) and cell["customer_acquisition_rate"] == pytest.approx(1 / 3)
+    assert {r["customer_penetration"] for r in spark.read.parquet(f"{base}/product_performance_metrics").collect()} == {1.0}
+    assert spark.read.parquet(f"{base}/customer_visits").count() == 7
+
+
 def test_iqr_flags_per_group(spark):
     df = spark.createDataFrame([("a", float(v)) for v in (1, 2, 3, 4, 100)] + [("b", 100.0), ("b", 101.0), ("b", 102.0)], "g string, v double")
     found = cleaning.flag_iqr_outliers(df, "v", ["g"]).where("v_iqr_outlier").collect()
