@@ -539,7 +539,7 @@ check(
         coalesce(avg(away), 0) AS avg_recency_days, count(*) FILTER (away <= 30 AND spend < sq AND frequency < fq) AS potential_loyalists_count,
         count(*) FILTER (away > 90 AND frequency >= fq AND spend < sq) AS at_risk_count, count(*) FILTER (away > 90 AND spend >= sq) AS cannot_lose_count,
         count(*) FILTER (away > 90 AND spend < sq AND frequency < fq) AS hibernating_count, count(*) FILTER (away IS NULL)::DOUBLE / count(*) AS customer_acquisition_rate,
-        avg(coalesce(least(1.0::DOUBLE, away / 90.0::DOUBLE), 0)) AS customer_churn_risk_score FROM cust JOIN cuts USING (date, country) GROUP BY date, country""", **LATER),
+        avg(CASE WHEN away IS NULL THEN 0 ELSE least(1.0::DOUBLE, away / 90.0::DOUBLE) END) AS customer_churn_risk_score FROM cust JOIN cuts USING (date, country) GROUP BY date, country""", **LATER),
         "country champions_count loyal_customers_count potential_loyalists_count at_risk_count cannot_lose_count hibernating_count",
         "avg_recency_days customer_acquisition_rate customer_churn_risk_score", "date"),
 )
