@@ -89,23 +89,20 @@ def ingest_batch(
     """Process pending (or all) files of ``input_dir`` into tables below ``base``; one summary row.
 
     Pending files are found from names and times. Only files as new as the oldest pending one are opened,
-    which takes one time from the cluster, not a list of paths. ``key`` names the batch (default: a
+    which takes one time from the cluster, not a list of paths. Spark's sources do not list files without
+    a byte: they are never pending. ``key`` names the batch (default: a
     new name); repeating a key, or forcing files that are in the tables, changes nothing.
     """
     key = key or uuid.uuid4().hex
-    listed = list_files(spark, input_dir, pattern)
     pending = oldest = None
     if not force:
-        listed = pending = pending_files(listed, ledger_table(spark, base))
+        pending = pending_files(list_files(spark, input_dir, pattern), ledger_table(spark, base))
         before = F.min("file_modified_time") - F.expr("INTERVAL 2 SECONDS")
         oldest = pending.agg(F.date_format(before, "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
     if force or oldest is not None:
         contents = invoice_files(spark, input_dir, pattern, oldest)
         if pending is not None:
             contents = contents.join(pending.select("file_path"), "file_path", "left_semi")
-        # Readers pass over files without a byte, which belong in the ledger as unreadable.
-        blank = listed.where("file_size = 0").withColumnRenamed("file_name", "source_file").withColumn("value", F.lit(""))
-        contents = contents.unionByName(blank.select(contents.columns))
         commit_batch(contents, base, key)
     nothing = spark.range(1).select(
         *[F.lit(0).cast("long").alias(c) for c in ("files_processed", "records", "errors")], F.lit("no_files").alias("status")
