@@ -498,14 +498,6 @@ def series_csv_round_trip(s, sf):
 check("series_csv_round_trip", lambda s, sf: tidy(series_csv_round_trip(s, sf)), final(cte("series", "SELECT series, ds, y FROM series"), "series", "y", "ds"))
 
 
-def stored_daily(s, sf):
-    """The daily table after a run over each of two parts of the dates; the later part."""
-    base, rows = fresh_path(s, "tables"), invoices(s, sf)
-    for start, end in ((None, "1996-12-31"), ("1997-01-01", None)):
-        build_tables.build_tables(s, rows, base, start, end, replace_dates=True)
-    return s.read.parquet(f"{base}/daily_aggregated_metrics").where("date >= '1997-01-01'")
-
-
 def later_tables(s, sf, name):
     """A result table of the later dates, given the visits before them."""
     rows = invoices(s, sf)
@@ -525,7 +517,7 @@ LATER = {
 }
 check(
     "stored_daily_metrics",
-    lambda s, sf: tidy(stored_daily(s, sf).select(
+    lambda s, sf: tidy(later_tables(s, sf, "daily_aggregated_metrics").select(
         "country", "date", "total_transactions", "total_revenue", "new_customers", "returning_customers", "customer_retention_rate")),
     final(cte("kept", """SELECT date, country, n AS total_transactions, r AS total_revenue, coalesce(new, 0) AS new_customers, coalesce(old, 0) AS returning_customers,
         coalesce(old::DOUBLE / (new + old), 0) AS customer_retention_rate FROM (SELECT date, country, count(*) AS n, sum(price) AS r FROM late GROUP BY ALL)
