@@ -4,7 +4,7 @@ The hashes of shingles lie on a circle; an order begins at one of three points o
 In all of them the shingles that very many texts share come last.
 Two sets with Jaccard similarity t or more share a token among the first ``n - ceil(t n) + 1`` of each
 of them under any order. Candidates come from the first order, must meet in the other two as well,
-and only then are compared whole.
+must pass a bound from bitmaps of their sets, and only then are compared whole.
 
 Rows with equal sets are one class; classes are joined. In every list of classes that share a token:
 
@@ -40,7 +40,7 @@ PER_TEAM, PER_HUB = 64, 256
 #: A shingle counts as common when more than one in so many texts has it.
 COMMON = 500
 COUNT_BYTES = 12_000_000
-PROFILE = "doc_id long, mark long, n long, digest binary, first array<long>, second array<smallint>, third array<smallint>"
+PROFILE = "doc_id long, mark long, n long, digest binary, first array<long>, second array<smallint>, third array<smallint>, bits array<long>"
 
 
 def common_tokens(docs: DataFrame, width: int) -> np.ndarray:
@@ -71,8 +71,19 @@ def rotated(tokens: np.ndarray, start: np.uint64, size: int) -> np.ndarray:
     return part if len(part) == size else np.concatenate([part, tokens[: min(begin, size - len(part))]])
 
 
+def bitmaps(tokens: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
+    """A bitmap of each set in 64-bit words: a power of two of bits, two to four times the set's size."""
+    sizes = np.diff(bounds)
+    bits = 1 << np.ceil(np.log2(np.maximum(2 * sizes, 64))).astype(np.int64)
+    starts = np.append(0, np.cumsum(bits))
+    marked = np.zeros(starts[-1], bool)
+    marked[np.repeat(starts[:-1], sizes) + (tokens & np.repeat(bits - 1, sizes).astype(np.uint64)).astype(np.int64)] = True
+    words = np.packbits(marked, bitorder="little").view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(starts // 64, pa.int32()), pa.array(words))
+
+
 def profiles(docs: DataFrame, percent: int, width: int) -> DataFrame:
-    """For every row: set size, digest of the set, and its prefix under three orders.
+    """For every row: set size, digest of the set, its prefix under three orders, and its bitmap.
 
     The second and third prefix keep 16 bits of each hash, which can only add candidates.
     """
@@ -103,6 +114,7 @@ def profiles(docs: DataFrame, percent: int, width: int) -> DataFrame:
                 whole = [np.concatenate(p) if p else np.zeros(0, np.uint64) for p in prefixes]
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(whole[0].view(np.int64)))]
                 lists += [pa.ListArray.from_arrays(offsets, pa.array((w >> np.uint64(20)).astype(np.uint16).view(np.int16))) for w in whole[1:]]
+                lists.append(bitmaps(tokens, bounds))
                 ids = [batch.column(c).slice(at, len(texts)) for c in ("doc_id", "mark")]
                 at += len(texts)
                 yield pa.RecordBatch.from_arrays(
@@ -118,6 +130,26 @@ def _close(a: str, b: str, percent: int) -> Column:
     return 100 * low >= percent * high
 
 
+def possible(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` (``a, b``, more is kept) that may link as far as bitmaps tell. ``bits``: ``cid, n, bits``.
+
+    A bit of one set that the other lacks is an element that the other lacks, which bounds what they
+    have in common from above: no link is lost. The larger bitmap is folded to the size of the other;
+    sets more than twice as large as the other are left to the comparison of whole sets.
+    """
+    side = lambda name: bits.select(F.col("cid").alias(f"_{name}"), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}"))
+    joined = pairs.join(side("a"), F.col("a") == F.col("_a")).join(side("b"), F.col("b") == F.col("_b"))
+    words = F.least(F.size("bits_a"), F.size("bits_b"))
+    halves = lambda x: F.zip_with(F.slice(x, F.lit(1), words), F.slice(x, words + 1, words), lambda p, q: p.bitwiseOR(q))
+    even = lambda x: F.when(F.size(x) > words, halves(x)).otherwise(F.col(x))
+    alone = lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))
+    absent = lambda x, y: F.aggregate(F.zip_with(x, y, alone), F.lit(0), lambda sum_, k: sum_ + k)
+    joined = joined.withColumns({"_x": even("bits_a"), "_y": even("bits_b")})
+    both = F.least(F.col("n_a") - absent("_x", "_y"), F.col("n_b") - absent("_y", "_x"))
+    far = F.greatest(F.size("bits_a"), F.size("bits_b")) > 2 * words
+    return joined.where(far | (100 * both >= percent * (F.col("n_a") + F.col("n_b") - both))).select(*pairs.columns)
+
+
 def verify(pairs: DataFrame, keys: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs that link, by comparing whole sets. ``pairs``: ``team, a, b``; ``keys``: ``cid, doc_id, mark``.
 
@@ -294,11 +326,13 @@ def link_components(
     lists = stored(postings.join(shared, F.col("token") == F.col("_token")).select("token", "cid", "n", "hub"), "jaccard-postings")
     hubs = keys.select(F.col("cid").alias("_hub"), F.col("n").alias("hub_n"))
     stars = lists.where("cid <> hub").select("cid", "n", "hub").distinct().join(hubs, F.col("hub") == F.col("_hub"))
-    stars = stored(stars.where(_close("n", "hub_n", percent)).select(F.col("hub").alias("team"), F.col("hub").alias("a"), F.col("cid").alias("b")), "jaccard-stars")
+    stars = stars.where(_close("n", "hub_n", percent)).select(F.col("hub").alias("team"), F.col("hub").alias("a"), F.col("cid").alias("b"))
+    bits = rows.join(keys.select("cid"), F.col("row") == F.col("cid")).select("cid", "n", "bits")
+    stars = stored(possible(stars, bits, percent), "jaccard-stars")
     near = components(verify(stars, keys, docs, percent, width))
     open_lists = _with_component(lists.select("token", "cid", "n"), near)
-    pairs = teamed(remaining_pairs(open_lists, prefixes.drop("first", "n"), percent, long, longer), near)
-    pairs = stored(pairs, "jaccard-teams")
+    pairs = stored(possible(remaining_pairs(open_lists, prefixes.drop("first", "n"), percent, long, longer), bits, percent), "jaccard-possible")
+    pairs = stored(teamed(pairs, near), "jaccard-teams")
     late = verify(pairs, keys, docs, percent, width)
     late = _with_component(late, near, "a").withColumnRenamed("comp", "ca")
     late = _with_component(late, near, "b").select(F.col("ca").alias("a"), F.col("comp").alias("b"))

@@ -63,6 +63,31 @@ def test_one_row_of_each_component_stays(spark):
     assert jaccard_join.one_of_each(docs.limit(0)).collect() == []
 
 
+def test_bitmaps_lose_no_link_and_drop_what_is_far(spark):
+    rng = np.random.default_rng(8)
+    sets = []
+    for n in (1, 3, 31, 33, 60, 100, 129, 500, 2000):
+        base = rng.integers(0, 2**63, n, dtype=np.uint64)
+        sets.append(np.unique(base))
+        for changed in (1, n // 20, n // 10, n // 4, n // 2, n):
+            other = base.copy()
+            other[:changed] = rng.integers(0, 2**63, changed, dtype=np.uint64)
+            sets.append(np.unique(other[: rng.integers(max(1, 9 * n // 10), n + 1)]))
+    bounds = np.append(0, np.cumsum([len(s) for s in sets]))
+    words = jaccard_join.bitmaps(np.concatenate(sets), bounds).to_pylist()
+    bits = spark.createDataFrame([(i, len(s), w) for i, (s, w) in enumerate(zip(sets, words, strict=True))], "cid long, n long, bits array<long>")
+    every = [(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets))]
+    for percent in (30, 80, 90):
+        left = {tuple(r) for r in jaccard_join.possible(spark.createDataFrame(every, "a long, b long"), bits, percent).collect()}
+        common = {(a, b): len(np.intersect1d(sets[a], sets[b])) for a, b in every}
+        linked = {(a, b) for (a, b), k in common.items() if 100 * k >= percent * (len(sets[a]) + len(sets[b]) - k)}
+        assert linked <= left
+        even = [(a, b) for a, b in every if max(len(sets[a]), len(sets[b])) <= 2 * min(len(sets[a]), len(sets[b]))]
+        strange = [p for p in even if 2 * common[p] < min(percent / 100, 0.8) * len(sets[p[0]]) and len(sets[p[0]]) > 50]
+        assert len(strange) > 20
+        assert percent < 80 or not left & set(strange)
+
+
 def test_a_common_shingle_does_not_make_pairs_within_a_component(spark):
     base = [f"a{i}" for i in range(80)]
     rows = [(i, " ".join([*base[:i], f"edit{i}", *base[i + 1 :]])) for i in range(60)]
