@@ -54,7 +54,8 @@ def common_tokens(docs: DataFrame, width: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in slices(batch.column("text"), COUNT_BYTES):
-                tokens, counts = np.unique(shingle_sets(texts, width)[0], return_counts=True)
+                sets = [shingle_sets(part, width)[0] for part in slices(texts)]
+                tokens, counts = np.unique(np.concatenate(sets), return_counts=True)
                 shared = counts >= 3
                 columns = [pa.array(tokens[shared].view(np.int64)), pa.array(counts[shared], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["token", "n"])

@@ -8,7 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4_000_000
+#: Arrays of about fifty bytes stand for each byte of a slice.
+SLICE_BYTES = 1_000_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
