@@ -2,24 +2,31 @@
 
 Starts come from the rows with the smallest key hashes. Features have two decimals, so sums of members are
 added as whole numbers and come out the same however rows are distributed; centres follow from them.
-Runs with different starts and numbers of clusters share one pass over the rows in every round.
+Runs with different starts and numbers of clusters share one pass over the rows in every round. Features are
+stored once, in the shared folder; a round reads them from memory, and each of its tasks, one a core, sends one
+row a centre.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from decimal import Decimal
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlake.functions.columns import finite, percent, round_total
+from revlake.session import pinned
 
 # Seed, restarts, smallest input, largest numbers of clusters.
 SEED, RESTARTS, MIN_ROWS = 42, 10, 10
 ELBOW_MOST, CUSTOMER_CLUSTERS, PRODUCT_CLUSTERS = 10, 4, 5
 #: Rows that starts are picked from, and rounds after which centres are taken as they are.
 START_ROWS, ROUNDS = 1000, 200
+#: Rows that a task of a round should have at least.
+PART_ROWS = 5000
 #: Steps that sums of features and of distances are counted in.
 CENT, FINE = 100, 10**6
 CUSTOMER_FEATURES = ["total_revenue", "avg_order_value", "frequency", "total_views"]
@@ -101,11 +108,66 @@ def _scaled(names: list[str], mean: np.ndarray, spread: np.ndarray) -> Column:
     return F.array(*[(F.col(c) - F.lit(float(m))) / F.lit(float(s)) for c, m, s in zip(names, mean, spread, strict=True)])
 
 
+def _whole_sums(places: np.ndarray, values: np.ndarray, k: int) -> list[int]:
+    """Exact sums of whole numbers by place; beyond what doubles count, in Python's own numbers."""
+    if len(values) * np.abs(values).max() < 2**53:
+        return [int(x) for x in np.bincount(places, weights=values, minlength=k)]
+    out = [0] * k
+    for place, value in zip(places.tolist(), values.tolist(), strict=True):
+        out[place] += int(value)
+    return out
+
+
+def _round_sums(batches: Iterator, runs: list[np.ndarray], mean: np.ndarray, spread: np.ndarray) -> Iterator:
+    """One task of a round: members, cost and feature sums per run and centre, from batches of features.
+
+    Distances are added up in the order of ``_nearest``, and the first of equally near centres is taken, as there.
+    """
+    width = len(mean)
+    sums = [[[0] * len(c) for _ in range(width + 2)] for c in runs]
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(f).to_numpy() for f in range(width)]
+        scaled = [(x - m) / s for x, m, s in zip(columns, mean, spread, strict=True)]
+        cents = [batch.column(width + f).to_numpy() for f in range(width)]
+        for centres, held in zip(runs, sums, strict=True):
+            far = np.full(batch.num_rows, np.inf)
+            places = np.zeros(batch.num_rows, dtype=np.int64)
+            for place, centre in enumerate(centres):
+                d = np.zeros(batch.num_rows)
+                for x, c in zip(scaled, centre, strict=True):
+                    step = x - c
+                    step *= step
+                    d += step
+                np.copyto(places, place, where=d < far)
+                np.minimum(far, d, out=far)
+            cost = far * FINE
+            whole = np.floor(cost)
+            whole += cost - whole >= 0.5
+            found = [np.bincount(places, minlength=len(centres)).tolist()]
+            found += [_whole_sums(places, values, len(centres)) for values in (whole, *cents)]
+            for row, more in zip(held, found, strict=True):
+                row[:] = [a + b for a, b in zip(row, more, strict=True)]
+    rows = [(run, place, *[row[place] for row in held]) for run, held in enumerate(sums) for place in range(len(runs[run])) if held[0][place]]
+    for_run, for_place, *numbers = zip(*rows, strict=True) if rows else [()] * (width + 4)
+    exact = [pa.array([Decimal(x) for x in c], pa.decimal128(38, 0)) for c in numbers]
+    names = ["run", "place", "n", "cost", *[f"s{f}" for f in range(width)]]
+    yield pa.RecordBatch.from_arrays([pa.array(for_run, pa.int32()), pa.array(for_place, pa.int32()), *exact], names)
+
+
+def _spread_out(features: DataFrame, names: list[str], n: int) -> DataFrame:
+    """The named columns and their whole cents, one part a core unless these would be small."""
+    parts = max(1, min(features.sparkSession.sparkContext.defaultParallelism, -(-n // PART_ROWS)))
+    cents = [F.round(F.col(c) * CENT).cast("double").alias(f"_w{i}") for i, c in enumerate(names)]
+    return features.select(*[F.col(c).cast("double").alias(c) for c in names], *cents).repartition(parts)
+
+
 def best_centres(features: DataFrame, names: list[str], wanted: list[int], seed: int = SEED, restarts: int = RESTARTS) -> dict:
     """``{k: (cost, centres)}``: for every number of clusters the cheapest of several runs, and the scale used.
 
     The first column of ``features`` is the key. Rounds stop when no centre moves any more. The driver sees
-    the ``START_ROWS`` rows with the smallest key hashes and one row a centre and round.
+    the ``START_ROWS`` rows with the smallest key hashes, and one row a centre from each task of a round.
     """
     key = features.columns[0]
     n, mean, spread = _scale(features, names)
@@ -114,57 +176,52 @@ def best_centres(features: DataFrame, names: list[str], wanted: list[int], seed:
     runs = {(k, i): _starts(rows, k, seed + i) for k in wanted for i in range(restarts)}
     costs: dict = {}
     moving = dict(runs)
-    points = features.select(*names).withColumn("_x", _scaled(names, mean, spread))
-    for _ in range(ROUNDS):
-        order = list(moving)
-        # A row a run. As a table and not as constants, so that every round runs the same compiled code.
-        models = features.sparkSession.createDataFrame([(i, moving[r].tolist()) for i, r in enumerate(order)], "run int, centres array<array<double>>")
-        sums = (
-            points.crossJoin(F.broadcast(models))
-            .withColumn("_near", _nearest(F.col("_x"), F.col("centres")))
-            .groupBy("run", F.col("_near.place").alias("place"))
-            .agg(F.count(F.lit(1)).alias("n"), _whole(F.col("_near.far"), FINE).alias("cost"), *[_whole(F.col(c), CENT).alias(f"s{i}") for i, c in enumerate(names)])
-            .collect()
-        )
-        next_centres = {r: c.copy() for r, c in moving.items()}
-        costs |= dict.fromkeys(order, Decimal(0))
-        for r in sums:
-            run = order[r["run"]]
-            costs[run] += r["cost"]
-            means = np.array([float(Decimal(r[f"s{i}"]) / r["n"] / CENT) for i in range(len(names))])
-            next_centres[run][r["place"]] = (means - mean) / spread
-        still = {r for r in order if not np.array_equal(next_centres[r], moving[r])}
-        runs |= next_centres
-        moving = {r: next_centres[r] for r in still}
-        if not moving:
-            break
+    shape = "run int, place int, n decimal(38,0), cost decimal(38,0), " + ", ".join(f"s{i} decimal(38,0)" for i in range(len(names)))
+    points = _spread_out(features, names, n).persist()
+    try:
+        for _ in range(ROUNDS):
+            order = list(moving)
+            models = [moving[r] for r in order]
+            per_task = points.mapInArrow(lambda batches, models=models: _round_sums(batches, models, mean, spread), shape)
+            # A row a centre and task. Adding them up here spares every round a shuffle.
+            sums: dict = {}
+            for run, place, *numbers in per_task.collect():
+                known = sums.get((run, place), [0] * len(numbers))
+                sums[run, place] = [a + int(b) for a, b in zip(known, numbers, strict=True)]
+            next_centres = {r: c.copy() for r, c in moving.items()}
+            costs |= dict.fromkeys(order, Decimal(0))
+            for (run, place), (members, cost, *totals) in sums.items():
+                costs[order[run]] += cost
+                means = np.array([float(Decimal(x) / members / CENT) for x in totals])
+                next_centres[order[run]][place] = (means - mean) / spread
+            still = {r for r in order if not np.array_equal(next_centres[r], moving[r])}
+            runs |= next_centres
+            moving = {r: next_centres[r] for r in still}
+            if not moving:
+                break
+    finally:
+        points.unpersist()
     best = {k: min((costs[k, i], i) for i in range(restarts)) for k in wanted}
     return {"mean": mean, "spread": spread, "rows": n} | {k: (float(cost) / FINE, runs[k, i]) for k, (cost, i) in best.items()}
 
 
 def elbow(features: DataFrame, names: list[str], seed: int = SEED) -> DataFrame:
     """Within-cluster cost for k = 2 .. min(10, n / 5), the least of ``RESTARTS`` runs each."""
-    rows = features.persist()
-    try:
-        wanted = list(range(2, min(ELBOW_MOST, rows.count() // 5) + 1))
-        found = best_centres(rows, names, wanted, seed) if wanted else {}
-    finally:
-        rows.unpersist()
+    rows = pinned(features, "features")
+    wanted = list(range(2, min(ELBOW_MOST, rows.count() // 5) + 1))
+    found = best_centres(rows, names, wanted, seed) if wanted else {}
     return features.sparkSession.createDataFrame([(k, found[k][0]) for k in wanted], "k int, cost double")
 
 
 def _clusters(features: DataFrame, names: list[str], k: int | None, seed: int, restarts: int, choose) -> DataFrame:
-    rows = features.persist()
-    try:
-        n = rows.count()
-        if n < MIN_ROWS:
-            return features.withColumn("cluster", F.lit(0)).where("false")
-        k = k or choose(n)
-        found = best_centres(rows, names, [k], seed, restarts)
-    finally:
-        rows.unpersist()
+    rows = pinned(features, "features")
+    n = rows.count()
+    if n < MIN_ROWS:
+        return rows.withColumn("cluster", F.lit(0)).where("false")
+    k = k or choose(n)
+    found = best_centres(rows, names, [k], seed, restarts)
     near = _nearest(_scaled(names, found["mean"], found["spread"]), _literal(found[k][1]))
-    return features.withColumn("cluster", near["place"])
+    return rows.withColumn("cluster", near["place"])
 
 
 def kmeans_customers(features: DataFrame, k: int | None = None, seed: int = SEED, restarts: int = RESTARTS) -> DataFrame:

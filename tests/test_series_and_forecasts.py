@@ -346,3 +346,32 @@ def test_elbow_and_searched_orders_do_the_whole_search(spark, monkeypatch):
     cells = dict(zip(query.__code__.co_freevars, query.__closure__, strict=True))
     assert cells["query"].cell_contents(history).count() == 30
     assert grids == [ar.GRID]
+
+
+def test_rounds_of_clusters_count_as_the_columns_do(spark):
+    """Exact sums per centre, also beyond what doubles count; features are computed once for all rounds."""
+    rng = np.random.default_rng(1)
+    rows = [(i, *[round(float(x), 2) for x in rng.random(4) * 1000]) for i in range(300)] + [(300, 2.0**53, 1.0, 1.0, 1.0), (301, 2.0**53, 1.0, 1.0, 3.0)]
+    names = clustering.CUSTOMER_FEATURES
+    seen = spark.sparkContext.accumulator(0)
+
+    def looked(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    features = spark.createDataFrame(rows, "customer_id long, " + ", ".join(f"{c} double" for c in names))
+    n, mean, spread = clustering._scale(features, names)
+    centres = rng.random((3, 4))
+    centres[2] = centres[1]  # equally near: the first counts
+    points = clustering._spread_out(features, names, n)
+    shape = "run int, place int, n decimal(38,0), cost decimal(38,0), s0 decimal(38,0), s1 decimal(38,0), s2 decimal(38,0), s3 decimal(38,0)"
+    found = points.mapInArrow(lambda b: clustering._round_sums(b, [centres], mean, spread), shape).drop("run")
+    near = clustering._nearest(clustering._scaled(names, mean, spread), clustering._literal(centres))
+    wanted = features.withColumn("near", near).groupBy("near.place").agg(
+        F.count("*").cast("decimal(38,0)"), clustering._whole(F.col("near.far"), clustering.FINE), *[clustering._whole(F.col(c), clustering.CENT) for c in names])
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+    counted = features.mapInArrow(looked, features.schema)
+    out = clustering.kmeans_customers(counted, k=3, restarts=2)
+    assert out.count() == 302 and out.groupBy("cluster").count().count() == 3
+    assert seen.value == 302
