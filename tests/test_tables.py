@@ -229,3 +229,23 @@ def test_date_ranges_prune_months(spark, tmp_path):
     filters = plan[plan.index("PartitionFilters: [") :].split("],")[0]
     assert "year" in filters
     assert "month" in filters
+
+
+def test_advice_reads_its_rows_three_times(spark):
+    from revlake.operators import kpis
+
+    rows = [("a", 1, "s", 10.0, 2), ("a", 2, "t", 30.0, 9), (None, None, None, 5.0, None), ("b", 2, "t", None, 1), ("c", 3, "u", 20.0, 1)]
+    df = spark.createDataFrame(rows, "country string, customer_id long, stream_id string, price double, times_viewed int")
+    seen = spark.sparkContext.accumulator(0)
+
+    def looked(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    row = kpis.advice_inputs(df.mapInArrow(looked, df.schema)).first()
+    assert seen.value <= 3 * len(rows)
+    plain = df.agg(F.sum("price"), F.avg("price"), F.stddev_samp("price") / F.avg("price")).first()
+    assert row["total_revenue"] == 65.0 and row["countries"] == 3 and row["high_engagement_share"] == 20.0
+    assert abs(row["avg_transaction_value"] - plain[1]) < 1e-9 and abs(row["price_cv"] - plain[2]) < 1e-9
+    assert abs(row["geographic_concentration"] - 60 / 65 * 100) < 1e-9
