@@ -227,3 +227,27 @@ def test_shared_folder(spark):
     assert shared_dir(Unset("local[2]")) == shared_dir(Unset("local[2]"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Unset("yarn"))
+
+
+def test_a_repetition_moves_no_rows(spark, folders, monkeypatch):
+    """A forced batch compares hashes; without new ones nothing is written, with one only its month."""
+    source, base, _ = folders
+    put(source)
+    ingest_batch(spark, str(source), base)
+    before = sorted(map(tuple, stored(spark, base).collect()))
+    written = []
+    monkeypatch.setattr(load_invoices, "write_invoices", lambda df, path: written.append(df.count()) or src.write_invoices(df, path))
+    ingest_batch(spark, str(source), base, force=True)
+    assert written == [] and sorted(map(tuple, stored(spark, base).collect())) == before
+    (source / "later.json").write_text(json.dumps([record(1), record(77), record(77)]))
+    ingest_batch(spark, str(source), base)
+    assert written == [1] and stored(spark, base).count() == len(before) + 1
+
+
+def test_invoice_files_lie_in_one_folder(spark, sf):
+    from checks import ingest as queries
+
+    folder = Path(queries.invoice_folder(spark, sf, per_file=500))
+    files = [p for p in folder.iterdir() if p.name.endswith(".txt") and p.stat().st_size]
+    assert not [p for p in folder.iterdir() if p.is_dir()] and len(files) > 3
+    assert src.read_invoices(spark, str(folder), "*.txt").where("file_error is null").count() == queries.raw_records(spark, sf).count()
