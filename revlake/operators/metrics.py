@@ -10,6 +10,7 @@ from revlake.functions.columns import calendar_parts, round_total, safe_ratio
 from revlake.functions.quantiles import exact_quantiles, exact_quantiles_of, null_safe, quantile_row
 from revlake.functions.ranking import dense_ranks
 from revlake.operators.cleaning import FENCE
+from revlake.session import pinned
 
 CELL = ["date", "country"]
 
@@ -162,7 +163,8 @@ def product_performance(clean: DataFrame) -> DataFrame:
         )
         .withColumn("conversion_rate", safe_ratio("transactions", "total_views"))
     )
-    return product_ranks(products)
+    # Stored: ranking reads the two ranked columns, then all of them.
+    return product_ranks(pinned(products, "products"))
 
 
 def product_ranks(products: DataFrame) -> DataFrame:
@@ -257,7 +259,8 @@ def quality_report(clean: DataFrame, metrics: DataFrame) -> DataFrame:
     ``metrics`` is the one-row frame of ``cleaning_metrics``. An empty input gives one row with scores of
     zero and the counts of the run.
     """
-    prices = _price_counts(_keyed(clean, ["country"]))
+    # Stored: the readers below use different columns, and each would count the rows again.
+    prices = pinned(_price_counts(_keyed(clean, ["country"])), "prices")
     days = _day_counts(prices)
     counts = ["total_records", "missing_customer_ids", "price_outliers", "view_count_outliers"]
     per_country = days.withColumnRenamed("rows", "total_records").groupBy("country").agg(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +24,25 @@ from revlake.session import pinned
 from revlake.sources.invoices import scan_date_range, table_exists, write_l3
 
 
-def result_tables(invoices: DataFrame, start=None, end=None, earlier: DataFrame | None = None) -> dict[str, DataFrame]:
+class Tables(Mapping):
+    """Frames by name, each made when it is first asked for: some store what they read several times."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
+        self._makers, self._made = makers, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
+def result_tables(invoices: DataFrame, start=None, end=None, earlier: DataFrame | None = None) -> Tables:
     """Frames of the four tables, of the days' customer visits, and of the run's quality score.
 
     ``earlier`` holds visits of other days, for new and returning customers. The mean and deviation behind
@@ -37,16 +57,19 @@ def result_tables(invoices: DataFrame, start=None, end=None, earlier: DataFrame
     visits = customer_visits(clean)
     known = with_previous_visit(visits, earlier)
     counts = ["new_customers", "returning_customers", "customer_retention_rate"]
-    daily = daily_metrics(clean).join(visit_metrics(known), CELL, "left").na.fill(0, counts)
-    penetration = customer_penetration(clean).select(*CELL, "stream_id", "customer_penetration")
-    return {
-        "daily_aggregated_metrics": daily,
-        "customer_segment_metrics": customer_segments(clean).join(recency_segments(clean, known), CELL),
-        "product_performance_metrics": product_performance(clean).join(penetration, [*CELL, "stream_id"]),
-        "data_quality_reports": quality_report(clean, metrics),
-        "customer_visits": visits,
-        "run_quality": overall_quality_score(metrics),
-    }
+
+    def products() -> DataFrame:
+        penetration = customer_penetration(clean).select(*CELL, "stream_id", "customer_penetration")
+        return product_performance(clean).join(penetration, [*CELL, "stream_id"])
+
+    return Tables({
+        "daily_aggregated_metrics": lambda: daily_metrics(clean).join(visit_metrics(known), CELL, "left").na.fill(0, counts),
+        "customer_segment_metrics": lambda: customer_segments(clean).join(recency_segments(clean, known), CELL),
+        "product_performance_metrics": products,
+        "data_quality_reports": lambda: quality_report(clean, metrics),
+        "customer_visits": lambda: visits,
+        "run_quality": lambda: overall_quality_score(metrics),
+    })
 
 
 def _other_visits(spark: SparkSession, path: str, invoices: DataFrame, start, end) -> DataFrame | None:

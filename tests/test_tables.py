@@ -249,3 +249,21 @@ def test_advice_reads_its_rows_three_times(spark):
     assert row["total_revenue"] == 65.0 and row["countries"] == 3 and row["high_engagement_share"] == 20.0
     assert abs(row["avg_transaction_value"] - plain[1]) < 1e-9 and abs(row["price_cv"] - plain[2]) < 1e-9
     assert abs(row["geographic_concentration"] - 60 / 65 * 100) < 1e-9
+
+
+def test_quality_report_and_products_read_their_rows_once(spark):
+    rows = [(dt.date(2024, 1, d), c, p, k, "s", False, False, 1) for d in (1, 2, 3) for c in "ab" for p, k in ((1.0, 1), (2.0, None), (2.0, 2))]
+    df = spark.createDataFrame(rows, "date date, country string, price double, customer_id long, stream_id string, is_price_outlier boolean, is_view_outlier boolean, times_viewed int")
+    run = spark.createDataFrame([(18, 6, 0, 0, 0)], "total_records long, missing_customer_ids long, price_outliers long, view_outliers long, invalid_prices long")
+    seen = spark.sparkContext.accumulator(0)
+
+    def looked(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    report = metrics.quality_report(df.mapInArrow(looked, df.schema), run).collect()
+    assert {r["country"]: r["total_records"] for r in report} == {None: 18, "a": 9, "b": 9} and seen.value == 18
+    ranked = metrics.product_performance(df.mapInArrow(looked, df.schema)).collect()
+    assert {(r["transactions"], r["unique_customers"], r["revenue_rank"], r["popularity_rank"]) for r in ranked} == {(3, 2, 1, 1)}
+    assert len(ranked) == 6 and seen.value == 36
