@@ -10,11 +10,18 @@ Rows with equal sets are one class; classes are joined. In every list of classes
 
 1. All are compared with one of them, the hub, which joins the classes of a group of near copies
    with as many comparisons as it has members.
-2. What is still apart is compared pair by pair, but no pairs are made within a component. Lists are
-   split by size, since similar sets have similar sizes. A long list is split again by the tokens of
-   the second order, and what is still long by those of the third; both must be shared anyway. No
+2. Lists that would still make many pairs are dealt into small parts by chance, a few times over, and only
+   classes of one part are compared. That joins large groups of near copies whose members link with many
+   others, but not with the hub, in proportion to their size.
+3. What is still apart is compared pair by pair, but no pairs are made within a component. Lists are
+   split by size, since similar sets have similar sizes. A list of many pairs is split again by the tokens
+   of the second order, and what still has many by those of the third; both must be shared anyway. No
    list is cut.
 
+The place of a shared token bounds what two sets can have in common: no more than what either has from
+there on. Of two linked sets, the first token they share keeps this bound, so pairs are made only where
+places allow them. In particular the smaller set shares one of its first ``n - ceil(2 t n / (1 + t)) + 1``.
+
 The links' components are found by contraction, round by round, on stored tables.
 """
 
@@ -31,10 +38,12 @@ from pyspark.sql import functions as F
 from revlake.llm.common import stored
 from revlake.llm.shingles import shingle_sets, slices
 
-#: A list with more classes is split by the next order before pairs are made.
+#: A list with more pairs than the square of this is split by the next order before pairs are made.
 LONG = 64
-#: From the third order on lists may be this long before they are split.
-LONGER = 4096
+#: The same for lists that have been split by the second order.
+LONGER = 256
+#: Times that lists of many pairs are dealt into parts, and classes of either side in a part.
+DEALS, PER_PART = 3, 16
 #: Texts that a task holds to compare others with, and others compared with one copy of them.
 PER_TEAM, PER_HUB = 64, 256
 #: A shingle counts as common when more than one in so many texts has it.
@@ -126,9 +135,15 @@ def profiles(docs: DataFrame, percent: int, width: int) -> DataFrame:
     return marked.mapInArrow(run, PROFILE)
 
 
-def _close(a: str, b: str, percent: int) -> Column:
-    low, high = F.least(a, b), F.greatest(a, b)
-    return 100 * low >= percent * high
+def _meet(n: str, at: str, m: str, bt: str, percent: int) -> Column:
+    """Whether sets of ``n`` and ``m`` tokens may link if the first they share has ``at`` and ``bt`` before it."""
+    most = F.least(F.col(n) - F.col(at), F.col(m) - F.col(bt))
+    return (100 + percent) * most >= percent * (F.col(n) + F.col(m))
+
+
+def _largest(at: str, percent: int) -> Column:
+    """Size of the largest set that one of ``n`` tokens may link with, the first they share being at ``at``."""
+    return F.expr(f"(100 + {percent}) * (n - {at}) div {percent}") - F.col("n")
 
 
 def possible(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
@@ -244,36 +259,63 @@ def _with_component(df: DataFrame, labels: DataFrame, key: str = "cid") -> DataF
 
 
 def _mixed(lists: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of lists that hold more than one component, with the list's length ``m``."""
+    """Rows of lists that hold more than one component and a smaller side, with the number of pairs ``m`` at most."""
     sizes = lists.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(
-        F.count(F.lit(1)).alias("m"), F.min("comp").alias("_low"), F.max("comp").alias("_high")
+        (F.count_if(F.col("smaller")) * F.count_if(~F.col("smaller"))).alias("m"), F.min("comp").alias("_low"), F.max("comp").alias("_high")
     )
     same = [F.col(k) == F.col(f"_{k}") for k in keys]
-    return lists.join(sizes.where("_low <> _high"), same).drop("_low", "_high", *(f"_{k}" for k in keys))
+    return lists.join(sizes.where("m > 0 and _low <> _high"), same).drop("_low", "_high", *(f"_{k}" for k in keys))
 
 
-def _pairs(lists: DataFrame, keys: list[str], percent: int) -> DataFrame:
-    other = lists.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("cid").alias("b"), F.col("n").alias("_n"), F.col("comp").alias("_comp"))
+def _pairs(lists: DataFrame, keys: list[str], places: list[str], percent: int, *carried: str) -> DataFrame:
+    """Pairs of a list's smaller and larger sets whose ``places`` allow a link; of sets of one size the first is the smaller."""
+    renamed = {"cid": "b", **{c: f"_{c}" for c in ["n", "comp", *keys, *places]}}
+    other = lists.where(~F.col("smaller")).select(*(F.col(c).alias(r) for c, r in renamed.items()))
     same = [F.col(k) == F.col(f"_{k}") for k in keys]
-    joined = lists.join(other, [*same, F.col("cid") < F.col("b"), F.col("comp") != F.col("_comp"), _close("n", "_n", percent)])
-    return joined.select(F.col("cid").alias("a"), "b")
+    order = (F.col("n") < F.col("_n")) | ((F.col("n") == F.col("_n")) & (F.col("cid") < F.col("b")))
+    near = [_meet("n", p, "_n", f"_{p}", percent) for p in places]
+    joined = lists.where("smaller").join(other, [*same, order, F.col("comp") != F.col("_comp"), *near])
+    return joined.select(*carried, F.least("cid", "b").alias("a"), F.greatest("cid", "b").alias("b"))
 
 
-def remaining_pairs(lists: DataFrame, prefixes: DataFrame, percent: int, long: int = LONG, longer: int = LONGER) -> DataFrame:
-    """Pairs of classes in different components that meet under all three orders. ``lists``: token, cid, n, comp."""
-    band = F.floor(F.log("n") / -float(np.log(percent / 100))).cast("int")
-    banded = lists.withColumn("band", F.explode(F.array(band, band + 1)))
+def _banded(lists: DataFrame, percent: int) -> DataFrame:
+    """Rows of ``lists`` in the band of their size, and again as a pair's smaller side in the bands of its partners.
+
+    ``lists``: token, at, cid, n, comp, where ``at`` is the token's place in the set's first order.
+    """
+    band = lambda n: F.floor(F.log(n) / -float(np.log(percent / 100))).cast("int")
+    bands = F.sequence(band(F.col("n")), band(_largest("at", percent)))
+    smaller = lists.where(_largest("at", percent) >= F.col("n")).withColumns({"band": F.explode(bands), "smaller": F.lit(True)})
+    return lists.withColumns({"band": band(F.col("n")), "smaller": F.lit(False)}).unionByName(smaller)
+
+
+def dealt_pairs(lists: DataFrame, percent: int, deal: int, long: int = LONG) -> DataFrame:
+    """``team, a, b``: pairs of different components that one deal of lists of many pairs brings together."""
     keys = ["token", "band"]
+    many = _mixed(_banded(lists, percent), keys).where(F.col("m") > long * long)
+    parts = F.ceil(F.sqrt("m") / PER_PART)
+    many = stored(many.withColumn("part", F.pmod(F.xxhash64("cid", F.lit(deal)), parts)).withColumn("team", F.xxhash64(*keys, "part")), "jaccard-deal")
+    return _pairs(many, [*keys, "part"], ["at"], percent, "team").groupBy("a", "b").agg(F.min("team").alias("team")).select("team", "a", "b")
+
+
+def remaining_pairs(lists: DataFrame, prefixes: DataFrame, percent: int, long: int = LONG, longer: int = LONGER) -> DataFrame:
+    """Pairs of classes in different components that meet under all three orders. ``lists`` are as for ``_banded``."""
+    banded = _banded(lists, percent)
+    keys, places = ["token", "band"], ["at"]
     mixed = stored(_mixed(banded, keys), "jaccard-lists")
-    found = _pairs(mixed.where(F.col("m") <= long), keys, percent)
+    found = _pairs(mixed.where(F.col("m") <= long * long), keys, places, percent)
     other = prefixes.select(F.col("cid").alias("_cid"), "second", "third")
     for column, key in (("second", "y"), ("third", "z")):
-        rest = mixed.where(F.col("m") > long).drop("m")
-        more = rest.join(other.select("_cid", column), F.col("cid") == F.col("_cid")).withColumn(key, F.explode(column)).drop("_cid", column)
-        keys = [*keys, key]
-        mixed = stored(_mixed(more.distinct(), keys), "jaccard-lists")
+        rest = mixed.where(F.col("m") > long * long).drop("m")
+        place = f"at_{key}"
+        more = rest.join(other.select("_cid", column), F.col("cid") == F.col("_cid"))
+        more = more.select(*rest.columns, F.posexplode(column).alias(place, key)).where(~F.col("smaller") | (_largest(place, percent) >= F.col("n")))
+        keys, places = [*keys, key], [*places, place]
+        # Tokens are kept in part here: of equal ones the first place stands for all.
+        more = more.groupBy(*(c for c in more.columns if c != place)).agg(F.min(place).alias(place))
+        mixed = stored(_mixed(more, keys), "jaccard-lists")
         long = longer
-        found = found.unionByName(_pairs(mixed.where(F.col("m") <= long) if key == "y" else mixed, keys, percent))
+        found = found.unionByName(_pairs(mixed.where(F.col("m") <= long * long) if key == "y" else mixed, keys, places, percent))
     pairs = stored(found.distinct(), "jaccard-pairs")
     for column in ("second", "third"):
         side = lambda name, column=column: prefixes.select(F.col("cid").alias(f"_{name}"), F.col(column).alias(f"of_{name}"))
@@ -322,16 +364,30 @@ def link_components(
     )
     keys = members.where("row = cid").select("cid", "doc_id", "mark", "n", "least", "first")
     prefixes = rows.join(keys.select("cid"), F.col("row") == F.col("cid")).select("cid", "n", "first", "second", "third")
-    postings = prefixes.select("cid", "n", F.explode("first").alias("token"))
-    shared = postings.groupBy(F.col("token").alias("_token")).agg(F.count(F.lit(1)).alias("m"), F.min("cid").alias("hub")).where("m > 1")
-    lists = stored(postings.join(shared, F.col("token") == F.col("_token")).select("token", "cid", "n", "hub"), "jaccard-postings")
-    hubs = keys.select(F.col("cid").alias("_hub"), F.col("n").alias("hub_n"))
-    stars = lists.where("cid <> hub").select("cid", "n", "hub").distinct().join(hubs, F.col("hub") == F.col("_hub"))
-    stars = stars.where(_close("n", "hub_n", percent)).select(F.col("hub").alias("team"), F.col("hub").alias("a"), F.col("cid").alias("b"))
+    postings = prefixes.select("cid", "n", F.posexplode("first").alias("at", "token"))
+    hub = F.min(F.struct("cid", "n", "at")).alias("hub")
+    # A list without a smaller side has no pair that its places allow.
+    least = F.min(F.when(_largest("at", percent) >= F.col("n"), F.lit(0)))
+    shared = postings.groupBy(F.col("token").alias("_token")).agg(F.count(F.lit(1)).alias("m"), least.alias("_side"), hub).where("m > 1 and _side = 0")
+    lists = postings.join(shared, F.col("token") == F.col("_token"))
+    lists = stored(
+        lists.select("token", "at", "cid", "n", F.col("hub.cid").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.at").alias("hub_at")),
+        "jaccard-postings",
+    )
+    stars = lists.where((F.col("cid") != F.col("hub")) & _meet("n", "at", "hub_n", "hub_at", percent)).select("cid", "hub").distinct()
+    stars = stars.select(F.col("hub").alias("team"), F.col("hub").alias("a"), F.col("cid").alias("b"))
     bits = rows.join(keys.select("cid"), F.col("row") == F.col("cid")).select("cid", "n", "bits")
     stars = stored(possible(stars, bits, percent), "jaccard-stars")
-    near = components(verify(stars, keys, docs, percent, width))
-    open_lists = _with_component(lists.select("token", "cid", "n"), near)
+    links = stored(verify(stars, keys, docs, percent, width), "jaccard-links")
+    near = components(links)
+    own = lists.select("token", "at", "cid", "n")
+    for deal in range(DEALS):
+        dealt = stored(possible(dealt_pairs(_with_component(own, near), percent, deal, long), bits, percent), "jaccard-dealt")
+        if dealt.isEmpty():
+            break
+        links = links.unionByName(stored(verify(dealt, keys, docs, percent, width), "jaccard-links"))
+        near = components(links)
+    open_lists = _with_component(own, near)
     pairs = stored(possible(remaining_pairs(open_lists, prefixes.drop("first", "n"), percent, long, longer), bits, percent), "jaccard-possible")
     pairs = stored(teamed(pairs, near), "jaccard-teams")
     late = verify(pairs, keys, docs, percent, width)

@@ -88,6 +88,43 @@ def test_bitmaps_lose_no_link_and_drop_what_is_far(spark):
         assert percent < 80 or not left & set(strange)
 
 
+def test_near_copies_do_not_make_the_square_of_their_number_of_pairs(spark, monkeypatch):
+    # Copies of one text of 150 words that differ in two words each link with some of the others, hardly with the hub.
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(400):
+        words = list(base)
+        for at in rng.sample(range(150), 3):
+            words[at] = f"x{rng.randrange(30)}"
+        texts.append(words)
+    rows, made, pairs_of = [(i, " ".join(w)) for i, w in enumerate(texts)], [], jaccard_join._pairs
+
+    def counted(lists, keys, places, percent, *carried):
+        out = pairs_of(lists, keys, places, percent, *carried)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "_pairs", counted)
+    out = jaccard_join.link_components(frame(spark, rows))
+    sets = [{tuple(w[k : k + 3]) for k in range(148)} for w in texts]
+    parent = list(range(400))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(400):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= 90 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    assert {r["doc_id"]: r["component_id"] for r in out.collect()} == {i: root(i) for i in range(400)}
+    assert sum(made) < 10_000, made
+
+
 def test_a_common_shingle_does_not_make_pairs_within_a_component(spark):
     base = [f"a{i}" for i in range(80)]
     rows = [(i, " ".join([*base[:i], f"edit{i}", *base[i + 1 :]])) for i in range(60)]
