@@ -14,9 +14,10 @@ Rows with equal sets are one class; classes are joined. In every list of classes
    classes of one part are compared. That joins large groups of near copies whose members link with many
    others, but not with the hub, in proportion to their size.
 3. What is still apart is compared pair by pair, but no pairs are made within a component. Lists are
-   split by size, since similar sets have similar sizes. A list of many pairs is split again by the tokens
-   of the second order, and what still has many by those of the third; both must be shared anyway. No
-   list is cut.
+   split by size, since similar sets have similar sizes. A list of many pairs is laid out in tiles of
+   bounded size; a task compares the bitmaps of a tile and passes on only pairs that may link. Splitting
+   such a list by the tokens of other orders made more pairs than the list has, since near copies share
+   many. No list is cut.
 
 The place of a shared token bounds what two sets can have in common: no more than what either has from
 there on. Of two linked sets, the first token they share keeps this bound, so pairs are made only where
@@ -38,10 +39,10 @@ from pyspark.sql import functions as F
 from revlake.llm.common import stored
 from revlake.llm.shingles import shingle_sets, slices
 
-#: A list with more pairs than the square of this is split by the next order before pairs are made.
+#: The bitmaps in a list with more pairs than the square of this are compared in tiles.
 LONG = 64
-#: The same for lists that have been split by the second order.
-LONGER = 256
+#: Sets on either side of a tile, and bytes of their bitmaps.
+LONGER, TILE_BYTES = 1024, 4_000_000
 #: Times that lists of many pairs are dealt into parts, and classes of either side in a part.
 DEALS, PER_PART = 3, 16
 #: Texts that a task holds to compare others with, and others compared with one copy of them.
@@ -49,6 +50,8 @@ PER_TEAM, PER_HUB = 64, 256
 #: A shingle counts as common when more than one in so many texts has it.
 COMMON = 500
 COUNT_BYTES = 12_000_000
+#: Hashes of the texts to compare that are broadcast at most, so that other texts need not move.
+SENT = 1 << 18
 PROFILE = "doc_id long, mark long, n long, digest binary, first array<long>, second array<smallint>, third array<smallint>, bits array<long>"
 
 
@@ -185,7 +188,10 @@ def verify(pairs: DataFrame, keys: DataFrame, docs: DataFrame, percent: int, wid
         .join(keys.select(F.col("cid").alias("_cid"), F.col("doc_id").alias("_doc"), F.col("mark").alias("_mark")), F.col("cid") == F.col("_cid"))
         .drop("_cid")
     )
+    bucket = lambda mark: F.pmod(mark, F.lit(SENT)).cast("int")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+    wanted = stored(need.select(bucket(F.col("_mark")).alias("_bucket")).distinct(), "jaccard-wanted")
+    texts = texts.join(F.broadcast(wanted), bucket(F.col("mark")) == F.col("_bucket"), "left_semi")
     shipped = texts.join(need, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("mark") == F.col("_mark")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,34 +295,95 @@ def _banded(lists: DataFrame, percent: int) -> DataFrame:
     return lists.withColumns({"band": band(F.col("n")), "smaller": F.lit(False)}).unionByName(smaller)
 
 
-def dealt_pairs(lists: DataFrame, percent: int, deal: int, long: int = LONG) -> DataFrame:
-    """``team, a, b``: pairs of different components that one deal of lists of many pairs brings together."""
+def mixed_lists(lists: DataFrame, percent: int) -> DataFrame:
+    """Rows of ``lists``, in bands of their sizes, that hold more than one component, with the number of pairs ``m`` at most."""
+    return _mixed(_banded(lists, percent), ["token", "band"])
+
+
+def dealt_pairs(many: DataFrame, percent: int, deal: int) -> DataFrame:
+    """``team, a, b``: pairs of different components that one deal of lists of many pairs brings together. ``many`` as from ``mixed_lists``."""
     keys = ["token", "band"]
-    many = _mixed(_banded(lists, percent), keys).where(F.col("m") > long * long)
+    many = _mixed(many.drop("m"), keys)
     parts = F.ceil(F.sqrt("m") / PER_PART)
     many = stored(many.withColumn("part", F.pmod(F.xxhash64("cid", F.lit(deal)), parts)).withColumn("team", F.xxhash64(*keys, "part")), "jaccard-deal")
     return _pairs(many, [*keys, "part"], ["at"], percent, "team").groupBy("a", "b").agg(F.min("team").alias("team")).select("team", "a", "b")
 
 
-def remaining_pairs(lists: DataFrame, prefixes: DataFrame, percent: int, long: int = LONG, longer: int = LONGER) -> DataFrame:
-    """Pairs of classes in different components that meet under all three orders. ``lists`` are as for ``_banded``."""
-    banded = _banded(lists, percent)
-    keys, places = ["token", "band"], ["at"]
-    mixed = stored(_mixed(banded, keys), "jaccard-lists")
-    found = _pairs(mixed.where(F.col("m") <= long * long), keys, places, percent)
-    other = prefixes.select(F.col("cid").alias("_cid"), "second", "third")
-    for column, key in (("second", "y"), ("third", "z")):
-        rest = mixed.where(F.col("m") > long * long).drop("m")
-        place = f"at_{key}"
-        more = rest.join(other.select("_cid", column), F.col("cid") == F.col("_cid"))
-        more = more.select(*rest.columns, F.posexplode(column).alias(place, key)).where(~F.col("smaller") | (_largest(place, percent) >= F.col("n")))
-        keys, places = [*keys, key], [*places, place]
-        # Tokens are kept in part here: of equal ones the first place stands for all.
-        more = more.groupBy(*(c for c in more.columns if c != place)).agg(F.min(place).alias(place))
-        mixed = stored(_mixed(more, keys), "jaccard-lists")
-        long = longer
-        found = found.unionByName(_pairs(mixed.where(F.col("m") <= long * long) if key == "y" else mixed, keys, places, percent))
-    pairs = stored(found.distinct(), "jaccard-pairs")
+def _folded(words: np.ndarray, width: int) -> np.ndarray:
+    """Bitmaps, one a row, folded to ``width`` words where they have twice as many."""
+    return words if words.shape[1] == width else words[:, :width] | words[:, width:]
+
+
+def _by_width(lists: pa.ListArray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Places of the bitmaps of each length and their words, one bitmap a row."""
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    offsets, words = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
+    sizes, out = np.diff(offsets), {}
+    for width in np.unique(sizes).tolist():
+        at = np.flatnonzero(sizes == width)
+        out[width] = at, words[offsets[at][:, None] + np.arange(width)]
+    return out
+
+
+def tile_pairs(tile: pa.Table, percent: int) -> pa.Table:
+    """Pairs of a tile's smaller and larger sets, of different components, that places and bitmaps allow.
+
+    The rules are those of ``_pairs`` and ``possible``.
+    """
+    tile = tile.combine_chunks()
+    smaller = tile.column("smaller").to_numpy()
+    first, second = tile.filter(pa.array(smaller)), tile.filter(pa.array(~smaller))
+    x, y = ({c: t.column(c).to_numpy() for c in ("cid", "n", "comp", "at")} for t in (first, second))
+    rows, columns, found = _by_width(first.column("bits")), _by_width(second.column("bits")), []
+    for ours, (at, words) in rows.items():
+        for theirs, (bt, others) in columns.items():
+            width, far = min(ours, theirs), max(ours, theirs) > 2 * min(ours, theirs)
+            if not far:
+                left, right = _folded(words, width), _folded(others, width)
+            cid, n, comp, after = y["cid"][bt], y["n"][bt], y["comp"][bt], y["n"][bt] - y["at"][bt]
+            for k, i in enumerate(at.tolist()):
+                size = x["n"][i]
+                near = (100 + percent) * np.minimum(size - x["at"][i], after) >= percent * (size + n)
+                near &= ((size < n) | ((size == n) & (x["cid"][i] < cid))) & (x["comp"][i] != comp)
+                j = np.flatnonzero(near)
+                if len(j) and not far:
+                    other = right[j]
+                    absent = np.bitwise_count(left[k] & ~other).sum(1, dtype=np.int64)
+                    lacks = np.bitwise_count(other & ~left[k]).sum(1, dtype=np.int64)
+                    both = np.minimum(size - absent, n[j] - lacks)
+                    j = j[100 * both >= percent * (size + n[j] - both)]
+                if len(j):
+                    found.append((np.minimum(x["cid"][i], cid[j]), np.maximum(x["cid"][i], cid[j])))
+    sides = [np.concatenate(side) for side in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 2
+    return pa.table([pa.array(side, pa.int64()) for side in sides], ["a", "b"])
+
+
+def tiled_pairs(many: DataFrame, bits: DataFrame, percent: int, longer: int = LONGER) -> DataFrame:
+    """Pairs of ``many`` lists (as from ``mixed_lists``) that places and bitmaps allow; a tile's sides are bounded."""
+    keys = ["token", "band"]
+    # A bitmap has half a byte a token at most.
+    most = F.greatest(F.lit(1), F.least(F.lit(longer), F.floor(2 * TILE_BYTES / F.max("n"))))
+    parts = lambda here: F.ceil(F.count_if(here) / most).cast("int")
+    sizes = many.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(
+        parts(F.col("smaller")).alias("rows"), parts(~F.col("smaller")).alias("columns")
+    )
+    own = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    dealt = many.join(sizes, [F.col(k) == F.col(f"_{k}") for k in keys])
+    across = dealt.where("smaller").withColumn("row", own("rows")).withColumn("column", every("columns"))
+    down = dealt.where(~F.col("smaller")).withColumn("column", own("columns")).withColumn("row", every("rows"))
+    tiles = across.unionByName(down).select(F.xxhash64(*keys, "row", "column").alias("tile"), "smaller", "cid", "n", "comp", "at")
+    tiles = tiles.join(bits.select(F.col("cid").alias("_cid"), "bits"), F.col("cid") == F.col("_cid")).drop("_cid")
+    return tiles.groupBy("tile").applyInArrow(lambda tile: tile_pairs(tile, percent), "a long, b long").distinct()
+
+
+def remaining_pairs(
+    lists: DataFrame, prefixes: DataFrame, bits: DataFrame, percent: int, long: int = LONG, longer: int = LONGER
+) -> DataFrame:
+    """Pairs of classes in different components that meet under all three orders. ``lists`` are as from ``mixed_lists``."""
+    found = _pairs(lists.where(F.col("m") <= long * long), ["token", "band"], ["at"], percent).distinct()
+    many = _mixed(lists.where(F.col("m") > long * long).drop("m"), ["token", "band"])
+    pairs = stored(found.unionByName(tiled_pairs(stored(many, "jaccard-lists"), bits, percent, longer)).distinct(), "jaccard-pairs")
     for column in ("second", "third"):
         side = lambda name, column=column: prefixes.select(F.col("cid").alias(f"_{name}"), F.col(column).alias(f"of_{name}"))
         joined = pairs.join(side("a"), F.col("a") == F.col("_a")).join(side("b"), F.col("b") == F.col("_b"))
@@ -380,15 +447,16 @@ def link_components(
     stars = stored(possible(stars, bits, percent), "jaccard-stars")
     links = stored(verify(stars, keys, docs, percent, width), "jaccard-links")
     near = components(links)
-    own = lists.select("token", "at", "cid", "n")
+    mixed = stored(mixed_lists(_with_component(lists.select("token", "at", "cid", "n"), near), percent), "jaccard-lists").drop("comp")
     for deal in range(DEALS):
-        dealt = stored(possible(dealt_pairs(_with_component(own, near), percent, deal, long), bits, percent), "jaccard-dealt")
+        many = _with_component(mixed.where(F.col("m") > long * long), near)
+        dealt = stored(possible(dealt_pairs(many, percent, deal), bits, percent), "jaccard-dealt")
         if dealt.isEmpty():
             break
         links = links.unionByName(stored(verify(dealt, keys, docs, percent, width), "jaccard-links"))
         near = components(links)
-    open_lists = _with_component(own, near)
-    pairs = stored(possible(remaining_pairs(open_lists, prefixes.drop("first", "n"), percent, long, longer), bits, percent), "jaccard-possible")
+    pairs = remaining_pairs(_with_component(mixed, near), prefixes.drop("first", "n"), bits, percent, long, longer)
+    pairs = stored(possible(pairs, bits, percent), "jaccard-possible")
     pairs = stored(teamed(pairs, near), "jaccard-teams")
     late = verify(pairs, keys, docs, percent, width)
     late = _with_component(late, near, "a").withColumnRenamed("comp", "ca")

@@ -125,6 +125,28 @@ def test_near_copies_do_not_make_the_square_of_their_number_of_pairs(spark, monk
     assert sum(made) < 10_000, made
 
 
+def test_lists_of_many_pairs_are_not_multiplied_by_other_orders(spark, monkeypatch):
+    # Texts that share most of a base, but too little to link: every two meet under all orders.
+    rng = random.Random(4)
+    base, rows, made, keep = [f"w{i}" for i in range(600)], [], [], jaccard_join.stored
+    for i in range(60):
+        words = list(base)
+        for at in rng.sample(range(600), 50):
+            words[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(words)))
+
+    def counted(df, label, *partition_by):
+        out = keep(df, label, *partition_by)
+        if label == "jaccard-lists":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", counted)
+    out = jaccard_join.link_components(frame(spark, rows), 80, 1, 8)
+    assert all(r["doc_id"] == r["component_id"] for r in out.collect())
+    assert 1000 < sum(made) < 8000, made
+
+
 def test_a_common_shingle_does_not_make_pairs_within_a_component(spark):
     base = [f"a{i}" for i in range(80)]
     rows = [(i, " ".join([*base[:i], f"edit{i}", *base[i + 1 :]])) for i in range(60)]
