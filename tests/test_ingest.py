@@ -244,6 +244,21 @@ def test_a_repetition_moves_no_rows(spark, folders, monkeypatch):
     assert written == [1] and stored(spark, base).count() == len(before) + 1
 
 
+def test_a_large_batch_is_merged_by_groups_of_months(spark, folders, monkeypatch):
+    source, base, _ = folders
+    rows = [record(i % 30, month=1 + i % 5, country="France" if i < 45 else "Spain") for i in range(60)]
+    (source / "a.json").write_text(json.dumps(rows))
+    (source / "b.json").write_text(json.dumps(rows[:20]))
+    expected = sorted({(f"I{i % 30}", 1 + i % 5) for i in range(60)})
+    written = []
+    monkeypatch.setattr(load_invoices, "AT_ONCE", 33)
+    monkeypatch.setattr(load_invoices, "write_invoices", lambda df, path: written.append(df.count()) or src.write_invoices(df, path))
+    for force in (False, True):
+        ingest_batch(spark, str(source), base, force)
+        assert written == [12, 12, 6]
+        assert sorted((r["invoice"], r["month"]) for r in stored(spark, base).collect()) == expected
+
+
 def test_invoice_files_lie_in_one_folder(spark, sf):
     from checks import ingest as queries
 
