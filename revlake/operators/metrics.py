@@ -164,12 +164,12 @@ def product_performance(clean: DataFrame) -> DataFrame:
         .withColumn("conversion_rate", safe_ratio("transactions", "total_views"))
     )
     # Stored: ranking reads the two ranked columns, then all of them.
-    return product_ranks(pinned(products, "products"))
+    return product_ranks(pinned(products, "products"), store=True)
 
 
-def product_ranks(products: DataFrame) -> DataFrame:
-    """Dense ranks by revenue and by transactions within day and country, largest first."""
-    return dense_ranks(products, {"revenue": "revenue_rank", "transactions": "popularity_rank"}, CELL)
+def product_ranks(products: DataFrame, store: bool = False) -> DataFrame:
+    """Dense ranks by revenue and by transactions within day and country, largest first. For ``store`` see ``dense_ranks``."""
+    return dense_ranks(products, {"revenue": "revenue_rank", "transactions": "popularity_rank"}, CELL, store)
 
 
 def customer_penetration(clean: DataFrame) -> DataFrame:

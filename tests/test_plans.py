@@ -55,3 +55,8 @@ def test_series_features_shuffle_once_per_series(spark, sf):
     text = plan(ts.engineer_features(ts.revenue_series(invoices(spark, sf))))
     assert len(re.findall(r"Exchange hashpartitioning\(series#\d+, \d+\)", text)) == 1
     assert "SinglePartition" not in text
+
+
+def test_ranks_of_products_are_stored_before_the_last_join(spark, sf):
+    text = plan(metrics.product_performance(clean(spark, sf)))
+    assert "Window" not in text and len(re.findall(r"Join", text)) == 1
