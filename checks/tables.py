@@ -132,12 +132,22 @@ check(
         min(date) AS min_date, max(date) AS max_date FROM inv"""),
         "total_records unique_invoice unique_customer_id unique_country unique_stream_id", "", "min_date max_date"),
 )
+
+
+def four_tables(s, sf):
+    """The stored result tables. They are made from the same rows, which are joined once and stored."""
+    rows = pinned(invoices(s, sf), "invoices")
+    kept = pinned(cleaning.clean_invoices(rows), "clean")
+    makers = (
+        lambda: metrics.daily_metrics(kept), lambda: metrics.customer_segments(kept), lambda: metrics.product_performance(kept),
+        lambda: metrics.quality_report(kept, cleaning.cleaning_metrics(rows)),
+    )
+    return [pinned(make()) for make in makers]
+
+
 check(
     "l3_stats",
-    lambda s, sf: tidy(metrics.l3_stats(
-        *[pinned(t) for t in (
-            daily(s, sf), metrics.customer_segments(clean(s, sf)), metrics.product_performance(clean(s, sf)),
-            metrics.quality_report(clean(s, sf), cleaning.cleaning_metrics(invoices(s, sf))))]), 2)
+    lambda s, sf: tidy(metrics.l3_stats(*four_tables(s, sf)), 2)
     .select("table_name", "records", F.coalesce("total_revenue", F.lit(-1.0)).alias("total_revenue"),
             F.coalesce("min_date", F.lit("-")).alias("min_date"), F.coalesce("max_date", F.lit("-")).alias("max_date"),
             F.coalesce("avg_quality", F.lit(-1.0)).alias("avg_quality")),

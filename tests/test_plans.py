@@ -60,3 +60,12 @@ def test_series_features_shuffle_once_per_series(spark, sf):
 def test_ranks_of_products_are_stored_before_the_last_join(spark, sf):
     text = plan(metrics.product_performance(clean(spark, sf)))
     assert "Window" not in text and len(re.findall(r"Join", text)) == 1
+
+
+def test_the_four_tables_are_made_from_one_join(spark, sf, monkeypatch):
+    from checks import inputs, tables
+
+    calls, lines = [], inputs.lines
+    monkeypatch.setattr(inputs, "lines", lambda *a: calls.append(a) or lines(*a))
+    assert tables.QUERIES["l3_stats"](spark, sf).count() == 4
+    assert len(calls) == 1
